@@ -138,7 +138,9 @@ def resolve_areas(spark, spec_text: str, totals: DataFrame, spec: SeriesSpec, to
         F.col("is_top"),
         F.replace(F.lit(top_label), F.lit("{id}"), F.col("top_id").cast("string")),
     ).otherwise(F.col("token"))
-    return joined.select("position", label.alias("label"), ident.alias(spec.entity)).dropDuplicates(["label"])
+    resolved = joined.select("position", label.alias("label"), ident.alias(spec.entity))
+    # a repeated label keeps its first position, like re-assigning a dict key
+    return resolved.groupBy("label", spec.entity).agg(F.min("position").alias("position"))
 
 
 def split_label(df: DataFrame, spec: SeriesSpec, split: Split) -> Column:

@@ -59,9 +59,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 600) * 600000
     ).cast("bigint")
     k = F.get_json_object("props", "$.k")
-    internet = F.when(F.col("event_type") != "error", F.col("value").cast("string")).otherwise(F.lit(""))
-    line = F.concat_ws(
-        "\t",
+    internet = F.when(F.col("event_type") != "error", F.col("value").cast("string"))
+    fields = [
         F.col("user_id").cast("string"),
         bin_ms.cast("string"),
         k,
@@ -70,7 +69,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(""),
         F.col("event_id").cast("string"),
         internet,
-    )
+    ]
+    # concat_ws skips NULLs, which would shift fields: NULL becomes the empty token
+    line = F.concat_ws("\t", *[F.coalesce(f, F.lit("")) for f in fields])
     fname = F.concat(F.lit("sms-call-internet-mi-"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".txt"))
     return ev.select(line.alias("line"), fname.alias("file_name"))
 

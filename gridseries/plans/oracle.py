@@ -48,34 +48,513 @@ METRICS = """
            THEN abs(y_true - y_pred) / ((abs(y_true) + abs(y_pred)) / 2) END) * 100 AS sMAPE_percent
 """
 
+# ---------------------------------------------------------------- helpers
+import math  # noqa: E402
+
+
+def _ts(col: str, alias: str | None = None) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S') AS {alias or col}"
+
+
+def _r(col: str, alias: str | None = None, decimals: int = 6) -> str:
+    # "+ 0.0" turns a rounded negative zero into zero, as Spark's round does
+    scale = f"1{'0' * decimals}.0"
+    return f"(round(CAST({col} AS DOUBLE) * {scale}) / {scale} + 0.0) AS {alias or col}"
+
+
+def _r4(col: str, alias: str | None = None) -> str:
+    return _r(col, alias, 4)
+
+
+
 SQL: dict[str, str] = {}
 
 SQL["forecast_last"] = f"""
 WITH {BASE_FORECASTS}
 SELECT model, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-       round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred
+       {_r('y_true')}, {_r('y_pred')}
 FROM test WHERE model = 'naive_last'
 """
 
 SQL["forecast_seasonal"] = f"""
 WITH {BASE_FORECASTS}
 SELECT model, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-       round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred
+       {_r('y_true')}, {_r('y_pred')}
 FROM test WHERE model IN ('naive_daily', 'naive_weekly')
 """
 
 SQL["walkforward_metrics"] = f"""
 WITH {BASE_FORECASTS},
 m AS (SELECT event_type, model, {METRICS} FROM test GROUP BY event_type, model)
-SELECT event_type, model, n, round(MAE, 6) AS MAE, round(RMSE, 6) AS RMSE,
-       round(MAPE_percent, 6) AS MAPE_percent, round(sMAPE_percent, 6) AS sMAPE_percent
+SELECT event_type, model, n, {_r('MAE')}, {_r('RMSE')},
+       {_r('MAPE_percent')}, {_r('sMAPE_percent')}
 FROM m
 """
 
 SQL["leaderboard"] = f"""
 WITH {BASE_FORECASTS},
 m AS (SELECT event_type, model, round_even(avg(abs(y_true - y_pred)), 4) AS MAE FROM test GROUP BY 1, 2)
-SELECT event_type, model, round(MAE, 6) AS MAE,
+SELECT event_type, model, {_r('MAE')},
        row_number() OVER (PARTITION BY event_type ORDER BY MAE ASC NULLS LAST, model) AS rank
 FROM m
 """
+
+
+CANON = """
+canon AS (
+  SELECT CAST(user_id AS INTEGER) AS square_id, time_bucket(INTERVAL 10 MINUTE, ts) AS ts,
+         CAST(sum(value) AS FLOAT) AS internet
+  FROM events WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY 1, 2
+)"""
+
+CELLS = """
+cells AS (
+  SELECT user_id, date_trunc('hour', ts) AS ts, sum(value) AS value
+  FROM events WHERE value IS NOT NULL GROUP BY 1, 2
+),
+totals AS (SELECT user_id, sum(value) AS total FROM cells GROUP BY 1)"""
+
+DAILY_ORDERS = """
+daily AS (
+  SELECT o_orderpriority, date_trunc('day', o_orderdate) AS ts, sum(o_totalprice) AS value
+  FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2
+)"""
+
+GRID_HOURLY = """
+bounds AS (SELECT event_type, min(ts) AS lo, max(ts) AS hi FROM hourly GROUP BY 1),
+grid AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM bounds)"""
+
+FILLED = f"""
+{GRID_HOURLY},
+reg AS (
+  SELECT g.event_type, g.ts, h.value, h.value IS NULL AS was_missing
+  FROM grid g LEFT JOIN hourly h ON h.event_type = g.event_type AND h.ts = g.ts
+),
+reg_rn AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn FROM reg),
+reg_nb AS (
+  SELECT *,
+    last_value(value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+    last_value(CASE WHEN value IS NOT NULL THEN rn END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pr,
+    first_value(value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
+    first_value(CASE WHEN value IS NOT NULL THEN rn END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nr
+  FROM reg_rn
+),
+filled AS (
+  SELECT event_type, ts, was_missing,
+    CAST(coalesce(value,
+      CASE WHEN pr IS NOT NULL AND nr IS NOT NULL
+           THEN pv + (nv - pv) * CAST(rn - pr AS DOUBLE) / CAST(nr - pr AS DOUBLE) END,
+      nv, pv) AS DOUBLE) AS value
+  FROM reg_nb
+)"""
+
+WEEK2 = "TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-14 23:00:00'"
+
+# ---------------------------------------------------------------- ingest
+SQL["canonical_from_lines"] = f"""
+WITH {CANON}
+SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')},
+       strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month
+FROM canon
+"""
+
+SQL["ingest_profile"] = f"""
+WITH {CANON}
+SELECT count(*) AS raw_rows, count(*) AS well_formed_rows, count(*) AS parsed_rows,
+       count(*) FILTER (WHERE event_type <> 'error' AND value IS NOT NULL) AS non_null_rows,
+       (SELECT count(*) FROM canon) AS canonical_rows,
+       {_r('(SELECT count(*) FROM canon) / CAST(count(*) AS DOUBLE)', 'reduction_ratio')}
+FROM events
+"""
+
+SQL["daily_manifest"] = f"""
+WITH {CANON}
+SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month,
+       'year_month=' || strftime(ts, '%Y-%m') || '/day=' || strftime(ts, '%Y-%m-%d') AS path,
+       count(*) AS rows, count(DISTINCT square_id) AS cells
+FROM canon GROUP BY 1, 2, 3
+"""
+
+SQL["missing_hours"] = f"""
+WITH {HOURLY}, {GRID_HOURLY}
+SELECT g.event_type, {_ts('g.ts', 'ts')}
+FROM grid g ANTI JOIN hourly h ON h.event_type = g.event_type AND h.ts = g.ts
+"""
+
+SQL["missing_days"] = f"""
+WITH {DAILY_ORDERS},
+b AS (SELECT o_orderpriority, min(ts) AS lo, max(ts) AS hi FROM daily GROUP BY 1),
+g AS (SELECT o_orderpriority, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS ts FROM b)
+SELECT g.o_orderpriority, {_ts('g.ts', 'ts')}
+FROM g ANTI JOIN daily d ON d.o_orderpriority = g.o_orderpriority AND d.ts = g.ts
+"""
+
+# ---------------------------------------------------------------- series algebra
+SQL["area_series"] = f"""
+WITH {HOURLY}
+SELECT event_type, {_ts('ts')}, {_r('value')}
+FROM hourly WHERE event_type = 'click' AND ts BETWEEN {WEEK2}
+"""
+
+SQL["areas_wide"] = f"""
+WITH {HOURLY}
+SELECT {_ts('ts')},
+  {', '.join(_r(f"avg(value) FILTER (WHERE event_type = '{e}')", f'area_{e}') for e in ['click', 'error', 'purchase', 'signup', 'view'])}
+FROM hourly
+WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view') AND ts BETWEEN {WEEK2}
+GROUP BY ts
+"""
+
+SQL["area_totals"] = f"""
+WITH {CELLS}
+SELECT user_id, {_r('total')} FROM totals
+"""
+
+SQL["top_areas"] = f"""
+WITH {CELLS}
+SELECT user_id, {_r('total')}, row_number() OVER (ORDER BY total DESC, user_id) AS rank
+FROM totals ORDER BY total DESC, user_id LIMIT 5
+"""
+
+SQL["resolve_areas"] = f"""
+WITH {CELLS},
+toks AS (
+  SELECT CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS position, unnest(l) AS token
+  FROM (SELECT string_split('top, 7 ,12,,TOP', ',') AS l)
+),
+t AS (SELECT position, trim(token) AS token FROM toks WHERE trim(token) <> ''),
+best AS (SELECT user_id FROM totals ORDER BY total DESC, user_id LIMIT 1),
+r AS (
+  SELECT position,
+         CASE WHEN lower(token) = 'top' THEN 'top(' || (SELECT user_id FROM best) || ')' ELSE token END AS label,
+         CASE WHEN lower(token) = 'top' THEN (SELECT user_id FROM best) ELSE CAST(token AS BIGINT) END AS user_id
+  FROM t
+)
+SELECT label, user_id, min(position) AS position FROM r GROUP BY 1, 2
+"""
+
+SQL["split_counts"] = f"""
+WITH {HOURLY}
+SELECT event_type,
+  CASE WHEN ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00' THEN 'train'
+       WHEN ts BETWEEN TIMESTAMP '2024-01-21 00:00:00' AND TIMESTAMP '2024-01-23 23:00:00' THEN 'validation'
+       WHEN ts BETWEEN {TEST_WINDOW} THEN 'test' END AS split,
+  count(*) AS n, {_r('sum(value)', 'total')}
+FROM hourly GROUP BY 1, 2
+"""
+
+SQL["interpolate"] = f"""
+WITH {HOURLY}, {FILLED}
+SELECT event_type, {_ts('ts')}, {_r('value')}, was_missing FROM filled
+"""
+
+SQL["rolling_stats"] = f"""
+WITH {HOURLY}
+SELECT event_type, {_ts('ts')}, {_r('value')},
+  {_r('CASE WHEN count(value) OVER w = 24 THEN avg(value) OVER w END', 'rolling_mean')},
+  {_r('CASE WHEN count(value) OVER w = 24 THEN stddev_samp(value) OVER w END', 'rolling_std')}
+FROM hourly
+WINDOW w AS (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+"""
+
+SQL["preview"] = f"""
+WITH {HOURLY}
+SELECT event_type, {_ts('ts')}, {_r('value')},
+  {_r('avg(value) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)', 'moving_avg')},
+  isodow(ts) - 1 >= 5 AS is_weekend
+FROM hourly
+WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts <= TIMESTAMP '2024-01-14 23:00:00'
+"""
+
+SQL["seasonal_diff"] = f"""
+WITH {HOURLY},
+d AS (
+  SELECT event_type, ts, CAST(1 AS BIGINT) AS lag,
+         value - lag(value, 1) OVER (PARTITION BY event_type ORDER BY ts) AS diff FROM hourly
+  UNION ALL
+  SELECT event_type, ts, CAST(24 AS BIGINT),
+         value - lag(value, 24) OVER (PARTITION BY event_type ORDER BY ts) FROM hourly
+)
+SELECT event_type, {_ts('ts')}, lag, {_r('diff')} FROM d WHERE diff IS NOT NULL
+"""
+
+# ---------------------------------------------------------------- city / spatial
+SQL["city_stats"] = f"""
+WITH {CELLS}
+SELECT count(total) AS n_areas, count(*) FILTER (WHERE total > 0) AS n_positive,
+  {_r('avg(total)', 'mean')}, {_r('quantile_cont(total, 0.5)', 'median')},
+  {_r('stddev_pop(total)', 'std')}, {_r('min(total)', 'min')}, {_r('max(total)', 'max')},
+  {_r('skewness(total) FILTER (WHERE total > 0)', 'skew')},
+  {_r('kurtosis(total) FILTER (WHERE total > 0)', 'kurtosis')},
+  {_r('quantile_cont(total, 0.01)', 'p1')}, {_r('quantile_cont(total, 0.05)', 'p5')},
+  {_r('quantile_cont(total, 0.95)', 'p95')}, {_r('quantile_cont(total, 0.99)', 'p99')}
+FROM totals
+"""
+
+SQL["city_histogram"] = f"""
+WITH {CELLS},
+pos AS (SELECT total AS x FROM totals WHERE total > 0),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM pos),
+c AS (
+  SELECT CAST(CASE WHEN hi - lo > 0 THEN least(floor((x - lo) * (80.0 / (hi - lo))), 79) ELSE 0 END AS BIGINT) AS bin,
+         count(*) AS cnt
+  FROM pos, b GROUP BY 1
+),
+e AS (SELECT range AS bin, lo + range * (hi - lo) / 80 AS elo, lo + (range + 1) * (hi - lo) / 80 AS ehi FROM range(80), b)
+SELECT e.bin, {_r('elo', 'lo')}, {_r('ehi', 'hi')}, coalesce(c.cnt, 0) AS count
+FROM e LEFT JOIN c ON c.bin = e.bin
+"""
+
+SQL["city_kde"] = f"""
+WITH {CELLS},
+logs AS (SELECT log10(total) AS x FROM totals WHERE total > 0),
+st AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS n,
+              stddev_samp(x) * pow(CAST(count(x) AS DOUBLE), -0.2) AS h FROM logs),
+grid AS (
+  SELECT range AS j, lo + range * (CASE WHEN hi > lo THEN (hi - lo) / 399 ELSE 1.0 END) AS gx, n, h
+  FROM range(400), st
+)
+SELECT CAST(j AS BIGINT) AS point, {_r('gx', 'log10_total')},
+  {_r('sum(exp(-0.5 * ((gx - x) / h) * ((gx - x) / h))) / (n * h * sqrt(2 * pi()))', 'density')}
+FROM grid, logs GROUP BY j, gx, n, h
+"""
+
+SQL["spatial_grid"] = f"""
+WITH {CELLS}
+SELECT c.range AS user_id, CAST(floor((c.range - 1) / 40) AS BIGINT) AS row,
+       CAST((c.range - 1) % 40 AS BIGINT) AS col, {_r('t.total', 'total')},
+       {_r('CASE WHEN t.total > 0 THEN log10(t.total) END', 'log10_total')}
+FROM range(1, 1601) c LEFT JOIN totals t ON t.user_id = c.range
+"""
+
+SQL["spatial_stats"] = f"""
+WITH {CELLS}
+SELECT (SELECT user_id FROM totals ORDER BY total DESC, user_id LIMIT 1) AS top_area,
+       {_r('(SELECT max(total) FROM totals)', 'top_value')},
+       (SELECT count(*) FROM totals WHERE user_id BETWEEN 1 AND 1600 AND total > 0) AS n_nonzero
+"""
+
+# ---------------------------------------------------------------- EDA in SQL
+_ACF_LAGS = (1, 24, 168)
+SQL["acf_lags"] = f"""
+WITH {HOURLY},
+s AS (SELECT event_type, ts, value - avg(value) OVER (PARTITION BY event_type) AS d FROM hourly WHERE value IS NOT NULL),
+l AS (
+  SELECT event_type, d, {', '.join(f'lead(d, {k}) OVER w AS l{k}' for k in _ACF_LAGS)}
+  FROM s WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+),
+a AS (SELECT event_type, sum(d * d) AS den, count(*) AS n, {', '.join(f'sum(d * l{k}) AS c{k}' for k in _ACF_LAGS)} FROM l GROUP BY 1)
+{' UNION ALL '.join(f"SELECT event_type, CAST({k} AS BIGINT) AS lag, {_r(f'CASE WHEN n > {k} THEN c{k} / den END', 'acf')} FROM a" for k in _ACF_LAGS)}
+"""
+
+
+def _kpss_sql(lags: int) -> str:
+    lrv = "e2"
+    for k in range(1, lags + 1):
+        lrv += f" + {repr(2.0 * (1.0 - k / (lags + 1.0)))} * coalesce(p{k}, 0.0)"
+    crit, pv = (0.119, 0.146, 0.176, 0.216), (0.10, 0.05, 0.025, 0.01)
+    pcase = f"CASE WHEN stat <= {crit[0]} THEN {pv[0]}"
+    for i in range(3):
+        pcase += (
+            f" WHEN stat <= {crit[i + 1]} THEN {pv[i]} + ((stat - {crit[i]}) / {repr(crit[i + 1] - crit[i])})"
+            f" * {repr(pv[i + 1] - pv[i])}"
+        )
+    pcase += f" ELSE {pv[-1]} END"
+    return f"""
+WITH {HOURLY},
+s AS (SELECT event_type, ts, value AS x,
+             CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts) AS DOUBLE) AS t
+      FROM hourly WHERE value IS NOT NULL),
+f AS (SELECT *, regr_slope(x, t) OVER (PARTITION BY event_type) AS b,
+                regr_intercept(x, t) OVER (PARTITION BY event_type) AS a FROM s),
+e AS (SELECT event_type, ts, x - (a + b * t) AS e FROM f),
+c AS (
+  SELECT event_type, e,
+    sum(e) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS S,
+    {', '.join(f'lag(e, {k}) OVER w AS e{k}' for k in range(1, lags + 1))}
+  FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+),
+g AS (SELECT event_type, count(*) AS nobs, sum(S * S) AS ss, sum(e * e) AS e2,
+             {', '.join(f'sum(e * e{k}) AS p{k}' for k in range(1, lags + 1))} FROM c GROUP BY 1),
+k AS (SELECT event_type, nobs,
+             CASE WHEN nobs >= 100 THEN (ss / (CAST(nobs AS DOUBLE) * nobs)) / (({lrv}) / CAST(nobs AS DOUBLE)) END AS stat
+      FROM g)
+SELECT event_type, nobs, CAST({lags} AS BIGINT) AS lags, {_r('stat', 'kpss_stat')},
+       {_r(f'CASE WHEN stat IS NOT NULL THEN {pcase} END', 'kpss_pvalue')}
+FROM k
+"""
+
+
+SQL["kpss_fixed_lag"] = _kpss_sql(8)
+
+
+def _decomp_sql(period: int) -> str:
+    half = period // 2
+    if period % 2:
+        trend = (f"CASE WHEN count(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {period} "
+                 f"THEN avg(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) END")
+    else:
+        trend = (f"CASE WHEN count(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {period + 1} "
+                 f"THEN (sum(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) "
+                 f"- 0.5 * (lag(value, {half}) OVER w + lead(value, {half}) OVER w)) / {period} END")
+    return f"""
+dec_t{period} AS (
+  SELECT event_type, ts, value AS observed, {trend} AS trend,
+         (row_number() OVER w - 1) % {period} AS phase
+  FROM filled WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+),
+dec_p{period} AS (SELECT event_type, phase, avg(observed - trend) AS pm FROM dec_t{period} GROUP BY 1, 2),
+dec_c{period} AS (SELECT event_type, phase, pm - avg(pm) OVER (PARTITION BY event_type) AS seasonal FROM dec_p{period}),
+dec{period} AS (
+  SELECT t.event_type, t.ts, CAST({period} AS BIGINT) AS period, t.observed, t.trend, c.seasonal,
+         t.observed - t.trend - c.seasonal AS resid
+  FROM dec_t{period} t LEFT JOIN dec_c{period} c ON c.event_type = t.event_type AND c.phase = t.phase
+)"""
+
+
+SQL["classical_decomposition"] = f"""
+WITH {HOURLY}, {FILLED}, {_decomp_sql(24)}
+SELECT event_type, {_ts('ts')}, period, {_r('observed')}, {_r('trend')}, {_r('seasonal')}, {_r('resid')} FROM dec24
+"""
+
+SQL["strengths"] = f"""
+WITH {HOURLY}, {FILLED}, {_decomp_sql(24)}, {_decomp_sql(168)},
+both_ AS (SELECT * FROM dec24 UNION ALL SELECT * FROM dec168)
+SELECT event_type, period,
+  {_r('greatest(0.0, 1 - var_pop(resid) / greatest(var_pop(seasonal + resid), 1e-12))', 'seasonal_strength')},
+  {_r('greatest(0.0, 1 - var_pop(resid) / greatest(var_pop(trend + resid), 1e-12))', 'trend_strength')}
+FROM both_ GROUP BY 1, 2
+"""
+
+SQL["residual_outliers"] = f"""
+WITH {HOURLY}, {FILLED}, {_decomp_sql(24)},
+z AS (
+  SELECT event_type, ts, observed AS value, resid AS residual,
+    (resid - avg(resid) OVER (PARTITION BY event_type, period))
+      / greatest(stddev_pop(resid) OVER (PARTITION BY event_type, period), 1e-12) AS z
+  FROM dec24
+)
+SELECT event_type, {_ts('ts')}, {_r('value')}, {_r('residual')}, {_r('z')} FROM z WHERE abs(z) > 4.0
+"""
+
+SQL["drop_runs"] = f"""
+WITH {HOURLY}, {FILLED},
+b AS (SELECT event_type, ts, value, lag(value, 168) OVER (PARTITION BY event_type ORDER BY ts) AS base FROM filled),
+r AS (SELECT event_type, ts, CASE WHEN abs(base) >= 1e-6 THEN (value - base) / base END AS rel,
+             row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn FROM b),
+f AS (SELECT *, rn - row_number() OVER (PARTITION BY event_type ORDER BY ts) AS island
+      FROM r WHERE coalesce(rel < -0.6, false)),
+g AS (SELECT event_type, min(ts) AS s, max(ts) AS e, avg(rel) AS m, count(*) AS length FROM f GROUP BY event_type, island)
+SELECT event_type, {_ts('s', 'start')}, {_ts('e', '"end"')}, {_r('m', 'mean_relative_drop')}, length
+FROM g WHERE length >= 6
+"""
+
+# ---------------------------------------------------------------- features
+def _fourier_cols(period: int, terms: int, prefix: str) -> str:
+    cols = []
+    for k in range(1, terms + 1):
+        c = repr(2.0 * math.pi * k / period)
+        cols.append(_r(f"sin({c} * s)", f"{prefix}_sin{k}"))
+        cols.append(_r(f"cos({c} * s)", f"{prefix}_cos{k}"))
+    return ", ".join(cols)
+
+
+SQL["fourier_features"] = f"""
+WITH {HOURLY},
+a AS (
+  SELECT *, min(CASE WHEN ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00'
+                     THEN CAST(floor(epoch(ts)) AS BIGINT) END) OVER (PARTITION BY event_type) AS anchor
+  FROM hourly
+),
+st AS (SELECT *, CAST(floor((CAST(floor(epoch(ts)) AS BIGINT) - anchor) / 3600.0) AS DOUBLE) AS s FROM a)
+SELECT event_type, {_ts('ts')}, {_r('value')}, {_fourier_cols(24, 4, 'daily')}, {_fourier_cols(168, 3, 'weekly')}
+FROM st
+"""
+
+_TWO_PI = 2.0 * math.pi
+SQL["calendar_features"] = f"""
+WITH {HOURLY},
+c AS (SELECT *, CAST(floor((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 3600) AS DOUBLE) AS slot,
+             CAST(isodow(ts) - 1 AS DOUBLE) AS dow FROM hourly)
+SELECT event_type, {_ts('ts')}, {_r('value')},
+  {_r(f'sin({repr(_TWO_PI / 24)} * slot)', 'tod_sin')}, {_r(f'cos({repr(_TWO_PI / 24)} * slot)', 'tod_cos')},
+  {_r(f'sin({repr(_TWO_PI / 7.0)} * dow)', 'dow_sin')}, {_r(f'cos({repr(_TWO_PI / 7.0)} * dow)', 'dow_cos')},
+  {_r('CASE WHEN dow >= 5 THEN 1.0 ELSE 0.0 END', 'is_weekend')}
+FROM c
+"""
+
+SQL["scaled_features"] = f"""
+WITH {HOURLY},
+sc AS (
+  SELECT event_type, avg(value) AS scale_mean,
+         CASE WHEN stddev_pop(value) < 1e-9 THEN 1.0 ELSE stddev_pop(value) END AS scale_std
+  FROM hourly WHERE value IS NOT NULL AND ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00'
+  GROUP BY 1
+)
+SELECT h.event_type, {_ts('h.ts', 'ts')}, {_r('h.value', 'value')}, {_r('scale_mean')}, {_r('scale_std')},
+       {_r('(h.value - scale_mean) / scale_std', 'z')}
+FROM hourly h JOIN sc ON sc.event_type = h.event_type
+"""
+
+_LAGS = (1, 2, 3, 24, 168)
+SQL["lag_windows"] = f"""
+WITH {HOURLY},
+l AS (SELECT *, {', '.join(f'lag(value, {k}) OVER w AS lag_{k}' for k in _LAGS)}
+      FROM hourly WINDOW w AS (PARTITION BY event_type ORDER BY ts))
+SELECT event_type, {_ts('ts')}, {_r('value')}, {', '.join(_r(f'lag_{k}') for k in _LAGS)}
+FROM l WHERE {' AND '.join(f'lag_{k} IS NOT NULL' for k in _LAGS)}
+"""
+
+# ---------------------------------------------------------------- evaluation
+_MODELS = ("naive_last", "naive_daily", "naive_weekly")
+SQL["residual_table"] = f"""
+WITH {BASE_FORECASTS},
+w AS (
+  SELECT event_type, ts, first(y_true) AS y_true,
+    {', '.join(f"first(y_pred) FILTER (WHERE model = '{m}') AS {m}" for m in _MODELS)}
+  FROM test GROUP BY 1, 2
+)
+SELECT event_type, {_ts('ts')}, {_r('y_true')},
+  {', '.join(_r(m, f'pred_{m}') for m in _MODELS)},
+  {', '.join(_r(f'y_true - {m}', f'resid_{m}') for m in _MODELS)}
+FROM w
+"""
+
+SQL["rolling_mae"] = f"""
+WITH {BASE_FORECASTS}
+SELECT model, event_type, {_ts('ts')}, {_r('y_true')}, {_r('y_pred')},
+  {_r('CASE WHEN count(abs(y_true - y_pred)) OVER w = 6 THEN avg(abs(y_true - y_pred)) OVER w END', 'rolling_mae')}
+FROM test WINDOW w AS (PARTITION BY event_type, model ORDER BY ts ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+"""
+
+FAILURES = f"""
+{BASE_FORECASTS},
+jr AS (
+  SELECT model, event_type, ts,
+    CASE WHEN count(ae) OVER w6 = 6 THEN avg(ae) OVER w6 END AS r,
+    avg(ae) OVER (PARTITION BY event_type, model) AS a
+  FROM (SELECT *, abs(y_true - y_pred) AS ae FROM test)
+  WINDOW w6 AS (PARTITION BY event_type, model ORDER BY ts ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+),
+jf AS (SELECT *, coalesce(r > a * 2.0, false) AS flag, r / greatest(a, 1e-9) AS ratio FROM jr),
+jp AS (SELECT event_type, ts, bool_and(flag) AS joint, count(model) AS n, sum(ratio) AS severity FROM jf GROUP BY 1, 2),
+best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY severity DESC, ts) AS k
+    FROM jp WHERE joint AND n = 3) WHERE k = 1
+)"""
+
+SQL["joint_failure"] = f"""
+WITH {FAILURES}
+SELECT b.event_type, {_ts('b.ts - INTERVAL 3 HOUR', 'start')}, {_ts('b.ts + INTERVAL 3 HOUR', '"end"')},
+       {_ts('b.ts', 'peak')}, {_r('b.severity', 'severity')}, jf.model, {_r('jf.ratio', 'ratio')}
+FROM best b JOIN jf ON jf.event_type = b.event_type AND jf.ts = b.ts
+"""
+
+SQL["failure_context"] = f"""
+WITH {FAILURES}
+SELECT t.model, t.event_type, {_ts('t.ts', 'ts')}, {_r('t.y_true', 'y_true')}, {_r('t.y_pred', 'y_pred')},
+       t.ts BETWEEN b.ts - INTERVAL 3 HOUR AND b.ts + INTERVAL 3 HOUR AS in_window
+FROM test t JOIN best b ON b.event_type = t.event_type
+ AND t.ts BETWEEN b.ts - INTERVAL 3 HOUR - INTERVAL 2 HOUR AND b.ts + INTERVAL 3 HOUR + INTERVAL 2 HOUR
+"""

@@ -24,7 +24,9 @@ def present(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), decimals)
+            # scaled rounding acts on the binary value, so engines agree on ties
+            scale = float(10**decimals)
+            c = F.round(c.cast("double") * F.lit(scale), 0) / F.lit(scale)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

@@ -52,3 +52,261 @@ QUERIES: dict[str, Query] = {
     "walkforward_metrics": q_walkforward_metrics,
     "leaderboard": q_leaderboard,
 }
+
+
+# ---------------------------------------------------------------- ingest
+from datetime import datetime  # noqa: E402
+
+from ..functions import time as tf  # noqa: E402
+from ..operators import anomalies as an  # noqa: E402
+from ..operators import correlation as cor  # noqa: E402
+from ..operators import decomposition as dec  # noqa: E402
+from ..operators import distribution as dist  # noqa: E402
+from ..operators import features as feat  # noqa: E402
+from ..operators import series as ser  # noqa: E402
+from ..operators import windows as win  # noqa: E402
+from ..sources import lines as ln  # noqa: E402
+
+TEN = b.EVENTS_10MIN
+C = b.EVENTS_CELLS
+O = b.ORDERS_DAILY
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _session_tz(spark) -> str:
+    return spark.conf.get("spark.sql.session.timeZone")
+
+
+def _canonical(spark, d):
+    parsed = ln.parse_lines(b.raw_lines(spark, d), on_bad_row="fail")
+    return ln.canonicalise(parsed, tz=TEN.tz, session_tz=_session_tz(spark))
+
+
+def q_canonical_from_lines(spark, d):
+    c = _canonical(spark, d)
+    wall = F.convert_timezone(F.lit(_session_tz(spark)), F.lit(TEN.tz), F.col("ts").cast("timestamp_ntz"))
+    return present(c.select("square_id", wall.alias("ts"), "internet", "day", "year_month"))
+
+
+def q_ingest_profile(spark, d):
+    return present(ln.ingest_profile(b.raw_lines(spark, d)))
+
+
+def q_daily_manifest(spark, d):
+    c = _canonical(spark, d)
+    return present(
+        c.groupBy("day", "year_month")
+        .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("square_id").alias("cells"))
+        .select("day", "year_month", tf.partition_path(F.col("day")).alias("path"), "rows", "cells")
+    )
+
+
+def q_missing_hours(spark, d):
+    return present(ser.missing_bins(b.hourly(spark, d), S))
+
+
+def q_missing_days(spark, d):
+    return present(ser.missing_bins(b.orders_daily(spark, d), O))
+
+
+# ---------------------------------------------------------------- series algebra
+WEEK2 = (datetime(2024, 1, 8, 0, 0), datetime(2024, 1, 14, 23, 0))
+
+
+def q_area_series(spark, d):
+    return present(ser.area_series(b.hourly(spark, d), S, "click", *WEEK2))
+
+
+def q_areas_wide(spark, d):
+    return present(ser.areas_wide(b.hourly(spark, d), S, EVENT_TYPES, *WEEK2))
+
+
+def _totals(spark, d):
+    return ser.area_totals(b.cells_hourly(spark, d), C)
+
+
+def q_area_totals(spark, d):
+    return present(_totals(spark, d))
+
+
+def q_top_areas(spark, d):
+    return present(ser.top_k(_totals(spark, d), C, 5))
+
+
+def q_resolve_areas(spark, d):
+    return present(ser.resolve_areas(spark, "top, 7 ,12,,TOP", _totals(spark, d), C))
+
+
+def q_split_counts(spark, d):
+    h = ser.with_split(b.hourly(spark, d), S, b.SPLIT)
+    return present(h.groupBy(S.entity, "split").agg(F.count(F.lit(1)).alias("n"), F.sum(S.value).alias("total")))
+
+
+def _filled(spark, d):
+    reg = ser.regularise(b.hourly(spark, d), S).withColumn("was_missing", F.col(S.value).isNull())
+    return ser.interpolate(reg, S)
+
+
+def q_interpolate(spark, d):
+    return present(_filled(spark, d))
+
+
+def q_rolling_stats(spark, d):
+    return present(win.rolling_stats(b.hourly(spark, d), S, S.daily))
+
+
+def q_preview(spark, d):
+    h = ser.area_series(b.hourly(spark, d), S, "view", datetime(2024, 1, 1), None, sort=False)
+    first14 = h.where(F.col(S.ts) <= F.lit(datetime(2024, 1, 14, 23, 0)).cast("timestamp_ntz"))
+    return present(win.preview(first14, S, 6, _session_tz(spark)))
+
+
+def q_seasonal_diff(spark, d):
+    h = b.hourly(spark, d)
+    parts = [
+        win.difference(h, S, lag).select(S.entity, S.ts, F.lit(lag).alias("lag"), "diff")
+        for lag in (1, S.daily)
+    ]
+    return present(parts[0].unionByName(parts[1]))
+
+
+# ---------------------------------------------------------------- city / spatial
+GRID_SIDE = 40
+
+
+def q_city_stats(spark, d):
+    return present(dist.city_stats(_totals(spark, d)))
+
+
+def q_city_histogram(spark, d):
+    return present(dist.histogram(_totals(spark, d), 80))
+
+
+def q_city_kde(spark, d):
+    return present(dist.kde(_totals(spark, d), 400))
+
+
+def q_spatial_grid(spark, d):
+    return present(dist.spatial_grid(_totals(spark, d), spark, C.entity, GRID_SIDE))
+
+
+def q_spatial_stats(spark, d):
+    t = _totals(spark, d)
+    g = dist.spatial_grid(t, spark, C.entity, GRID_SIDE)
+    return present(dist.spatial_stats(g, t, C.entity))
+
+
+# ---------------------------------------------------------------- EDA in SQL
+def q_acf_lags(spark, d):
+    return present(cor.acf_at_lags(b.hourly(spark, d), S, [1, S.daily, S.weekly]))
+
+
+def q_kpss_fixed_lag(spark, d):
+    return present(cor.kpss_fixed_lag(b.hourly(spark, d), S, 8))
+
+
+def _decomp(spark, d, period):
+    return dec.classical_decompose(_filled(spark, d).select(S.entity, S.ts, S.value), S, period, fill=False)
+
+
+def q_classical_decomposition(spark, d):
+    return present(_decomp(spark, d, S.daily))
+
+
+def q_strengths(spark, d):
+    both = _decomp(spark, d, S.daily).unionByName(_decomp(spark, d, S.weekly))
+    return present(dec.strengths(both, S))
+
+
+def q_residual_outliers(spark, d):
+    return present(an.residual_outliers(_decomp(spark, d, S.daily), S, 4.0))
+
+
+def q_drop_runs(spark, d):
+    h = _filled(spark, d).select(S.entity, S.ts, S.value)
+    return present(an.drop_runs(h, S, S.weekly, 0.6, 6))
+
+
+# ---------------------------------------------------------------- features
+def q_fourier_features(spark, d):
+    f = feat.fourier_features(b.hourly(spark, d), S, 4, 3, b.SPLIT)
+    return present(f.drop("anchor"))
+
+
+def q_calendar_features(spark, d):
+    return present(feat.calendar_features(b.hourly(spark, d), S, _session_tz(spark)))
+
+
+def q_scaled_features(spark, d):
+    h = b.hourly(spark, d)
+    return present(feat.scaled(h, S, feat.fit_scaler(h, S, b.SPLIT)))
+
+
+def q_lag_windows(spark, d):
+    return present(feat.lag_features(b.hourly(spark, d), S, [1, 2, 3, S.daily, S.weekly]))
+
+
+# ---------------------------------------------------------------- evaluation
+MODELS = list(BASELINES)
+
+
+def q_residual_table(spark, d):
+    return present(ev.residual_table(_test_forecasts(spark, d), S, MODELS))
+
+
+def q_rolling_mae(spark, d):
+    return present(ev.rolling_mae(_test_forecasts(spark, d), S, 6))
+
+
+def _failures(spark, d):
+    return ev.joint_failure(_test_forecasts(spark, d), S, 6, 2.0, n_models=len(MODELS))
+
+
+def q_joint_failure(spark, d):
+    f = _failures(spark, d)
+    flat = f.select(S.entity, "start", "end", "peak", "severity", F.explode("ratios").alias("model", "ratio"))
+    return present(flat)
+
+
+def q_failure_context(spark, d):
+    return present(ev.failure_context(_test_forecasts(spark, d), _failures(spark, d), S, 7200))
+
+
+QUERIES.update(
+    {
+        "canonical_from_lines": q_canonical_from_lines,
+        "ingest_profile": q_ingest_profile,
+        "daily_manifest": q_daily_manifest,
+        "missing_hours": q_missing_hours,
+        "missing_days": q_missing_days,
+        "area_series": q_area_series,
+        "areas_wide": q_areas_wide,
+        "area_totals": q_area_totals,
+        "top_areas": q_top_areas,
+        "resolve_areas": q_resolve_areas,
+        "split_counts": q_split_counts,
+        "interpolate": q_interpolate,
+        "rolling_stats": q_rolling_stats,
+        "preview": q_preview,
+        "seasonal_diff": q_seasonal_diff,
+        "city_stats": q_city_stats,
+        "city_histogram": q_city_histogram,
+        "city_kde": q_city_kde,
+        "spatial_grid": q_spatial_grid,
+        "spatial_stats": q_spatial_stats,
+        "acf_lags": q_acf_lags,
+        "kpss_fixed_lag": q_kpss_fixed_lag,
+        "classical_decomposition": q_classical_decomposition,
+        "strengths": q_strengths,
+        "residual_outliers": q_residual_outliers,
+        "drop_runs": q_drop_runs,
+        "fourier_features": q_fourier_features,
+        "calendar_features": q_calendar_features,
+        "scaled_features": q_scaled_features,
+        "lag_windows": q_lag_windows,
+        "residual_table": q_residual_table,
+        "rolling_mae": q_rolling_mae,
+        "joint_failure": q_joint_failure,
+        "failure_context": q_failure_context,
+    }
+)
