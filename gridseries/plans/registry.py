@@ -310,3 +310,77 @@ QUERIES.update(
         "failure_context": q_failure_context,
     }
 )
+
+
+# ---------------------------------------------------------------- grouped numpy kernels (no SQL twin)
+from ..config import DhrConfig  # noqa: E402
+from ..operators import grouped as gm  # noqa: E402
+
+
+def q_stationarity_tests(spark, d):
+    return present(gm.stationarity_tests(b.hourly(spark, d), S))
+
+
+def q_adf_after_diff(spark, d):
+    h = b.hourly(spark, d)
+    return present(gm.adf_after_difference(h, S, 1).unionByName(gm.adf_after_difference(h, S, S.daily)))
+
+
+def q_acf_full(spark, d):
+    return present(gm.acf_table(b.hourly(spark, d), S, 2 * S.weekly))
+
+
+def q_pacf(spark, d):
+    return present(gm.pacf_table(b.hourly(spark, d), S, 60))
+
+
+def _stl(spark, d, period):
+    return gm.stl_decompose(_filled(spark, d).select(S.entity, S.ts, S.value), S, period, fill=False)
+
+
+def q_stl(spark, d):
+    return present(_stl(spark, d, S.daily))
+
+
+def q_stl_strengths(spark, d):
+    both = _stl(spark, d, S.daily).unionByName(_stl(spark, d, S.weekly))
+    return present(dec.strengths(both, S))
+
+
+def q_stl_outliers(spark, d):
+    return present(an.residual_outliers(_stl(spark, d, S.daily), S, 4.0))
+
+
+DHR = DhrConfig(p=2, q=2, daily_terms=4, weekly_terms=3, use_log1p=True, intercept=True)
+
+
+def q_dhr_params(spark, d):
+    p = gm.dhr_fit(b.hourly(spark, d), S, b.SPLIT, DHR)
+    return present(p.select(S.entity, "model", "anchor", "use_log", "n_train", F.size("beta").alias("n_beta"), "sigma2"))
+
+
+def q_dhr_forecast(spark, d):
+    f = gm.dhr_forecasts(b.hourly(spark, d), S, b.SPLIT, DHR)
+    return present(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end))
+
+
+def q_dhr_metrics(spark, d):
+    h = b.hourly(spark, d)
+    f = gm.dhr_forecasts(h, S, b.SPLIT, DHR).unionByName(fc.baseline_forecasts(h, S, BASELINES))
+    return present(ev.metrics_table(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end), S))
+
+
+QUERIES.update(
+    {
+        "stationarity_tests": q_stationarity_tests,
+        "adf_after_diff": q_adf_after_diff,
+        "acf_full": q_acf_full,
+        "pacf": q_pacf,
+        "stl": q_stl,
+        "stl_strengths": q_stl_strengths,
+        "stl_outliers": q_stl_outliers,
+        "dhr_params": q_dhr_params,
+        "dhr_forecast": q_dhr_forecast,
+        "dhr_metrics": q_dhr_metrics,
+    }
+)
