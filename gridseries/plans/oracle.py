@@ -558,3 +558,57 @@ SELECT t.model, t.event_type, {_ts('t.ts', 'ts')}, {_r('t.y_true', 'y_true')}, {
 FROM test t JOIN best b ON b.event_type = t.event_type
  AND t.ts BETWEEN b.ts - INTERVAL 3 HOUR - INTERVAL 2 HOUR AND b.ts + INTERVAL 3 HOUR + INTERVAL 2 HOUR
 """
+
+# ---------------------------------------------------------------- tuning, run log
+VAL_WINDOW = "TIMESTAMP '2024-01-21 00:00:00' AND TIMESTAMP '2024-01-23 23:00:00'"
+
+SQL["tuning_naive"] = f"""
+WITH {HOURLY},
+lastv AS (
+  SELECT h.event_type, h.ts, h.value AS y_true,
+         last_value(h.value) OVER (PARTITION BY h.event_type ORDER BY h.ts
+             RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS p_last
+  FROM hourly h
+),
+fc AS (
+  SELECT l.event_type, l.ts, l.y_true, l.p_last,
+         CASE WHEN a.ts IS NOT NULL THEN a.value ELSE l.p_last END AS p_day,
+         CASE WHEN b.ts IS NOT NULL THEN b.value ELSE l.p_last END AS p_two_days,
+         CASE WHEN c.ts IS NOT NULL THEN c.value ELSE l.p_last END AS p_week
+  FROM lastv l
+  LEFT JOIN hourly a ON a.event_type = l.event_type AND a.ts = l.ts - INTERVAL 24 HOUR
+  LEFT JOIN hourly b ON b.event_type = l.event_type AND b.ts = l.ts - INTERVAL 48 HOUR
+  LEFT JOIN hourly c ON c.event_type = l.event_type AND c.ts = l.ts - INTERVAL 168 HOUR
+),
+long AS (
+  SELECT 'last' AS label, 'last' AS period, event_type, ts, y_true, p_last AS y_pred FROM fc
+  UNION ALL SELECT 'day', '24', event_type, ts, y_true, p_day FROM fc
+  UNION ALL SELECT 'two_days', '48', event_type, ts, y_true, p_two_days FROM fc
+  UNION ALL SELECT 'week', '168', event_type, ts, y_true, p_week FROM fc
+),
+m AS (
+  SELECT event_type, label, period,
+    round_even(avg(abs(y_true - y_pred)), 4) AS val_MAE,
+    round_even(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 4) AS val_RMSE,
+    round_even(avg(abs(y_true - y_pred) / greatest(abs(y_true), 0.001)) * 100, 4) AS val_MAPE_percent,
+    round_even(avg(CASE WHEN (abs(y_true) + abs(y_pred)) / 2 > 0
+           THEN abs(y_true - y_pred) / ((abs(y_true) + abs(y_pred)) / 2) END) * 100, 4) AS val_sMAPE_percent
+  FROM long WHERE ts BETWEEN {VAL_WINDOW} GROUP BY 1, 2, 3
+)
+SELECT 'naive' AS model, event_type, label, 0.0 AS train_seconds,
+       {_r('val_MAE')}, {_r('val_RMSE')}, {_r('val_MAPE_percent')}, {_r('val_sMAPE_percent')},
+       '' AS notes, period AS "param.period"
+FROM m
+"""
+
+SQL["run_log_upsert"] = f"""
+WITH {BASE_FORECASTS},
+val AS (SELECT model, event_type, count(*) AS steps, avg(abs(y_true - y_pred)) AS val_MAE
+        FROM long WHERE ts BETWEEN {VAL_WINDOW} GROUP BY 1, 2),
+tst AS (SELECT model, event_type, count(*) AS steps, avg(abs(y_true - y_pred)) AS test_MAE
+        FROM long WHERE ts BETWEEN {TEST_WINDOW} GROUP BY 1, 2)
+SELECT coalesce(t.model, v.model) AS model, coalesce(t.event_type, v.event_type) AS event_type,
+       CASE WHEN t.model IS NOT NULL THEN t.steps ELSE v.steps END AS steps,
+       {_r('v.val_MAE', 'val_MAE')}, {_r('t.test_MAE', 'test_MAE')}
+FROM val v FULL OUTER JOIN tst t ON t.model = v.model AND t.event_type = v.event_type
+"""

@@ -384,3 +384,63 @@ QUERIES.update(
         "dhr_metrics": q_dhr_metrics,
     }
 )
+
+
+# ---------------------------------------------------------------- learned models, tuning, run log
+from ..operators import learned  # noqa: E402
+from ..operators import reporting as rep  # noqa: E402
+from ..operators import tuning as tun  # noqa: E402
+
+
+def q_learned_linear(spark, d):
+    f = learned.linear_forecasts(b.hourly(spark, d), S, b.SPLIT, _session_tz(spark))
+    return present(ev.metrics_table(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end), S))
+
+
+def q_learned_tree(spark, d):
+    f = learned.tree_forecasts(b.hourly(spark, d), S, b.SPLIT, _session_tz(spark))
+    return present(ev.metrics_table(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end), S))
+
+
+NAIVE_TRIALS = {"last": None, "day": S.daily, "two_days": 2 * S.daily, "week": S.weekly}
+
+
+def q_tuning_naive(spark, d):
+    t = tun.naive_trials(b.hourly(spark, d), S, b.SPLIT, NAIVE_TRIALS)
+    return present(tun.as_rows(t, ["period"]))
+
+
+DHR_TRIALS = [
+    ("arma11_3_2", DhrConfig(p=1, q=1, daily_terms=3, weekly_terms=2)),
+    ("arma22_3_2", DhrConfig(p=2, q=2, daily_terms=3, weekly_terms=2)),
+    ("arma22_4_3", DhrConfig(p=2, q=2, daily_terms=4, weekly_terms=3)),
+]
+
+
+def q_tuning_dhr(spark, d):
+    t = tun.dhr_trials(b.hourly(spark, d), S, b.SPLIT, DHR_TRIALS)
+    return present(tun.as_rows(t, ["p", "q", "daily_terms", "weekly_terms"]).drop("train_seconds"))
+
+
+def q_run_log_upsert(spark, d):
+    f = fc.baseline_forecasts(b.hourly(spark, d), S, BASELINES)
+    val = ev.walk_forward(f, S, b.SPLIT.val_start, b.SPLIT.val_end)
+    test = ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end)
+    old = val.groupBy("model", S.entity).agg(
+        F.count(F.lit(1)).alias("steps"), F.avg(F.abs(F.col("y_true") - F.col("y_pred"))).alias("val_MAE")
+    )
+    new = test.groupBy("model", S.entity).agg(
+        F.count(F.lit(1)).alias("steps"), F.avg(F.abs(F.col("y_true") - F.col("y_pred"))).alias("test_MAE")
+    )
+    return present(rep.upsert(old, new, ["model", S.entity], merge_columns=True))
+
+
+QUERIES.update(
+    {
+        "learned_linear": q_learned_linear,
+        "learned_tree": q_learned_tree,
+        "tuning_naive": q_tuning_naive,
+        "tuning_dhr": q_tuning_dhr,
+        "run_log_upsert": q_run_log_upsert,
+    }
+)
