@@ -612,3 +612,22 @@ SELECT coalesce(t.model, v.model) AS model, coalesce(t.event_type, v.event_type)
        {_r('v.val_MAE', 'val_MAE')}, {_r('t.test_MAE', 'test_MAE')}
 FROM val v FULL OUTER JOIN tst t ON t.model = v.model AND t.event_type = v.event_type
 """
+
+# ---------------------------------------------------------------- streaming
+SQL["stream_bins"] = f"""
+WITH {HOURLY}
+SELECT event_type, {_ts('ts')}, {_r('value')} FROM hourly
+"""
+
+SQL["stream_online_error"] = f"""
+WITH {HOURLY},
+l AS (
+  SELECT h.event_type, h.ts, h.value AS y_true,
+         last_value(h.value) OVER (PARTITION BY h.event_type ORDER BY h.ts
+             RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS pred_last
+  FROM hourly h
+)
+SELECT l.event_type, {_ts('l.ts', 'ts')}, {_r('l.y_true', 'y_true')}, {_r('l.pred_last', 'pred_last')},
+       {_r('CASE WHEN d.ts IS NOT NULL THEN d.value ELSE l.pred_last END', 'pred_seasonal')}
+FROM l LEFT JOIN hourly d ON d.event_type = l.event_type AND d.ts = l.ts - INTERVAL 24 HOUR
+"""

@@ -444,3 +444,36 @@ QUERIES.update(
         "run_log_upsert": q_run_log_upsert,
     }
 )
+
+
+# ---------------------------------------------------------------- streaming
+from ..streaming import ingest as stm  # noqa: E402
+
+
+def q_stream_bins(spark, d):
+    ev_schema = b.events(spark, d).schema
+    # a file stream source watches a folder; the glob keeps it to the events table
+    stream = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    agg = stm.stream_bins(stream, S, "event_type", "ts", "value", watermark="2 hours")
+    return present(stm.drain_upserts(agg, [S.entity, S.ts], stm.scratch(spark, "stream-bins")))
+
+
+def q_stream_online_error(spark, d):
+    folder = stm.scratch(spark, "stream-online")
+    b.hourly(spark, d).write.mode("overwrite").parquet(f"{folder}/series")
+    schema = spark.read.parquet(f"{folder}/series").schema
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/series")
+    online = stm.online_forecasts(stream, S, S.daily)
+    q = (
+        online.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return present(spark.read.schema(online.schema).parquet(f"{folder}/out"))
+
+
+QUERIES.update({"stream_bins": q_stream_bins, "stream_online_error": q_stream_online_error})
