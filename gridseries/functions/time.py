@@ -89,7 +89,7 @@ def date_from_filename(path: Column) -> Column:
     m = F.regexp_extract(path, FILENAME_REGEX, 2)
     d = F.regexp_extract(path, FILENAME_REGEX, 3)
     txt = F.when(y != "", F.concat_ws("-", y, m, d))
-    return F.try_to_date(txt, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(txt, "yyyy-MM-dd")
 
 
 def year_month_key(day: Column) -> Column:
