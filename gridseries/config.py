@@ -77,7 +77,7 @@ class IngestConfig:
     # Fixed value: expected calendar of the published archive.
     expected_first_date: str = "2013-11-01"
     expected_last_date: str = "2013-12-30"
-    on_bad_row: str = "skip"  # skip | quarantine | fail
+    on_bad_row: str = "quarantine"  # skip | quarantine | fail (the default config enables quarantine)
     compression: str = "snappy"
 
 

@@ -50,7 +50,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily-file lines derived from events (M1 layout, 8 TAB fields).
 
     square_id = user_id, time_interval = epoch ms of the 10-minute bin,
-    country_code = numeric `k` of props, three activity fields empty,
+    country_code = length of the event type, three activity fields empty,
     call_out = event_id and internet = value, left empty for 'error' events
     (the null token). The file name carries the event's calendar day.
     """
@@ -58,7 +58,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     bin_ms = (
         F.floor(F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 600) * 600000
     ).cast("bigint")
-    k = F.get_json_object("props", "$.k")
+    k = F.length("event_type").cast("string")
     internet = F.when(F.col("event_type") != "error", F.col("value").cast("string"))
     fields = [
         F.col("user_id").cast("string"),
@@ -77,3 +77,24 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RAW_LINES_SCHEMA = T.StructType([T.StructField("line", T.StringType()), T.StructField("file_name", T.StringType())])
+
+_LINE_FILES: dict[tuple[int, str], str] = {}
+
+
+def raw_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines as text files, scanned back the way ingest reads them.
+
+    Spark writes the derived lines once per session and table folder into
+    the shared checkpoint folder, one sub-folder per daily file name
+    (``file_name=sms-call-internet-mi-YYYY-MM-DD.txt``); the scan returns
+    (line, file_name) with the day file name from the folder key.
+    """
+    from ..streaming.ingest import scratch
+
+    key = (id(spark), sf_dir)
+    if key not in _LINE_FILES:
+        folder = scratch(spark, "raw-lines")
+        raw_lines(spark, sf_dir).write.partitionBy("file_name").text(folder)
+        _LINE_FILES[key] = folder
+    df = spark.read.text(_LINE_FILES[key])
+    return df.select(F.col("value").alias("line"), "file_name")

@@ -78,7 +78,7 @@ def _session_tz(spark) -> str:
 
 
 def _canonical(spark, d):
-    parsed = ln.parse_lines(b.raw_lines(spark, d), on_bad_row="fail")
+    parsed = ln.parse_lines(b.raw_line_files(spark, d), on_bad_row="quarantine")
     return ln.canonicalise(parsed, tz=TEN.tz, session_tz=_session_tz(spark))
 
 
@@ -89,7 +89,7 @@ def q_canonical_from_lines(spark, d):
 
 
 def q_ingest_profile(spark, d):
-    return present(ln.ingest_profile(b.raw_lines(spark, d)))
+    return present(ln.ingest_profile(b.raw_line_files(spark, d)))
 
 
 def q_daily_manifest(spark, d):
