@@ -166,7 +166,7 @@ def _dhr_design(pdf: pd.DataFrame, spec: SeriesSpec, anchor: int, cfg: DhrConfig
 
 
 PARAMS_SCHEMA_TAIL = (
-    "model string, anchor bigint, use_log boolean, intercept boolean, p int, q int, "
+    "model string, anchor bigint, use_log boolean, intercept boolean, p int, q int, daily_terms int, weekly_terms int, "
     "beta array<double>, phi array<double>, theta array<double>, sigma2 double, n_train bigint"
 )
 
@@ -201,6 +201,8 @@ def dhr_fit(series: DataFrame, spec: SeriesSpec, split: Split, cfg: DhrConfig =
                 "intercept": [cfg.intercept],
                 "p": [cfg.p],
                 "q": [cfg.q],
+                "daily_terms": [cfg.daily_terms],
+                "weekly_terms": [cfg.weekly_terms],
                 "beta": [par["beta"].tolist()],
                 "phi": [par["phi"].tolist()],
                 "theta": [par["theta"].tolist()],
@@ -241,7 +243,9 @@ def dhr_forecasts(
         y = _values(pdf, spec)
         use_log = bool(par["use_log"])
         yt = np.log1p(np.where(y >= 0, y, np.nan)) if use_log else y
-        x = _dhr_design(pdf, spec, int(par["anchor"]), DhrConfig(daily_terms=cfg.daily_terms, weekly_terms=cfg.weekly_terms))
+        # the parameter row carries the design it was fitted with
+        terms = DhrConfig(daily_terms=int(par["daily_terms"]), weekly_terms=int(par["weekly_terms"]))
+        x = _dhr_design(pdf, spec, int(par["anchor"]), terms)
         pred = arma.one_step_forecasts(
             yt,
             x,
