@@ -26,14 +26,19 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
     s = series.select(spec.entity, spec.ts, spec.value).cache()
     filled = ser.interpolate(s, spec)
     decompose = gm.stl_decompose if method == "stl" else dec.classical_decompose
-    daily = decompose(filled, spec, spec.daily, fill=False)
+    daily = decompose(filled, spec, spec.daily, fill=False).cache()
     weekly = decompose(filled, spec, spec.weekly, fill=False)
     stren = dec.strengths(daily.unionByName(weekly), spec)
-    st_d = stren.where(F.col("period") == spec.daily).select(
-        spec.entity, F.col("seasonal_strength").alias("seasonal_strength_daily"), F.col("trend_strength").alias("trend_strength_daily")
+    # one pivot, so each decomposition is evaluated once
+    st = stren.groupBy(spec.entity).pivot("period", [spec.daily, spec.weekly]).agg(
+        F.first("seasonal_strength").alias("s"), F.first("trend_strength").alias("t")
     )
-    st_w = stren.where(F.col("period") == spec.weekly).select(
-        spec.entity, F.col("seasonal_strength").alias("seasonal_strength_weekly"), F.col("trend_strength").alias("trend_strength_weekly")
+    st = st.select(
+        spec.entity,
+        F.col(f"{spec.daily}_s").alias("seasonal_strength_daily"),
+        F.col(f"{spec.daily}_t").alias("trend_strength_daily"),
+        F.col(f"{spec.weekly}_s").alias("seasonal_strength_weekly"),
+        F.col(f"{spec.weekly}_t").alias("trend_strength_weekly"),
     )
     tests = gm.stationarity_tests(s, spec)
     d1 = gm.adf_after_difference(s, spec, 1).select(spec.entity, F.col("adf_stat_diff").alias("adf_stat_diff1"), F.col("adf_p_diff").alias("adf_p_diff1"))
@@ -47,7 +52,7 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
         F.count(F.lit(1)).alias("drop_runs_count")
     )
     out = tests
-    for part in (d1, dS, st_d, st_w, acf):
+    for part in (d1, dS, st, acf):
         out = out.join(part, spec.entity, "left")
     for part in (outl, drops):
         out = out.join(part, spec.entity, "left")

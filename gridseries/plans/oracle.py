@@ -631,3 +631,32 @@ SELECT l.event_type, {_ts('l.ts', 'ts')}, {_r('l.y_true', 'y_true')}, {_r('l.pre
        {_r('CASE WHEN d.ts IS NOT NULL THEN d.value ELSE l.pred_last END', 'pred_seasonal')}
 FROM l LEFT JOIN hourly d ON d.event_type = l.event_type AND d.ts = l.ts - INTERVAL 24 HOUR
 """
+
+# ---------------------------------------------------------------- whole-grid forms
+SQL["cells_walkforward"] = f"""
+WITH {CELLS},
+lastv AS (
+  SELECT c.user_id, c.ts, c.value AS y_true,
+         last_value(c.value) OVER (PARTITION BY c.user_id ORDER BY c.ts
+             RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS naive_last
+  FROM cells c
+),
+fc AS (
+  SELECT l.user_id, l.ts, l.y_true, l.naive_last,
+         CASE WHEN d.ts IS NOT NULL THEN d.value ELSE l.naive_last END AS naive_daily
+  FROM lastv l LEFT JOIN cells d ON d.user_id = l.user_id AND d.ts = l.ts - INTERVAL 24 HOUR
+),
+long AS (
+  SELECT 'naive_last' AS model, user_id, ts, y_true, naive_last AS y_pred FROM fc
+  UNION ALL SELECT 'naive_daily', user_id, ts, y_true, naive_daily FROM fc
+),
+m AS (SELECT user_id, model, {METRICS} FROM long WHERE ts BETWEEN {TEST_WINDOW} GROUP BY 1, 2)
+SELECT user_id, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('sMAPE_percent')} FROM m
+"""
+
+SQL["store_partitions"] = f"""
+WITH {CANON}
+SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month, CAST(1 AS BIGINT) AS files,
+       count(*) AS rows, true AS has_bytes, true AS has_sha256
+FROM canon GROUP BY 1, 2
+"""

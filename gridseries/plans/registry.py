@@ -477,3 +477,42 @@ def q_stream_online_error(spark, d):
 
 
 QUERIES.update({"stream_bins": q_stream_bins, "stream_online_error": q_stream_online_error})
+
+
+# ---------------------------------------------------------------- whole-grid forms
+from ..plans import eda as eda_plan  # noqa: E402
+from ..sources import store as st  # noqa: E402
+
+
+def q_eda_summary(spark, d):
+    return present(eda_plan.per_entity_summary(b.hourly(spark, d), S, method="stl"))
+
+
+def q_cells_walkforward(spark, d):
+    """Baselines for every user's hourly series (many sparse series, gaps kept)."""
+    f = fc.baseline_forecasts(b.cells_hourly(spark, d), C, {"naive_last": None, "naive_daily": C.daily})
+    return present(ev.metrics_table(ev.walk_forward(f, C, b.SPLIT.test_start, b.SPLIT.test_end), C))
+
+
+def q_store_partitions(spark, d):
+    """Write the canonical store, then profile it from partition metadata."""
+    root = stm.scratch(spark, "store")
+    st.write_store(_canonical(spark, d), root)
+    prof = st.profile_partitions(spark, root)
+    listed = st.list_partitions(spark, root).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "year_month")
+    per_day = prof.groupBy("day").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("rows").alias("rows"),
+        F.min(F.col("bytes") > 0).alias("has_bytes"),
+        F.min(F.length("sha256") == 64).alias("has_sha256"),
+    )
+    return present(listed.join(per_day, "day", "left"))
+
+
+QUERIES.update(
+    {
+        "eda_summary": q_eda_summary,
+        "cells_walkforward": q_cells_walkforward,
+        "store_partitions": q_store_partitions,
+    }
+)
