@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate to every row of ``df``.
+    """Append the columns of a one-row global aggregate to every row of ``df``.
 
-    The right side is a global aggregate (exactly one row, a proven size),
-    broadcast and joined on a constant key: no shuffle of ``df``.
+    The aggregate becomes one uncorrelated scalar subquery (a struct of all
+    its columns, evaluated once per query and reused), so there is no join,
+    broadcast or cross product at all.
     """
-    left = df.withColumn("_one", F.lit(1))
-    right = one_row.withColumn("_one", F.lit(1))
-    return left.join(F.broadcast(right), "_one", "inner").drop("_one")
+    packed = one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("_s")).scalar()
+    # one reference to the subquery; fields are read from the projected struct
+    staged = df.withColumn("_scalars", packed)
+    return staged.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_scalars").getField(c).alias(c) for c in one_row.columns])
