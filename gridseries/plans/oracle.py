@@ -660,3 +660,9 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month, CAS
        count(*) AS rows, true AS has_bytes, true AS has_sha256
 FROM canon GROUP BY 1, 2
 """
+
+SQL["store_series"] = f"""
+WITH {CANON}
+SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}
+FROM canon WHERE ts BETWEEN {WEEK2}
+"""

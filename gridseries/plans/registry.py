@@ -494,10 +494,22 @@ def q_cells_walkforward(spark, d):
     return present(ev.metrics_table(ev.walk_forward(f, C, b.SPLIT.test_start, b.SPLIT.test_end), C))
 
 
+_STORES: dict[tuple[int, str], str] = {}
+
+
+def _store_root(spark, d) -> str:
+    """The canonical store written once per session and table folder (K1)."""
+    key = (id(spark), d)
+    if key not in _STORES:
+        root = stm.scratch(spark, "store")
+        st.write_store(_canonical(spark, d), root)
+        _STORES[key] = root
+    return _STORES[key]
+
+
 def q_store_partitions(spark, d):
-    """Write the canonical store, then profile it from partition metadata."""
-    root = stm.scratch(spark, "store")
-    st.write_store(_canonical(spark, d), root)
+    """Profile the written store from partition metadata."""
+    root = _store_root(spark, d)
     prof = st.profile_partitions(spark, root)
     listed = st.list_partitions(spark, root).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "year_month")
     per_day = prof.groupBy("day").agg(
@@ -509,8 +521,17 @@ def q_store_partitions(spark, d):
     return present(listed.join(per_day, "day", "left"))
 
 
+def q_store_series(spark, d):
+    """Every cell's series read back from the store for one week, partition-pruned."""
+    root = _store_root(spark, d)
+    s = st.load_series(spark, root, start=WEEK2[0], end=WEEK2[1], tz=TEN.tz)
+    wall = F.convert_timezone(F.lit(_session_tz(spark)), F.lit(TEN.tz), F.col("ts").cast("timestamp_ntz"))
+    return present(s.select("square_id", wall.alias("ts"), "internet"))
+
+
 QUERIES.update(
     {
+        "store_series": q_store_series,
         "eda_summary": q_eda_summary,
         "cells_walkforward": q_cells_walkforward,
         "store_partitions": q_store_partitions,

@@ -155,3 +155,33 @@ __all__ = [
     "missing_days",
     "incremental_plan",
 ]
+
+
+def load_series(
+    spark: SparkSession,
+    root: str,
+    ids=None,
+    start=None,
+    end=None,
+    tz: str = "Europe/Rome",
+) -> DataFrame:
+    """Cells' series from the store with cell, time and partition filters.
+
+    Naive bounds are local wall-clock times in ``tz``. Besides the exact
+    ``ts`` bounds, a ``day`` partition predicate is derived from them, so
+    only the folders of the requested days are listed and read; the cell
+    filter reaches the Parquet reader, where the (square_id, ts) sort order
+    lets row-group statistics skip data. Duplicates are kept.
+    """
+    from ..operators.series import ts_literal
+
+    df = read_store(spark, root)
+    cond = F.lit(True)
+    if ids is not None:
+        ids = list(ids) if not isinstance(ids, (int, str)) else [ids]
+        cond = cond & F.col("square_id").isin(ids)
+    if start is not None:
+        cond = cond & (F.col("ts") >= ts_literal(df, "ts", start, tz)) & (F.col("day") >= F.lit(start.date()))
+    if end is not None:
+        cond = cond & (F.col("ts") <= ts_literal(df, "ts", end, tz)) & (F.col("day") <= F.lit(end.date()))
+    return df.where(cond).select("square_id", "ts", "internet", "day")

@@ -78,3 +78,16 @@ def test_streaming_incremental_ingest(spark, tmp_path):
     data = st.read_store(spark, root)
     assert data.count() == 6
     assert data.select("day").distinct().count() == 3
+
+
+def test_load_series_prunes_partitions(spark, tmp_path):
+    from datetime import datetime
+
+    raw = str(tmp_path / "raw")
+    root = str(tmp_path / "store")
+    _write_raw(raw, DAYS)
+    run_ingest(spark, raw, root)
+    df = st.load_series(spark, root, ids=[1], start=datetime(2013, 11, 2), end=datetime(2013, 11, 2, 23, 50))
+    assert [(r.square_id, r.internet) for r in df.collect()] == [(1, 4.0)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(square_id)" in plan
