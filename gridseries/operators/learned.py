@@ -11,6 +11,7 @@ fall back to the last value.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -51,7 +52,9 @@ def _frame(series: DataFrame, spec: SeriesSpec, split: Split, lags: list[int], s
     full = F.lit(True)
     for k in lags:
         full = full & F.col(f"lag_{k}").isNotNull()
-    return z.withColumn("_full", full).withColumn("split", split_label(z, spec, split))
+    out = z.withColumn("_full", full).withColumn("split", split_label(z, spec, split))
+    # read by every optimiser pass and again for scoring: computed once, spills if large
+    return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _predict(model: PipelineModel, frame: DataFrame, spec: SeriesSpec, name: str) -> DataFrame:
