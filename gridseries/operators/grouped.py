@@ -10,6 +10,7 @@ one task whatever the raw volume. Results are joined back by entity.
 from __future__ import annotations
 
 import logging
+import time
 
 import numpy as np
 import pandas as pd
@@ -167,7 +168,7 @@ def _dhr_design(pdf: pd.DataFrame, spec: SeriesSpec, anchor: int, cfg: DhrConfig
 
 PARAMS_SCHEMA_TAIL = (
     "model string, anchor bigint, use_log boolean, intercept boolean, p int, q int, daily_terms int, weekly_terms int, "
-    "beta array<double>, phi array<double>, theta array<double>, sigma2 double, n_train bigint"
+    "beta array<double>, phi array<double>, theta array<double>, sigma2 double, n_train bigint, train_seconds double"
 )
 
 
@@ -191,7 +192,9 @@ def dhr_fit(series: DataFrame, spec: SeriesSpec, split: Split, cfg: DhrConfig =
         yt = np.log1p(y) if use_log else y
         anchor = int(pdf["_t"].iloc[0])
         x = _dhr_design(pdf, spec, anchor, cfg)
+        t0 = time.perf_counter()
         par = arma.fit_regression_arma(yt, x, cfg.p, cfg.q, cfg.intercept, cfg.css_iterations)
+        secs = time.perf_counter() - t0
         return pd.DataFrame(
             {
                 ent: [pdf[ent].iloc[0]],
@@ -208,6 +211,7 @@ def dhr_fit(series: DataFrame, spec: SeriesSpec, split: Split, cfg: DhrConfig =
                 "theta": [par["theta"].tolist()],
                 "sigma2": [par["sigma2"]],
                 "n_train": [len(pdf)],
+                "train_seconds": [secs],
             }
         )
 

@@ -69,3 +69,23 @@ def overview(totals: DataFrame, spark: SparkSession, entity: str, side: int = 10
         "grid": grid,
         "spatial": dist.spatial_stats(grid, totals, entity),
     }
+
+
+def write_summary(summary: DataFrame, path: str, key: str, schema: str | None = None) -> DataFrame:
+    """Merge a new per-entity summary into the one stored at ``path`` and replace it.
+
+    Entities of this run win, entities only in the previous file are kept; a
+    corrupt or absent previous file counts as empty. The merged result is
+    checkpointed (into ``spark.checkpoint.dir``) before the folder it was
+    read from is overwritten, so the write never reads its own output.
+    """
+    from ..operators import reporting as rep
+    from ..session import ensure_checkpoint_dir
+
+    spark = summary.sparkSession
+    ensure_checkpoint_dir(spark)
+    ddl = schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in summary.schema.fields)
+    previous = rep.read_json_summary(spark, path, ddl)
+    merged = rep.merge_summary(previous, summary, key).checkpoint(eager=True)
+    merged.write.mode("overwrite").json(path)
+    return merged

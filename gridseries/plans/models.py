@@ -63,6 +63,11 @@ def evaluate(forecasts: DataFrame, spec: SeriesSpec, out: str, cfg: EvalConfig =
     return {"metrics": metrics, "leaderboard": board, "comparison": lines, "failures": failures}
 
 
+def train_log(params: DataFrame, entity: str) -> DataFrame:
+    """Per-entity training time and steps from a fitted parameter table."""
+    return params.select("model", F.col(entity), "train_seconds", F.col("n_train").alias("train_steps"))
+
+
 def run_log(train_times: DataFrame, predict_times: DataFrame, keys=("model", "square_id")) -> DataFrame:
     """Merge training and forecasting timings per (model, entity)."""
     return rep.upsert(train_times, predict_times, list(keys), merge_columns=True).orderBy(*keys)

@@ -82,3 +82,21 @@ def test_sliding_windows_and_scaler(spark):
     assert len(first.window) == 5
     cal = feat.calendar_features(s, SPEC).where(F.col("ts") == datetime(2024, 1, 6, 6)).first()
     assert cal.is_weekend == 1.0 and abs(cal.tod_sin - 1.0) < 1e-12
+
+
+def test_write_summary_merges_previous(spark, tmp_path):
+    path = str(tmp_path / "eda_summary")
+    first = spark.createDataFrame([(1, 10.0), (2, 20.0)], "square_id bigint, n_obs double")
+    eda.write_summary(first, path, "square_id")
+    second = spark.createDataFrame([(2, 21.0), (3, 30.0)], "square_id bigint, n_obs double")
+    eda.write_summary(second, path, "square_id")
+    back = spark.read.schema("square_id bigint, n_obs double").json(path)
+    assert sorted((r.square_id, r.n_obs) for r in back.collect()) == [(1, 10.0), (2, 21.0), (3, 30.0)]
+
+
+def test_train_log_from_params(spark):
+    from gridseries.operators import grouped as gm
+
+    p = gm.dhr_fit(synthetic(spark, 2, 25), SPEC, SPLIT, DhrConfig(p=1, q=0, daily_terms=1, weekly_terms=1))
+    log = models.train_log(p, "square_id").collect()
+    assert len(log) == 2 and all(r.train_seconds >= 0 and r.train_steps == 24 * 21 for r in log)
