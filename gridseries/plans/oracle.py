@@ -394,8 +394,9 @@ def _decomp_sql(period: int) -> str:
         trend = (f"CASE WHEN count(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {period} "
                  f"THEN avg(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) END")
     else:
+        # the frame is summed left to right, the order Spark's sliding frame adds rows in
         trend = (f"CASE WHEN count(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {period + 1} "
-                 f"THEN (sum(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) "
+                 f"THEN (list_reduce(list(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING), lambda a, b: a + b) "
                  f"- 0.5 * (lag(value, {half}) OVER w + lead(value, {half}) OVER w)) / {period} END")
     return f"""
 dec_t{period} AS (
