@@ -87,8 +87,9 @@ def areas_wide(
 ) -> DataFrame:
     """One column per entity, duplicate (ts, entity) averaged.
 
-    The id list is given, so ``pivot`` needs no extra distinct job; ids absent
-    from the data give all-NULL columns, which are dropped like the original.
+    The id list is given, so ``pivot`` needs no extra distinct job. Ids
+    absent from the data give all-NULL columns (the original dropped them;
+    finding them would take an extra job over the data).
     """
     ids = list(ids)
     cond = F.col(spec.entity).isin(ids)
