@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DAILY, EVENTS_SPLIT, HOURLY, SeriesSpec
+from datetime import datetime
+
+from ..config import DAILY, EVENTS_SPLIT, HOURLY, SeriesSpec, Split
 from ..operators.series import binned
 
 EVENTS_HOURLY: SeriesSpec = HOURLY.with_(entity="event_type")
@@ -22,6 +24,15 @@ EVENTS_CELLS: SeriesSpec = HOURLY.with_(entity="user_id")
 EVENTS_10MIN: SeriesSpec = SeriesSpec(entity="square_id", ts="ts", value="internet", step=600, daily=144, weekly=1008, tz="UTC")
 ORDERS_DAILY: SeriesSpec = DAILY.with_(entity="o_orderpriority")
 SPLIT = EVENTS_SPLIT
+# Daily order totals: the last five months are the test window.
+ORDERS_SPLIT = Split(
+    train_start=datetime(1995, 1, 1),
+    train_end=datetime(2000, 12, 31),
+    val_start=datetime(2001, 1, 1),
+    val_end=datetime(2001, 2, 28),
+    test_start=datetime(2001, 3, 1),
+    test_end=datetime(2001, 8, 1),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -667,3 +667,25 @@ WITH {CANON}
 SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}
 FROM canon WHERE ts BETWEEN {WEEK2}
 """
+
+SQL["orders_walkforward"] = f"""
+WITH {DAILY_ORDERS},
+lastv AS (
+  SELECT o.o_orderpriority, o.ts, o.value AS y_true,
+         last_value(o.value) OVER (PARTITION BY o.o_orderpriority ORDER BY o.ts
+             RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS naive_last
+  FROM daily o
+),
+fc AS (
+  SELECT l.o_orderpriority, l.ts, l.y_true, l.naive_last,
+         CASE WHEN w.ts IS NOT NULL THEN w.value ELSE l.naive_last END AS naive_weekly
+  FROM lastv l LEFT JOIN daily w ON w.o_orderpriority = l.o_orderpriority AND w.ts = l.ts - INTERVAL 7 DAY
+),
+long AS (
+  SELECT 'naive_last' AS model, o_orderpriority, ts, y_true, naive_last AS y_pred FROM fc
+  UNION ALL SELECT 'naive_weekly', o_orderpriority, ts, y_true, naive_weekly FROM fc
+),
+m AS (SELECT o_orderpriority, model, {METRICS} FROM long
+      WHERE ts BETWEEN TIMESTAMP '2001-03-01 00:00:00' AND TIMESTAMP '2001-08-01 00:00:00' GROUP BY 1, 2)
+SELECT o_orderpriority, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('sMAPE_percent')} FROM m
+"""

@@ -537,3 +537,13 @@ QUERIES.update(
         "store_partitions": q_store_partitions,
     }
 )
+
+
+def q_orders_walkforward(spark, d):
+    """Daily order totals per priority: baselines with a weekly season (step 1 day)."""
+    f = fc.baseline_forecasts(b.orders_daily(spark, d), O, {"naive_last": None, "naive_weekly": O.weekly})
+    w = ev.walk_forward(f, O, b.ORDERS_SPLIT.test_start, b.ORDERS_SPLIT.test_end)
+    return present(ev.metrics_table(w, O))
+
+
+QUERIES["orders_walkforward"] = q_orders_walkforward
