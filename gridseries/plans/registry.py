@@ -547,3 +547,20 @@ def q_orders_walkforward(spark, d):
 
 
 QUERIES["orders_walkforward"] = q_orders_walkforward
+
+
+def q_sliding_windows(spark, d):
+    """The previous day of (z, calendar) rows for every target, as arrays."""
+    h = b.hourly(spark, d)
+    z = feat.calendar_features(feat.scaled(h, S, feat.fit_scaler(h, S, b.SPLIT)), S, _session_tz(spark))
+    w = feat.sliding_windows(z, S, S.daily, ["z", "tod_sin", "tod_cos", "dow_sin", "dow_cos", "is_weekend"])
+    return present(w.select(S.entity, S.ts, "z", F.size("window").alias("seq_len"), "window"))
+
+
+def q_comparison_lines(spark, d):
+    """Markdown comparison of the baselines on the test window (K8)."""
+    m = ev.leaderboard(ev.metrics_table(_test_forecasts(spark, d), S, decimals=4), S)
+    return rep.markdown_table(m, [S.entity, "model", "MAE", "RMSE", "MAPE_percent", "sMAPE_percent"], [S.entity, "rank"])
+
+
+QUERIES.update({"sliding_windows": q_sliding_windows, "comparison_lines": q_comparison_lines})
