@@ -7,8 +7,10 @@ partitions instead of opening every file.
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +28,20 @@ def write_store(
 ) -> None:
     """Write canonical rows partitioned by (year_month, day).
 
-    Rows are clustered by day and sorted by (square_id, ts) inside each file
-    so Parquet min/max statistics skip row groups on cell / time filters.
-    Dynamic partition overwrite replaces only the days being written, and the
-    output committer gives task/job atomicity in place of tmp-then-rename.
+    Rows are range-partitioned on (day, square_id, ts) into about
+    rows / ``rows_per_file`` tasks: a day that holds a large share of the
+    data is split over several tasks (several sorted files) instead of
+    landing in one, and every file is sorted by (square_id, ts) so Parquet
+    min/max statistics skip row groups on cell / time filters. Dynamic
+    partition overwrite replaces only the days being written, and the output
+    committer gives task/job atomicity in place of tmp-then-rename.
     """
     spark = canonical.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staged = canonical.persist(StorageLevel.MEMORY_AND_DISK)
+    n = max(1, min(100_000, math.ceil(staged.count() / rows_per_file)))
     (
-        canonical.repartition("year_month", "day")
+        staged.repartitionByRange(n, "day", "square_id", "ts")
         .sortWithinPartitions("day", "square_id", "ts")
         .write.mode(mode)
         .option("compression", compression)
@@ -44,6 +51,7 @@ def write_store(
         .partitionBy("year_month", "day")
         .parquet(root)
     )
+    staged.unpersist()
 
 
 def read_store(spark: SparkSession, root: str) -> DataFrame:
