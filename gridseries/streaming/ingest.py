@@ -103,14 +103,15 @@ def stream_bins(
 def drain_upserts(stream_result: DataFrame, keys: list[str], folder: str) -> DataFrame:
     """Run an update-mode aggregation to the end of a bounded source.
 
-    Every micro-batch appends its updated rows with the batch id; the
-    returned table keeps, per key, the row of the latest batch (an upsert
-    sink without a table format).
+    Every micro-batch writes its updated rows into its own ``_batch=<id>``
+    folder (overwritten if the batch is replayed after a failure, so replay
+    never duplicates); the returned table keeps, per key, the row of the
+    latest batch (an upsert sink without a table format).
     """
     out = os.path.join(folder, "rows")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(epoch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"_batch={epoch_id}"))
 
     q = (
         stream_result.writeStream.outputMode("update")
@@ -121,7 +122,7 @@ def drain_upserts(stream_result: DataFrame, keys: list[str], folder: str) -> Dat
     )
     q.awaitTermination()
     spark = stream_result.sparkSession
-    rows = spark.read.parquet(out)
+    rows = spark.read.option("basePath", out).parquet(out)
     latest = rows.groupBy(*keys).agg(F.max("_batch").alias("_batch"))
     return rows.join(latest, keys + ["_batch"], "left_semi").drop("_batch")
 
