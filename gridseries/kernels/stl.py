@@ -9,6 +9,7 @@ weights. Defaults: seasonal window 7, trend window the smallest odd integer
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -68,30 +69,66 @@ def _loess_all(y: np.ndarray, length: int, rw: np.ndarray | None) -> np.ndarray:
     if n < 2:
         return y.copy()
     out = np.empty_like(y)
-    i = np.arange(1, n + 1)
-    if length >= n:
-        nleft = np.ones(n)
-        nright = np.full(n, float(n))
-    else:
-        nsh = (length + 1) // 2
-        nleft = np.clip(i - nsh + 1, 1, n - length + 1).astype(float)
-        nright = nleft + length - 1
-    rows = np.arange(n)
-    if length < n and n > 4 * length:
+    if length < n:
         # interior points share one symmetric kernel: sliding sums in C
         nsh = (length + 1) // 2
         lo, hi = nsh - 1, n - nsh + 1  # 0-based rows with a centred window
         for b in range(y.shape[0]):
             out[b, lo:hi] = _interior(y[b], rw[b] if rw is not None else None, nsh - 1, n)
-        rows = np.concatenate([rows[:lo], rows[hi:]])
-    chunk = max(1, _CHUNK // y.shape[0])
-    for s in range(0, rows.shape[0], chunk):
-        sel = rows[s : s + chunk]
-        ys, ok = _est(y, n, length, i[sel].astype(float), nleft[sel], nright[sel], rw)
-        out[:, sel] = np.where(ok, ys, y[:, sel])
+    for rows, start, k0, k1, k2, slope_ok in _window_kernels(n, length):
+        width = k0.shape[1]
+        yw = y[:, start : start + width]
+        v = np.ones_like(yw) if rw is None else rw[:, start : start + width]
+        vy = v * yw
+        s0 = v @ k0.T
+        s1 = v @ k1.T
+        s2 = v @ k2.T
+        t0 = vy @ k0.T
+        t1 = vy @ k1.T
+        ok = s0 > 0
+        a = np.where(ok, s0, 1.0)
+        m = s1 / a
+        c = s2 / a - m * m
+        adj = slope_ok[None, :] & (np.sqrt(np.maximum(c, 0.0)) > 0.001 * (n - 1))
+        slope = np.where(adj, -m / np.where(c > 0, c, 1.0), 0.0)
+        ys = t0 / a + slope * (t1 / a - m * t0 / a)
+        out[:, rows] = np.where(ok, ys, y[:, rows])
     return out
 
 
+@functools.lru_cache(maxsize=8)
+def _window_kernels(n: int, length: int):
+    """Tricube kernels of the rows whose window is not centred.
+
+    Those rows share one window (the first or last ``length`` points, or the
+    whole series when ``length >= n``), so their kernels depend only on
+    (n, length): computed once and reused by every pass and series. Each
+    entry: (rows, window start, K, K*d, K*d^2, slope allowed) with d the
+    offset from the fitted position.
+    """
+    out = []
+    if length >= n:
+        groups = [(np.arange(n), 1, n)]
+    else:
+        nsh = (length + 1) // 2
+        groups = [(np.arange(0, nsh - 1), 1, length), (np.arange(n - nsh + 1, n), n - length + 1, n)]
+    for rows, nleft, nright in groups:
+        if rows.size == 0:
+            continue
+        xs = rows + 1.0
+        pos = np.arange(nleft, nright + 1, dtype=float)
+        d = pos[None, :] - xs[:, None]
+        h = np.maximum(xs - nleft, nright - xs)
+        if length > n:
+            h = h + (length - n) // 2
+        hh = h[:, None]
+        r = np.abs(d)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            k = np.where(r <= 0.999 * hh, np.where(r <= 0.001 * hh, 1.0, (1.0 - (r / hh) ** 3) ** 3), 0.0)
+        out.append((rows, nleft - 1, k, k * d, k * d * d, h > 0))
+    return tuple(out)
+
+
 def _interior(y: np.ndarray, rw: np.ndarray | None, h: int, n: int) -> np.ndarray:
     """Local linear fit at rows h .. n-h-1 with a centred window of half-width h.
 
