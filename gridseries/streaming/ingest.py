@@ -154,16 +154,23 @@ def online_forecasts(stream: DataFrame, spec: SeriesSpec, period: int) -> DataFr
             return
         pdf = pd.concat(parts, ignore_index=True).sort_values("_t", kind="mergesort")
         out_last, out_seas = [], []
+        newest = max(hist) if hist else None
         for t, v in zip(pdf["_t"].to_numpy(), pdf[spec.value].to_numpy(dtype=float, na_value=np.nan)):
             t = int(t)
-            past = [k for k in hist if k <= t - spec.step]
-            last = hist[max(past)] if past else np.nan
+            if newest is not None and newest <= t - spec.step:
+                last = hist[newest]
+            else:  # duplicate timestamps: search the (bounded) history
+                past = [k for k in hist if k <= t - spec.step]
+                last = hist[max(past)] if past else np.nan
             seas = hist[t - lag] if (t - lag) in hist else last
             out_last.append(last)
             out_seas.append(seas)
             hist[t] = v
-            newest = max(hist)
-            hist = {k: x for k, x in hist.items() if k >= newest - lag}
+            if newest is None or t > newest:
+                newest = t
+                for k in [k for k in hist if k < newest - lag] if len(hist) > 2 * period + 2 else []:
+                    del hist[k]
+        hist = {k: x for k, x in hist.items() if k >= newest - lag}
         keys = sorted(hist)
         state.update(([int(k) for k in keys], [None if np.isnan(hist[k]) else float(hist[k]) for k in keys]))
         yield pd.DataFrame(
