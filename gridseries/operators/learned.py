@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..config import SeriesSpec, Split
 from .features import calendar_features, fit_scaler, lag_features, scaled
-from .forecast import last_value_column
 from .series import split_label
 
 CALENDAR = ["tod_sin", "tod_cos", "dow_sin", "dow_cos", "is_weekend"]
@@ -44,11 +43,10 @@ def _frame(series: DataFrame, spec: SeriesSpec, split: Split, lags: list[int], s
     z = scaled(series.select(spec.entity, spec.ts, spec.value), spec, sc)
     z = calendar_features(z, spec, session_tz)
     z = lag_features(z, spec, lags, col="z", complete=False)
-    w = (Window.partitionBy(spec.entity).orderBy("_t"))
-    from ..functions import time as tf
-
-    z = z.withColumn("_t", tf.epoch_seconds(z, spec.ts))
-    z = z.withColumn("_last", last_value_column(w, spec))
+    # binned series have one row per (entity, bin), so the previous row is the
+    # last value at or before t - step; same window spec as the lags: one sort
+    w = Window.partitionBy(spec.entity).orderBy(spec.ts)
+    z = z.withColumn("_last", F.lag(spec.value, 1).over(w))
     full = F.lit(True)
     for k in lags:
         full = full & F.col(f"lag_{k}").isNotNull()

@@ -89,3 +89,16 @@ def write_summary(summary: DataFrame, path: str, key: str, schema: str | None =
     merged = rep.merge_summary(previous, summary, key).checkpoint(eager=True)
     merged.write.mode("overwrite").json(path)
     return merged
+
+
+def multi_area_preview(series: DataFrame, spec: SeriesSpec, ids, start, days: int = 14, window: int = 6, session_tz: str = "UTC") -> DataFrame:
+    """First ``days`` days of the chosen entities with a trailing moving average
+    and weekend flag (E2). The end bound is start + days - one step."""
+    from datetime import timedelta
+
+    from ..operators.windows import preview
+
+    end = start + timedelta(days=days) - timedelta(seconds=spec.step)
+    cond = F.col(spec.entity).isin(list(ids))
+    cond = cond & F.col(spec.ts).between(ser.ts_literal(series, spec.ts, start, spec.tz), ser.ts_literal(series, spec.ts, end, spec.tz))
+    return preview(series.where(cond), spec, window, session_tz)

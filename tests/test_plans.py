@@ -100,3 +100,11 @@ def test_train_log_from_params(spark):
     p = gm.dhr_fit(synthetic(spark, 2, 25), SPEC, SPLIT, DhrConfig(p=1, q=0, daily_terms=1, weekly_terms=1))
     log = models.train_log(p, "square_id").collect()
     assert len(log) == 2 and all(r.train_seconds >= 0 and r.train_steps == 24 * 21 for r in log)
+
+
+def test_multi_area_preview(spark):
+    s = synthetic(spark, 3, 20)
+    p = eda.multi_area_preview(s, SPEC, [1, 3], datetime(2024, 1, 1), days=14)
+    assert p.select("square_id").distinct().count() == 2
+    assert p.count() == 2 * 14 * 24
+    assert p.agg(F.max("ts")).first()[0] == datetime(2024, 1, 14, 23)
