@@ -81,6 +81,9 @@ class IngestConfig:
     compression: str = "snappy"
 
 
+# The defaults below (EDA windows and thresholds, evaluation
+# settings, Fourier + ARMA orders and terms) are those of the original
+# configuration, so default runs compute the same quantities.
 @dataclass(frozen=True)
 class EdaConfig:
     rolling_window: int = 144
