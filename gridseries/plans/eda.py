@@ -102,3 +102,25 @@ def multi_area_preview(series: DataFrame, spec: SeriesSpec, ids, start, days: in
     cond = F.col(spec.entity).isin(list(ids))
     cond = cond & F.col(spec.ts).between(ser.ts_literal(series, spec.ts, start, spec.tz), ser.ts_literal(series, spec.ts, end, spec.tz))
     return preview(series.where(cond), spec, window, session_tz)
+
+
+def run_eda(series: DataFrame, spec: SeriesSpec, out_dir: str, cfg: EdaConfig = EdaConfig(), method: str = "stl", grid_side: int = 100) -> dict[str, DataFrame]:
+    """The EDA command over every entity (E14): summary merged into the previous
+    one (K7), STL-remainder outliers as CSV per entity (K6), the top entity
+    as text (K9) and the city overview tables as JSON (E1, E11)."""
+    import os
+
+    from ..operators import reporting as rep
+
+    spark = series.sparkSession
+    summary = write_summary(per_entity_summary(series, spec, cfg, method), os.path.join(out_dir, "eda_summary"), spec.entity)
+    decompose = gm.stl_decompose if method == "stl" else dec.classical_decompose
+    outliers = an.residual_outliers(decompose(series.select(spec.entity, spec.ts, spec.value), spec, spec.daily), spec, cfg.outlier_z)
+    rep.write_partitioned_csv(outliers, os.path.join(out_dir, "anomalies"), spec.entity)
+    totals = ser.area_totals(series, spec)
+    top = ser.top_k(totals, spec, 1).select(F.col(spec.entity).cast("string").alias("value"))
+    rep.write_text(top, os.path.join(out_dir, "area_top"))
+    ov = overview(totals, spark, spec.entity, grid_side)
+    for name in ("city_stats", "spatial"):
+        ov[name].coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, name))
+    return {"summary": summary, "outliers": outliers, **ov}

@@ -108,3 +108,13 @@ def test_multi_area_preview(spark):
     assert p.select("square_id").distinct().count() == 2
     assert p.count() == 2 * 14 * 24
     assert p.agg(F.max("ts")).first()[0] == datetime(2024, 1, 14, 23)
+
+
+def test_run_eda_writes_outputs(spark, tmp_path):
+    out = str(tmp_path / "eda")
+    res = eda.run_eda(synthetic(spark, 2, 16), SPEC, out, method="classical", grid_side=10)
+    assert res["summary"].count() == 2
+    for name in ("eda_summary", "anomalies", "area_top", "city_stats", "spatial"):
+        assert os.path.isdir(os.path.join(out, name))
+    top = spark.read.text(os.path.join(out, "area_top")).first().value
+    assert top == "2"
