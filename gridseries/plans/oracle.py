@@ -689,3 +689,90 @@ m AS (SELECT o_orderpriority, model, {METRICS} FROM long
       WHERE ts BETWEEN TIMESTAMP '2001-03-01 00:00:00' AND TIMESTAMP '2001-08-01 00:00:00' GROUP BY 1, 2)
 SELECT o_orderpriority, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('sMAPE_percent')} FROM m
 """
+
+# full correlogram by direct sums (the Spark side uses an FFT per series)
+SQL["acf_full"] = f"""
+WITH {HOURLY},
+s AS (
+  SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,
+         value - avg(value) OVER (PARTITION BY event_type) AS d,
+         count(*) OVER (PARTITION BY event_type) AS n
+  FROM hourly WHERE value IS NOT NULL
+),
+lags AS (SELECT DISTINCT event_type, n, unnest(range(0, least(336, n - 1) + 1)) AS lag FROM s),
+c AS (
+  SELECT l.event_type, l.lag, l.n, sum(a.d * b.d) AS num
+  FROM lags l JOIN s a ON a.event_type = l.event_type
+  JOIN s b ON b.event_type = l.event_type AND b.rn = a.rn + l.lag
+  GROUP BY 1, 2, 3
+),
+den AS (SELECT event_type, sum(d * d) AS den FROM s GROUP BY 1),
+r AS (SELECT c.event_type, c.lag, c.n, c.num / den.den AS acf FROM c JOIN den ON den.event_type = c.event_type),
+v AS (
+  SELECT *, CASE WHEN lag = 0 THEN 0.0 WHEN lag = 1 THEN 1.0 / n
+                 ELSE (1.0 + 2 * (sum(acf * acf) OVER (PARTITION BY event_type ORDER BY lag
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1.0)) / n END AS var
+  FROM r
+)
+SELECT event_type, CAST(lag AS BIGINT) AS lag, {_r('acf')}, {_r('1.959963984540054 * sqrt(var)', 'band')} FROM v
+"""
+
+# partial autocorrelation: Durbin-Levinson recursion as a recursive CTE
+SQL["pacf"] = f"""
+WITH RECURSIVE {HOURLY},
+s AS (
+  SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,
+         value - avg(value) OVER (PARTITION BY event_type) AS d,
+         count(*) OVER (PARTITION BY event_type) AS n
+  FROM hourly WHERE value IS NOT NULL
+),
+nl AS (SELECT DISTINCT event_type, n, greatest(0, least(60, n // 2 - 1)) AS maxlag FROM s),
+lags AS (SELECT event_type, n, maxlag, unnest(range(0, maxlag + 1)) AS lag FROM nl),
+c AS (
+  SELECT l.event_type, l.lag, sum(a.d * b.d) AS num
+  FROM lags l JOIN s a ON a.event_type = l.event_type
+  JOIN s b ON b.event_type = l.event_type AND b.rn = a.rn + l.lag
+  GROUP BY 1, 2
+),
+den AS (SELECT event_type, sum(d * d) AS den FROM s GROUP BY 1),
+r AS (
+  SELECT nl.event_type, nl.n, nl.maxlag, list(c.num / den.den ORDER BY c.lag) AS rl
+  FROM nl JOIN c ON c.event_type = nl.event_type JOIN den ON den.event_type = nl.event_type
+  GROUP BY 1, 2, 3
+),
+dl AS (
+  SELECT event_type, n, maxlag, rl, 1 AS k, [rl[2]] AS phi, 1.0 - rl[2] * rl[2] AS v, rl[2] AS a
+  FROM r WHERE maxlag >= 1
+  UNION ALL
+  SELECT event_type, n, maxlag, rl, k + 1,
+         list_append(list_transform(range(1, k + 1), lambda j: phi[j] - na * phi[k + 1 - j]), na),
+         v * (1 - na * na), na
+  FROM (
+    SELECT *, (rl[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rl[k + 2 - j]))) / v AS na
+    FROM dl
+  ) t
+  WHERE k < maxlag
+)
+SELECT event_type, CAST(k AS BIGINT) AS lag, {_r('a', 'pacf')}, {_r('1.959963984540054 / sqrt(n)', 'band')} FROM dl
+UNION ALL
+SELECT event_type, CAST(0 AS BIGINT), 1.0, {_r('1.959963984540054 / sqrt(n)', 'band')} FROM nl
+"""
+
+SQL["comparison_lines"] = f"""
+WITH {BASE_FORECASTS},
+m AS (
+  SELECT event_type, model,
+    round_even(avg(abs(y_true - y_pred)), 4) AS MAE,
+    round_even(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 4) AS RMSE,
+    round_even(avg(abs(y_true - y_pred) / greatest(abs(y_true), 0.001)) * 100, 4) AS MAPE_percent,
+    round_even(avg(CASE WHEN (abs(y_true) + abs(y_pred)) / 2 > 0
+           THEN abs(y_true - y_pred) / ((abs(y_true) + abs(y_pred)) / 2) END) * 100, 4) AS sMAPE_percent
+  FROM test GROUP BY 1, 2
+)
+SELECT '| event_type | model | MAE | RMSE | MAPE_percent | sMAPE_percent |' AS line
+UNION ALL SELECT '|---|---|---|---|---|---|'
+UNION ALL
+SELECT '| ' || concat_ws(' | ', event_type, model, CAST(MAE AS VARCHAR), CAST(RMSE AS VARCHAR),
+                         CAST(MAPE_percent AS VARCHAR), CAST(sMAPE_percent AS VARCHAR)) || ' |'
+FROM m
+"""
