@@ -76,6 +76,22 @@ def stationarity_tests(series: DataFrame, spec: SeriesSpec, kpss_lags: int | Non
     return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
 
 
+def kpss_table(series: DataFrame, spec: SeriesSpec, lags: int | None = None) -> DataFrame:
+    """KPSS (trend) per entity, automatic bandwidth unless ``lags`` is given.
+
+    Output: (entity, kpss_stat, kpss_pvalue, kpss_lags).
+    """
+    ent = spec.entity
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = _ordered(pdf, spec)
+        k = stationarity.kpss(_values(pdf, spec), lags)
+        return pd.DataFrame({ent: [pdf[ent].iloc[0]], "kpss_stat": [k["statistic"]], "kpss_pvalue": [k["pvalue"]], "kpss_lags": [k["lags"]]})
+
+    schema = f"{ent} {_etype(series, spec)}, kpss_stat double, kpss_pvalue double, kpss_lags double"
+    return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
+
+
 def adf_after_difference(series: DataFrame, spec: SeriesSpec, lag: int) -> DataFrame:
     """Positional difference at ``lag`` then ADF."""
     from .windows import difference

@@ -776,3 +776,57 @@ SELECT '| ' || concat_ws(' | ', event_type, model, CAST(MAE AS VARCHAR), CAST(RM
                          CAST(MAPE_percent AS VARCHAR), CAST(sMAPE_percent AS VARCHAR)) || ' |'
 FROM m
 """
+
+
+def _kpss_auto_sql() -> str:
+    crit, pv = (0.119, 0.146, 0.176, 0.216), (0.10, 0.05, 0.025, 0.01)
+    pcase = f"CASE WHEN stat <= {crit[0]} THEN {pv[0]}"
+    for i in range(3):
+        pcase += (
+            f" WHEN stat <= {crit[i + 1]} THEN {pv[i]} + ((stat - {crit[i]}) / {repr(crit[i + 1] - crit[i])})"
+            f" * {repr(pv[i + 1] - pv[i])}"
+        )
+    pcase += f" ELSE {pv[-1]} END"
+    return f"""
+WITH {HOURLY},
+s AS (SELECT event_type, value AS x, CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts) AS DOUBLE) AS t,
+             count(*) OVER (PARTITION BY event_type) AS n
+      FROM hourly WHERE value IS NOT NULL),
+f AS (SELECT *, regr_slope(x, t) OVER (PARTITION BY event_type) AS b,
+                regr_intercept(x, t) OVER (PARTITION BY event_type) AS a FROM s),
+e AS (SELECT event_type, t, n, x - (a + b * t) AS e FROM f),
+cum AS (SELECT event_type, sum(e) OVER (PARTITION BY event_type ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS S FROM e),
+ss AS (SELECT event_type, sum(S * S) AS ss FROM cum GROUP BY 1),
+e0 AS (SELECT event_type, any_value(n) AS n, sum(e * e) AS e2 FROM e GROUP BY 1),
+cl AS (SELECT event_type, n, unnest(range(1, CAST(floor(pow(n, 2.0 / 9.0)) AS BIGINT) + 1)) AS k FROM e0),
+cp AS (
+  SELECT cl.event_type, cl.k, sum(x.e * y.e) / (cl.n / 2.0) AS prod
+  FROM cl JOIN e x ON x.event_type = cl.event_type
+  JOIN e y ON y.event_type = cl.event_type AND y.t = x.t - cl.k
+  GROUP BY cl.event_type, cl.k, cl.n
+),
+au AS (
+  SELECT e0.event_type, e0.n, e0.e2, e0.e2 / e0.n + sum(cp.prod) AS s0, sum(cp.k * cp.prod) AS s1
+  FROM e0 JOIN cp ON cp.event_type = e0.event_type GROUP BY e0.event_type, e0.n, e0.e2
+),
+lg AS (
+  SELECT event_type, n, e2,
+         least(CAST(floor(1.1447 * pow((s1 / s0) * (s1 / s0), 1.0 / 3.0) * pow(n, 1.0 / 3.0)) AS BIGINT), n - 1) AS lags
+  FROM au
+),
+lp AS (SELECT event_type, lags, unnest(range(1, lags + 1)) AS k FROM lg),
+pp AS (
+  SELECT lp.event_type, sum(2.0 * x.e * y.e * (1.0 - lp.k / (lp.lags + 1.0))) AS p
+  FROM lp JOIN e x ON x.event_type = lp.event_type
+  JOIN e y ON y.event_type = lp.event_type AND y.t = x.t - lp.k
+  GROUP BY lp.event_type
+),
+k AS (
+  SELECT lg.event_type, lg.lags, (ss.ss / (CAST(lg.n AS DOUBLE) * lg.n)) / ((lg.e2 + coalesce(pp.p, 0.0)) / lg.n) AS stat
+  FROM lg JOIN ss ON ss.event_type = lg.event_type LEFT JOIN pp ON pp.event_type = lg.event_type
+)
+SELECT event_type, {_r('stat', 'kpss_stat')}, {_r(pcase, 'kpss_pvalue')}, CAST(lags AS DOUBLE) AS kpss_lags FROM k
+"""
+
+
+SQL["kpss_auto"] = _kpss_auto_sql()

@@ -564,3 +564,10 @@ def q_comparison_lines(spark, d):
 
 
 QUERIES.update({"sliding_windows": q_sliding_windows, "comparison_lines": q_comparison_lines})
+
+
+def q_kpss_auto(spark, d):
+    return present(gm.kpss_table(b.hourly(spark, d), S))
+
+
+QUERIES["kpss_auto"] = q_kpss_auto
