@@ -119,3 +119,57 @@ def as_rows(results: DataFrame, param_keys: Sequence[str], decimals: int = 4) ->
     for c in ("val_MAE", "val_RMSE", "val_MAPE_percent", "val_sMAPE_percent"):
         out = out.withColumn(c, F.bround(c, decimals))
     return out
+
+
+def learned_trials(
+    series: DataFrame,
+    spec: SeriesSpec,
+    split: Split,
+    grid: Sequence[tuple[str, dict]],
+    kind: str = "linear",
+    session_tz: str = "UTC",
+    epsilon: float = 1e-3,
+) -> DataFrame:
+    """Spark ML candidates fitted on the training window, scored per entity on
+    the validation window (V8 for the learned slots).
+
+    ``grid`` is (label, keyword arguments of the forecaster). Each candidate
+    is one distributed fit over all entities; time-ordered validation (not a
+    random split) keeps the test window untouched.
+    """
+    from . import learned
+
+    fn = learned.linear_forecasts if kind == "linear" else learned.tree_forecasts
+    parts = []
+    for label, kw in grid:
+        t0 = time.perf_counter()
+        f = fn(series, spec, split, session_tz, **kw)
+        m = ev.metrics_table(ev.walk_forward(f, spec, split.val_start, split.val_end), spec, epsilon)
+        secs = time.perf_counter() - t0
+        params = F.create_map(*[x for k, v in kw.items() for x in (F.lit(k), F.lit(str(v)))])
+        parts.append(
+            m.select(
+                F.lit(f"learned_{kind}").alias("model"),
+                spec.entity,
+                F.lit(label).alias("label"),
+                params.alias("params"),
+                F.lit(secs).alias("train_seconds"),
+                F.col("MAE").alias("val_MAE"),
+                F.col("RMSE").alias("val_RMSE"),
+                F.col("MAPE_percent").alias("val_MAPE_percent"),
+                F.col("sMAPE_percent").alias("val_sMAPE_percent"),
+                F.lit("").alias("notes"),
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def best_trials(results: DataFrame, spec: SeriesSpec, by: str = "val_MAE") -> DataFrame:
+    """The best label per (model, entity) on the validation metric."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("model", spec.entity).orderBy(F.col(by).asc_nulls_last(), F.col("label"))
+    return results.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")

@@ -571,3 +571,19 @@ def q_kpss_auto(spark, d):
 
 
 QUERIES["kpss_auto"] = q_kpss_auto
+
+
+LINEAR_GRID = [
+    ("recent6_eps1.35", {"recent": 6, "epsilon": 1.35}),
+    ("recent12_eps1.35", {"recent": 12, "epsilon": 1.35}),
+    ("recent6_eps2", {"recent": 6, "epsilon": 2.0}),
+]
+
+
+def q_tuning_learned(spark, d):
+    t = tun.learned_trials(b.hourly(spark, d), S, b.SPLIT, LINEAR_GRID, "linear", _session_tz(spark))
+    rows = tun.as_rows(tun.best_trials(t, S), ["recent", "epsilon"])
+    return present(rows.drop("train_seconds"))
+
+
+QUERIES["tuning_learned"] = q_tuning_learned
