@@ -830,3 +830,9 @@ SELECT event_type, {_r('stat', 'kpss_stat')}, {_r(pcase, 'kpss_pvalue')}, CAST(l
 
 
 SQL["kpss_auto"] = _kpss_auto_sql()
+
+SQL["stream_incremental"] = f"""
+WITH {CANON}
+SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}, strftime(ts, '%Y-%m-%d') AS day
+FROM canon
+"""

@@ -587,3 +587,18 @@ def q_tuning_learned(spark, d):
 
 
 QUERIES["tuning_learned"] = q_tuning_learned
+
+
+def q_stream_incremental(spark, d):
+    """Streaming ingest of the day files into a fresh store, read back."""
+    b.raw_line_files(spark, d)  # make sure the derived day files exist
+    folder = stm.scratch(spark, "stream-ingest")
+    stm.incremental_ingest(
+        spark, b._LINE_FILES[(id(spark), d)], f"{folder}/store", f"{folder}/checkpoint", tz=TEN.tz, on_bad_row="quarantine"
+    )
+    s = st.read_store(spark, f"{folder}/store")
+    wall = F.convert_timezone(F.lit(_session_tz(spark)), F.lit(TEN.tz), F.col("ts").cast("timestamp_ntz"))
+    return present(s.select("square_id", wall.alias("ts"), "internet", F.date_format("day", "yyyy-MM-dd").alias("day")))
+
+
+QUERIES["stream_incremental"] = q_stream_incremental

@@ -39,22 +39,26 @@ def incremental_ingest(
     checkpoint: str,
     tz: str = "Europe/Rome",
     on_bad_row: str = "fail",
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ):
     """Ingest daily files not yet seen, then stop (trigger availableNow).
 
     The checkpoint records processed files, so a rerun only picks up new
     days (the skip-existing plan). Each micro-batch is canonicalised and
     written with dynamic partition overwrite, so a replayed batch rewrites
-    the same days instead of duplicating them. Returns the finished query.
+    the same days instead of duplicating them. This relies on the source
+    layout of one file per day: a day's rows must arrive in one batch, which
+    ``files_per_batch`` (files per micro-batch, default unlimited) must not
+    split. Returns the finished query.
     """
-    lines = (
-        spark.readStream.format("text")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "sms-call-internet-mi-*.txt")
-        .load(raw_dir)
-        .select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
-        .where(tf.date_from_filename(F.col("file_name")).isNotNull())
+    reader = spark.readStream.format("text")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    raw = reader.load(raw_dir)
+    # day files directly in the folder, or one folder per day file (file_name=<name>/part-*)
+    name = F.col("file_name") if "file_name" in raw.columns else F.col("_metadata.file_name")
+    lines = raw.select(F.col("value").alias("line"), name.alias("file_name")).where(
+        tf.date_from_filename(F.col("file_name")).isNotNull()
     )
     session_tz = spark.conf.get("spark.sql.session.timeZone")
 

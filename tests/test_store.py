@@ -71,7 +71,7 @@ def test_streaming_incremental_ingest(spark, tmp_path):
     root = str(tmp_path / "store")
     ck = str(tmp_path / "ck")
     _write_raw(raw, dict(list(DAYS.items())[:1]))
-    incremental_ingest(spark, raw, root, ck)
+    incremental_ingest(spark, raw, root, ck, files_per_batch=1)
     assert st.read_store(spark, root).count() == 2
     _write_raw(raw, DAYS)
     incremental_ingest(spark, raw, root, ck)
