@@ -114,23 +114,37 @@ def fit_arma_css(u: np.ndarray, p: int, q: int, iterations: int = 20) -> tuple[n
 
 
 def fit_regression_arma(
-    y: np.ndarray, x: np.ndarray, p: int, q: int, intercept: bool = True, iterations: int = 20
+    y: np.ndarray, x: np.ndarray, p: int, q: int, intercept: bool = True, iterations: int = 20, d: int = 0
 ) -> dict:
-    """OLS of y on x (plus a constant), then ARMA(p, q) on the residual."""
+    """OLS of y on x (plus a constant), then ARMA(p, q) on the residual.
+
+    With ``d = 1`` the model is fitted to the first differences of y and x
+    (the constant becomes a drift), i.e. regression with ARIMA(p, 1, q) errors.
+    """
+    if d not in (0, 1):
+        raise ValueError("d must be 0 or 1")
+    if d == 1:
+        par = fit_regression_arma(np.diff(y), np.diff(x, axis=0), p, q, intercept, iterations, 0)
+        par["d"] = 1
+        return par
     design = np.column_stack([x, np.ones(x.shape[0])]) if intercept else x
     ok = np.isfinite(y)
     beta, *_ = np.linalg.lstsq(design[ok], y[ok], rcond=None)
     u = y - design @ beta
     u = np.where(np.isfinite(u), u, 0.0)
     phi, theta, sigma2 = fit_arma_css(u, p, q, iterations)
-    return {"beta": beta, "phi": phi, "theta": theta, "sigma2": sigma2, "intercept": intercept}
+    return {"beta": beta, "phi": phi, "theta": theta, "sigma2": sigma2, "intercept": intercept, "d": 0}
 
 
 def one_step_forecasts(y: np.ndarray, x: np.ndarray, params: dict) -> np.ndarray:
     """Prediction of every y_t from y_{<t}: x_t beta + ARMA forecast of the remainder.
 
-    A missing y_t contributes its own forecast and a zero innovation.
+    A missing y_t contributes its own forecast and a zero innovation. With
+    ``d = 1`` the differences are forecast and added to the previous value.
     """
+    if int(params.get("d", 0)) == 1:
+        inner = one_step_forecasts(np.diff(y), np.diff(x, axis=0), {**params, "d": 0})
+        return np.concatenate([[np.nan], y[:-1] + inner])
     beta = np.asarray(params["beta"], dtype=float)
     phi = np.asarray(params["phi"], dtype=float)
     theta = np.asarray(params["theta"], dtype=float)

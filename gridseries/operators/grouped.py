@@ -183,7 +183,7 @@ def _dhr_design(pdf: pd.DataFrame, spec: SeriesSpec, anchor: int, cfg: DhrConfig
 
 
 PARAMS_SCHEMA_TAIL = (
-    "model string, anchor bigint, use_log boolean, intercept boolean, p int, q int, daily_terms int, weekly_terms int, "
+    "model string, anchor bigint, use_log boolean, intercept boolean, p int, d int, q int, daily_terms int, weekly_terms int, "
     "beta array<double>, phi array<double>, theta array<double>, sigma2 double, n_train bigint, train_seconds double"
 )
 
@@ -195,8 +195,6 @@ def dhr_fit(series: DataFrame, spec: SeriesSpec, split: Split, cfg: DhrConfig =
     Parquet and reused; log1p is applied when enabled and the training
     minimum is >= 0. The anchor of the Fourier terms is the first training ts.
     """
-    if cfg.d != 0:
-        raise NotImplementedError("only d = 0 is supported")
     ent = spec.entity
     train = series.where(split_label(series, spec, split) == "train")
     train = train.select(ent, spec.value, tf.epoch_seconds(train, spec.ts).alias("_t"))
@@ -209,7 +207,7 @@ def dhr_fit(series: DataFrame, spec: SeriesSpec, split: Split, cfg: DhrConfig =
         anchor = int(pdf["_t"].iloc[0])
         x = _dhr_design(pdf, spec, anchor, cfg)
         t0 = time.perf_counter()
-        par = arma.fit_regression_arma(yt, x, cfg.p, cfg.q, cfg.intercept, cfg.css_iterations)
+        par = arma.fit_regression_arma(yt, x, cfg.p, cfg.q, cfg.intercept, cfg.css_iterations, cfg.d)
         secs = time.perf_counter() - t0
         return pd.DataFrame(
             {
@@ -219,6 +217,7 @@ def dhr_fit(series: DataFrame, spec: SeriesSpec, split: Split, cfg: DhrConfig =
                 "use_log": [use_log],
                 "intercept": [cfg.intercept],
                 "p": [cfg.p],
+                "d": [cfg.d],
                 "q": [cfg.q],
                 "daily_terms": [cfg.daily_terms],
                 "weekly_terms": [cfg.weekly_terms],
@@ -269,7 +268,13 @@ def dhr_forecasts(
         pred = arma.one_step_forecasts(
             yt,
             x,
-            {"beta": list(par["beta"]), "phi": list(par["phi"]), "theta": list(par["theta"]), "intercept": bool(par["intercept"])},
+            {
+                "beta": list(par["beta"]),
+                "phi": list(par["phi"]),
+                "theta": list(par["theta"]),
+                "intercept": bool(par["intercept"]),
+                "d": int(par["d"]),
+            },
         )
         yhat = np.expm1(pred) if use_log else pred
         return pd.DataFrame({"model": par["model"], ent: pdf[ent], spec.ts: pdf[spec.ts], "y_true": y, "y_pred": yhat})

@@ -77,7 +77,7 @@ def dhr_trials(series: DataFrame, spec: SeriesSpec, split: Split, trials: Sequen
         anchor = float(pdf["_t"][tr].iloc[0])
         steps = np.floor((pdf["_t"].to_numpy(dtype=float) - anchor) / spec.step)
         x = arma.fourier_matrix(steps, [(spec.daily, cfg.daily_terms), (spec.weekly, cfg.weekly_terms)])
-        par = arma.fit_regression_arma(yt[tr], x[tr], cfg.p, cfg.q, cfg.intercept, cfg.css_iterations)
+        par = arma.fit_regression_arma(yt[tr], x[tr], cfg.p, cfg.q, cfg.intercept, cfg.css_iterations, cfg.d)
         secs = time.perf_counter() - t0
         pred = arma.one_step_forecasts(yt, x, par)
         yhat = np.expm1(pred) if use_log else pred

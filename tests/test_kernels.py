@@ -100,3 +100,18 @@ def test_one_step_forecasts_use_only_the_past():
     y2[500:] = 1e6
     b = arma.one_step_forecasts(y2, x, par)
     assert np.allclose(a[:501], b[:501])
+
+
+def test_arima_d1_on_random_walk_with_cycle():
+    rng = np.random.default_rng(8)
+    t = np.arange(2000)
+    x = arma.fourier_matrix(t, [(24, 2)])
+    y = np.cumsum(rng.normal(size=t.size)) + x @ np.array([3.0, 1.0, 0.5, 0.2])
+    par = arma.fit_regression_arma(y[:1500], x[:1500], 1, 0, d=1)
+    pred = arma.one_step_forecasts(y, x, par)
+    assert np.isnan(pred[0])
+    mae = np.abs(y[1500:] - pred[1500:]).mean()
+    naive = np.abs(np.diff(y)[1499:]).mean()
+    assert mae < naive
+    par0 = arma.fit_regression_arma(y[:1500], x[:1500], 1, 0, d=0)
+    assert par0["d"] == 0 and par["d"] == 1
