@@ -120,8 +120,8 @@ def resolve_areas(spark, spec_text: str, totals: DataFrame, spec: SeriesSpec, to
     """Resolve a list such as ``"top, 4159, 4556"`` into (position, label, id).
 
     ``top`` is the argmax of ``totals`` (ties → smallest id); blanks are
-    trimmed and empty tokens skipped. The top-1 row is a one-row aggregate
-    joined on an equality key, never a cross product.
+    trimmed and empty tokens skipped. The top-1 id is a one-row aggregate
+    attached as a scalar subquery, never a join.
     """
     tokens = (
         spark.createDataFrame([(spec_text,)], "spec string")
@@ -130,10 +130,10 @@ def resolve_areas(spark, spec_text: str, totals: DataFrame, spec: SeriesSpec, to
         .where(F.col("token") != "")
         .withColumn("is_top", F.lower("token") == "top")
     )
-    best = totals.agg(F.max_by(F.col(spec.entity), F.struct(F.col("total"), -F.col(spec.entity))).alias("top_id")).withColumn(
-        "is_top", F.lit(True)
-    )
-    joined = tokens.join(best, "is_top", "left")
+    from .util import attach_scalars
+
+    best = totals.agg(F.max_by(F.col(spec.entity), F.struct(F.col("total"), -F.col(spec.entity))).alias("top_id"))
+    joined = attach_scalars(tokens, best)
     ident = F.when(F.col("is_top"), F.col("top_id")).otherwise(F.col("token").cast("bigint"))
     label = F.when(
         F.col("is_top"),
