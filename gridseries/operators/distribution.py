@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,8 @@ def histogram(totals: DataFrame, bins: int = 80, value: str = "total") -> DataFr
     Output has every bin, empty ones with count 0: (bin, lo, hi, count).
     """
     spark = totals.sparkSession
-    pos = totals.where(F.col(value) > 0).select(F.col(value).alias("x"))
+    # one row per entity, read by the bounds subquery and the main plan: computed once
+    pos = totals.where(F.col(value) > 0).select(F.col(value).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
     bounds = pos.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     width = F.col("hi") - F.col("lo")
     idx = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / width)), F.lit(bins - 1))).otherwise(0)
@@ -83,6 +85,7 @@ def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame
     """
     spark = totals.sparkSession
     logs = totals.select(log10_positive(F.col(value)).alias("x")).where(F.col("x").isNotNull())
+    logs = logs.persist(StorageLevel.MEMORY_AND_DISK)  # read by the bandwidth subquery and the main plan
     st = logs.agg(
         F.min("x").alias("lo"),
         F.max("x").alias("hi"),

@@ -60,7 +60,12 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
 
 
 def overview(totals: DataFrame, spark: SparkSession, entity: str, side: int = 100) -> dict[str, DataFrame]:
-    """City distribution, histogram, density and spatial grid."""
+    """City distribution, histogram, density and spatial grid.
+
+    The totals (one row per entity, derived from the whole store) feed five
+    outputs, so they are computed once and kept.
+    """
+    totals = totals.persist()
     grid = dist.spatial_grid(totals, spark, entity, side)
     return {
         "city_stats": dist.city_stats(totals),
