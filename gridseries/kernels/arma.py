@@ -30,16 +30,25 @@ def fourier_matrix(steps: np.ndarray, periods_terms: list[tuple[int, int]]) -> n
 
 
 def _filter(signals: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """out_t = signals_t - sum_j theta_j out_{t-j}, applied to each column."""
-    n = signals.shape[0]
-    q = theta.shape[0]
-    out = np.zeros_like(signals)
-    for t in range(n):
-        acc = signals[t].copy()
-        for j in range(1, q + 1):
-            if t - j >= 0:
-                acc -= theta[j - 1] * out[t - j]
-        out[t] = acc
+    """out_t = signals_t - sum_j theta_j out_{t-j}, applied to each column.
+
+    A sequential recursion: run on Python floats (same operation order as
+    the vector form), which is far cheaper than per-step numpy scalars.
+    """
+    n, m = signals.shape
+    th = [float(t) for t in theta]
+    q = len(th)
+    out = np.empty_like(signals, dtype=float)
+    for c in range(m):
+        s = signals[:, c].tolist()
+        o = [0.0] * n
+        for t in range(n):
+            acc = s[t]
+            for j in range(1, q + 1):
+                if t - j >= 0:
+                    acc -= th[j - 1] * o[t - j]
+            o[t] = acc
+        out[:, c] = o
     return out
 
 
@@ -146,15 +155,18 @@ def one_step_forecasts(y: np.ndarray, x: np.ndarray, params: dict) -> np.ndarray
         inner = one_step_forecasts(np.diff(y), np.diff(x, axis=0), {**params, "d": 0})
         return np.concatenate([[np.nan], y[:-1] + inner])
     beta = np.asarray(params["beta"], dtype=float)
-    phi = np.asarray(params["phi"], dtype=float)
-    theta = np.asarray(params["theta"], dtype=float)
+    phi = [float(v) for v in params["phi"]]
+    theta = [float(v) for v in params["theta"]]
     design = np.column_stack([x, np.ones(x.shape[0])]) if params["intercept"] else x
-    mean = design @ beta
-    n = y.shape[0]
-    p, q = phi.shape[0], theta.shape[0]
-    u = np.zeros(n)
-    e = np.zeros(n)
-    pred = np.empty(n)
+    mean = (design @ beta).tolist()
+    ys = np.asarray(y, dtype=float)
+    finite = np.isfinite(ys).tolist()
+    yl = ys.tolist()
+    n = len(yl)
+    p, q = len(phi), len(theta)
+    u = [0.0] * n
+    e = [0.0] * n
+    pred = [0.0] * n
     for t in range(n):
         uh = 0.0
         for i in range(1, p + 1):
@@ -164,10 +176,10 @@ def one_step_forecasts(y: np.ndarray, x: np.ndarray, params: dict) -> np.ndarray
             if t - j >= 0:
                 uh += theta[j - 1] * e[t - j]
         pred[t] = mean[t] + uh
-        if np.isfinite(y[t]):
-            u[t] = y[t] - mean[t]
+        if finite[t]:
+            u[t] = yl[t] - mean[t]
             e[t] = u[t] - uh
         else:
             u[t] = uh
             e[t] = 0.0
-    return pred
+    return np.asarray(pred)
