@@ -25,7 +25,12 @@ def ts_literal(df: DataFrame, name: str, value: datetime, tz: str) -> Column:
     """
     if tf.is_ntz(df, name):
         v = value.replace(tzinfo=None) if value.tzinfo is not None else value
-        return F.lit(v).cast("timestamp_ntz")
+        # built from its fields: a datetime literal would pass through the
+        # Python process zone and the session zone on its way to wall-clock time
+        return F.make_timestamp_ntz(
+            F.lit(v.year), F.lit(v.month), F.lit(v.day), F.lit(v.hour), F.lit(v.minute),
+            F.lit(v.second + v.microsecond / 1e6).cast("decimal(16,6)"),
+        )
     if value.tzinfo is not None:
         return F.lit(value).cast("timestamp")
     return F.make_timestamp(

@@ -157,7 +157,7 @@ def q_rolling_stats(spark, d):
 
 def q_preview(spark, d):
     h = ser.area_series(b.hourly(spark, d), S, "view", datetime(2024, 1, 1), None, sort=False)
-    first14 = h.where(F.col(S.ts) <= F.lit(datetime(2024, 1, 14, 23, 0)).cast("timestamp_ntz"))
+    first14 = h.where(F.col(S.ts) <= ser.ts_literal(h, S.ts, datetime(2024, 1, 14, 23, 0), S.tz))
     return present(win.preview(first14, S, 6, _session_tz(spark)))
 
 
