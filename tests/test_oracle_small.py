@@ -56,3 +56,15 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert df.columns == ["event_type", "model", "n", "MAE", "RMSE", "MAPE_percent", "sMAPE_percent"]
+
+
+@pytest.mark.parametrize("key", ["walkforward_metrics", "preview", "canonical_from_lines", "stream_bins"])
+def test_results_do_not_depend_on_session_zone(spark, duck, key):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        pdf = entry.queries()[key](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    odf = duck.sql(entry.oracle_sql()[key]).df()
+    cols = sorted(pdf.columns)
+    assert _norm(pdf[cols].itertuples(index=False)) == _norm(odf[cols].itertuples(index=False))
