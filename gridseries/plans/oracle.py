@@ -836,3 +836,26 @@ WITH {CANON}
 SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}, strftime(ts, '%Y-%m-%d') AS day
 FROM canon
 """
+
+SQL["sliding_windows"] = f"""
+WITH {HOURLY},
+sc AS (
+  SELECT event_type, avg(value) AS scale_mean,
+         CASE WHEN stddev_pop(value) < 1e-9 THEN 1.0 ELSE stddev_pop(value) END AS scale_std
+  FROM hourly WHERE value IS NOT NULL AND ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00'
+  GROUP BY 1
+),
+c AS (
+  SELECT h.event_type, h.ts, (h.value - sc.scale_mean) / sc.scale_std AS z,
+         row_number() OVER (PARTITION BY h.event_type ORDER BY h.ts) AS rn,
+         CAST(floor((hour(h.ts) * 3600 + minute(h.ts) * 60 + second(h.ts)) / 3600) AS DOUBLE) AS slot,
+         CAST(isodow(h.ts) - 1 AS DOUBLE) AS dow
+  FROM hourly h JOIN sc ON sc.event_type = h.event_type
+)
+SELECT t.event_type, {_ts('t.ts', 'ts')}, CAST(s.rn - (t.rn - 24) AS BIGINT) AS k, {_r('s.z', 'z')},
+  {_r(f'sin({repr(_TWO_PI / 24)} * s.slot)', 'tod_sin')}, {_r(f'cos({repr(_TWO_PI / 24)} * s.slot)', 'tod_cos')},
+  {_r(f'sin({repr(_TWO_PI / 7.0)} * s.dow)', 'dow_sin')}, {_r(f'cos({repr(_TWO_PI / 7.0)} * s.dow)', 'dow_cos')},
+  {_r('CASE WHEN s.dow >= 5 THEN 1.0 ELSE 0.0 END', 'is_weekend')}
+FROM c t JOIN c s ON s.event_type = t.event_type AND s.rn BETWEEN t.rn - 24 AND t.rn - 1
+WHERE t.rn > 24
+"""

@@ -550,11 +550,13 @@ QUERIES["orders_walkforward"] = q_orders_walkforward
 
 
 def q_sliding_windows(spark, d):
-    """The previous day of (z, calendar) rows for every target, as arrays."""
+    """The previous day of (z, calendar) rows for every target (W8), one row per
+    (target, position in the window)."""
     h = b.hourly(spark, d)
     z = feat.calendar_features(feat.scaled(h, S, feat.fit_scaler(h, S, b.SPLIT)), S, _session_tz(spark))
     w = feat.sliding_windows(z, S, S.daily, ["z", "tod_sin", "tod_cos", "dow_sin", "dow_cos", "is_weekend"])
-    return present(w.select(S.entity, S.ts, "z", F.size("window").alias("seq_len"), "window"))
+    flat = w.select(S.entity, S.ts, F.posexplode("window").alias("k", "w")).select(S.entity, S.ts, "k", "w.*")
+    return present(flat)
 
 
 def q_comparison_lines(spark, d):
