@@ -42,11 +42,16 @@ def _values(pdf: pd.DataFrame, spec: SeriesSpec) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- tests
-def stationarity_tests(series: DataFrame, spec: SeriesSpec, kpss_lags: int | None = None) -> DataFrame:
-    """ADF (constant + trend, AIC lag) and KPSS (trend) per entity.
+def stationarity_tests(
+    series: DataFrame, spec: SeriesSpec, kpss_lags: int | None = None, diff_lags: tuple[int, ...] = ()
+) -> DataFrame:
+    """ADF (constant + trend, AIC lag) and KPSS (trend) per entity (E3, E4, E5),
+    and optionally ADF after positional differencing at ``diff_lags`` (E6),
+    all in one grouped pass.
 
     Output: (entity, n_obs, adf_stat, adf_pvalue, adf_usedlag, adf_nobs,
-    kpss_stat, kpss_pvalue, kpss_lags); NaN below 100 observations.
+    kpss_stat, kpss_pvalue, kpss_lags[, adf_stat_diff<k>, adf_p_diff<k>]);
+    NaN below 100 observations.
     """
     ent = spec.entity
 
@@ -55,23 +60,28 @@ def stationarity_tests(series: DataFrame, spec: SeriesSpec, kpss_lags: int | Non
         x = _values(pdf, spec)
         a = stationarity.adf(x)
         k = stationarity.kpss(x, kpss_lags)
-        return pd.DataFrame(
-            {
-                ent: [pdf[ent].iloc[0]],
-                "n_obs": [int(np.isfinite(x).sum())],
-                "adf_stat": [a["statistic"]],
-                "adf_pvalue": [a["pvalue"]],
-                "adf_usedlag": [a["usedlag"]],
-                "adf_nobs": [a["nobs"]],
-                "kpss_stat": [k["statistic"]],
-                "kpss_pvalue": [k["pvalue"]],
-                "kpss_lags": [k["lags"]],
-            }
-        )
+        row = {
+            ent: [pdf[ent].iloc[0]],
+            "n_obs": [int(np.isfinite(x).sum())],
+            "adf_stat": [a["statistic"]],
+            "adf_pvalue": [a["pvalue"]],
+            "adf_usedlag": [a["usedlag"]],
+            "adf_nobs": [a["nobs"]],
+            "kpss_stat": [k["statistic"]],
+            "kpss_pvalue": [k["pvalue"]],
+            "kpss_lags": [k["lags"]],
+        }
+        for lag in diff_lags:
+            d = x[lag:] - x[:-lag] if 0 < lag < x.shape[0] else np.array([])
+            ad = stationarity.adf(d[np.isfinite(d)])
+            row[f"adf_stat_diff{lag}"] = [ad["statistic"]]
+            row[f"adf_p_diff{lag}"] = [ad["pvalue"]]
+        return pd.DataFrame(row)
 
     schema = (
         f"{ent} {_etype(series, spec)}, n_obs bigint, adf_stat double, adf_pvalue double, adf_usedlag double, "
         "adf_nobs double, kpss_stat double, kpss_pvalue double, kpss_lags double"
+        + "".join(f", adf_stat_diff{lag} double, adf_p_diff{lag} double" for lag in diff_lags)
     )
     return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
 

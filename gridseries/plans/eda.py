@@ -40,10 +40,12 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
         F.col(f"{spec.weekly}_s").alias("seasonal_strength_weekly"),
         F.col(f"{spec.weekly}_t").alias("trend_strength_weekly"),
     )
-    tests = gm.stationarity_tests(s, spec)
-    d1 = gm.adf_after_difference(s, spec, 1).select(spec.entity, F.col("adf_stat_diff").alias("adf_stat_diff1"), F.col("adf_p_diff").alias("adf_p_diff1"))
-    dS = gm.adf_after_difference(s, spec, spec.daily).select(
-        spec.entity, F.col("adf_stat_diff").alias("adf_stat_diff_daily"), F.col("adf_p_diff").alias("adf_p_diff_daily")
+    # levels and both differences tested in one grouped pass
+    tests = gm.stationarity_tests(s, spec, diff_lags=(1, spec.daily)).withColumnsRenamed(
+        {
+            f"adf_stat_diff{spec.daily}": "adf_stat_diff_daily",
+            f"adf_p_diff{spec.daily}": "adf_p_diff_daily",
+        }
     )
     acf = cor.acf_at_lags(s, spec, [spec.daily, spec.weekly]).groupBy(spec.entity).pivot("lag", [spec.daily, spec.weekly]).agg(F.first("acf"))
     acf = acf.select(spec.entity, F.col(str(spec.daily)).alias("acf_daily"), F.col(str(spec.weekly)).alias("acf_weekly"))
@@ -52,7 +54,7 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
         F.count(F.lit(1)).alias("drop_runs_count")
     )
     out = tests
-    for part in (d1, dS, st, acf):
+    for part in (st, acf):
         out = out.join(part, spec.entity, "left")
     for part in (outl, drops):
         out = out.join(part, spec.entity, "left")
