@@ -34,13 +34,6 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
     return F.floor(epoch_micros(df, name) / F.lit(1_000_000)).cast("bigint")
 
 
-def from_epoch_seconds(secs: Column, ntz: bool) -> Column:
-    """Inverse of :func:`epoch_seconds`, keeping the original timestamp type."""
-    if ntz:
-        return F.timestamp_add("SECOND", secs, F.expr(_EPOCH_NTZ))
-    return F.timestamp_seconds(secs)
-
-
 def bin_start(df: DataFrame, name: str, step_seconds: int) -> Column:
     """Floor a timestamp to a multiple of ``step_seconds`` since the epoch.
 
@@ -67,11 +60,6 @@ def wallclock(df: DataFrame, name: str, tz: str, session_tz: str) -> Column:
     return F.convert_timezone(F.lit(session_tz), F.lit(tz), c.cast("timestamp_ntz"))
 
 
-def local_to_instant(wall: Column, tz: str) -> Column:
-    """Interpret a naive wall-clock value as local time in ``tz`` (localise)."""
-    return F.to_utc_timestamp(wall, tz)
-
-
 def weekday_mon0(c: Column) -> Column:
     """Day of week, Monday = 0 .. Sunday = 6 (pandas ``dayofweek``)."""
     return F.weekday(c)
