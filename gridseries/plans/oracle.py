@@ -596,7 +596,7 @@ m AS (
            THEN abs(y_true - y_pred) / ((abs(y_true) + abs(y_pred)) / 2) END) * 100, 4) AS val_sMAPE_percent
   FROM long WHERE ts BETWEEN {VAL_WINDOW} GROUP BY 1, 2, 3
 )
-SELECT 'naive' AS model, event_type, label, 0.0 AS train_seconds,
+SELECT 'naive' AS model, event_type, label, CAST(0.0 AS DOUBLE) AS train_seconds,
        {_r('val_MAE')}, {_r('val_RMSE')}, {_r('val_MAPE_percent')}, {_r('val_sMAPE_percent')},
        '' AS notes, period AS "param.period"
 FROM m
