@@ -91,3 +91,27 @@ def test_load_series_prunes_partitions(spark, tmp_path):
     assert [(r.square_id, r.internet) for r in df.collect()] == [(1, 4.0)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(square_id)" in plan
+
+
+def test_has_partition_checksums_and_run_log(spark, tmp_path):
+    from datetime import date as _date
+
+    from gridseries.operators import reporting as rep
+
+    raw = str(tmp_path / "raw")
+    root = str(tmp_path / "store")
+    _write_raw(raw, DAYS)
+    run_ingest(spark, raw, root)
+    assert st.has_partition(spark, root, _date(2013, 11, 2))
+    assert not st.has_partition(spark, root, _date(2013, 11, 3))
+    sums = st.file_checksums(spark, root).collect()
+    assert len(sums) == 3 and all(len(r.sha256) == 64 and r.bytes > 0 for r in sums)
+    log = spark.createDataFrame(
+        [("dhr", 1, 9.43, 5616, 25.485, 0.0253, 1008)],
+        "model string, square_id bigint, train_seconds double, train_steps bigint, "
+        "predict_seconds_total double, predict_seconds_per_step_mean double, test_steps bigint",
+    )
+    path = str(tmp_path / "timing")
+    rep.write_run_log(log, path)
+    back = rep.read_run_log(spark, path).collect()
+    assert [(r.model, r.square_id, r.train_seconds, r.test_steps) for r in back] == [("dhr", 1, 9.43, 1008)]
