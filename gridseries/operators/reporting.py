@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_LOG_SCHEMA = (
@@ -106,18 +106,24 @@ def write_partitioned_csv(df: DataFrame, path: str, by: str) -> None:
 
 
 def markdown_table(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Pipe-table lines for a small, already aggregated result (K8)."""
+    """Pipe-table lines of a report, header first, rows in ``order`` (K8).
+
+    The ordering is a distributed range sort (no single-task window), and the
+    text writer keeps it across part files.
+    """
     head = "| " + " | ".join(columns) + " |"
     rule = "|" + "|".join(["---"] * len(columns)) + "|"
-    # the input is an aggregated report (a few rows per entity): one ordered window is fine
     body = df.select(
-        F.lit(2).alias("k"),
-        F.row_number().over(Window.orderBy(*order)).alias("rn"),
+        F.lit(2).alias("_k"),
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
         F.concat(F.lit("| "), F.concat_ws(" | ", *[F.col(c).cast("string") for c in columns]), F.lit(" |")).alias("line"),
     )
     spark = df.sparkSession
-    hdr = spark.createDataFrame([(0, 0, head), (1, 0, rule)], "k int, rn int, line string")
-    return hdr.unionByName(body).orderBy("k", "rn").select("line")
+    hdr = spark.createDataFrame([(0, head), (1, rule)], "_k int, line string")
+    for i, c in enumerate(order):
+        hdr = hdr.withColumn(f"_o{i}", F.lit(None).cast(df.schema[c].dataType))
+    keys = ["_k"] + [f"_o{i}" for i in range(len(order))]
+    return hdr.unionByName(body).orderBy(*keys).select("line")
 
 
 def write_text(df: DataFrame, path: str) -> None:
