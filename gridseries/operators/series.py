@@ -113,6 +113,7 @@ def area_totals(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def top_k(totals: DataFrame, spec: SeriesSpec, k: int = 1) -> DataFrame:
     """Entities with the largest totals; ties go to the smallest id (T4)."""
+    # ranks only the k rows left after the limit (TakeOrderedAndProject)
     w = Window.orderBy(F.desc("total"), F.asc(spec.entity))
     return (
         totals.orderBy(F.desc("total"), F.asc(spec.entity))
