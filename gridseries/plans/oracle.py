@@ -629,7 +629,9 @@ l AS (
   FROM hourly h
 )
 SELECT l.event_type, {_ts('l.ts', 'ts')}, {_r('l.y_true', 'y_true')}, {_r('l.pred_last', 'pred_last')},
-       {_r('CASE WHEN d.ts IS NOT NULL THEN d.value ELSE l.pred_last END', 'pred_seasonal')}
+       {_r('CASE WHEN d.ts IS NOT NULL THEN d.value ELSE l.pred_last END', 'pred_seasonal')},
+       {_r('abs(l.y_true - l.pred_last)', 'abs_err_last')},
+       {_r('abs(l.y_true - CASE WHEN d.ts IS NOT NULL THEN d.value ELSE l.pred_last END)', 'abs_err_seasonal')}
 FROM l LEFT JOIN hourly d ON d.event_type = l.event_type AND d.ts = l.ts - INTERVAL 24 HOUR
 """
 

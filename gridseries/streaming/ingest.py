@@ -138,14 +138,18 @@ def online_forecasts(stream: DataFrame, spec: SeriesSpec, period: int) -> DataFr
     State per entity keeps only the values of the last ``period`` steps
     (bounded), so state grows with the number of entities, not with time;
     rows of one entity are expected in time order.
-    Output: (entity, ts, y_true, pred_last, pred_seasonal).
+    Output: (entity, ts, y_true, pred_last, pred_seasonal, abs_err_last,
+    abs_err_seasonal).
     """
     ent = spec.entity
     lag = period * spec.step
     rows = stream.select(ent, spec.ts, spec.value, tf.epoch_seconds(stream, spec.ts).alias("_t"))
     ts_type = stream.schema[spec.ts].dataType.simpleString()
     ent_type = stream.schema[ent].dataType.simpleString()
-    out_schema = f"{ent} {ent_type}, {spec.ts} {ts_type}, y_true double, pred_last double, pred_seasonal double"
+    out_schema = (
+        f"{ent} {ent_type}, {spec.ts} {ts_type}, y_true double, pred_last double, pred_seasonal double, "
+        "abs_err_last double, abs_err_seasonal double"
+    )
     state_schema = "hist_t array<bigint>, hist_v array<double>"
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -177,8 +181,18 @@ def online_forecasts(stream: DataFrame, spec: SeriesSpec, period: int) -> DataFr
         hist = {k: x for k, x in hist.items() if k >= newest - lag}
         keys = sorted(hist)
         state.update(([int(k) for k in keys], [None if np.isnan(hist[k]) else float(hist[k]) for k in keys]))
+        y = pdf[spec.value].to_numpy(dtype=float, na_value=np.nan)
+        pl, ps = np.asarray(out_last, dtype=float), np.asarray(out_seas, dtype=float)
         yield pd.DataFrame(
-            {ent: pdf[ent], spec.ts: pdf[spec.ts], "y_true": pdf[spec.value], "pred_last": out_last, "pred_seasonal": out_seas}
+            {
+                ent: pdf[ent],
+                spec.ts: pdf[spec.ts],
+                "y_true": pdf[spec.value],
+                "pred_last": pl,
+                "pred_seasonal": ps,
+                "abs_err_last": np.abs(y - pl),
+                "abs_err_seasonal": np.abs(y - ps),
+            }
         )
 
     return rows.groupBy(ent).applyInPandasWithState(
