@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..config import SeriesSpec, Split
 from ..functions import time as tf
 
+GRID_CHUNK = 1024  # steps per generated block of the calendar grid
+
 
 def ts_literal(df: DataFrame, name: str, value: datetime, tz: str) -> Column:
     """A wall-clock bound comparable with column ``name``.
@@ -176,7 +178,13 @@ def calendar_grid(df: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = No
     if bounds is None:
         bounds = df.groupBy(spec.entity).agg(F.min(spec.ts).alias("lo"), F.max(spec.ts).alias("hi"))
     step = F.make_dt_interval(secs=F.lit(spec.step).cast("decimal(18,6)"))
-    return bounds.select(spec.entity, F.explode(F.sequence("lo", "hi", step)).alias(spec.ts))
+    chunk = F.make_dt_interval(secs=F.lit(spec.step * GRID_CHUNK).cast("decimal(18,6)"))
+    last = F.make_dt_interval(secs=F.lit(spec.step * (GRID_CHUNK - 1)).cast("decimal(18,6)"))
+    # two-level explode: no row ever holds more than GRID_CHUNK timestamps
+    starts = bounds.select(spec.entity, "hi", F.explode(F.sequence("lo", "hi", chunk)).alias("_c"))
+    return starts.select(
+        spec.entity, F.explode(F.sequence("_c", F.least(F.col("_c") + last, F.col("hi")), step)).alias(spec.ts)
+    )
 
 
 def regularise(df: DataFrame, spec: SeriesSpec) -> DataFrame:
