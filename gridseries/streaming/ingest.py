@@ -85,8 +85,12 @@ def stream_bins(
     value: str,
     watermark: str = "1 hour",
 ) -> DataFrame:
-    """Windowed sums per entity on an event stream; rows later than the
-    watermark are dropped and their window state is released."""
+    """Windowed sums per entity on an event stream (R2).
+
+    Rows within the watermark delay update their window; a row older than the
+    watermark of the previous micro-batch is dropped, and window state older
+    than the watermark is released, so state stays bounded.
+    """
     session_tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
     ntz = tf.is_ntz(stream, ts)
     # watermarks need an instant: wall-clock values are read in the spec's zone
