@@ -72,3 +72,23 @@ def test_baselines_match_lookups_with_gaps(spark, vals, mask, period):
         else:
             key = r.ts - timedelta(hours=period)
             assert r.y_pred == (hist[key] if key in hist else last)
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), lags=st.integers(0, 6), n=st.integers(100, 220))
+def test_sql_kpss_and_acf_match_numpy_kernels(spark, seed, lags, n):
+    from gridseries.kernels import correlation, stationarity
+    from gridseries.operators import correlation as cor
+
+    rng = np.random.default_rng(seed)
+    x = np.cumsum(rng.normal(size=n)) * 0.3 + rng.normal(size=n)
+    df = _df(spark, [round(float(v), 6) for v in x])
+    xs = np.array([round(float(v), 6) for v in x])
+    k = cor.kpss_fixed_lag(df, SPEC, lags).first()
+    ref = stationarity.kpss(xs, lags)
+    assert abs(k.kpss_stat - ref["statistic"]) < 1e-9 * max(1.0, abs(ref["statistic"]))
+    assert abs(k.kpss_pvalue - ref["pvalue"]) < 1e-12
+    a = {r.lag: r.acf for r in cor.acf_at_lags(df, SPEC, [1, 5, 24]).collect()}
+    r, _ = correlation.acf(xs, 24)
+    for lag in (1, 5, 24):
+        assert abs(a[lag] - r[lag]) < 1e-9
