@@ -92,3 +92,25 @@ def test_sql_kpss_and_acf_match_numpy_kernels(spark, seed, lags, n):
     r, _ = correlation.acf(xs, 24)
     for lag in (1, 5, 24):
         assert abs(a[lag] - r[lag]) < 1e-9
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), period=st.sampled_from([4, 5, 6, 7]), n=st.integers(30, 60))
+def test_classical_decomposition_matches_pandas(spark, seed, period, n):
+    from gridseries.operators import decomposition as dec
+
+    rng = np.random.default_rng(seed)
+    x = np.round(10 + np.sin(2 * np.pi * np.arange(n) / period) * 3 + rng.normal(size=n), 3)
+    got = dec.classical_decompose(_df(spark, list(map(float, x))), SPEC, period).orderBy("ts").collect()
+    s = pd.Series(x)
+    if period % 2:
+        trend = s.rolling(period, center=True).mean()
+    else:
+        w = np.r_[0.5, np.ones(period - 1), 0.5] / period
+        trend = s.rolling(period + 1, center=True).apply(lambda a: float(np.dot(a, w)), raw=True)
+    phase = np.arange(n) % period
+    pm = (s - trend).groupby(phase).mean()
+    seasonal = (pm - pm.mean()).to_numpy()[phase]
+    for r, t, se in zip(got, trend.to_numpy(), seasonal):
+        assert (r.trend is None and np.isnan(t)) or abs(r.trend - t) < 1e-9
+        assert abs(r.seasonal - se) < 1e-9
