@@ -114,3 +114,33 @@ def test_classical_decomposition_matches_pandas(spark, seed, period, n):
     for r, t, se in zip(got, trend.to_numpy(), seasonal):
         assert (r.trend is None and np.isnan(t)) or abs(r.trend - t) < 1e-9
         assert abs(r.seasonal - se) < 1e-9
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), spike_at=st.integers(8, 30))
+def test_joint_failure_matches_pandas(spark, seed, spike_at):
+    from gridseries.operators import evaluate as ev
+
+    rng = np.random.default_rng(seed)
+    n, window, mult = 40, 6, 2.0
+    y = rng.uniform(50, 60, size=n)
+    preds = {m: y + rng.normal(scale=1.0, size=n) for m in ("m1", "m2")}
+    for m in preds:
+        preds[m][spike_at : spike_at + 4] += rng.uniform(8, 15)
+    rows = [(m, 1, T0 + timedelta(hours=i), float(y[i]), float(p[i])) for m, p in preds.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "model string, id int, ts timestamp_ntz, y_true double, y_pred double")
+    got = ev.joint_failure(df, SPEC, window, mult, n_models=2).collect()
+    roll, avg = {}, {}
+    for m, p in preds.items():
+        ae = pd.Series(np.abs(y - p))
+        roll[m], avg[m] = ae.rolling(window, min_periods=window).mean(), ae.mean()
+    joint = np.logical_and.reduce([(roll[m] > avg[m] * mult).to_numpy() for m in preds])
+    if not joint.any():
+        assert got == []
+        return
+    ratio = {m: roll[m] / max(avg[m], 1e-9) for m in preds}
+    sev = sum(ratio[m] for m in preds).where(joint, -np.inf)
+    peak = int(np.argmax(sev.to_numpy()))
+    assert len(got) == 1 and got[0].peak == T0 + timedelta(hours=peak)
+    for m in preds:
+        assert abs(got[0].ratios[m] - ratio[m].iloc[peak]) < 1e-9
