@@ -100,14 +100,15 @@ def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame
     contrib = pts.select(
         "x", "h", "lo", "dx", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int"))).alias("j")
     )
-    u = (F.col("lo") + F.col("j") * F.col("dx") - F.col("x")) / F.col("h")
+    u = F.try_divide(F.col("lo") + F.col("j") * F.col("dx") - F.col("x"), F.col("h"))
     sums = contrib.groupBy("j").agg(F.sum(F.exp(-0.5 * u * u)).alias("_k"))
     grid = attach_scalars(spark.range(points).select(F.col("id").cast("int").alias("j")), st)
     norm = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
     return grid.join(sums, "j", "left").select(
         F.col("j").alias("point"),
         (F.col("lo") + F.col("j") * F.col("dx")).alias("log10_total"),
-        (F.coalesce(F.col("_k"), F.lit(0.0)) / norm).alias("density"),
+        # a zero bandwidth (all totals equal) has no density: NULL, not an error
+        F.try_divide(F.coalesce(F.col("_k"), F.lit(0.0)), F.when(norm > 0, norm)).alias("density"),
     )
 
 

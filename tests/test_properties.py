@@ -144,3 +144,36 @@ def test_joint_failure_matches_pandas(spark, seed, spike_at):
     assert len(got) == 1 and got[0].peak == T0 + timedelta(hours=peak)
     for m in preds:
         assert abs(got[0].ratios[m] - ratio[m].iloc[peak]) < 1e-9
+
+
+@SETTINGS
+@given(vals=st.lists(st.floats(min_value=-50, max_value=50, allow_nan=False).map(lambda x: round(x, 2)), min_size=1, max_size=30), w=st.integers(1, 6))
+def test_rolling_windows_match_pandas(spark, vals, w):
+    from gridseries.operators import windows as win
+
+    out = win.moving_average(win.rolling_stats(_df(spark, vals), SPEC, w), SPEC, w).orderBy("ts").collect()
+    s = pd.Series(vals, dtype=float)
+    mean, std = s.rolling(w, min_periods=w).mean(), s.rolling(w, min_periods=w).std()
+    ma = s.rolling(w, min_periods=1).mean()
+    for r, a, b, c in zip(out, mean, std, ma):
+        assert (r.rolling_mean is None and np.isnan(a)) or abs(r.rolling_mean - a) < 1e-9
+        assert (r.rolling_std is None and np.isnan(b)) or abs(r.rolling_std - b) < 1e-9
+        assert abs(r.moving_avg - c) < 1e-9
+
+
+@SETTINGS
+@given(totals=st.lists(st.floats(min_value=0.5, max_value=1e6, allow_nan=False), min_size=3, max_size=40))
+def test_kde_matches_direct_sum(spark, totals):
+    from gridseries.operators import distribution as dist
+
+    df = spark.createDataFrame([(i, float(t)) for i, t in enumerate(totals)], "id int, total double")
+    got = {r.point: r.density for r in dist.kde(df, points=50).collect()}
+    x = np.log10(np.asarray(totals))
+    h = x.std(ddof=1) * len(x) ** (-0.2)
+    if not h > 0:
+        assert all(v is None for v in got.values())
+        return
+    grid = np.linspace(x.min(), x.max(), 50)
+    ref = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    for j in range(50):
+        assert abs(got[j] - ref[j]) <= 1e-9 * max(1.0, ref[j])
