@@ -88,7 +88,8 @@ def kpss_fixed_lag(series: DataFrame, spec: SeriesSpec, lags: int, min_obs: int
     lrv = F.col("_e2")
     for k in range(1, lags + 1):
         lrv = lrv + 2.0 * (1.0 - k / (lags + 1.0)) * F.coalesce(F.col(f"_p{k}"), F.lit(0.0))
-    stat = F.when(F.col("nobs") >= min_obs, (F.col("_ss") / (n * n)) / (lrv / n))
+    # a constant series has no long-run variance: NULL rather than a division error
+    stat = F.when(F.col("nobs") >= min_obs, F.try_divide(F.col("_ss") / (n * n), F.when(lrv > 0, lrv / n)))
     return agg.select(
         spec.entity,
         "nobs",
