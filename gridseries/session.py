@@ -32,17 +32,18 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "grids
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (a bare local test session) is a scratch folder chosen.
+    Intermediate tables must outlive any one executor, so a cluster session
+    without the setting is an error. Only a ``local`` session, where the driver
+    and the executor are one process on one disk, gets a scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="gridseries-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001  (a remote session has no SparkContext; the conf is enough)
-        pass
+    if path:
+        return path
+    if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="gridseries-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", path)
+    spark.sparkContext.setCheckpointDir(path)
     return path
