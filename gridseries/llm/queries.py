@@ -6,19 +6,34 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import bpe, packing, sharding, url_filters
+from gridseries.llm import bpe, fingerprints, language_id, packing, quality, sharding, url_filters, warc
 from gridseries.llm.common import table
 
 SHARDS = 16
 CAPACITY = 1024
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document's whole text, learned from two thirds of the rows' labels."""
+    return language_id.identify(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consistent-weighted-sampling fingerprints of every document, its edit, and their likeness."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), CAPACITY)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in ZIP packages, read back by byte range."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by the jump hash of doc_id."""
     out = sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", SHARDS)
@@ -139,6 +154,12 @@ FROM parsed p LEFT JOIN hits h ON h.page_id = p.page_id AND place = 1
 """
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document's whole text, learned from four fifths of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.classify(docs, "doc_id", "text", labels, "doc_id", "quality")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document's whole text, and what they decode to, as digests."""
     docs = table(spark, sf_dir, "documents")
@@ -146,9 +167,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_warc": op6_warc,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
+    "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
 }
 SQL = {"op7_sharding": OP7_SQL, "op8_url_filters": OP8_SQL}
