@@ -119,3 +119,59 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         before = after
     nodes = edges.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return nodes.union(edges.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct())
+
+
+def in_blocks(members: DataFrame, group: str, node: str, size: int) -> DataFrame:
+    """Deal each group's rows to blocks that together hold every pair of its rows.
+
+    A group of n rows is cut into c = ceil(n / size) chunks by a hash of the
+    node; block (i, j) with i <= j holds chunks i and j, so a task sees at most
+    about twice ``size`` rows however large the group. Adds (block_i, block_j, chunk); a
+    group of one row has no pair and goes.
+    """
+    counts = members.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
+    rows = members.join(counts, group).withColumn("chunks", F.ceil(F.col("group_rows") / size).cast("int"))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), node), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.withColumn("block_i", F.least("chunk", "other")).withColumn("block_j", F.greatest("chunk", "other"))
+    return rows.drop("group_rows", "chunks", "other")
+
+
+def block_links(linked: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From a symmetric link matrix: (node, total weight of its links, least node that it reaches in the block) of linked nodes."""
+    at = np.flatnonzero(linked.any(axis=1))
+    if not len(at):
+        return nodes[:0], weights[:0], nodes[:0]
+    linked = linked[np.ix_(at, at)]
+    total, low = linked @ weights[at], nodes[at].copy()
+    # one sweep marks whole neighbourhoods: as many steps as the longest chain
+    while True:
+        reach = np.where(linked, low[None, :], np.iinfo(np.int64).max).min(axis=1)
+        new = np.minimum(low, reach)
+        if (new == low).all():
+            return nodes[at], total, low
+        low = new
+
+
+def links_to_rows(rows: DataFrame, classes: DataFrame, links: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per input row: (key, n_links, component_id, kept).
+
+    ``rows`` (key, class), ``classes`` (node, class, rep, copies) of different
+    values, ``links`` (node, linked, low) from the blocks. Copies of one value link with one another.
+    A null class links with nothing.
+    """
+    counted = links.groupBy("node").agg(F.sum("linked").alias("linked"))
+    component = connected_components(links.select(F.col("node").alias("src"), F.col("low").alias("dst")), name)
+    table = classes.join(counted, "node", "left").join(component, "node", "left")
+    table = table.withColumn("component", F.coalesce("component", "node"))
+    table = staged(table.select("class", "rep", "component", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), f"{name}-classes")
+    first = table.groupBy("component").agg(F.min("rep").alias("component_id"))
+    table = table.join(first, "component").select("class", "n_links", "component_id")
+    out = rows.join(table, "class", "left")
+    own = F.coalesce(F.col("component_id"), F.col("key"))
+    return out.select(
+        F.col("key").alias(key),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        own.alias("component_id"),
+        F.coalesce(F.col("key") == own, F.lit(True)).alias("kept"),
+    )

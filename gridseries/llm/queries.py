@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import bpe, fingerprints, language_id, packing, quality, sharding, url_filters, warc
+from gridseries.llm import bpe, embedding_dedup, fingerprints, language_id, ngram_join, packing, quality, sharding, url_filters, warc
 from gridseries.llm.common import table
 
 SHARDS = 16
@@ -18,6 +18,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links by cosine >= 0.95 and its component."""
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's links by Jaccard >= 0.8 of five-word sets and its component."""
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consistent-weighted-sampling fingerprints of every document, its edit, and their likeness."""
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -168,6 +178,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_ngram_join": op3_ngram_join,
     "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
