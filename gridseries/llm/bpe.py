@@ -48,7 +48,6 @@ class BytePairEncoder:
         if any(bytes([b]) not in self.ids for b in range(256)):
             raise ValueError("all 256 bytes must be tokens")
         self.left, self.right = list(range(len(tokens))), list(range(len(tokens)))
-        self.merged: dict[tuple[int, int], int] = {}
         self.automaton = ahocorasick.Automaton()
         self.shorter = [-1] * len(tokens)
         self._valid: dict[tuple[int, int], bool] = {}
@@ -58,7 +57,6 @@ class BytePairEncoder:
                 if len(parts) != 2:  # no order of merges makes this token: only a piece equal to it has its id
                     continue
                 self.left[i], self.right[i] = parts
-                self.merged[parts[0], parts[1]] = i
             self.automaton.add_word(token.decode("latin-1"), (i, len(token)))
         self.automaton.make_automaton()
         for i, token in enumerate(tokens):
@@ -91,9 +89,10 @@ class BytePairEncoder:
         known = self._valid.get(key)
         if known is not None:
             return known
-        limit, good = len(self.tokens), True
+        ids, tokens = self.ids, self.tokens
+        limit, good = len(tokens), True
         while True:
-            if self.merged.get((a, b), limit) < limit:
+            if ids.get(tokens[a] + tokens[b], limit) < limit:
                 good = False
                 break
             if a > b:
