@@ -67,7 +67,7 @@ def zip_members(f, length: int) -> list[Member]:
     """Entries of the central directory of a ZIP file of ``length`` bytes."""
     tail_at = max(0, length - END.size - 0xFFFF)
     tail = read_at(f, tail_at, length - tail_at)
-    at = tail.rfind(END_SIGNATURE)
+    at = tail.rfind(END_SIGNATURE, 0, max(0, len(tail) - END.size + len(END_SIGNATURE)))
     while at >= 0 and at + END.size + END.unpack_from(tail, at)[7] != len(tail):  # a comment may hold the signature
         at = tail.rfind(END_SIGNATURE, 0, at)
     if at < 0:
