@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import SeriesSpec
 from .series import interpolate
+from .windows import trailing_stats
 
 DECOMP_COLUMNS = ("observed", "trend", "seasonal", "resid")
 
@@ -28,38 +29,34 @@ def classical_decompose(series: DataFrame, spec: SeriesSpec, period: int, fill:
     """
     s = interpolate(series, spec) if fill else series
     v = F.col(spec.value)
-    w = Window.partitionBy(spec.entity).orderBy(spec.ts)
     half = period // 2
-    if period % 2 == 1:
-        frame = w.rowsBetween(-half, half)
-        trend = F.when(F.count(v).over(frame) == period, F.avg(v).over(frame))
-    else:
-        frame = w.rowsBetween(-half, half)
-        edges = F.lag(v, half).over(w) + F.lead(v, half).over(w)
-        trend = F.when(F.count(v).over(frame) == period + 1, (F.sum(v).over(frame) - 0.5 * edges) / period)
+    width = 2 * half + 1
+    s = trailing_stats(s.select(spec.entity, spec.ts, spec.value), spec, width)
+    w = Window.partitionBy(spec.entity).orderBy("_rn")
+    n, total = F.lead("_n", half).over(w), F.lead("_sum", half).over(w)
+    if period % 2 == 0:
+        # both edges of the even window count half
+        total = total - 0.5 * (F.lag(v, half).over(w) + F.lead(v, half).over(w))
     staged = s.select(
         spec.entity,
         spec.ts,
+        "_rn",
         v.alias("observed"),
-        trend.alias("trend"),
-        F.pmod(F.row_number().over(w) - 1, F.lit(period)).alias("_phase"),
+        F.when((F.col("_rn") > half) & (n == width), total / period).alias("trend"),
+        F.pmod(F.col("_rn") - 1, F.lit(period)).alias("_phase"),
     )
-    phase_means = (
-        staged.groupBy(spec.entity, "_phase")
-        .agg(F.avg(F.col("observed") - F.col("trend")).alias("_pm"))
-    )
-    centred = phase_means.withColumn(
-        "_seasonal", F.col("_pm") - F.avg("_pm").over(Window.partitionBy(spec.entity))
-    ).select(spec.entity, "_phase", "_seasonal")
-    out = staged.join(centred, [spec.entity, "_phase"], "left")
-    return out.select(
+    staged = staged.withColumn("_pm", F.avg(F.col("observed") - F.col("trend")).over(Window.partitionBy(spec.entity, "_phase")))
+    # the first cycle holds each phase once
+    centre = F.avg(F.when(F.col("_rn") <= period, F.col("_pm"))).over(Window.partitionBy(spec.entity))
+    staged = staged.withColumn("seasonal", F.col("_pm") - centre)
+    return staged.select(
         spec.entity,
         spec.ts,
         F.lit(period).alias("period"),
         "observed",
         "trend",
-        F.col("_seasonal").alias("seasonal"),
-        (F.col("observed") - F.col("trend") - F.col("_seasonal")).alias("resid"),
+        "seasonal",
+        (F.col("observed") - F.col("trend") - F.col("seasonal")).alias("resid"),
     )
 
 

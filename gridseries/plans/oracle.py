@@ -390,20 +390,26 @@ SQL["kpss_fixed_lag"] = _kpss_sql(8)
 
 def _decomp_sql(period: int) -> str:
     half = period // 2
-    if period % 2:
-        trend = (f"CASE WHEN count(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {period} "
-                 f"THEN avg(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) END")
-    else:
-        # the frame is summed left to right, the order Spark's sliding frame adds rows in
-        trend = (f"CASE WHEN count(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {period + 1} "
-                 f"THEN (list_reduce(list(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING), lambda a, b: a + b) "
-                 f"- 0.5 * (lag(value, {half}) OVER w + lead(value, {half}) OVER w)) / {period} END")
+    width = 2 * half + 1
+    # the frame is summed in the order of the engine's two parts: the end of one
+    # block of `width` rows backwards, then the start of the next forwards
+    add = "lambda a, b: a + b"
+    total = (f"CASE WHEN e = {width} THEN list_reduce(l, {add}) "
+             f"ELSE list_reduce(list_reverse(l[1:{width} - e]), {add}) + list_reduce(l[{width} - e + 1:], {add}) END")
+    edges = "" if period % 2 else " - 0.5 * (before + after)"
     return f"""
-dec_t{period} AS (
-  SELECT event_type, ts, value AS observed, {trend} AS trend,
-         (row_number() OVER w - 1) % {period} AS phase
+dec_l{period} AS (
+  SELECT event_type, ts, value, row_number() OVER w AS rn,
+         list(value) OVER (w ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) AS l,
+         (row_number() OVER w - 1 + {half}) % {width} + 1 AS e,
+         lag(value, {half}) OVER w AS before, lead(value, {half}) OVER w AS after
   FROM filled WINDOW w AS (PARTITION BY event_type ORDER BY ts)
 ),
+dec_t{period} AS (
+  SELECT event_type, ts, value AS observed, (rn - 1) % {period} AS phase,
+         CASE WHEN len(l) = {width} THEN ({total}{edges}) / {period} END AS trend
+  FROM dec_l{period}
+),
 dec_p{period} AS (SELECT event_type, phase, avg(observed - trend) AS pm FROM dec_t{period} GROUP BY 1, 2),
 dec_c{period} AS (SELECT event_type, phase, pm - avg(pm) OVER (PARTITION BY event_type) AS seasonal FROM dec_p{period}),
 dec{period} AS (
