@@ -74,13 +74,18 @@ EVENTS_SPLIT = Split(
 @dataclass(frozen=True)
 class IngestConfig:
     tz: str = "Europe/Rome"
-    # Fixed value: expected calendar of the published archive.
-    expected_first_date: str = "2013-11-01"
-    expected_last_date: str = "2013-12-30"
+    # Expected calendar for the manifest and the missing days; None: first to last file.
+    expected_first_date: str | None = None
+    expected_last_date: str | None = None
+    max_square_id: int | None = None  # None: any id from 0 on
     on_bad_row: str = "quarantine"  # skip | quarantine | fail (the default config enables quarantine)
     compression: str = "snappy"
 
 
+# Fixed value: expected calendar of the published archive.
+ARCHIVE_INGEST = IngestConfig(expected_first_date="2013-11-01", expected_last_date="2013-12-30")
+
+
 # The defaults below (EDA windows and thresholds, evaluation
 # settings, Fourier + ARMA orders and terms) are those of the original
 # configuration, so default runs compute the same quantities.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,14 @@ def _store_exists(spark: SparkSession, root: str) -> bool:
     return bool(fs.exists(path))
 
 
+def _drop_quarantine(spark: SparkSession, root: str, days: list) -> None:
+    """Forget the bad lines of days that are about to be read again, so a mended file leaves none behind."""
+    jvm = spark._jvm
+    for day in days:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{st.QUARANTINE}/day={day:%Y-%m-%d}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run_ingest(
     spark: SparkSession,
     raw_dir: str,
@@ -29,33 +38,38 @@ def run_ingest(
 ) -> dict[str, DataFrame]:
     """Discover daily files, ingest the ones not yet stored, rebuild the catalog.
 
-    Only the file listing (one row per day file) is brought to the driver,
-    to hand the chosen paths to the text scan; rows never are. Returns the
-    catalog DataFrames: plan, partitions, manifest, missing, quarantine.
+    A file's rows go to its own day's folder and its bad lines to that day's
+    quarantine, so stored rows plus quarantined lines are all lines, over any number of
+    runs. Only the file listing (one row per day file) is brought to the
+    driver, to hand the chosen paths to the text scan; rows never are. Returns the
+    catalog DataFrames: plan, partitions, manifest, missing, quarantine (all lines kept so far).
     """
     files = ln.discover_files(spark, raw_dir)
     if files.limit(1).count() == 0:
-        raise FileNotFoundError(f"No daily files found under {raw_dir}")
+        raise FileNotFoundError(f"no daily file below {raw_dir}")
     session_tz = spark.conf.get("spark.sql.session.timeZone")
     stored = st.list_partitions(spark, store_root) if _store_exists(spark, store_root) else spark.createDataFrame([], "day date")
     plan = st.incremental_plan(files, stored, force=force, limit_days=limit_days)
-    paths = [r.path for r in plan.select("path").collect()]
-    quarantine = spark.createDataFrame([], "line string, file_name string, n_fields int, reason string")
-    if paths:
-        lines = ln.read_lines(spark, paths)
+    todo = plan.select("day", "path").collect()
+    if todo:
+        lines = ln.read_lines(spark, [r.path for r in todo])
         if cfg.on_bad_row == "quarantine":
-            quarantine = ln.bad_rows(lines)
-            quarantine.write.mode("overwrite").parquet(os.path.join(store_root, "_quarantine"))
-        canon = ln.canonicalise(ln.parse_lines(lines, on_bad_row=cfg.on_bad_row), tz=cfg.tz, session_tz=session_tz)
-        st.write_store(canon, store_root, compression=cfg.compression)
+            _drop_quarantine(spark, store_root, [r.day for r in todo])
+            st.write_quarantine(ln.bad_rows(lines, max_id=cfg.max_square_id), store_root)
+        parsed = ln.parse_lines(lines, on_bad_row=cfg.on_bad_row, max_id=cfg.max_square_id)
+        st.write_store(ln.canonicalise(parsed, tz=cfg.tz, session_tz=session_tz), store_root, compression=cfg.compression)
+    kept = _store_exists(spark, os.path.join(store_root, st.QUARANTINE))
+    empty = "line string, file_name string, n_fields int, reason string, day date"
+    quarantine = st.read_quarantine(spark, store_root) if kept else spark.createDataFrame([], empty)
     records = st.profile_partitions(spark, store_root)
     bounds = files.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-    manifest = st.manifest(records, bounds["lo"], bounds["hi"])
-    missing = st.missing_days(records.select(F.col("day").cast("date").alias("day")), bounds["lo"], bounds["hi"])
+    first = date.fromisoformat(cfg.expected_first_date) if cfg.expected_first_date else bounds["lo"]
+    last = date.fromisoformat(cfg.expected_last_date) if cfg.expected_last_date else bounds["hi"]
+    manifest = st.manifest(records, first, last)
+    missing = st.missing_days(records.select(F.col("day").cast("date").alias("day")), first, last)
     catalog = os.path.join(store_root, "_catalog")
     records.write.mode("overwrite").json(os.path.join(catalog, "partitions"))
     manifest.write.mode("overwrite").json(os.path.join(catalog, "manifest"))
-    missing.agg(F.collect_list(F.date_format("day", "yyyy-MM-dd")).alias("missing_dates"), F.count(F.lit(1)).alias("count")).write.mode(
-        "overwrite"
-    ).json(os.path.join(catalog, "missing"))
+    # one line per missing day: a list of any length, never gathered into one row
+    missing.select(F.date_format("day", "yyyy-MM-dd").alias("missing_date")).write.mode("overwrite").json(os.path.join(catalog, "missing"))
     return {"plan": plan, "partitions": records, "manifest": manifest, "missing": missing, "quarantine": quarantine}

@@ -24,11 +24,10 @@ SOURCE_COLUMNS = (
     "internet",
 )
 N_FIELDS = len(SOURCE_COLUMNS)
-MAX_SQUARE_ID = 65535
 
 CANONICAL_SCHEMA = T.StructType(
     [
-        T.StructField("square_id", T.IntegerType(), False),
+        T.StructField("square_id", T.LongType(), False),
         T.StructField("ts", T.TimestampType(), False),
         T.StructField("internet", T.FloatType(), True),
     ]
@@ -61,12 +60,13 @@ def _fields(line: Column) -> Column:
     return F.split(line, "\t", -1)
 
 
-def parsed_columns(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def parsed_columns(lines: DataFrame, line_col: str = "line", max_id: int | None = None) -> DataFrame:
     """Split lines and type the three kept fields.
 
-    Adds: ``_n`` field count, ``square_id`` int, ``time_interval`` bigint,
+    Adds: ``_n`` field count, ``square_id`` bigint, ``time_interval`` bigint,
     ``internet`` double (empty string is the only NULL token) and
-    ``_value_ok`` (every kept field parsed and the id fits 0..65535).
+    ``_value_ok`` (every kept field parsed, the id is not negative and, if a
+    ``max_id`` is configured, not above it).
     """
     f = _fields(F.col(line_col))
     raw_id = F.get(f, 0)
@@ -77,14 +77,14 @@ def parsed_columns(lines: DataFrame, line_col: str = "line") -> DataFrame:
     net = F.expr("try_cast(nullif(get(split(`%s`, '\\t', -1), 7), '') AS DOUBLE)" % line_col)
     ok = (
         sid.isNotNull()
-        & sid.between(0, MAX_SQUARE_ID)
+        & (sid >= 0 if max_id is None else sid.between(0, max_id))
         & ms.isNotNull()
         & ((raw_net == "") | net.isNotNull())
     )
     return lines.select(
         "*",
         F.size(f).alias("_n"),
-        sid.cast("int").alias("square_id"),
+        sid.alias("square_id"),
         ms.alias("time_interval"),
         net.alias("internet"),
         F.coalesce(ok, F.lit(False)).alias("_value_ok"),
@@ -93,7 +93,7 @@ def parsed_columns(lines: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, on_bad_row: str = "fail", line_col: str = "line") -> DataFrame:
+def parse_lines(lines: DataFrame, on_bad_row: str = "fail", line_col: str = "line", max_id: int | None = None) -> DataFrame:
     """Well-formed, typed rows.
 
     Lines with a wrong field count are always skipped. A kept field that
@@ -108,7 +108,7 @@ def parse_lines(lines: DataFrame, on_bad_row: str = "fail", line_col: str = "lin
     """
     if on_bad_row not in ("fail", "skip", "quarantine"):
         raise ValueError(f"on_bad_row must be fail, skip or quarantine, not {on_bad_row!r}")
-    p = parsed_columns(lines, line_col).where(F.col("_n") == N_FIELDS)
+    p = parsed_columns(lines, line_col, max_id).where(F.col("_n") == N_FIELDS)
     ok = F.col("_value_ok")
     if on_bad_row == "fail":
         # a filter, so the check runs even when later steps prune the columns
@@ -125,30 +125,34 @@ def parse_lines(lines: DataFrame, on_bad_row: str = "fail", line_col: str = "lin
     return out if on_bad_row == "fail" else out.where(F.col("square_id").isNotNull())
 
 
-def bad_rows(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def bad_rows(lines: DataFrame, line_col: str = "line", max_id: int | None = None) -> DataFrame:
     """Quarantine: lines dropped by parsing, with a reason (D3)."""
-    p = parsed_columns(lines, line_col)
+    p = parsed_columns(lines, line_col, max_id)
     reason = F.when(F.col("_n") != N_FIELDS, F.lit("field_count")).when(~F.col("_value_ok"), F.lit("bad_value"))
     keep = [c for c in lines.columns]
     return p.select(*keep, F.col("_n").alias("n_fields"), reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def canonicalise(parsed: DataFrame, tz: str = "Europe/Rome", session_tz: str = "UTC") -> DataFrame:
-    """Drop NULL measures, sum over country per (cell, bin), cast.
+    """Drop NULL measures, sum over country per (file day, cell, bin), cast.
 
-    ``ts`` is the instant of the epoch-ms bin; ``day`` / ``year_month`` are
-    its local calendar date in ``tz`` (the store's partition keys).
+    ``ts`` is the instant of the epoch-ms bin. ``day`` / ``year_month``, the
+    store's partition keys, are the date in the row's file name, so a file's rows
+    are stored, skipped and replaced together even where one lies in a
+    neighbour day; rows without a file date use their local date in ``tz``.
     """
+    by_file = "file_name" in parsed.columns
+    file_day = tf.date_from_filename(F.col("file_name")) if by_file else F.lit(None).cast("date")
     agg = (
         parsed.where(F.col("internet").isNotNull())
-        .groupBy("square_id", "time_interval")
+        .groupBy(file_day.alias("_file_day"), "square_id", "time_interval")
         .agg(F.sum("internet").alias("internet"))
     )
     ts = F.timestamp_millis(F.col("time_interval"))
-    staged = agg.select(F.col("square_id").cast("int").alias("square_id"), ts.alias("ts"), F.col("internet").cast("float").alias("internet"))
+    staged = agg.select("_file_day", "square_id", ts.alias("ts"), F.col("internet").cast("float").alias("internet"))
     local = F.convert_timezone(F.lit(session_tz), F.lit(tz), F.col("ts").cast("timestamp_ntz"))
-    day = F.to_date(local)
-    return staged.withColumn("day", day).withColumn("year_month", tf.year_month_key(day))
+    day = F.coalesce(F.col("_file_day"), F.to_date(local))
+    return staged.withColumn("day", day).withColumn("year_month", tf.year_month_key(day)).drop("_file_day")
 
 
 def to_canonical(df: DataFrame, tz: str = "Europe/Rome", session_tz: str = "UTC") -> DataFrame:
@@ -159,7 +163,7 @@ def to_canonical(df: DataFrame, tz: str = "Europe/Rome", session_tz: str = "UTC"
     """
     missing = [c.name for c in CANONICAL_SCHEMA.fields if c.name not in df.columns]
     if missing:
-        raise ValueError(f"Cannot cast to canonical schema, missing columns: {missing}")
+        raise ValueError(f"canonical columns not found: {', '.join(missing)}")
     t = df.schema["ts"].dataType
     if isinstance(t, (T.LongType, T.IntegerType)):
         ts = F.timestamp_millis(F.col("ts"))
@@ -168,7 +172,7 @@ def to_canonical(df: DataFrame, tz: str = "Europe/Rome", session_tz: str = "UTC"
     else:
         ts = F.col("ts").cast("timestamp")
     return df.select(
-        F.col("square_id").cast("int").alias("square_id"),
+        F.col("square_id").cast("long").alias("square_id"),
         ts.alias("ts"),
         F.col("internet").cast("float").alias("internet"),
     )

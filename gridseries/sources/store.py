@@ -7,16 +7,15 @@ partitions instead of opening every file.
 
 from __future__ import annotations
 
-import math
-from datetime import date
+from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lines import CANONICAL_SCHEMA
 
-STORE_SCHEMA = "square_id int, ts timestamp, internet float, year_month string, day date"
+STORE_SCHEMA = "square_id bigint, ts timestamp, internet float, year_month string, day date"
 
 
 def write_store(
@@ -28,22 +27,20 @@ def write_store(
 ) -> None:
     """Write canonical rows partitioned by (year_month, day).
 
-    Rows are range-partitioned on (day, square_id, ts) into about
-    rows / ``rows_per_file`` tasks: a day that holds a large share of the
-    data is split over several tasks (several sorted files) instead of
-    landing in one, and every file is sorted by (square_id, ts) so Parquet
-    min/max statistics skip row groups on cell / time filters. Dynamic
-    partition overwrite replaces only the days being written, and the output
-    committer gives task/job atomicity in place of tmp-then-rename.
+    Rows are rebalanced by day: adaptive execution splits a day that holds a
+    large share of the data over several tasks and joins small days, so neither a
+    count nor a cached copy is needed. Every file is sorted by (square_id, ts), so
+    Parquet min/max statistics skip row groups on cell / time filters. Dynamic
+    partition overwrite, set for this write only, replaces only the days being
+    written, and the output committer gives task/job atomicity in place of
+    tmp-then-rename.
     """
-    spark = canonical.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    staged = canonical.persist(StorageLevel.MEMORY_AND_DISK)
-    n = max(1, min(100_000, math.ceil(staged.count() / rows_per_file)))
     (
-        staged.repartitionByRange(n, "day", "square_id", "ts")
-        .sortWithinPartitions("day", "square_id", "ts")
+        canonical.hint("rebalance", "day")
+        # the partition columns first: another order would be sorted away by the writer
+        .sortWithinPartitions("year_month", "day", "square_id", "ts")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
         .option("parquet.enable.dictionary", "false")
         .option("parquet.block.size", str(32 * 1024 * 1024))
@@ -51,7 +48,32 @@ def write_store(
         .partitionBy("year_month", "day")
         .parquet(root)
     )
-    staged.unpersist()
+
+
+QUARANTINE = "_quarantine"
+
+
+def write_quarantine(bad: DataFrame, root: str, file_col: str = "file_name") -> None:
+    """Bad lines below the store, a folder for each file day (D3).
+
+    A day written again replaces its own lines and no other's; lines of files
+    without a date share the folder of a NULL day.
+    """
+    from ..functions import time as tf
+
+    (
+        bad.withColumn("day", tf.date_from_filename(F.col(file_col)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .parquet(f"{root.rstrip('/')}/{QUARANTINE}")
+    )
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """All bad lines kept so far: (line, file_name, n_fields, reason, day)."""
+    schema = "line string, file_name string, n_fields int, reason string, day date"
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{QUARANTINE}")
 
 
 def read_store(spark: SparkSession, root: str) -> DataFrame:
@@ -70,8 +92,13 @@ def day_filter(start: date | None, end: date | None):
 
 
 def list_partitions(spark: SparkSession, root: str) -> DataFrame:
-    """Stored days, sorted (S10, T7). Reads only partition values and footers."""
-    return read_store(spark, root).select("year_month", "day").distinct().orderBy("day")
+    """Stored days, sorted (S10, T7): from the listing of the files, none of which is opened."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path")
+    )
+    key = r"/year_month=([^/]+)/day=(\d{4}-\d{2}-\d{2})/[^/]+$"
+    found = files.select(F.regexp_extract("path", key, 1).alias("year_month"), F.regexp_extract("path", key, 2).alias("day"))
+    return found.where("day <> ''").select("year_month", F.col("day").cast("date").alias("day")).distinct().orderBy("day")
 
 
 def has_partition(spark: SparkSession, root: str, day: date) -> bool:
@@ -122,11 +149,6 @@ def manifest(records: DataFrame, expected_start: date, expected_end: date) -> Da
     )
 
 
-def calendar(spark: SparkSession, start, end) -> DataFrame:
-    """Every day of [start, end]; bounds may be dates or Columns from an aggregate."""
-    return spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("day"))
-
-
 def missing_days(present: DataFrame, start=None, end=None) -> DataFrame:
     """Days of the expected calendar with no data.
 
@@ -152,6 +174,8 @@ def incremental_plan(files: DataFrame, stored: DataFrame, force: bool = False, l
 __all__ = [
     "CANONICAL_SCHEMA",
     "write_store",
+    "write_quarantine",
+    "read_quarantine",
     "read_store",
     "day_filter",
     "list_partitions",
@@ -159,7 +183,6 @@ __all__ = [
     "file_checksums",
     "profile_partitions",
     "manifest",
-    "calendar",
     "missing_days",
     "incremental_plan",
 ]
@@ -176,20 +199,23 @@ def load_series(
     """Cells' series from the store with cell, time and partition filters.
 
     Naive bounds are local wall-clock times in ``tz``. Besides the exact
-    ``ts`` bounds, a ``day`` partition predicate is derived from them, so
-    only the folders of the requested days are listed and read; the cell
-    filter reaches the Parquet reader, where the (square_id, ts) sort order
-    lets row-group statistics skip data. Duplicates are kept.
+    ``ts`` bounds, a ``day`` partition predicate is derived from them, one day
+    wider on either side since a folder holds what its day's file held, so only those
+    folders are listed and read; the cell filter reaches the Parquet reader, where the
+    (square_id, ts) sort order lets row-group statistics skip data. Duplicates are kept.
     """
     from ..operators.series import ts_literal
 
+    def local_day(bound: datetime) -> date:
+        return (bound.astimezone(ZoneInfo(tz)) if bound.tzinfo else bound).date()
+
     df = read_store(spark, root)
     cond = F.lit(True)
     if ids is not None:
         ids = list(ids) if not isinstance(ids, (int, str)) else [ids]
         cond = cond & F.col("square_id").isin(ids)
     if start is not None:
-        cond = cond & (F.col("ts") >= ts_literal(df, "ts", start, tz)) & (F.col("day") >= F.lit(start.date()))
+        cond = cond & (F.col("ts") >= ts_literal(df, "ts", start, tz)) & (F.col("day") >= F.lit(local_day(start) - timedelta(days=1)))
     if end is not None:
-        cond = cond & (F.col("ts") <= ts_literal(df, "ts", end, tz)) & (F.col("day") <= F.lit(end.date()))
+        cond = cond & (F.col("ts") <= ts_literal(df, "ts", end, tz)) & (F.col("day") <= F.lit(local_day(end) + timedelta(days=1)))
     return df.where(cond).select("square_id", "ts", "internet", "day")

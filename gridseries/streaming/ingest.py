@@ -19,8 +19,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import SeriesSpec
 from ..functions import time as tf
-from ..sources.lines import canonicalise, parse_lines
-from ..sources.store import write_store
+from ..sources.lines import bad_rows, canonicalise, parse_lines
+from ..sources.store import write_quarantine, write_store
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -40,19 +40,22 @@ def incremental_ingest(
     tz: str = "Europe/Rome",
     on_bad_row: str = "fail",
     files_per_batch: int | None = None,
+    max_id: int | None = None,
 ):
     """Ingest daily files not yet seen, then stop (trigger availableNow).
 
     The checkpoint records processed files, so a rerun only picks up new
     days (the skip-existing plan). Each micro-batch is canonicalised and
     written with dynamic partition overwrite, so a replayed batch rewrites
-    the same days instead of duplicating them. This relies on the source
-    layout of one file per day: a day's rows must arrive in one batch, which
-    ``files_per_batch`` (files per micro-batch, default unlimited) must not
-    split. Returns the finished query.
+    the same days instead of duplicating them; bad lines go to the day's
+    quarantine in the same way. A day must arrive in one batch: ``files_per_batch``
+    (files per micro-batch, default unlimited) is for one file a day, and is refused for a
+    folder a day, whose files a batch could part. Returns the finished query.
     """
     reader = spark.readStream.format("text")
     if files_per_batch:
+        if "file_name" in spark.read.text(raw_dir).columns:
+            raise ValueError("files_per_batch would part the files of one day's folder")
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.load(raw_dir)
     # day files directly in the folder, or one folder per day file (file_name=<name>/part-*)
@@ -63,7 +66,9 @@ def incremental_ingest(
     session_tz = spark.conf.get("spark.sql.session.timeZone")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        canon = canonicalise(parse_lines(batch, on_bad_row=on_bad_row), tz=tz, session_tz=session_tz)
+        if on_bad_row == "quarantine":
+            write_quarantine(bad_rows(batch, max_id=max_id), store_root)
+        canon = canonicalise(parse_lines(batch, on_bad_row=on_bad_row, max_id=max_id), tz=tz, session_tz=session_tz)
         write_store(canon, store_root, mode="overwrite")
 
     q = (

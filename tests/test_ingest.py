@@ -27,7 +27,7 @@ def test_canonical_sums_countries_and_drops_nulls(spark):
     got = sorted((r.square_id, r.internet) for r in canon.collect())
     assert got == [(42, 7.0), (5161, 4.0)]
     assert dict(canon.dtypes)["internet"] == "float"
-    assert dict(canon.dtypes)["square_id"] == "int"
+    assert dict(canon.dtypes)["square_id"] == "bigint"
 
 
 def test_epoch_is_local_midnight_in_rome(spark):
@@ -62,7 +62,7 @@ def test_to_canonical_checks_columns(spark):
     with pytest.raises(ValueError, match="internet"):
         ln.to_canonical(df)
     ok = ln.to_canonical(spark.createDataFrame([(1, 1383260400000, 2.5)], "square_id long, ts bigint, internet double"))
-    assert dict(ok.dtypes) == {"square_id": "int", "ts": "timestamp", "internet": "float"}
+    assert dict(ok.dtypes) == {"square_id": "bigint", "ts": "timestamp", "internet": "float"}
 
 
 def test_ingest_profile(spark):
