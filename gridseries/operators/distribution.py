@@ -112,13 +112,26 @@ def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame
     )
 
 
-def spatial_grid(totals: DataFrame, spark: SparkSession, entity: str, side: int = 100, value: str = "total") -> DataFrame:
+def grid_side(totals: DataFrame, entity: str) -> int:
+    """Side of the smallest square grid that holds every id (1-based); one scalar job."""
+    top = totals.agg(F.max(F.col(entity).cast("bigint"))).first()[0]
+    return max(1, math.isqrt(max(1, top or 1) - 1) + 1)
+
+
+def spatial_grid(totals: DataFrame, spark: SparkSession, entity: str, side: int | None = None, value: str = "total") -> DataFrame:
     """Totals placed on a ``side`` x ``side`` grid, 1-based ids row by row from the
     bottom-left (E11, X13, F9). Every cell appears; empty cells are NULL.
-    Ids outside 1..side² are ignored.
+    The side follows from the largest id unless it is given; a given side that is
+    too small for an id fails rather than lose it.
     """
+    fits = side is None
+    side = grid_side(totals, entity) if fits else side
     cells = spark.range(1, side * side + 1).select(F.col("id").alias(entity))
-    t = totals.select(F.col(entity).cast("bigint").alias(entity), F.col(value).alias("total"))
+    id_ = F.col(entity).cast("bigint")
+    if not fits:
+        outside = ~id_.between(1, side * side)
+        id_ = F.when(outside, F.raise_error(F.concat(F.lit("cell id outside the grid: "), id_.cast("string"))).cast("bigint")).otherwise(id_)
+    t = totals.select(id_.alias(entity), F.col(value).alias("total"))
     out = cells.join(t, entity, "left")
     return out.select(
         entity,

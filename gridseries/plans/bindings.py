@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from datetime import datetime
 
@@ -60,52 +59,64 @@ def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily-file lines derived from events (M1 layout, 8 TAB fields).
 
-    square_id = user_id, time_interval = epoch ms of the 10-minute bin,
-    country_code = length of the event type, three activity fields empty,
-    call_out = event_id and internet = value, left empty for 'error' events
-    (the null token). The file name carries the event's calendar day.
+    Every event is a line: square_id = user_id, time_interval = epoch ms of the
+    10-minute bin, country_code = length of the event type, three activity fields
+    empty, call_out = event_id, internet = value, in the file of its calendar day. Added
+    to these, from the same events and so in proportion to them:
+
+    * error events: a line with the null token for internet;
+    * signup events: a line of cell user_id + 70000 (an id beyond 16 bits);
+    * purchase events: the line again in the file of the day before (a spill row);
+    * every tenth event id: a line of two fields and one whose id is no number.
     """
     ev = events(spark, sf_dir)
     bin_ms = (
         F.floor(F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 600) * 600000
     ).cast("bigint")
-    k = F.length("event_type").cast("string")
-    internet = F.when(F.col("event_type") != "error", F.col("value").cast("string"))
-    fields = [
-        F.col("user_id").cast("string"),
-        bin_ms.cast("string"),
-        k,
-        F.lit(""),
-        F.lit(""),
-        F.lit(""),
-        F.col("event_id").cast("string"),
-        internet,
-    ]
-    # concat_ws skips NULLs, which would shift fields: NULL becomes the empty token
-    line = F.concat_ws("\t", *[F.coalesce(f, F.lit("")) for f in fields])
-    fname = F.concat(F.lit("sms-call-internet-mi-"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".txt"))
-    return ev.select(line.alias("line"), fname.alias("file_name"))
-
-
-RAW_LINES_SCHEMA = T.StructType([T.StructField("line", T.StringType()), T.StructField("file_name", T.StringType())])
-
-_LINE_FILES: dict[tuple[int, str], str] = {}
-
 
-def raw_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw lines as text files, scanned back the way ingest reads them.
-
-    Spark writes the derived lines once per session and table folder into
-    the shared checkpoint folder, one sub-folder per daily file name
-    (``file_name=sms-call-internet-mi-YYYY-MM-DD.txt``); the scan returns
-    (line, file_name) with the day file name from the folder key.
+    def line(square_id, internet):
+        fields = [
+            square_id.cast("string"), bin_ms.cast("string"), F.length("event_type").cast("string"),
+            F.lit(""), F.lit(""), F.lit(""), F.col("event_id").cast("string"), internet.cast("string"),
+        ]
+        # concat_ws skips NULLs, which would shift fields: NULL becomes the empty token
+        return F.concat_ws("\t", *[F.coalesce(f, F.lit("")) for f in fields])
+
+    uid, value, null = F.col("user_id"), F.col("value"), F.lit(None).cast("double")
+    tenth = F.col("event_id") % 10 == 0
+    lines = F.array(
+        F.struct(line(uid, value).alias("line"), F.lit(0).alias("back")),
+        F.when(F.col("event_type") == "error", F.struct(line(uid, null).alias("line"), F.lit(0).alias("back"))),
+        F.when(F.col("event_type") == "signup", F.struct(line(uid + 70000, value).alias("line"), F.lit(0).alias("back"))),
+        F.when(F.col("event_type") == "purchase", F.struct(line(uid, value).alias("line"), F.lit(1).alias("back"))),
+        F.when(tenth, F.struct(F.concat_ws("\t", uid.cast("string"), bin_ms.cast("string")).alias("line"), F.lit(0).alias("back"))),
+        F.when(tenth, F.struct(line(F.concat(F.lit("x"), uid.cast("string")), value).alias("line"), F.lit(0).alias("back"))),
+    )
+    rows = ev.select(F.to_date("ts").alias("day"), F.explode(lines).alias("l")).where("l IS NOT NULL")
+    day = F.date_format(F.date_sub("day", F.col("l.back")), "yyyy-MM-dd")
+    return rows.select("l.line", F.concat(F.lit("sms-call-internet-mi-"), day, F.lit(".txt")).alias("file_name"))
+
+
+_LINE_FOLDERS: dict[tuple[str, str], str] = {}
+
+
+def raw_line_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the raw lines as text files, written once per application and table folder.
+
+    It lies in the shared checkpoint folder, with one sub-folder per daily file
+    name (``file_name=sms-call-internet-mi-YYYY-MM-DD.txt``).
     """
     from ..streaming.ingest import scratch
 
-    key = (id(spark), sf_dir)
-    if key not in _LINE_FILES:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LINE_FOLDERS:
         folder = scratch(spark, "raw-lines")
         raw_lines(spark, sf_dir).write.partitionBy("file_name").text(folder)
-        _LINE_FILES[key] = folder
-    df = spark.read.text(_LINE_FILES[key])
+        _LINE_FOLDERS[key] = folder
+    return _LINE_FOLDERS[key]
+
+
+def raw_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines scanned back the way ingest reads them: (line, file_name)."""
+    df = spark.read.text(raw_line_folder(spark, sf_dir))
     return df.select(F.col("value").alias("line"), "file_name")

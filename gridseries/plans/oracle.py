@@ -100,11 +100,19 @@ FROM m
 """
 
 
-CANON = """
+LINES = """
+lines AS (
+  SELECT user_id AS square_id, time_bucket(INTERVAL 10 MINUTE, ts) AS ts, value, ts::DATE AS file_day, true AS good FROM events
+  UNION ALL SELECT user_id, time_bucket(INTERVAL 10 MINUTE, ts), NULL, ts::DATE, true FROM events WHERE event_type = 'error'
+  UNION ALL SELECT user_id + 70000, time_bucket(INTERVAL 10 MINUTE, ts), value, ts::DATE, true FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT user_id, time_bucket(INTERVAL 10 MINUTE, ts), value, ts::DATE - 1, true FROM events WHERE event_type = 'purchase'
+  UNION ALL SELECT user_id, time_bucket(INTERVAL 10 MINUTE, ts), value, ts::DATE, false FROM events, range(2) WHERE event_id % 10 = 0
+)"""
+
+CANON = f"""{LINES},
 canon AS (
-  SELECT CAST(user_id AS INTEGER) AS square_id, time_bucket(INTERVAL 10 MINUTE, ts) AS ts,
-         CAST(sum(value) AS FLOAT) AS internet
-  FROM events WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY 1, 2
+  SELECT file_day, CAST(square_id AS BIGINT) AS square_id, ts, CAST(sum(value) AS FLOAT) AS internet
+  FROM lines WHERE good AND value IS NOT NULL GROUP BY 1, 2, 3
 )"""
 
 CELLS = """
@@ -153,28 +161,60 @@ WEEK2 = "TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-14 23:00:00'"
 # ---------------------------------------------------------------- ingest
 SQL["canonical_from_lines"] = f"""
 WITH {CANON}
-SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')},
-       strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month
+SELECT square_id, {_ts('ts')}, {_r('internet')},
+       strftime(file_day, '%Y-%m-%d') AS day, strftime(file_day, '%Y-%m') AS year_month
 FROM canon
 """
 
 SQL["ingest_profile"] = f"""
-WITH {CANON}
-SELECT count(*) AS raw_rows, count(*) AS well_formed_rows, count(*) AS parsed_rows,
-       count(*) FILTER (WHERE event_type <> 'error' AND value IS NOT NULL) AS non_null_rows,
-       (SELECT count(*) FROM canon) AS canonical_rows,
-       {_r('(SELECT count(*) FROM canon) / CAST(count(*) AS DOUBLE)', 'reduction_ratio')}
-FROM events
+WITH {LINES},
+n AS (
+  SELECT count(*) AS raw_rows,
+         count(*) - (SELECT count(*) FROM events WHERE event_id % 10 = 0) AS well_formed_rows,
+         count(*) FILTER (WHERE good) AS parsed_rows,
+         count(*) FILTER (WHERE good AND value IS NOT NULL) AS non_null_rows,
+         (SELECT count(*) FROM (SELECT DISTINCT square_id, ts FROM lines WHERE good AND value IS NOT NULL)) AS canonical_rows
+  FROM lines
+)
+SELECT *, {_r('canonical_rows / CAST(raw_rows AS DOUBLE)', 'reduction_ratio')} FROM n
 """
 
 SQL["daily_manifest"] = f"""
 WITH {CANON}
-SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month,
-       'year_month=' || strftime(ts, '%Y-%m') || '/day=' || strftime(ts, '%Y-%m-%d') AS path,
+SELECT strftime(file_day, '%Y-%m-%d') AS day, strftime(file_day, '%Y-%m') AS year_month,
+       'year_month=' || strftime(file_day, '%Y-%m') || '/day=' || strftime(file_day, '%Y-%m-%d') AS path,
        count(*) AS rows, count(DISTINCT square_id) AS cells
 FROM canon GROUP BY 1, 2, 3
 """
 
+SQL["ingest_two_runs"] = f"""
+WITH {CANON},
+stored AS (SELECT file_day, count(*) AS rows, max(square_id) AS max_id, sum(internet::DOUBLE) AS total FROM canon GROUP BY 1),
+bad AS (SELECT file_day, count(*) AS bad_lines FROM lines WHERE NOT good GROUP BY 1)
+SELECT strftime(coalesce(s.file_day, b.file_day), '%Y-%m-%d') AS day, rows, max_id, round(total) AS total, coalesce(bad_lines, 0) AS bad_lines
+FROM stored s FULL JOIN bad b ON b.file_day = s.file_day
+"""
+
+SQL["quarantine_rows"] = """
+WITH e AS (
+  SELECT *, (epoch(time_bucket(INTERVAL 10 MINUTE, ts)) * 1000)::BIGINT AS ms, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE event_id % 10 = 0
+)
+SELECT user_id || chr(9) || ms AS line, 'sms-call-internet-mi-' || day || '.txt' AS file_name, 2::BIGINT AS n_fields, 'field_count' AS reason, day FROM e
+UNION ALL
+SELECT concat('x', user_id, chr(9), ms, chr(9), length(event_type), repeat(chr(9), 4), event_id, chr(9), value),
+       'sms-call-internet-mi-' || day || '.txt', 8, 'bad_value', day FROM e
+"""
+
+SQL["ingest_manifest"] = f"""
+WITH {CANON},
+present AS (SELECT DISTINCT file_day FROM canon),
+missing AS (SELECT d::DATE AS day FROM generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) g(d) ANTI JOIN present ON file_day = d::DATE)
+SELECT '2023-12-30' AS expected_start, '2024-02-02' AS expected_end,
+  (SELECT count(*) FROM present) AS n_partitions, (SELECT count(*) FROM canon) AS total_rows,
+  (SELECT count(*) FROM missing) AS n_missing,
+  (SELECT strftime(min(day), '%Y-%m-%d') FROM missing) AS first_missing, (SELECT strftime(max(day), '%Y-%m-%d') FROM missing) AS last_missing
+"""
+
 SQL["missing_hours"] = f"""
 WITH {HOURLY}, {GRID_HOURLY}
 SELECT g.event_type, {_ts('g.ts', 'ts')}
@@ -193,7 +233,7 @@ FROM g ANTI JOIN daily d ON d.o_orderpriority = g.o_orderpriority AND d.ts = g.t
 SQL["area_series"] = f"""
 WITH {HOURLY}
 SELECT event_type, {_ts('ts')}, {_r('value')}
-FROM hourly WHERE event_type = 'click' AND ts BETWEEN {WEEK2}
+FROM hourly WHERE event_type = 'click'
 """
 
 SQL["areas_wide"] = f"""
@@ -201,7 +241,6 @@ WITH {HOURLY}
 SELECT {_ts('ts')},
   {', '.join(_r(f"avg(value) FILTER (WHERE event_type = '{e}')", f'area_{e}') for e in ['click', 'error', 'purchase', 'signup', 'view'])}
 FROM hourly
-WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view') AND ts BETWEEN {WEEK2}
 GROUP BY ts
 """
 
@@ -320,18 +359,19 @@ FROM grid, logs GROUP BY j, gx, n, h
 """
 
 SQL["spatial_grid"] = f"""
-WITH {CELLS}
-SELECT c.range AS user_id, CAST(floor((c.range - 1) / 40) AS BIGINT) AS row,
-       CAST((c.range - 1) % 40 AS BIGINT) AS col, {_r('t.total', 'total')},
+WITH {CELLS},
+side AS (SELECT ceil(sqrt(max(user_id) + 1))::BIGINT AS n FROM totals)
+SELECT c.id AS user_id, CAST(floor((c.id - 1) / n) AS BIGINT) AS row,
+       CAST((c.id - 1) % n AS BIGINT) AS col, {_r('t.total', 'total')},
        {_r('CASE WHEN t.total > 0 THEN log10(t.total) END', 'log10_total')}
-FROM range(1, 1601) c LEFT JOIN totals t ON t.user_id = c.range
+FROM side, (SELECT unnest(range(1, n * n + 1)) AS id FROM side) c LEFT JOIN totals t ON t.user_id + 1 = c.id
 """
 
 SQL["spatial_stats"] = f"""
 WITH {CELLS}
-SELECT (SELECT user_id FROM totals ORDER BY total DESC, user_id LIMIT 1) AS top_area,
+SELECT (SELECT user_id + 1 FROM totals ORDER BY total DESC, user_id LIMIT 1) AS top_area,
        {_r('(SELECT max(total) FROM totals)', 'top_value')},
-       (SELECT count(*) FROM totals WHERE user_id BETWEEN 1 AND 1600 AND total > 0) AS n_nonzero
+       (SELECT count(*) FROM totals WHERE total > 0) AS n_nonzero
 """
 
 # ---------------------------------------------------------------- EDA in SQL
@@ -665,7 +705,7 @@ SELECT user_id, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('
 
 SQL["store_partitions"] = f"""
 WITH {CANON}
-SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m') AS year_month, CAST(1 AS BIGINT) AS files,
+SELECT strftime(file_day, '%Y-%m-%d') AS day, strftime(file_day, '%Y-%m') AS year_month,
        count(*) AS rows, true AS has_bytes, true AS has_sha256
 FROM canon GROUP BY 1, 2
 """
@@ -841,7 +881,7 @@ SQL["kpss_auto"] = _kpss_auto_sql()
 
 SQL["stream_incremental"] = f"""
 WITH {CANON}
-SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}, strftime(ts, '%Y-%m-%d') AS day
+SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}, strftime(file_day, '%Y-%m-%d') AS day
 FROM canon
 """
 

@@ -70,7 +70,6 @@ from ..sources import lines as ln  # noqa: E402
 TEN = b.EVENTS_10MIN
 C = b.EVENTS_CELLS
 O = b.ORDERS_DAILY
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def _session_tz(spark) -> str:
@@ -114,11 +113,14 @@ WEEK2 = (datetime(2024, 1, 8, 0, 0), datetime(2024, 1, 14, 23, 0))
 
 
 def q_area_series(spark, d):
-    return present(ser.area_series(b.hourly(spark, d), S, "click", *WEEK2))
+    return present(ser.area_series(b.hourly(spark, d), S, "click"))
 
 
 def q_areas_wide(spark, d):
-    return present(ser.areas_wide(b.hourly(spark, d), S, EVENT_TYPES, *WEEK2))
+    h = b.hourly(spark, d)
+    # one column per entity: the list of columns is part of the query, so it is read first
+    ids = [r[0] for r in h.select(S.entity).distinct().orderBy(S.entity).collect()]
+    return present(ser.areas_wide(h, S, ids))
 
 
 def _totals(spark, d):
@@ -171,7 +173,9 @@ def q_seasonal_diff(spark, d):
 
 
 # ---------------------------------------------------------------- city / spatial
-GRID_SIDE = 40
+def _grid_totals(spark, d):
+    """Totals under 1-based cell ids (user ids start at 0)."""
+    return _totals(spark, d).withColumn(C.entity, F.col(C.entity) + 1)
 
 
 def q_city_stats(spark, d):
@@ -187,12 +191,12 @@ def q_city_kde(spark, d):
 
 
 def q_spatial_grid(spark, d):
-    return present(dist.spatial_grid(_totals(spark, d), spark, C.entity, GRID_SIDE))
+    return present(dist.spatial_grid(_grid_totals(spark, d), spark, C.entity))
 
 
 def q_spatial_stats(spark, d):
-    t = _totals(spark, d)
-    g = dist.spatial_grid(t, spark, C.entity, GRID_SIDE)
+    t = _grid_totals(spark, d)
+    g = dist.spatial_grid(t, spark, C.entity)
     return present(dist.spatial_stats(g, t, C.entity))
 
 
@@ -494,12 +498,12 @@ def q_cells_walkforward(spark, d):
     return present(ev.metrics_table(ev.walk_forward(f, C, b.SPLIT.test_start, b.SPLIT.test_end), C))
 
 
-_STORES: dict[tuple[int, str], str] = {}
+_STORES: dict[tuple[str, str], str] = {}
 
 
 def _store_root(spark, d) -> str:
-    """The canonical store written once per session and table folder (K1)."""
-    key = (id(spark), d)
+    """The canonical store written once per application and table folder (K1)."""
+    key = (spark.sparkContext.applicationId, d)
     if key not in _STORES:
         root = stm.scratch(spark, "store")
         st.write_store(_canonical(spark, d), root)
@@ -513,7 +517,6 @@ def q_store_partitions(spark, d):
     prof = st.profile_partitions(spark, root)
     listed = st.list_partitions(spark, root).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "year_month")
     per_day = prof.groupBy("day").agg(
-        F.count(F.lit(1)).alias("files"),
         F.sum("rows").alias("rows"),
         F.min(F.col("bytes") > 0).alias("has_bytes"),
         F.min(F.length("sha256") == 64).alias("has_sha256"),
@@ -593,10 +596,9 @@ QUERIES["tuning_learned"] = q_tuning_learned
 
 def q_stream_incremental(spark, d):
     """Streaming ingest of the day files into a fresh store, read back."""
-    b.raw_line_files(spark, d)  # make sure the derived day files exist
     folder = stm.scratch(spark, "stream-ingest")
     stm.incremental_ingest(
-        spark, b._LINE_FILES[(id(spark), d)], f"{folder}/store", f"{folder}/checkpoint", tz=TEN.tz, on_bad_row="quarantine"
+        spark, b.raw_line_folder(spark, d), f"{folder}/store", f"{folder}/checkpoint", tz=TEN.tz, on_bad_row="quarantine"
     )
     s = st.read_store(spark, f"{folder}/store")
     wall = F.convert_timezone(F.lit(_session_tz(spark)), F.lit(TEN.tz), F.col("ts").cast("timestamp_ntz"))
@@ -604,3 +606,46 @@ def q_stream_incremental(spark, d):
 
 
 QUERIES["stream_incremental"] = q_stream_incremental
+
+
+# ---------------------------------------------------------------- whole ingest runs
+from ..config import IngestConfig  # noqa: E402
+from ..plans import ingest as ing  # noqa: E402
+
+
+def _two_runs(spark, d):
+    """Ingest the first ten days, then the rest, as two runs over the same store; returns the second run's catalog."""
+    root = stm.scratch(spark, "two-runs")
+    raw = b.raw_line_folder(spark, d)
+    cfg = IngestConfig(tz=TEN.tz, expected_first_date="2023-12-30", expected_last_date="2024-02-02")
+    ing.run_ingest(spark, raw, root, cfg, limit_days=10)
+    return root, ing.run_ingest(spark, raw, root, cfg)
+
+
+def q_ingest_two_runs(spark, d):
+    """Stored rows and quarantined lines of each day after two runs: together they hold every line."""
+    root, out = _two_runs(spark, d)
+    stored = st.read_store(spark, root).groupBy("day").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("square_id").alias("max_id"), F.sum(F.col("internet").cast("double")).alias("total")
+    )
+    bad = out["quarantine"].groupBy("day").agg(F.count(F.lit(1)).alias("bad_lines"))
+    both = stored.join(bad, "day", "full_outer").withColumn("bad_lines", F.coalesce("bad_lines", F.lit(0)))
+    return present(both.withColumn("total", F.round("total", 0)))
+
+
+def q_quarantine_rows(spark, d):
+    """Every bad line of both runs with its reason."""
+    return present(_two_runs(spark, d)[1]["quarantine"])
+
+
+def q_ingest_manifest(spark, d):
+    """Manifest totals and missing days of the configured calendar after two runs."""
+    _, out = _two_runs(spark, d)
+    totals = out["manifest"].select("expected_start", "expected_end", "n_partitions", "total_rows")
+    missing = out["missing"].agg(F.count(F.lit(1)).alias("n_missing"), F.min("day").alias("first_missing"), F.max("day").alias("last_missing"))
+    from ..operators.util import attach_scalars
+
+    return present(attach_scalars(totals, missing))
+
+
+QUERIES.update({"ingest_two_runs": q_ingest_two_runs, "quarantine_rows": q_quarantine_rows, "ingest_manifest": q_ingest_manifest})

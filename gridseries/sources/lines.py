@@ -34,26 +34,34 @@ CANONICAL_SCHEMA = T.StructType(
 )
 
 
+def _day_file(path: Column) -> Column:
+    """Name of the day file a path belongs to: its own name, or the folder ``file_name=<name>`` that holds its parts."""
+    parts = F.split(path, "/")
+    own, folder = F.element_at(parts, -1), F.regexp_replace(F.try_element_at(parts, F.lit(-2)), "^file_name=", "")
+    return F.when(tf.date_from_filename(own).isNull() & tf.date_from_filename(folder).isNotNull(), folder).otherwise(own)
+
+
 def discover_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Daily files whose name parses to a valid date, sorted by date.
 
+    A day is one file, or a folder ``file_name=<day file name>`` of part files.
     Uses the binary-file listing with the ``content`` column pruned, so no
     file is read. Invalid calendar dates (month 13) give NULL and are dropped.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw_dir)
-    files = listing.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    files = listing.select("path", "length", _day_file(F.col("path")).alias("file_name"))
     return (
         files.withColumn("day", tf.date_from_filename(F.col("file_name")))
         .where(F.col("day").isNotNull())
         .select("day", "path", "file_name", F.col("length").alias("bytes"))
-        .orderBy("day")
+        .orderBy("day", "path")
     )
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Scan text files as (line, file_name); splits of large files run in parallel."""
     df = spark.read.text(paths)
-    return df.select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
+    return df.select(F.col("value").alias("line"), _day_file(F.col("_metadata.file_path")).alias("file_name"))
 
 
 def _fields(line: Column) -> Column:

@@ -165,10 +165,12 @@ def missing_days(present: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def incremental_plan(files: DataFrame, stored: DataFrame, force: bool = False, limit_days: int = 0) -> DataFrame:
-    """Files still to ingest: not stored (unless ``force``), first N by day."""
+    """Files still to ingest: not stored (unless ``force``), those of the first N days."""
     todo = files if force else files.join(stored.select("day").distinct(), "day", "left_anti")
-    todo = todo.orderBy("day")
-    return todo.limit(limit_days) if limit_days > 0 else todo
+    if limit_days > 0:
+        first = todo.select("day").distinct().orderBy("day").limit(limit_days)
+        todo = todo.join(first, "day", "left_semi")
+    return todo.orderBy("day", "path")
 
 
 __all__ = [
