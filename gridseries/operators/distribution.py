@@ -8,49 +8,75 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import time as tf
 from ..functions.stats import kurtosis_unbiased, log10_positive, skew_unbiased
-from .util import attach_scalars
+from .util import attach_scalars, staged
 
 # exp(-u*u/2) is exactly 0.0 in double precision for u >= 38.6, so kernel
 # terms further than this many bandwidths contribute nothing.
 KDE_SUPPORT = 39.0
 
 
+def exact_percentiles(df: DataFrame, value: str, levels: dict[str, float]) -> DataFrame:
+    """One row of exact percentiles with linear interpolation (A6), by a distributed sort.
+
+    Distinct values with their counts are range-sorted and staged with their
+    task number; running counts within a task plus the counts of the tasks
+    before give each value its ranks, and a percentile is the first
+    value whose rank reaches it. No buffer holds the values: the largest piece of state
+    is one task's share of the sort.
+    """
+    x = F.col(value).cast("double")
+    counted = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    placed = counted.repartitionByRange("x").withColumn("task", F.spark_partition_id())
+    placed = staged(placed, "percentiles")
+    tasks = placed.groupBy("task").agg(F.sum("n").alias("n"))
+    before = tasks.selectExpr("task", "sum(n) OVER (ORDER BY task) - n AS before")  # a row for each task
+    total = placed.agg(F.sum("n").alias("total"))
+    own = F.sum("n").over(Window.partitionBy("task").orderBy("x"))
+    ranked = attach_scalars(placed.withColumn("own", own).join(before, "task"), total)
+    upto = F.col("own") + F.col("before")
+
+    def at(rank):
+        return F.min(F.when(upto > rank, F.col("x")))
+
+    out = []
+    for name, p in levels.items():
+        pos = (F.col("total") - 1) * F.lit(p)
+        lo, hi = at(F.floor(pos)), at(F.ceil(pos))
+        out.append((lo + (hi - lo) * F.max(pos - F.floor(pos))).alias(name))
+    return ranked.agg(*out)
+
+
 def city_stats(totals: DataFrame, value: str = "total", exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """n, n_positive, mean, median, pop. std, min, max, bias-corrected skew and
     excess kurtosis of the positive totals, percentiles 1/5/95/99 (A4-A6).
 
-    Percentiles are exact with linear interpolation (numpy's default); the
-    exact form keeps every distinct total in the final aggregation buffer,
-    which is fine for one row per cell. For tables with very many entities
-    set ``exact=False`` to use the bounded-memory approximate percentile.
+    Percentiles are exact with linear interpolation (numpy's default), by a
+    distributed sort; ``exact=False`` takes one pass with the bounded-error sketch.
     """
     x = F.col(value)
     pos = F.when(x > 0, x)
-
-    def pct(p: float):
-        return F.percentile(x, p) if exact else F.percentile_approx(x, p, accuracy).cast("double")
-
-    return totals.agg(
+    levels = {"median": 0.5, "p1": 0.01, "p5": 0.05, "p95": 0.95, "p99": 0.99}
+    approx = [] if exact else [F.percentile_approx(x, p, accuracy).cast("double").alias(n) for n, p in levels.items()]
+    totals = staged(totals.select(value), "totals") if exact else totals
+    stats = totals.agg(
         F.count(x).alias("n_areas"),
         F.count_if(x > 0).alias("n_positive"),
         F.avg(x).alias("mean"),
-        pct(0.5).alias("median"),
         F.stddev_pop(x).alias("std"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
         skew_unbiased(pos).alias("skew"),
         kurtosis_unbiased(pos).alias("kurtosis"),
-        pct(0.01).alias("p1"),
-        pct(0.05).alias("p5"),
-        pct(0.95).alias("p95"),
-        pct(0.99).alias("p99"),
+        *approx,
     )
+    if exact:
+        stats = attach_scalars(stats, exact_percentiles(totals, value, levels))
+    return stats.select("n_areas", "n_positive", "mean", "median", "std", "min", "max", "skew", "kurtosis", "p1", "p5", "p95", "p99")
 
 
 def histogram(totals: DataFrame, bins: int = 80, value: str = "total") -> DataFrame:
@@ -60,7 +86,7 @@ def histogram(totals: DataFrame, bins: int = 80, value: str = "total") -> DataFr
     """
     spark = totals.sparkSession
     # one row per entity, read by the bounds subquery and the main plan: computed once
-    pos = totals.where(F.col(value) > 0).select(F.col(value).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    pos = staged(totals.where(F.col(value) > 0).select(F.col(value).alias("x")), "positive-totals")
     bounds = pos.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     width = F.col("hi") - F.col("lo")
     idx = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / width)), F.lit(bins - 1))).otherwise(0)
@@ -77,15 +103,15 @@ def histogram(totals: DataFrame, bins: int = 80, value: str = "total") -> DataFr
 def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame:
     """Gaussian KDE of log10 of the positive totals on an even grid.
 
-    Scott bandwidth h = sample std * n^(-1/5). Each observation emits only
+    Scott bandwidth h = sample std * n^(-1/5). Each observation adds its kernel to
     the grid points within ``KDE_SUPPORT`` bandwidths, beyond which the kernel
-    is exactly zero in double precision, so the result equals the full sum
-    while the work stays linear in the number of entities. The one-row
-    bounds aggregate is the only broadcast.
+    is exactly zero in double precision. That is at most ``points`` terms for each
+    entity, summed map-side into ``points`` groups, so the shuffle holds
+    ``points`` rows a task and the work is linear in the number of entities.
     """
     spark = totals.sparkSession
     logs = totals.select(log10_positive(F.col(value)).alias("x")).where(F.col("x").isNotNull())
-    logs = logs.persist(StorageLevel.MEMORY_AND_DISK)  # read by the bandwidth subquery and the main plan
+    logs = staged(logs, "log-totals")  # read by the bandwidth subquery and the main plan
     st = logs.agg(
         F.min("x").alias("lo"),
         F.max("x").alias("hi"),

@@ -27,7 +27,7 @@ def walk_forward(forecasts: DataFrame, spec: SeriesSpec, start: datetime, end: d
     hi = ts_literal(forecasts, spec.ts, end, spec.tz)
     out = forecasts.where(F.col(spec.ts).between(lo, hi))
     if strict and out.limit(1).count() == 0:
-        raise ValueError(f"Empty test window between {start} and {end}")
+        raise ValueError(f"no row to forecast from {start} to {end}")
     return out
 
 
@@ -52,22 +52,12 @@ def leaderboard(metrics: DataFrame, spec: SeriesSpec, by: str = "MAE") -> DataFr
 def residual_table(forecasts: DataFrame, spec: SeriesSpec, models: Sequence[str]) -> DataFrame:
     """Truth and every model's prediction aligned on (entity, ts).
 
-    Alignment is by key, not position; one residual column per model.
+    Alignment is by key, not position; one residual column per model. One
+    aggregate on the key gives the truth and every model's prediction.
     """
-    wide = (
-        forecasts.groupBy(spec.entity, spec.ts)
-        .pivot("model", list(models))
-        .agg(F.first("y_pred"))
-    )
-    truth = forecasts.groupBy(spec.entity, spec.ts).agg(F.first("y_true").alias("y_true"))
-    out = truth.join(wide, [spec.entity, spec.ts], "inner")
-    return out.select(
-        spec.entity,
-        spec.ts,
-        "y_true",
-        *[F.col(m).alias(f"pred_{m}") for m in models],
-        *[(F.col("y_true") - F.col(m)).alias(f"resid_{m}") for m in models],
-    )
+    picked = [F.max(F.when(F.col("model") == m, F.col("y_pred"))).alias(f"pred_{m}") for m in models]
+    out = forecasts.groupBy(spec.entity, spec.ts).agg(F.max("y_true").alias("y_true"), *picked)
+    return out.select("*", *[(F.col("y_true") - F.col(f"pred_{m}")).alias(f"resid_{m}") for m in models])
 
 
 def rolling_mae(forecasts: DataFrame, spec: SeriesSpec, window: int = 6) -> DataFrame:

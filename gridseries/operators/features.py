@@ -22,15 +22,21 @@ def with_anchor(series: DataFrame, spec: SeriesSpec, split: Split | None = None,
     return series.withColumn(out, F.min(cond).over(Window.partitionBy(spec.entity)))
 
 
+def fourier_columns(step, period: int, terms: int) -> list:
+    """sin and cos of 2 pi k step / period for k = 1..terms, in pairs (G1)."""
+    out = []
+    for k in range(1, terms + 1):
+        arg = F.lit(2.0 * math.pi * k / period) * step
+        out += [F.sin(arg), F.cos(arg)]
+    return out
+
+
 def fourier_terms(series: DataFrame, spec: SeriesSpec, period: int, terms: int, anchor: str = "anchor", prefix: str | None = None) -> DataFrame:
     """sin/cos(2 pi k s / period), k = 1..terms, s = floor((ts - anchor) / step) (G1)."""
     prefix = prefix or f"p{period}"
     s = tf.step_index(series, spec.ts, spec.step, F.col(anchor)).cast("double")
-    cols = []
-    for k in range(1, terms + 1):
-        arg = F.lit(2.0 * math.pi * k / period) * s
-        cols += [F.sin(arg).alias(f"{prefix}_sin{k}"), F.cos(arg).alias(f"{prefix}_cos{k}")]
-    return series.select("*", *cols)
+    names = [f"{prefix}_{f}{k}" for k in range(1, terms + 1) for f in ("sin", "cos")]
+    return series.select("*", *[c.alias(n) for c, n in zip(fourier_columns(s, period, terms), names, strict=True)])
 
 
 def fourier_features(series: DataFrame, spec: SeriesSpec, daily_terms: int = 4, weekly_terms: int = 3, split: Split | None = None) -> DataFrame:
@@ -76,15 +82,11 @@ def fit_scaler(series: DataFrame, spec: SeriesSpec, split: Split | None = None)
 
 
 def scaled(series: DataFrame, spec: SeriesSpec, scaler: DataFrame, out: str = "z") -> DataFrame:
-    """z = (v - mean) / std with the entity's scaler."""
-    s = series.join(scaler, spec.entity, "inner")
+    """z = (v - mean) / std with the entity's scaler (X17); NULL for an entity without training rows, which stays."""
+    s = series.join(scaler, spec.entity, "left")
     return s.withColumn(out, (F.col(spec.value) - F.col("scale_mean")) / F.col("scale_std"))
 
 
-def inverse_scaled(df: DataFrame, z: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.col(z) * F.col("scale_std") + F.col("scale_mean"))
-
-
 def lag_features(series: DataFrame, spec: SeriesSpec, lags: list[int], col: str | None = None, complete: bool = True) -> DataFrame:
     """One column per positional lag of ``col`` (W8 in column form, W9).
 

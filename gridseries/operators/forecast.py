@@ -68,12 +68,28 @@ def seasonal_naive(series: DataFrame, spec: SeriesSpec, period: int, name: str |
     return baseline_forecasts(series, spec, {name or f"naive_period_{period}": period})
 
 
+_PLUGINS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def register_forecaster(name: str, forecaster: Callable[..., DataFrame]) -> None:
+    """Make ``forecaster(series, spec, **kw)`` available under ``name``.
+
+    It returns (model, entity, ts, y_true, y_pred) with predictions from rows at
+    or before t - step only, and is evaluated, ranked and compared like the built-in ones.
+    """
+    if name in {"naive_last", "naive_daily", "naive_weekly", "harmonic", "dhr", "learned_linear", "learned_tree"}:
+        raise ValueError(f"{name!r} is built in")
+    _PLUGINS[name] = forecaster
+
+
 def registry(spec: SeriesSpec) -> dict[str, Forecaster]:
-    """Model name → forecaster (G10). Unknown names raise ``ValueError``."""
-    from . import learned
+    """Model name → forecaster (G10), registered ones included. Unknown names raise ``ValueError``."""
+    from . import harmonic, learned
     from .grouped import dhr_forecasts
 
-    return {
+    plugins = {k: (lambda s, f=f, **kw: f(s, spec, **kw)) for k, f in _PLUGINS.items()}
+    return plugins | {
+        "harmonic": lambda s, **kw: harmonic.harmonic_forecasts(s, spec, **kw),
         "naive_last": lambda s, **kw: last_value(s, spec, "naive_last"),
         "naive_daily": lambda s, **kw: seasonal_naive(s, spec, spec.daily, "naive_daily"),
         "naive_weekly": lambda s, **kw: seasonal_naive(s, spec, spec.weekly, "naive_weekly"),
@@ -86,5 +102,5 @@ def registry(spec: SeriesSpec) -> dict[str, Forecaster]:
 def get_forecaster(name: str, spec: SeriesSpec) -> Forecaster:
     models = registry(spec)
     if name not in models:
-        raise ValueError(f"Unknown model kind {name!r}")
+        raise ValueError(f"no forecaster is named {name!r}; there are {sorted(models)}")
     return models[name]

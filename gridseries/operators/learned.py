@@ -11,7 +11,6 @@ fall back to the last value.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from ..config import SeriesSpec, Split
 from .features import calendar_features, fit_scaler, lag_features, scaled
 from .series import split_label
+from .util import staged
 
 CALENDAR = ["tod_sin", "tod_cos", "dow_sin", "dow_cos", "is_weekend"]
 
@@ -51,8 +51,8 @@ def _frame(series: DataFrame, spec: SeriesSpec, split: Split, lags: list[int], s
     for k in lags:
         full = full & F.col(f"lag_{k}").isNotNull()
     out = z.withColumn("_full", full).withColumn("split", split_label(z, spec, split))
-    # read by every optimiser pass and again for scoring: computed once, spills if large
-    return out.persist(StorageLevel.MEMORY_AND_DISK)
+    # read by every optimiser pass and again for scoring: computed once
+    return staged(out, "learned-frame")
 
 
 def _predict(model: PipelineModel, frame: DataFrame, spec: SeriesSpec, name: str) -> DataFrame:

@@ -47,29 +47,46 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], merge_columns: b
 
 
 def merge_summary(previous: DataFrame, current: DataFrame, key: str = "square_id") -> DataFrame:
-    """Per-entity summary merge: current rows win, previous-only entities stay."""
-    cols = [c for c in current.columns if c != key]
-    p = previous.select(key, *[F.col(c).alias(f"_p_{c}") for c in cols if c in previous.columns])
-    c = current.select(key, *[F.col(x).alias(f"_c_{x}") for x in cols]).withColumn("_cur", F.lit(True))
-    j = p.join(c, key, "full_outer")
-    sel = [F.col(key)]
-    for x in cols:
-        if x in previous.columns:
-            sel.append(F.when(F.col("_cur"), F.col(f"_c_{x}")).otherwise(F.col(f"_p_{x}")).alias(x))
-        else:
-            sel.append(F.col(f"_c_{x}").alias(x))
-    return j.select(*sel)
+    """Per-entity summary merge: current rows win, previous-only entities and columns stay."""
+    return upsert(previous, current, [key], merge_columns=True).select(
+        key, *[c for c in current.columns if c != key], *[c for c in previous.columns if c not in current.columns]
+    )
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+
+
+def replace_folder(spark: SparkSession, write, path: str) -> None:
+    """Call ``write(folder)`` on a folder beside ``path``, then put it in the place of ``path``."""
+    import uuid
+
+    fresh, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    write(fresh)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(hadoop(path))
+    if had:
+        fs.rename(hadoop(path), hadoop(old))
+    if not fs.rename(hadoop(fresh), hadoop(path)):
+        raise OSError(f"cannot rename {fresh} to {path}")
+    if had:
+        fs.delete(hadoop(old), True)
 
 
 def read_json_summary(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Read a JSON summary; corrupt records are dropped, a missing file is empty."""
+    """Read a JSON summary; corrupt records are dropped, an absent path is empty.
+
+    Any other failure is raised: a store that cannot be read now is not an empty one.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema) if schema else spark.createDataFrame([], "x string").limit(0)
     reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     if schema:
         reader = reader.schema(schema + ", _corrupt_record string")
-    try:
-        df = reader.json(path)
-    except Exception:  # noqa: BLE001  (absent path)
-        return spark.createDataFrame([], schema) if schema else spark.createDataFrame([], "x string").limit(0)
+    df = reader.json(path)
     if "_corrupt_record" in df.columns:
         df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     return df
@@ -86,9 +103,20 @@ def write_run_log(df: DataFrame, path: str) -> None:
 
 
 def write_forecasts(forecasts: DataFrame, root: str, entity: str) -> None:
-    """Forecast table partitioned by (model, entity) (K4); dynamic overwrite."""
-    forecasts.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    forecasts.repartition("model", entity).write.mode("overwrite").partitionBy("model", entity).parquet(root)
+    """Forecast table, a folder per model, files sorted by entity (K4).
+
+    Dynamic overwrite, for this write only, replaces the models being written.
+    Adaptive execution splits a large model over several files, whose row-group
+    statistics find an entity.
+    """
+    (
+        forecasts.hint("rebalance", "model")
+        .sortWithinPartitions("model", entity)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("model")
+        .parquet(root)
+    )
 
 
 def read_forecasts(spark: SparkSession, root: str, requested: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
@@ -101,8 +129,8 @@ def read_forecasts(spark: SparkSession, root: str, requested: DataFrame, entity:
 
 
 def write_partitioned_csv(df: DataFrame, path: str, by: str) -> None:
-    """Metrics / anomaly tables as CSV with header, one folder per entity (K5, K6)."""
-    df.repartition(by).write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+    """Metrics / anomaly tables as CSV with header, one folder per entity (K5, K6); folders of entities no longer there go."""
+    df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "static").option("header", True).partitionBy(by).csv(path)
 
 
 def markdown_table(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row global aggregate to every row of ``df``.
@@ -17,3 +21,14 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     # one reference to the subquery; fields are read from the projected struct
     staged = df.withColumn("_scalars", packed)
     return staged.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_scalars").getField(c).alias(c) for c in one_row.columns])
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the session's shared checkpoint folder and read it again.
+
+    For a table that several branches read: it is computed once, survives the
+    loss of an executor, and holds no executor memory or disk.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

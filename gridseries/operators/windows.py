@@ -76,6 +76,14 @@ def difference(series: DataFrame, spec: SeriesSpec, lag: int = 1, out: str = "di
     return d.where(F.col(out).isNotNull()) if dropna else d
 
 
+def differences(series: DataFrame, spec: SeriesSpec, lags: list[int], out: str = "diff") -> DataFrame:
+    """Differences at several lags in long form (.., lag, diff), from one window pass."""
+    cols = [(F.col(spec.value) - F.lag(spec.value, k).over(_w(spec))).alias(f"_d{k}") for k in lags]
+    rows = series.select(spec.entity, spec.ts, *cols)
+    long = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_d{k}").alias(out)) for k in lags]))
+    return rows.select(spec.entity, spec.ts, long.alias("_d")).select(spec.entity, spec.ts, "_d.lag", f"_d.{out}").where(F.col(out).isNotNull())
+
+
 def shift(series: DataFrame, spec: SeriesSpec, lag: int, out: str = "shifted") -> DataFrame:
     """Value ``lag`` rows earlier."""
     return series.withColumn(out, F.lag(spec.value, lag).over(_w(spec)))

@@ -12,6 +12,8 @@ from ..operators import decomposition as dec
 from ..operators import distribution as dist
 from ..operators import grouped as gm
 from ..operators import series as ser
+from ..operators import windows as win
+from ..operators.util import staged
 
 
 def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = EdaConfig(), method: str = "stl") -> DataFrame:
@@ -19,14 +21,14 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
     difference, seasonal / trend strengths (daily, weekly), ACF at the daily
     and weekly lag, outlier and drop-run counts (E5, E6, E8, E9, E12, E13).
 
-    The canonical series is cached once because every branch reads it; the
+    The canonical series is staged once because every branch reads it; the
     daily decomposition is computed once and shared by strengths and the
     outlier screen. ``method`` picks robust STL or the classical variant.
     """
-    s = series.select(spec.entity, spec.ts, spec.value).cache()
+    s = staged(series.select(spec.entity, spec.ts, spec.value), "eda-series")
     filled = ser.interpolate(s, spec)
     decompose = gm.stl_decompose if method == "stl" else dec.classical_decompose
-    daily = decompose(filled, spec, spec.daily, fill=False).cache()
+    daily = staged(decompose(filled, spec, spec.daily, fill=False), "eda-daily")
     weekly = decompose(filled, spec, spec.weekly, fill=False)
     stren = dec.strengths(daily.unionByName(weekly), spec)
     # one pivot, so each decomposition is evaluated once
@@ -61,13 +63,13 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
     return out.fillna(0, subset=["outliers_count", "drop_runs_count"])
 
 
-def overview(totals: DataFrame, spark: SparkSession, entity: str, side: int = 100) -> dict[str, DataFrame]:
+def overview(totals: DataFrame, spark: SparkSession, entity: str, side: int | None = None) -> dict[str, DataFrame]:
     """City distribution, histogram, density and spatial grid.
 
     The totals (one row per entity, derived from the whole store) feed five
     outputs, so they are computed once and kept.
     """
-    totals = totals.persist()
+    totals = staged(totals, "eda-totals")
     grid = dist.spatial_grid(totals, spark, entity, side)
     return {
         "city_stats": dist.city_stats(totals),
@@ -83,18 +85,17 @@ def write_summary(summary: DataFrame, path: str, key: str, schema: str | None =
 
     Entities of this run win, entities only in the previous file are kept; a
     corrupt or absent previous file counts as empty. The merged result is
-    checkpointed (into ``spark.checkpoint.dir``) before the folder it was
-    read from is overwritten, so the write never reads its own output.
+    staged in ``spark.checkpoint.dir`` before the folder it was
+    read from is replaced, so the write never reads its own output.
     """
     from ..operators import reporting as rep
-    from ..session import ensure_checkpoint_dir
 
     spark = summary.sparkSession
-    ensure_checkpoint_dir(spark)
     ddl = schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in summary.schema.fields)
     previous = rep.read_json_summary(spark, path, ddl)
-    merged = rep.merge_summary(previous, summary, key).checkpoint(eager=True)
-    merged.write.mode("overwrite").json(path)
+    merged = staged(rep.merge_summary(previous, summary, key), "summary")
+    # readers see the old folder or the new one: written beside it, then renamed
+    rep.replace_folder(spark, lambda to: merged.write.json(to), path)
     return merged
 
 
@@ -111,7 +112,7 @@ def multi_area_preview(series: DataFrame, spec: SeriesSpec, ids, start, days: in
     return preview(series.where(cond), spec, window, session_tz)
 
 
-def run_eda(series: DataFrame, spec: SeriesSpec, out_dir: str, cfg: EdaConfig = EdaConfig(), method: str = "stl", grid_side: int = 100) -> dict[str, DataFrame]:
+def run_eda(series: DataFrame, spec: SeriesSpec, out_dir: str, cfg: EdaConfig = EdaConfig(), method: str = "stl", grid_side: int | None = None) -> dict[str, DataFrame]:
     """The EDA command over every entity (E14): summary merged into the previous
     one (K7), STL-remainder outliers as CSV per entity (K6), the top entity
     as text (K9) and the city overview tables as JSON (E1, E11)."""
@@ -128,6 +129,10 @@ def run_eda(series: DataFrame, spec: SeriesSpec, out_dir: str, cfg: EdaConfig =
     top = ser.top_k(totals, spec, 1).select(F.col(spec.entity).cast("string").alias("value"))
     rep.write_text(top, os.path.join(out_dir, "area_top"))
     ov = overview(totals, spark, spec.entity, grid_side)
-    for name in ("city_stats", "spatial"):
+    ov["rolling"] = win.rolling_stats(series.select(spec.entity, spec.ts, spec.value), spec, cfg.rolling_window)
+    ov["drop_runs"] = an.drop_runs(series.select(spec.entity, spec.ts, spec.value), spec, spec.weekly, cfg.drop_threshold, cfg.drop_min_run)
+    for name in ("city_stats", "spatial", "histogram", "kde"):  # a fixed number of rows
         ov[name].coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, name))
+    for name in ("grid", "rolling", "drop_runs"):
+        ov[name].write.mode("overwrite").parquet(os.path.join(out_dir, name))
     return {"summary": summary, "outliers": outliers, **ov}

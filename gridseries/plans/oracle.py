@@ -62,11 +62,6 @@ def _r(col: str, alias: str | None = None, decimals: int = 6) -> str:
     return f"(round(CAST({col} AS DOUBLE) * {scale}) / {scale} + 0.0) AS {alias or col}"
 
 
-def _r4(col: str, alias: str | None = None) -> str:
-    return _r(col, alias, 4)
-
-
-
 SQL: dict[str, str] = {}
 
 SQL["forecast_last"] = f"""
@@ -459,6 +454,88 @@ dec{period} AS (
 )"""
 
 
+def _harmonic_sql(daily_terms: int = 4, weekly_terms: int = 3) -> str:
+    terms = ["1.0::DOUBLE"]
+    for period, n in ((24, daily_terms), (168, weekly_terms)):
+        for k in range(1, n + 1):
+            arg = f"{repr(2.0 * math.pi * k / period)} * s"
+            terms += [f"sin({arg})", f"cos({arg})"]
+    k = len(terms)
+    train = "ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00'"
+    return f"""
+shape0 AS (
+  SELECT event_type, min(epoch(ts))::BIGINT AS anchor, min(value) >= 0 AS use_log, count(*) AS n_train, min(value) AS lo, max(value) AS hi
+  FROM hourly WHERE {train} AND value IS NOT NULL GROUP BY 1
+),
+shape AS (SELECT event_type, anchor, use_log, n_train, CASE WHEN use_log THEN ln(1 + lo) ELSE lo END AS low, CASE WHEN use_log THEN ln(1 + hi) ELSE hi END AS high FROM shape0),
+stepped AS (
+  SELECT h.event_type, h.ts, h.value, anchor, use_log, n_train, low, high, floor((epoch(h.ts) - anchor) / 3600) AS s,
+         CASE WHEN use_log THEN CASE WHEN value >= 0 THEN ln(1 + value) END ELSE value END AS y
+  FROM hourly h LEFT JOIN shape USING (event_type)
+),
+design AS (SELECT *, [{', '.join(terms)}] AS x FROM stepped),
+cells AS (
+  SELECT event_type, i, j, sum(x[i] * CASE WHEN j > {k} THEN y ELSE x[j] END) AS v
+  FROM design, range(1, {k + 1}) a(i), range(1, {k + 2}) b(j) WHERE {train} AND value IS NOT NULL GROUP BY 1, 2, 3
+),
+lines_ AS (SELECT event_type, i, list(v ORDER BY j) AS line FROM cells GROUP BY 1, 2),
+solve(event_type, s, m) AS (
+  SELECT event_type, 0::BIGINT, list(line ORDER BY i) FROM lines_ GROUP BY 1
+  UNION ALL
+  SELECT event_type, s + 1, list_transform(m, lambda r, i: CASE WHEN i = s + 1 THEN p
+      ELSE list_transform(r, lambda v, j: v - r[s + 1] * p[j]) END)
+  FROM (SELECT event_type, s, m, list_transform(m[s + 1], lambda v: v / m[s + 1][s + 1]) AS p FROM solve WHERE s < {k})
+),
+coef AS (SELECT event_type, list_transform(m, lambda r: r[{k + 1}]) AS beta FROM solve JOIN shape USING (event_type) WHERE s = {k} AND n_train >= {4 * k}),
+fitted AS (
+  SELECT d.*, beta, list_dot_product(x, beta) AS fit, y - list_dot_product(x, beta) AS r
+  FROM design d LEFT JOIN coef USING (event_type)
+),
+resid AS (
+  SELECT event_type, r, lag(r, 1) OVER w AS a, lag(r, 2) OVER w AS b FROM fitted WHERE {train} AND value IS NOT NULL
+  WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+),
+ar0 AS (
+  SELECT event_type, sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(r * a) AS ra, sum(r * b) AS rb, sum(r * r) AS rr
+  FROM resid WHERE b IS NOT NULL GROUP BY 1
+),
+ar1 AS (SELECT *, (ra * bb - rb * ab) / (aa * bb - ab * ab) AS p1, (rb * aa - ra * ab) / (aa * bb - ab * ab) AS p2 FROM ar0),
+ar2 AS (SELECT *, abs(p2) < 1 AND p1 + p2 < 1 AND p2 - p1 < 1 AS stable FROM ar1),
+ar AS (SELECT event_type, ra, rb, rr, CASE WHEN stable THEN p1 ELSE 0 END AS phi1, CASE WHEN stable THEN p2 ELSE 0 END AS phi2 FROM ar2),
+params AS (
+  SELECT s.*, beta, phi1, phi2, greatest(0.0, rr - phi1 * ra - phi2 * rb) / greatest(n_train - 2, 1) AS sigma2
+  FROM shape s JOIN coef USING (event_type) JOIN ar USING (event_type)
+),
+harmonic AS (
+  SELECT event_type, ts, value AS y_true,
+    greatest(f.low - (f.high - f.low) * 0.25, least(f.high + (f.high - f.low) * 0.25,
+      fit + coalesce(phi1 * lag(r, 1) OVER w, 0) + coalesce(phi2 * lag(r, 2) OVER w, 0))) AS z, f.use_log
+  FROM fitted f JOIN ar USING (event_type) WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+),
+test AS (
+  SELECT 'harmonic' AS model, event_type, ts, y_true, CASE WHEN use_log THEN exp(z) - 1 ELSE z END AS y_pred
+  FROM harmonic WHERE ts BETWEEN {TEST_WINDOW}
+)"""
+
+
+SQL["harmonic_params"] = f"""
+WITH RECURSIVE {HOURLY}, {_harmonic_sql()}
+SELECT event_type, anchor, use_log, n_train, {_r('low')}, {_r('high')}, {_r('phi1')}, {_r('phi2')}, {_r('sigma2')},
+       term, {_r('b', 'beta')}
+FROM (SELECT *, unnest(beta) AS b, unnest(range(0, len(beta))) AS term FROM params)
+"""
+
+SQL["harmonic_forecast"] = f"""
+WITH RECURSIVE {HOURLY}, {_harmonic_sql()}
+SELECT model, event_type, {_ts('ts')}, {_r('y_true')}, {_r('y_pred')} FROM test
+"""
+
+SQL["harmonic_metrics"] = f"""
+WITH RECURSIVE {HOURLY}, {_harmonic_sql()},
+m AS (SELECT event_type, model, {METRICS} FROM test GROUP BY event_type, model)
+SELECT event_type, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('sMAPE_percent')} FROM m
+"""
+
 SQL["classical_decomposition"] = f"""
 WITH {HOURLY}, {FILLED}, {_decomp_sql(24)}
 SELECT event_type, {_ts('ts')}, period, {_r('observed')}, {_r('trend')}, {_r('seasonal')}, {_r('resid')} FROM dec24

@@ -63,6 +63,7 @@ from ..operators import correlation as cor  # noqa: E402
 from ..operators import decomposition as dec  # noqa: E402
 from ..operators import distribution as dist  # noqa: E402
 from ..operators import features as feat  # noqa: E402
+from ..operators import harmonic as har  # noqa: E402
 from ..operators import series as ser  # noqa: E402
 from ..operators import windows as win  # noqa: E402
 from ..sources import lines as ln  # noqa: E402
@@ -164,12 +165,7 @@ def q_preview(spark, d):
 
 
 def q_seasonal_diff(spark, d):
-    h = b.hourly(spark, d)
-    parts = [
-        win.difference(h, S, lag).select(S.entity, S.ts, F.lit(lag).alias("lag"), "diff")
-        for lag in (1, S.daily)
-    ]
-    return present(parts[0].unionByName(parts[1]))
+    return present(win.differences(b.hourly(spark, d), S, [1, S.daily]))
 
 
 # ---------------------------------------------------------------- city / spatial
@@ -209,6 +205,25 @@ def q_kpss_fixed_lag(spark, d):
     return present(cor.kpss_fixed_lag(b.hourly(spark, d), S, 8))
 
 
+def q_harmonic_params(spark, d):
+    p = har.harmonic_fit(b.hourly(spark, d), S, b.SPLIT)
+    flat = p.select(S.entity, "anchor", "use_log", "n_train", "low", "high", "phi1", "phi2", "sigma2", F.posexplode_outer("beta").alias("term", "beta"))
+    return present(flat)
+
+
+def _harmonic(spark, d):
+    return har.harmonic_forecasts(b.hourly(spark, d), S, b.SPLIT)
+
+
+def q_harmonic_forecast(spark, d):
+    return present(ev.walk_forward(_harmonic(spark, d), S, b.SPLIT.test_start, b.SPLIT.test_end))
+
+
+def q_harmonic_metrics(spark, d):
+    w = ev.walk_forward(_harmonic(spark, d), S, b.SPLIT.test_start, b.SPLIT.test_end)
+    return present(ev.metrics_table(w, S))
+
+
 def _decomp(spark, d, period):
     return dec.classical_decompose(_filled(spark, d).select(S.entity, S.ts, S.value), S, period, fill=False)
 
@@ -312,6 +327,9 @@ QUERIES.update(
         "rolling_mae": q_rolling_mae,
         "joint_failure": q_joint_failure,
         "failure_context": q_failure_context,
+        "harmonic_params": q_harmonic_params,
+        "harmonic_forecast": q_harmonic_forecast,
+        "harmonic_metrics": q_harmonic_metrics,
     }
 )
 
