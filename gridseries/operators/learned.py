@@ -37,9 +37,13 @@ def dilated_lags(spec: SeriesSpec, max_dilation: int = 128) -> list[int]:
     return sorted(set(lags + [spec.daily, spec.weekly]))
 
 
-def _frame(series: DataFrame, spec: SeriesSpec, split: Split, lags: list[int], session_tz: str) -> DataFrame:
-    """Scaled value, its lags over the whole ordered series, calendar, split label."""
-    sc = fit_scaler(series, spec, split)
+def _frame(series: DataFrame, spec: SeriesSpec, split: Split | None, lags: list[int], session_tz: str, scaler: DataFrame | None = None) -> DataFrame:
+    """Scaled value, its lags over the whole ordered series, calendar, split label.
+
+    An entity that the scaler does not know stays: its lags are NULL, so it
+    gets its last value.
+    """
+    sc = fit_scaler(series, spec, split) if scaler is None else scaler
     z = scaled(series.select(spec.entity, spec.ts, spec.value), spec, sc)
     z = calendar_features(z, spec, session_tz)
     z = lag_features(z, spec, lags, col="z", complete=False)
@@ -50,7 +54,8 @@ def _frame(series: DataFrame, spec: SeriesSpec, split: Split, lags: list[int], s
     full = F.lit(True)
     for k in lags:
         full = full & F.col(f"lag_{k}").isNotNull()
-    out = z.withColumn("_full", full).withColumn("split", split_label(z, spec, split))
+    out = z.withColumn("_full", full)
+    out = out.withColumn("split", F.lit(None).cast("string") if split is None else split_label(z, spec, split))
     # read by every optimiser pass and again for scoring: computed once
     return staged(out, "learned-frame")
 
@@ -121,3 +126,24 @@ def tree_forecasts(
     model = pipe.fit(fit_rows.withColumn("is_val", F.col("split") == "validation"))
     out = _predict(model, frame, spec, "learned_tree")
     return (out, model) if return_model else out
+
+
+def train(series: DataFrame, spec: SeriesSpec, split: Split, path: str, kind: str = "linear", session_tz: str = "UTC", **kw) -> None:
+    """Fit one learned family and save it: the pipeline under ``model``, the scaler under ``scaler``."""
+    fit = {"linear": linear_forecasts, "tree": tree_forecasts}[kind]
+    _, model = fit(series, spec, split, session_tz, return_model=True, **kw)
+    model.write().overwrite().save(f"{path}/model")
+    fit_scaler(series, spec, split).write.mode("overwrite").parquet(f"{path}/scaler")
+
+
+def forecast_saved(series: DataFrame, spec: SeriesSpec, path: str, session_tz: str = "UTC", name: str = "learned_linear") -> DataFrame:
+    """Forecasts of every row from a saved model; nothing is fitted.
+
+    The lags are those that the saved pipeline reads. Entities that were not in
+    the training data get their last value.
+    """
+    model = PipelineModel.load(f"{path}/model")
+    inputs = model.stages[0].getInputCols()
+    lags = [int(c.removeprefix("lag_")) for c in inputs if c.startswith("lag_")]
+    scaler = series.sparkSession.read.parquet(f"{path}/scaler")
+    return _predict(model, _frame(series, spec, None, lags, session_tz, scaler), spec, name)

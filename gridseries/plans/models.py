@@ -11,6 +11,8 @@ from ..config import DhrConfig, EvalConfig, SeriesSpec, Split
 from ..operators import evaluate as ev
 from ..operators import forecast as fc
 from ..operators import grouped as gm
+from ..operators import harmonic as har
+from ..operators import learned
 from ..operators import reporting as rep
 
 
@@ -21,6 +23,30 @@ def train_dhr(series: DataFrame, spec: SeriesSpec, split: Split, out: str, cfg:
     return series.sparkSession.read.parquet(out)
 
 
+def train(series: DataFrame, spec: SeriesSpec, split: Split, out: str, families: list[str], session_tz: str = "UTC") -> None:
+    """Fit and save each family below ``out`` (G11, K10): harmonic and dhr as parameter tables, learned ones as pipelines."""
+    for name in families:
+        path = os.path.join(out, name)
+        if name == "harmonic":
+            har.harmonic_fit(series, spec, split).write.mode("overwrite").parquet(path)
+        elif name == "dhr":
+            train_dhr(series, spec, split, path)
+        elif name in ("learned_linear", "learned_tree"):
+            learned.train(series, spec, split, path, name.removeprefix("learned_"), session_tz)
+        else:
+            raise ValueError(f"no family to train is named {name!r}")
+
+
+def forecast_trained(spark: SparkSession, series: DataFrame, spec: SeriesSpec, models: str, family: str, session_tz: str = "UTC") -> DataFrame:
+    """Forecasts of every row from what :func:`train` saved."""
+    path = os.path.join(models, family)
+    if family == "harmonic":
+        return har.harmonic_forecasts(series, spec, params=spark.read.parquet(path))
+    if family == "dhr":
+        return gm.dhr_forecasts(series, spec, params=spark.read.parquet(path))
+    return learned.forecast_saved(series, spec, path, session_tz, family)
+
+
 def forecast(
     spark: SparkSession,
     series: DataFrame,
@@ -38,11 +64,10 @@ def forecast(
     if "dhr" in models:
         parts.append(gm.dhr_forecasts(series, spec, split, params=params))
     for m in models:
-        if m.startswith("learned"):
+        if m not in base and m != "dhr":
             parts.append(fc.get_forecaster(m, spec)(series, split=split))
-    unknown = set(models) - set(base) - {"dhr", "learned_linear", "learned_tree"}
-    if unknown:
-        raise ValueError(f"Unknown model kind {sorted(unknown)!r}")
+    if not parts:
+        raise ValueError("name at least one model")
     f = parts[0]
     for p in parts[1:]:
         f = f.unionByName(p)
