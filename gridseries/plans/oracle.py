@@ -563,14 +563,14 @@ SELECT event_type, {_ts('ts')}, {_r('value')}, {_r('residual')}, {_r('z')} FROM
 
 SQL["drop_runs"] = f"""
 WITH {HOURLY}, {FILLED},
-b AS (SELECT event_type, ts, value, lag(value, 168) OVER (PARTITION BY event_type ORDER BY ts) AS base FROM filled),
+b AS (SELECT event_type, ts, value, lag(value, 24) OVER (PARTITION BY event_type ORDER BY ts) AS base FROM filled),
 r AS (SELECT event_type, ts, CASE WHEN abs(base) >= 1e-6 THEN (value - base) / base END AS rel,
              row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn FROM b),
 f AS (SELECT *, rn - row_number() OVER (PARTITION BY event_type ORDER BY ts) AS island
-      FROM r WHERE coalesce(rel < -0.6, false)),
+      FROM r WHERE coalesce(rel < -0.4, false)),
 g AS (SELECT event_type, min(ts) AS s, max(ts) AS e, avg(rel) AS m, count(*) AS length FROM f GROUP BY event_type, island)
 SELECT event_type, {_ts('s', 'start')}, {_ts('e', '"end"')}, {_r('m', 'mean_relative_drop')}, length
-FROM g WHERE length >= 6
+FROM g WHERE length >= 2
 """
 
 # ---------------------------------------------------------------- features
@@ -956,6 +956,88 @@ SELECT event_type, {_r('stat', 'kpss_stat')}, {_r(pcase, 'kpss_pvalue')}, CAST(l
 
 SQL["kpss_auto"] = _kpss_auto_sql()
 
+# ---------------------------------------------------------------- augmented Dickey-Fuller
+def _sweep(name: str, matrix: str, steps: str) -> str:
+    """Gauss-Jordan steps on each row's matrix ``m`` of table ``matrix`` (event_type, m, steps); one row per step."""
+    return f"""
+{name}(event_type, s, m, steps) AS (
+  SELECT event_type, 0::BIGINT, m, {steps} FROM {matrix}
+  UNION ALL
+  SELECT event_type, s + 1, list_transform(m, lambda r, i: CASE WHEN i = s + 1 THEN p
+      ELSE list_transform(r, lambda v, j: v - r[s + 1] * p[j]) END), steps
+  FROM (SELECT *, list_transform(m[s + 1], lambda v: v / m[s + 1][s + 1]) AS p FROM {name} WHERE s < steps)
+)"""
+
+
+def _moments(name: str, rows: str) -> str:
+    """Matrices of sums of products of the vectors ``x`` in ``rows``, for each entity."""
+    return f"""
+{name}_c AS (SELECT event_type, i, j, sum(x[i] * x[j]) AS v FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM {rows}), range(1, 60) b(j) WHERE j <= len(x) GROUP BY 1, 2, 3),
+{name}_l AS (SELECT event_type, i, list(v ORDER BY j) AS line FROM {name}_c GROUP BY 1, 2),
+{name} AS (SELECT event_type, list(line ORDER BY i) AS m FROM {name}_l GROUP BY 1)"""
+
+
+def _adf_ctes(src: str, tag: str) -> str:
+    """adf_{tag}: (event_type, n_obs, tau, pvalue, usedlag, nobs) of table ``src`` (event_type, ts, v).
+
+    Regressors are eliminated one after the other, so the sum of squares after
+    each step is that of the regression with one more lag.
+    """
+    small, large = (3.2512, 1.6047, 0.049588), (2.5261, 0.61654, -0.37956, -0.060285)
+    poly = lambda c: " + ".join(f"{v} * pow(tau, {k})" for k, v in enumerate(c))
+    return f"""
+x_{tag} AS (SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS i, v - avg(v) OVER (PARTITION BY event_type) AS x FROM {src} WHERE v IS NOT NULL),
+n_{tag} AS (SELECT event_type, count(*) AS n, least(count(*) // 2 - 3, ceil(12 * pow(count(*) / 100.0, 0.25)))::BIGINT AS k FROM x_{tag} GROUP BY 1 HAVING count(*) >= 100),
+d_{tag} AS (SELECT event_type, i - 1 AS j, x - lag(x) OVER w AS dx, lag(x) OVER w AS level FROM x_{tag} WINDOW w AS (PARTITION BY event_type ORDER BY i)),
+s_{tag} AS (SELECT event_type, n, k, list(dx ORDER BY j) AS d, list(level ORDER BY j) AS l FROM d_{tag} JOIN n_{tag} USING (event_type) WHERE dx IS NOT NULL GROUP BY 1, 2, 3),
+a_{tag} AS (
+  SELECT event_type, [1.0::DOUBLE, j - k - (n - k) / 2.0, l[j]] || list_reverse(d[j - k : j - 1]) || [d[j]] AS x
+  FROM (SELECT *, unnest(range(k + 1, n)) AS j FROM s_{tag})
+),{_moments(f"am_{tag}", f"a_{tag}")},{_sweep(f"as_{tag}", f"(SELECT event_type, m, len(m) - 1 AS steps FROM am_{tag})", "steps")},
+aic_{tag} AS (
+  SELECT event_type, s - 3 AS lag, (n - 1 - k) * (ln(2 * pi()) + ln(greatest(m[k + 4][k + 4], 1e-300) / (n - 1 - k)) + 1) + 2 * s AS aic
+  FROM as_{tag} JOIN n_{tag} USING (event_type) WHERE s >= 3
+),
+best_{tag} AS (SELECT event_type, arg_min(lag, (aic, lag)) AS lag FROM aic_{tag} GROUP BY 1),
+b_{tag} AS (
+  SELECT event_type, [1.0::DOUBLE, j - lag - (n - lag) / 2.0] || list_reverse(d[j - lag : j - 1]) || [l[j], d[j]] AS x
+  FROM (SELECT *, unnest(range(lag + 1, n)) AS j FROM s_{tag} JOIN best_{tag} USING (event_type))
+),{_moments(f"bm_{tag}", f"b_{tag}")},{_sweep(f"bs_{tag}", f"(SELECT event_type, m, len(m) - 2 AS steps FROM bm_{tag})", "steps")},
+t_{tag} AS (
+  SELECT event_type, n AS n_obs, lag, n - 1 - lag AS nobs,
+    (m[p][p + 1] / m[p][p]) / sqrt((m[p + 1][p + 1] - m[p][p + 1] * m[p][p + 1] / m[p][p]) / (n - 1 - lag - p) / m[p][p]) AS tau
+  FROM (SELECT *, steps + 1 AS p FROM bs_{tag} WHERE s = steps) JOIN n_{tag} USING (event_type) JOIN best_{tag} USING (event_type)
+),
+z_{tag} AS (SELECT *, CASE WHEN tau <= -2.89 THEN {poly(small)} ELSE {poly(large)} END AS z FROM t_{tag}),
+adf_{tag} AS (
+  SELECT event_type, n_obs, tau, lag AS usedlag, nobs,
+    CASE WHEN tau > 0.7 THEN 1.0 WHEN tau < -16.18 THEN 0.0
+         -- the normal distribution function by its series
+         ELSE 0.5 + exp(-z * z / 2) / sqrt(2 * pi()) * list_reduce(list_prepend({{'t': z, 's': z}}, list_transform(range(1, 150), lambda q: {{'t': q::DOUBLE, 's': 0.0::DOUBLE}})),
+           lambda acc, q: {{'t': acc.t * z * z / (2 * q.t + 1), 's': acc.s + acc.t * z * z / (2 * q.t + 1)}}).s END AS pvalue
+  FROM z_{tag}
+)"""
+
+
+_LEVELS = "levels AS (SELECT event_type, ts, value AS v FROM hourly)"
+_DIFFS = ", ".join(
+    f"diff{k} AS (SELECT event_type, ts, value - lag(value, {k}) OVER (PARTITION BY event_type ORDER BY ts) AS v FROM hourly)" for k in (1, 24)
+)
+
+SQL["stationarity_tests"] = f"""
+WITH RECURSIVE {HOURLY}, {_LEVELS}, {_adf_ctes("levels", "lv")},
+kpss AS ({_kpss_auto_sql()})
+SELECT a.event_type, n_obs, {_r('tau', 'adf_stat')}, {_r('pvalue', 'adf_pvalue')}, {_r('usedlag', 'adf_usedlag')}, {_r('nobs', 'adf_nobs')},
+       kpss_stat, kpss_pvalue, kpss_lags
+FROM adf_lv a JOIN kpss k USING (event_type)
+"""
+
+SQL["adf_after_diff"] = f"""
+WITH RECURSIVE {HOURLY}, {_DIFFS}, {_adf_ctes("diff1", "d1")}, {_adf_ctes("diff24", "d24")}
+SELECT event_type, 1::BIGINT AS lag, {_r('tau', 'adf_stat_diff')}, {_r('pvalue', 'adf_p_diff')} FROM adf_d1
+UNION ALL SELECT event_type, 24, {_r('tau', 'adf_stat_diff')}, {_r('pvalue', 'adf_p_diff')} FROM adf_d24
+"""
+
 SQL["stream_incremental"] = f"""
 WITH {CANON}
 SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}, strftime(file_day, '%Y-%m-%d') AS day

@@ -243,7 +243,8 @@ def q_residual_outliers(spark, d):
 
 def q_drop_runs(spark, d):
     h = _filled(spark, d).select(S.entity, S.ts, S.value)
-    return present(an.drop_runs(h, S, S.weekly, 0.6, 6))
+    # hours 40 % below the day before, two or more in a row: there are some at every scale
+    return present(an.drop_runs(h, S, S.daily, 0.4, 2))
 
 
 # ---------------------------------------------------------------- features
