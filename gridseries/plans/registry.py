@@ -508,7 +508,8 @@ from ..sources import store as st  # noqa: E402
 
 
 def q_eda_summary(spark, d):
-    return present(eda_plan.per_entity_summary(b.hourly(spark, d), S, method="stl"))
+    series = ser.regularise(b.hourly(spark, d), S)
+    return present(eda_plan.per_entity_summary(series, S, method="classical"))
 
 
 def q_cells_walkforward(spark, d):
