@@ -8,7 +8,6 @@ change of language labels the spans of a mixed text.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridseries.llm.common import mix64
+
 WORD = re.compile(r"[^\W\d_]+")
 #: First and last code point of the blocks that decide a script.
 SCRIPT_RANGES = [
@@ -41,6 +42,7 @@ SCRIPT_RANGES = [
     ("hangul", 0xAC00, 0xD7AF),
     ("han", 0x20000, 0x3FFFF),
 ]
+LAST_LATIN = "\u024f"
 SCRIPTS = sorted({name for name, _, _ in SCRIPT_RANGES} | {"other"})
 _STARTS = np.array([a for _, a, _ in SCRIPT_RANGES])
 _ENDS = np.array([b for _, _, b in SCRIPT_RANGES])
@@ -55,6 +57,7 @@ SWITCH_PENALTY = 8.0
 MAX_TRAINING_ROWS = 6000
 CACHED_WORDS = 300_000
 WORDS_AT_ONCE = 1_000_000
+WORDS_SCORED_AT_ONCE = 50_000
 
 
 def word_script(word: str) -> int:
@@ -67,10 +70,40 @@ def word_script(word: str) -> int:
     return int(np.bincount(np.where(inside, _NUMBER[at], SCRIPTS.index("other"))).argmax())
 
 
-def word_grams(word: str) -> list[int]:
-    """Buckets of the character n-grams of a lower-case word with a space at either end."""
-    padded = f" {word} "
-    return [zlib.crc32(padded[i : i + n].encode()) % GRAM_BUCKETS for n in GRAM_SIZES for i in range(len(padded) - n + 1)]
+def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Character n-grams of lower-case words with a space at either end.
+
+    Returns the bucket of the gram of each size that starts at each place of the
+    words joined by spaces (size x place), whether there is one, and the place where
+    each word (with the space before it) starts.
+    """
+    points = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), "<u4").astype(np.uint64)
+    space = points == 32
+    buckets, there = np.zeros((len(GRAM_SIZES), len(points)), np.int64), np.zeros((len(GRAM_SIZES), len(points)), bool)
+    for row, size in enumerate(GRAM_SIZES):
+        n = len(points) - size + 1
+        mixed = np.full(n, size, np.uint64)
+        for k in range(size):
+            mixed = mix64(mixed * np.uint64(0x9E3779B97F4A7C15) + points[k : n + k])
+        buckets[row, :n] = mixed % np.uint64(GRAM_BUCKETS)
+        inner = range(1, size - 1) if size > 1 else (0,)
+        there[row, : n - (size > 1)] = True
+        there[row, n - 1 : n] = size > 1 and not space[n - 1]
+        for k in inner:  # a space inside parts two words; a space alone is no gram
+            there[row, :n] &= ~space[k : n + k]
+    return buckets, there, np.flatnonzero(space)[:-1]
+
+
+class WordNumbers(dict):
+    """word -> number, in order of first use; ``new`` lists the words numbered since it was last emptied."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 @dataclass
@@ -81,49 +114,52 @@ class LanguageModel:
     grams: np.ndarray
     in_script: np.ndarray
     penalty: float = SWITCH_PENALTY
-    ids: dict[str, int] = field(default_factory=dict)
-    scores: list[np.ndarray] = field(default_factory=list)
+    numbers: WordNumbers = field(default_factory=WordNumbers)
+    scores: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"ids": {}, "scores": []}
-
-    def score_word(self, word: str) -> np.ndarray:
-        """Evidence for each language in nats, relative to the mean of the candidates; far below them for the others."""
-        candidates = self.in_script[:, word_script(word)]
-        if not candidates.any():
-            return np.zeros(len(self.languages), np.float32)
-        buckets = word_grams(word)
-        total = self.grams[:, buckets].sum(axis=1) / len(GRAM_SIZES)
-        total -= total[candidates].mean()
-        return np.where(candidates, np.clip(total, -20, 20), -30).astype(np.float32)
-
-    def word_ids(self, words: list[str]) -> np.ndarray:
-        ids, scores = self.ids, self.scores
-        got = list(map(ids.get, words))
-        if None in got:
-            for i, at in enumerate(got):
-                if at is None:
-                    at = ids.get(words[i])
-                    if at is None:
-                        at = ids[words[i]] = len(scores)
-                        scores.append(self.score_word(words[i]))
-                    got[i] = at
-        return np.array(got, np.int32)
+        return self.__dict__ | {"numbers": WordNumbers(), "scores": None}
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """Evidence of each word for each language in nats, relative to the mean of the candidates; far below them for the others."""
+        if not words:
+            return np.zeros((0, len(self.languages)), np.float32)
+        buckets, there, starts = word_grams(words)
+        table = self.grams.T
+        total = np.zeros((buckets.shape[1], len(self.languages)), np.float32)
+        for row, mask in zip(buckets, there, strict=True):
+            total += table[row] * mask[:, None]
+        total = np.add.reduceat(total, starts, axis=0) / len(GRAM_SIZES)
+        scripts = np.full(len(words), SCRIPTS.index("latin"))
+        for i, word in enumerate(words):
+            if not word.isascii() and max(word) > LAST_LATIN:
+                scripts[i] = word_script(word)
+        candidates = self.in_script.T[scripts]
+        n = candidates.sum(axis=1, keepdims=True)
+        total -= (total * candidates).sum(axis=1, keepdims=True) / np.maximum(n, 1)
+        return np.where(n == 0, 0, np.where(candidates, np.clip(total, -20, 20), -30)).astype(np.float32)
+
+    def _scored(self) -> np.ndarray:
+        """The score of every numbered word, new ones first scored together."""
+        new, parts = self.numbers.new, [] if self.scores is None else [self.scores]
+        parts += [self.score_words(new[i : i + WORDS_SCORED_AT_ONCE]) for i in range(0, len(new), WORDS_SCORED_AT_ONCE)]
+        self.numbers.new = []
+        self.scores = np.concatenate(parts) if parts else np.zeros((0, len(self.languages)), np.float32)
+        return self.scores
 
     def label(self, texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
         """(words, language number of each) of every text, in order."""
         at = 0
         while at < len(texts):
-            if len(self.ids) > CACHED_WORDS:
-                self.ids.clear()
-                self.scores.clear()
+            if len(self.numbers) > CACHED_WORDS:
+                self.numbers, self.scores = WordNumbers(), None
             group, held = [], 0
             while at < len(texts) and held < WORDS_AT_ONCE:
                 words = WORD.findall(texts[at].lower()) if texts[at] else []
-                group.append((words, self.word_ids(words)))
+                group.append((words, np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))))
                 held += len(words)
                 at += 1
-            paths = viterbi([ids for _, ids in group], np.array(self.scores, np.float32).reshape(-1, len(self.languages)), self.penalty)
+            paths = viterbi([ids for _, ids in group], self._scored(), self.penalty)
             yield from zip((words for words, _ in group), paths, strict=True)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -206,8 +242,13 @@ def train(docs: DataFrame, key: str, text: str, language: str, max_rows: int = M
         for lang, counted in words.items():
             total = np.zeros(GRAM_BUCKETS + len(SCRIPTS), np.int64)
             for word, times in counted.items():
-                np.add.at(total, word_grams(word), times)
                 total[GRAM_BUCKETS + word_script(word)] += times * len(word)
+            known, times = list(counted), np.array(list(counted.values()), np.int64)
+            for i in range(0, len(known), WORDS_SCORED_AT_ONCE):
+                buckets, there, starts = word_grams(known[i : i + WORDS_SCORED_AT_ONCE])
+                owner = np.repeat(times[i : i + WORDS_SCORED_AT_ONCE], np.diff(starts, append=buckets.shape[1]))
+                for row, mask in zip(buckets, there, strict=True):
+                    total[:GRAM_BUCKETS] += np.bincount(row[mask], owner[mask], GRAM_BUCKETS).astype(np.int64)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])], names=["lang", "at", "n"])
 
