@@ -1085,3 +1085,34 @@ SELECT t.event_type, {_ts('t.ts', 'ts')}, CAST(s.rn - (t.rn - 24) AS BIGINT) AS
 FROM c t JOIN c s ON s.event_type = t.event_type AND s.rn BETWEEN t.rn - 24 AND t.rn - 1
 WHERE t.rn > 24
 """
+
+# ---------------------------------------------------------------- the heavy operators over every user's series
+SQL["cells_interpolate"] = SQL["interpolate"].replace("event_type", "user_id")
+
+# the mean is summed in the order of the engine's two parts of a window, as in the decomposition
+SQL["cells_rolling"] = f"""
+WITH {HOURLY}, {FILLED},
+w24 AS (
+  SELECT event_type, ts, value, list(value) OVER w AS l, stddev_samp(value) OVER w AS sd,
+         (row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1) % 24 + 1 AS e
+  FROM filled WINDOW w AS (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+)
+SELECT event_type, {_ts('ts')}, {_r('value')},
+  {_r('CASE WHEN len(l) = 24 THEN (CASE WHEN e = 24 THEN list_reduce(l, lambda a, b: a + b) ELSE list_reduce(list_reverse(l[1:24 - e]), lambda a, b: a + b) + list_reduce(l[24 - e + 1:], lambda a, b: a + b) END) / 24 END', 'rolling_mean')},
+  {_r('CASE WHEN len(l) = 24 THEN sd END', 'rolling_std')}
+FROM w24
+""".replace("event_type", "user_id")
+
+SQL["cells_strengths"] = f"""
+WITH {HOURLY}, {FILLED}, {_decomp_sql(24)},
+v AS (
+  SELECT event_type, period, var_pop(resid) AS r, var_pop(seasonal + resid) AS s, var_pop(trend + resid) AS t FROM dec24 GROUP BY 1, 2
+)
+SELECT event_type, period, {_r('greatest(0.0, 1 - r / greatest(s, 1e-12))', 'seasonal_strength')},
+  {_r('greatest(0.0, 1 - r / greatest(t, 1e-12))', 'trend_strength')}
+FROM v
+""".replace("event_type", "user_id")
+
+SQL["cells_drop_runs"] = (
+    SQL["drop_runs"].replace("event_type", "user_id").replace("rel < -0.4", "rel < -0.6").replace("length >= 2", "length >= 6")
+)

@@ -669,3 +669,36 @@ def q_ingest_manifest(spark, d):
 
 
 QUERIES.update({"ingest_two_runs": q_ingest_two_runs, "quarantine_rows": q_quarantine_rows, "ingest_manifest": q_ingest_manifest})
+
+
+# ---------------------------------------------------------------- the heavy operators over every user's series
+def _cells_filled(spark, d):
+    reg = ser.regularise(b.cells_hourly(spark, d), C).withColumn("was_missing", F.col(C.value).isNull())
+    return ser.interpolate(reg, C)
+
+
+def q_cells_interpolate(spark, d):
+    return present(_cells_filled(spark, d))
+
+
+def q_cells_rolling(spark, d):
+    return present(win.rolling_stats(_cells_filled(spark, d).select(C.entity, C.ts, C.value), C, C.daily))
+
+
+def q_cells_strengths(spark, d):
+    series = _cells_filled(spark, d).select(C.entity, C.ts, C.value)
+    return present(dec.strengths(dec.classical_decompose(series, C, C.daily, fill=False), C))
+
+
+def q_cells_drop_runs(spark, d):
+    return present(an.drop_runs(_cells_filled(spark, d).select(C.entity, C.ts, C.value), C, C.daily, 0.6, 6))
+
+
+QUERIES.update(
+    {
+        "cells_interpolate": q_cells_interpolate,
+        "cells_rolling": q_cells_rolling,
+        "cells_strengths": q_cells_strengths,
+        "cells_drop_runs": q_cells_drop_runs,
+    }
+)
