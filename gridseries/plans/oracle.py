@@ -1116,3 +1116,46 @@ FROM v
 SQL["cells_drop_runs"] = (
     SQL["drop_runs"].replace("event_type", "user_id").replace("rel < -0.4", "rel < -0.6").replace("length >= 2", "length >= 6")
 )
+
+# ---------------------------------------------------------------- sinks written and read back
+SQL["forecast_store"] = f"""
+WITH {BASE_FORECASTS}
+SELECT model, event_type, count(*) AS n, {_r('avg(y_pred)', 'mean_pred')} FROM test WHERE model IN ('naive_last', 'naive_weekly') GROUP BY 1, 2
+UNION ALL SELECT DISTINCT 'not_run', event_type, 0, CAST(NULL AS DOUBLE) FROM hourly
+"""
+
+SQL["metrics_csv"] = f"""
+WITH {BASE_FORECASTS},
+m AS (SELECT event_type, model, {METRICS} FROM test GROUP BY 1, 2)
+SELECT event_type, model, n, {_r('round_even(MAE, 4)', 'MAE')}, {_r('round_even(RMSE, 4)', 'RMSE')} FROM m
+"""
+
+SQL["anomalies_csv"] = f"""
+SELECT event_type, ts, z FROM ({SQL["residual_outliers"].replace("4.0", "3.0")})
+"""
+
+SQL["summary_merge"] = f"""
+WITH {HOURLY}
+SELECT event_type, CASE WHEN event_type >= 'p' THEN 0 ELSE count(*) END AS n_obs, {_r('sum(value)', 'total')},
+       {_r("CASE WHEN event_type >= 'p' THEN max(value) END", 'top')}
+FROM hourly GROUP BY event_type
+"""
+
+SQL["run_log_csv"] = f"""
+WITH {CELLS}
+SELECT 'harmonic' AS model, user_id AS square_id, 0.5::DOUBLE AS train_seconds, 480::BIGINT AS train_steps,
+       {_r('total', 'predict_seconds_total')}, NULL::DOUBLE AS predict_seconds_per_step_mean, 168::BIGINT AS test_steps
+FROM totals
+"""
+
+SQL["upsert_replace"] = f"""
+WITH {CELLS}
+SELECT user_id, {_r('CASE WHEN user_id % 3 = 0 THEN total * 2 ELSE total END', 'total')}, CASE WHEN user_id % 3 = 0 THEN 'new' ELSE 'old' END AS run FROM totals
+"""
+
+SQL["top_area_text"] = f"""
+WITH {CELLS}
+SELECT user_id::VARCHAR AS value FROM totals ORDER BY total DESC, user_id LIMIT 1
+"""
+
+SQL["cells_kpss"] = SQL["kpss_fixed_lag"].replace("event_type", "user_id")

@@ -702,3 +702,93 @@ QUERIES.update(
         "cells_drop_runs": q_cells_drop_runs,
     }
 )
+
+
+# ---------------------------------------------------------------- sinks written and read back
+def q_forecast_store(spark, d):
+    """Forecasts written per model, read back for requested pairs, absent pairs reported."""
+    folder = stm.scratch(spark, "forecasts")
+    rep.write_forecasts(_test_forecasts(spark, d), folder, S.entity)
+    h = b.hourly(spark, d).select(S.entity).distinct()
+    requested = h.withColumn("model", F.explode(F.array(F.lit("naive_last"), F.lit("naive_weekly"), F.lit("not_run"))))
+    found, missing = rep.read_forecasts(spark, folder, requested, S.entity)
+    counts = found.groupBy("model", S.entity).agg(F.count(F.lit(1)).alias("n"), F.avg("y_pred").alias("mean_pred"))
+    absent = missing.select("model", S.entity, F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("mean_pred"))
+    return present(counts.unionByName(absent))
+
+
+def q_metrics_csv(spark, d):
+    """Metrics as CSV folders per entity, overwritten by a second run and read back (K5, P5)."""
+    folder = stm.scratch(spark, "metrics")
+    m = ev.metrics_table(_test_forecasts(spark, d), S, decimals=4)
+    rep.write_partitioned_csv(m.withColumn(S.entity, F.concat(S.entity, F.lit("_gone"))), folder, S.entity)
+    rep.write_partitioned_csv(m, folder, S.entity)
+    back = spark.read.option("header", True).schema(m.drop(S.entity).schema.add(m.schema[S.entity])).csv(folder)
+    return present(back.select(S.entity, "model", "n", "MAE", "RMSE"))
+
+
+def q_anomalies_csv(spark, d):
+    """Outliers as CSV folders per entity, read back (K6)."""
+    folder = stm.scratch(spark, "anomalies")
+    o = an.residual_outliers(_decomp(spark, d, S.daily), S, 3.0).select(S.entity, S.ts, "z")
+    rep.write_partitioned_csv(o, folder, S.entity)
+    schema = f"{S.ts} timestamp_ntz, z double, {S.entity} string"
+    return present(spark.read.option("header", True).schema(schema).csv(folder).select(S.entity, S.ts, "z"))
+
+
+def q_summary_merge(spark, d):
+    """A summary stored, then merged with a later run of other entities and columns."""
+    path = stm.scratch(spark, "summary")
+    h = b.hourly(spark, d)
+    first = h.groupBy(S.entity).agg(F.count(F.lit(1)).alias("n_obs"), F.sum(S.value).alias("total"))
+    later = h.where(F.col(S.entity) >= "p").groupBy(S.entity).agg(F.lit(0).cast("bigint").alias("n_obs"), F.max(S.value).alias("top"))
+    schema = f"{S.entity} string, n_obs bigint, total double, top double"
+    eda_plan.write_summary(first, path, S.entity, schema)
+    eda_plan.write_summary(later, path, S.entity, schema)
+    return present(rep.read_json_summary(spark, path, schema))
+
+
+def q_run_log_csv(spark, d):
+    """Run log written as CSV and read back."""
+    path = stm.scratch(spark, "run-log")
+    t = _totals(spark, d)
+    log = t.select(
+        F.lit("harmonic").alias("model"), F.col(C.entity).alias("square_id"), F.lit(0.5).alias("train_seconds"), F.lit(480).cast("bigint").alias("train_steps"),
+        F.col("total").alias("predict_seconds_total"), F.lit(None).cast("double").alias("predict_seconds_per_step_mean"), F.lit(168).cast("bigint").alias("test_steps"),
+    )
+    rep.write_run_log(log, path)
+    return present(rep.read_run_log(spark, path))
+
+
+def q_upsert_replace(spark, d):
+    """Rows whose key is in the batch are dropped whole, others kept, the batch appended."""
+    t = _totals(spark, d)
+    old = t.select(C.entity, F.col("total"), F.lit("old").alias("run"))
+    new = t.where(F.col(C.entity) % 3 == 0).select(C.entity, (F.col("total") * 2).alias("total"), F.lit("new").alias("run"))
+    return present(rep.upsert(old, new, [C.entity], merge_columns=False))
+
+
+def q_top_area_text(spark, d):
+    """The top area's id as a text file, read back (K9, T4)."""
+    path = stm.scratch(spark, "area-top")
+    rep.write_text(ser.top_k(_totals(spark, d), C, 1).select(F.col(C.entity).cast("string").alias("value")), path)
+    return spark.read.text(path)
+
+
+def q_cells_kpss(spark, d):
+    """KPSS of every user's series; below 100 observations NULL."""
+    return present(cor.kpss_fixed_lag(b.cells_hourly(spark, d), C, 8))
+
+
+QUERIES.update(
+    {
+        "forecast_store": q_forecast_store,
+        "metrics_csv": q_metrics_csv,
+        "anomalies_csv": q_anomalies_csv,
+        "summary_merge": q_summary_merge,
+        "run_log_csv": q_run_log_csv,
+        "upsert_replace": q_upsert_replace,
+        "top_area_text": q_top_area_text,
+        "cells_kpss": q_cells_kpss,
+    }
+)

@@ -141,12 +141,13 @@ def drain_upserts(stream_result: DataFrame, keys: list[str], folder: str) -> Dat
 
 
 # ---------------------------------------------------------------- R3
-def online_forecasts(stream: DataFrame, spec: SeriesSpec, period: int) -> DataFrame:
+def online_forecasts(stream: DataFrame, spec: SeriesSpec, period: int, idle_ms: int | None = None) -> DataFrame:
     """Last-value and seasonal-naive forecast of each arriving row from per-key state.
 
     State per entity keeps only the values of the last ``period`` steps
     (bounded), so state grows with the number of entities, not with time;
-    rows of one entity are expected in time order.
+    rows of one entity are expected in time order. With ``idle_ms`` the state of an
+    entity that sent nothing for so long (processing time) is released.
     Output: (entity, ts, y_true, pred_last, pred_seasonal, abs_err_last,
     abs_err_seasonal).
     """
@@ -161,49 +162,49 @@ def online_forecasts(stream: DataFrame, spec: SeriesSpec, period: int) -> DataFr
     )
     state_schema = "hist_t array<bigint>, hist_v array<double>"
 
+    def at_or_before(times: np.ndarray, values: np.ndarray, wanted: np.ndarray, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(found, value) of the last of the sorted rows at or before each wanted time, or exactly at it."""
+        at = np.searchsorted(times, wanted, "right") - 1
+        found = at >= 0
+        at = np.maximum(at, 0)
+        if exact:
+            found &= times[at] == wanted
+        return found, np.where(found, values[at], np.nan)
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        hist: dict[int, float] = {}
-        if state.exists:
-            ht, hv = state.get
-            hist = {int(t): (np.nan if v is None else float(v)) for t, v in zip(ht, hv)}
+        if state.hasTimedOut:
+            state.remove()
+            return
         parts = [p for p in pdfs if len(p)]
         if not parts:
             return
         pdf = pd.concat(parts, ignore_index=True).sort_values("_t", kind="mergesort")
-        out_last, out_seas = [], []
-        newest = max(hist) if hist else None
-        for t, v in zip(pdf["_t"].to_numpy(), pdf[spec.value].to_numpy(dtype=float, na_value=np.nan)):
-            t = int(t)
-            if newest is not None and newest <= t - spec.step:
-                last = hist[newest]
-            else:  # duplicate timestamps: search the (bounded) history
-                past = [k for k in hist if k <= t - spec.step]
-                last = hist[max(past)] if past else np.nan
-            seas = hist[t - lag] if (t - lag) in hist else last
-            out_last.append(last)
-            out_seas.append(seas)
-            hist[t] = v
-            if newest is None or t > newest:
-                newest = t
-                for k in [k for k in hist if k < newest - lag] if len(hist) > 2 * period + 2 else []:
-                    del hist[k]
-        hist = {k: x for k, x in hist.items() if k >= newest - lag}
-        keys = sorted(hist)
-        state.update(([int(k) for k in keys], [None if np.isnan(hist[k]) else float(hist[k]) for k in keys]))
+        t = pdf["_t"].to_numpy(np.int64)
         y = pdf[spec.value].to_numpy(dtype=float, na_value=np.nan)
-        pl, ps = np.asarray(out_last, dtype=float), np.asarray(out_seas, dtype=float)
+        past_t, past_v = (np.asarray(a) for a in state.get) if state.exists else (np.empty(0), np.empty(0))
+        times = np.concatenate([past_t.astype(np.int64), t])
+        values = np.concatenate([np.array([np.nan if v is None else v for v in past_v], float), y])
+        order = np.argsort(times, kind="stable")  # of equal times the later row counts
+        times, values = times[order], values[order]
+        _, last = at_or_before(times, values, t - spec.step, exact=False)
+        there, season = at_or_before(times, values, t - lag, exact=True)
+        season = np.where(there, season, last)
+        keep = times >= times[-1] - lag
+        keep[:-1] &= times[1:] != times[:-1]
+        state.update((times[keep].tolist(), [None if np.isnan(v) else v for v in values[keep].tolist()]))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(
             {
                 ent: pdf[ent],
                 spec.ts: pdf[spec.ts],
                 "y_true": pdf[spec.value],
-                "pred_last": pl,
-                "pred_seasonal": ps,
-                "abs_err_last": np.abs(y - pl),
-                "abs_err_seasonal": np.abs(y - ps),
+                "pred_last": last,
+                "pred_seasonal": season,
+                "abs_err_last": np.abs(y - last),
+                "abs_err_seasonal": np.abs(y - season),
             }
         )
 
-    return rows.groupBy(ent).applyInPandasWithState(
-        fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout
-    )
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return rows.groupBy(ent).applyInPandasWithState(fn, out_schema, state_schema, "append", timeout)
