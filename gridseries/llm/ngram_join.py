@@ -164,7 +164,8 @@ def ngram_links(
     families = connected_components(stars, "ngram-families")
 
     members = staged(in_blocks(families.join(classes.drop("bands"), "node"), "component", "node", BLOCK_ROWS), "ngram-members")
-    texts = members.join(docs, members["rep"] == docs["key"])
+    # the families are a share of the documents, so both sides are dealt by key at every size
+    texts = members.hint("merge").join(docs, members["rep"] == docs["key"])
     block = ["component", "block_i", "block_j"]
     texts = texts.select(*block, "chunk", "node", "class", "copies", "text").repartition(*block).sortWithinPartitions(*block, "node")
     links = staged(texts.mapInArrow(_verify(k, threshold), "node long, linked long, low long"), "ngram-links")
