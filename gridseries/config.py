@@ -92,9 +92,6 @@ ARCHIVE_INGEST = IngestConfig(expected_first_date="2013-11-01", expected_last_da
 @dataclass(frozen=True)
 class EdaConfig:
     rolling_window: int = 144
-    preview_days: int = 14
-    acf_max_lag: int = 2016
-    pacf_max_lag: int = 60
     outlier_z: float = 4.0
     drop_threshold: float = 0.6
     drop_min_run: int = 6

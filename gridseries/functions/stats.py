@@ -28,8 +28,3 @@ def kurtosis_unbiased(x: Column) -> Column:
 
 def log10_positive(x: Column) -> Column:
     return F.when(x > 0, F.log10(x))
-
-
-def nan_to_null(x: Column) -> Column:
-    """pandas treats NaN as missing; Spark does not. Convert at the source."""
-    return F.when(~F.isnan(x), x)

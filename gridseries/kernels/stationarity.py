@@ -110,19 +110,17 @@ def _trend_resid(x: np.ndarray) -> np.ndarray:
     return x - design @ beta
 
 
+def lag_products(e: np.ndarray, most: int) -> np.ndarray:
+    """Sums of e_t e_{t-k} for k = 0..most."""
+    return np.array([e[k:] @ e[: len(e) - k] for k in range(most + 1)])
+
+
 def kpss_autolag(resid: np.ndarray) -> int:
-    """Hobijn et al. (1998) data-dependent Bartlett bandwidth."""
-    n = resid.shape[0]
-    covlags = int(n ** (2.0 / 9.0))
-    s0 = float(resid @ resid) / n
-    s1 = 0.0
-    for i in range(1, covlags + 1):
-        prod = float(resid[i:] @ resid[: n - i]) / (n / 2.0)
-        s0 += prod
-        s1 += i * prod
-    s_hat = s1 / s0
-    gamma = 1.1447 * (s_hat * s_hat) ** (1.0 / 3.0)
-    return int(gamma * n ** (1.0 / 3.0))
+    """Data-dependent Bartlett bandwidth (Hobijn, Franses and Ooms 1998) from the first n^(2/9) lag products."""
+    n = len(resid)
+    p = lag_products(resid, int(n ** (2.0 / 9.0))) / n
+    level, slope = p[0] + 2 * p[1:].sum(), 2 * (np.arange(len(p)) * p).sum()
+    return int(1.1447 * ((slope / level) ** 2 * n) ** (1.0 / 3.0))
 
 
 def kpss(x: np.ndarray, lags: int | None = None) -> dict:
@@ -138,11 +136,9 @@ def kpss(x: np.ndarray, lags: int | None = None) -> dict:
         nl = kpss_autolag(e) if lags is None else int(lags)
         nl = min(nl, n - 1)
         eta = float(np.sum(np.cumsum(e) ** 2)) / (n * n)
-        s2 = float(e @ e)
-        for i in range(1, nl + 1):
-            s2 += 2.0 * float(e[i:] @ e[: n - i]) * (1.0 - i / (nl + 1.0))
-        s2 /= n
-        stat = eta / s2
+        weights = 2.0 * (1.0 - np.arange(nl + 1) / (nl + 1.0))
+        weights[0] = 1.0
+        stat = eta / float(weights @ lag_products(e, nl) / n)
     except (ValueError, ZeroDivisionError, np.linalg.LinAlgError):
         return {"statistic": float("nan"), "pvalue": float("nan"), "lags": float("nan")}
     return {"statistic": stat, "pvalue": kpss_pvalue(stat), "lags": float(nl)}

@@ -14,7 +14,6 @@ import math
 
 import numpy as np
 
-_CHUNK = 1024
 
 
 def _odd(v: int) -> int:
