@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,12 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from gridseries.llm.common import WHITE_SPACE
+from gridseries.llm.common import CHUNKS
 
-#: Splits text at single spaces and white-space runs just as the token pattern would.
-CHUNKS = re.compile(rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 MEMO = 1_000_000
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 500_000
 CACHED_CHARS = 64
 
 

@@ -13,8 +13,15 @@ from pyspark.sql import functions as F
 from gridseries.session import ensure_checkpoint_dir
 
 #: Unicode White_Space, which tokenizer patterns call ``\s``; Python's own ``\s`` holds four more.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
-
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+_WORD, _MARK = "A-Za-z0-9À-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
+#: Cuts text where the byte-level token pattern never matches across: a plain word before a mark or white space,
+#: marks before white space, other runs, white space.
+CHUNKS = re.compile(
+    rf" ?[{_WORD}]+(?=[{_MARK}{WHITE_SPACE}]|\Z)| ?[{_MARK}]+(?=[{WHITE_SPACE}]|\Z)| ?[^{WHITE_SPACE}]+"
+    rf"|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
+)
 WORDS = re.compile(r"\w+")
 SHINGLE_WORDS = 5
 
