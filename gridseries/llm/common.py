@@ -49,7 +49,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 class HashCache(dict):
     """word -> 64-bit hash, emptied when it holds ``limit`` words."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
@@ -113,10 +113,11 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     before = state(edges)
     while before[0]:
         both = sides(edges)
-        large = both.join(least(both), "src").where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+        # the minima are staged first: a join of two plain tables is one whose hub keys adaptive execution can split
+        large = both.join(staged(least(both), name), "src").where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         large = staged(large.where("src <> dst").distinct(), name)
         # every edge now points from a node to a smaller one
-        low = large.groupBy("src").agg(F.min("dst").alias("low"))
+        low = staged(large.groupBy("src").agg(F.min("dst").alias("low")), name)
         small = large.join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src <> dst")
         small = small.union(low.select("src", F.col("low").alias("dst"))).distinct()
         edges = staged(small, name)
@@ -129,19 +130,36 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
 
 
 def in_blocks(members: DataFrame, group: str, node: str, size: int) -> DataFrame:
-    """Deal each group's rows to blocks that together hold every pair of its rows.
-
-    A group of n rows is cut into c = ceil(n / size) chunks by a hash of the
-    node; block (i, j) with i <= j holds chunks i and j, so a task sees at most
-    about twice ``size`` rows however large the group. Adds (block_i, block_j, chunk); a
-    group of one row has no pair and goes.
+    """Deal each group's rows to blocks that together hold every pair that is still open.
+
+    ``members`` has a column ``core``: two core rows of a group are known to be
+    linked, every other pair is open. The n rows that are not core are cut into
+    ceil(n / size) chunks by a hash of the node, and the core rows likewise;
+    block (i, j) with i <= j holds chunks i and j, so a task sees at most about twice
+    ``size`` rows however large the group. Core chunks meet the others only, so a
+    group that is all core makes no block. Adds (block_i, block_j, chunk).
     """
-    counts = members.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
-    rows = members.join(counts, group).withColumn("chunks", F.ceil(F.col("group_rows") / size).cast("int"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), node), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    open_ = (~F.col("core")).cast("long")
+    counts = members.groupBy(group).agg(F.sum(open_).alias("n_open"), F.count(F.lit(1)).alias("n_all")).where("n_all > 1 AND n_open > 0")
+    rows = members.join(counts, group)
+    p, q = F.ceil(F.col("n_open") / size).cast("int"), F.ceil((F.col("n_all") - F.col("n_open")) / size).cast("int")
+    spread = F.xxhash64(F.lit("chunk"), node)
+    rows = rows.withColumn("p", p).withColumn("q", q)
+    rows = rows.withColumn("chunk", F.when(F.col("core"), F.col("p") + F.pmod(spread, F.greatest("q", F.lit(1)))).otherwise(F.pmod(spread, F.col("p"))).cast("int"))
+    others = F.when(F.col("core"), F.col("p")).otherwise(F.col("p") + F.col("q"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), others.cast("int") - 1)))
     rows = rows.withColumn("block_i", F.least("chunk", "other")).withColumn("block_j", F.greatest("chunk", "other"))
-    return rows.drop("group_rows", "chunks", "other")
+    return rows.drop("n_open", "n_all", "p", "q", "other")
+
+
+def core_links(members: DataFrame, group: str) -> DataFrame:
+    """(node, linked, low) of the core rows (group, node, copies, core): each is linked with all others of its group.
+
+    Two partial sums and one join, however large the group.
+    """
+    core = members.where("core").select(group, "node", "copies")
+    total = core.groupBy(group).agg(F.sum("copies").alias("total"), F.min("node").alias("low"))
+    return core.join(total, group).select("node", (F.col("total") - F.col("copies")).alias("linked"), "low")
 
 
 def block_links(linked: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

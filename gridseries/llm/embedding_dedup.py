@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.common import block_links, in_blocks, links_to_rows, staged
+from gridseries.llm.common import block_links, core_links, in_blocks, links_to_rows, staged
 
 THRESHOLD = 0.95
 PREFIX = 6
@@ -25,6 +25,9 @@ LEAST_PIVOTS, MOST_PIVOTS = 64, 16_384
 #: Pivots are picked from this many sampled vectors for each of them.
 SAMPLE_PER_PIVOT = 4
 BLOCK_ROWS = 512
+#: Dense places are looked for in at most this many sampled vectors; one needs so many of them within half the allowed angle.
+PLACE_SAMPLE = 4096
+DENSE = 8
 
 
 def n_pivots(n: int) -> int:
@@ -57,6 +60,26 @@ def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     return sample[picked]
 
 
+def dense_centres(sample: np.ndarray, threshold: float) -> np.ndarray:
+    """Mean directions of the dense places of the sample, the densest first; vectors near one are linked with one another."""
+    angle = np.arccos(threshold)
+    sample = sample[:PLACE_SAMPLE]
+    near = np.concatenate([sample[i : i + 256] @ sample.T >= np.cos(angle) for i in range(0, len(sample), 256)]) if len(sample) else np.zeros((0, 0), bool)
+    free, centres = np.ones(len(sample), bool), []
+    while len(sample):
+        degree = (near & free[None, :]).sum(axis=1) * free
+        at = int(degree.argmax())
+        if degree[at] < DENSE:
+            break
+        mean = sample[near[at] & free].sum(axis=0)
+        covered = free & (sample @ (mean / np.linalg.norm(mean)) >= np.cos(angle / 2))
+        if covered.sum() >= DENSE:
+            centres.append(mean / np.linalg.norm(mean))
+        free &= ~covered
+        free[at] = False
+    return np.array(centres).reshape(len(centres), sample.shape[1])
+
+
 def shared_pivots(prefixes: np.ndarray, pivot: int) -> tuple[np.ndarray, np.ndarray]:
     """Within one pivot's list: how many pivots each two vectors share, and whether a lower one is among them."""
     n = len(prefixes)
@@ -74,41 +97,48 @@ def shared_pivots(prefixes: np.ndarray, pivot: int) -> tuple[np.ndarray, np.ndar
     return count, lower
 
 
-def _verify(threshold: float, shared: int):
-    """Links within each block of rows (pivot, block_i, block_j, chunk, node, copies, vector, prefix), sorted by block."""
+def _verify(threshold: float, shared: int, n_places: int):
+    """Links within each block of rows (list, block_i, block_j, chunk, core, node, copies, vector, prefix), sorted by block."""
 
-    def links(pivot: int, block_i: int, parts: list[list]) -> list[np.ndarray]:
-        chunk, nodes, copies = (np.concatenate(p) for p in parts[:3])
-        vectors, prefixes = np.concatenate(parts[3]), np.concatenate(parts[4])
-        count, lower = shared_pivots(prefixes, pivot)
-        linked = (count >= shared) & ~lower  # each pair is looked at in the list of its lowest shared pivot
+    def links(number: int, block_i: int, parts: list[list]) -> list[np.ndarray]:
+        chunk, core, nodes, copies = (np.concatenate(p) for p in parts[:4])
+        vectors, prefixes = np.concatenate(parts[4]), np.concatenate(parts[5])
+        if number < n_places:  # a dense place: its own vectors against those on its border
+            candidates = core[:, None] != core[None, :]
+        else:
+            count, lower = shared_pivots(prefixes, number - n_places)
+            candidates = (count >= shared) & ~lower  # each pair is looked at in the list of its lowest shared pivot
         left = chunk == block_i
         if not left.all():
-            linked &= left[:, None] != left[None, :]
-        np.fill_diagonal(linked, False)
-        linked &= vectors @ vectors.T >= threshold
-        return list(block_links(linked, nodes, copies))
+            candidates &= left[:, None] != left[None, :]
+        np.fill_diagonal(candidates, False)
+        candidates &= vectors @ vectors.T >= threshold
+        return list(block_links(candidates, nodes, copies))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts = None, []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(block[0], block[1], parts)], names=["node", "linked", "low"])
+
         for batch in batches:
-            heads = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-            n = len(heads)
+            n = batch.num_rows
             if not n:
                 continue
-            columns = [batch.column(i).to_numpy() for i in (3, 4, 5)]
-            columns += [batch.column(i).flatten().to_numpy().reshape(n, -1) for i in (6, 7)]
+            heads = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5, 6)]
+            columns += [batch.column(i).flatten().to_numpy().reshape(n, -1) for i in (7, 8)]
             edges = [0, *(np.flatnonzero((heads[1:] != heads[:-1]).any(axis=1)) + 1).tolist(), n]
             for i, j in zip(edges, edges[1:], strict=False):
                 now = tuple(heads[i].tolist())
                 if now != block:
                     if block:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(block[0], block[1], parts)], names=["node", "linked", "low"])
-                    block, parts = now, [[] for _ in range(5)]
+                        yield done()
+                    block, parts = now, [[] for _ in columns]
                 for part, column in zip(parts, columns, strict=True):
                     part.append(column[i:j])
         if block:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(block[0], block[1], parts)], names=["node", "linked", "low"])
+            yield done()
 
     return run
 
@@ -124,7 +154,10 @@ def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THR
     Equal vectors are one class from the start. Pivots, about 2 sqrt(n), come from a
     sample of 4 for each; the index holds every vector. Two
     vectors are candidates if they share at least ``shared`` of their ``prefix`` nearest pivots; each
-    pair is looked at once, in the list of its lowest shared pivot. Long lists are dealt in blocks, and tasks return counts and
+    pair is looked at once, in the list of its lowest shared pivot. Vectors within half
+    the allowed angle of a dense place of the sample are linked by the triangle inequality, in time
+    linear in their number, and only vectors on the place's border are compared with them, so a group of near
+    copies fills no list. Long lists are dealt in blocks, and tasks return counts and
     one edge a vector, never pairs.
     """
     spark = df.sparkSession
@@ -152,31 +185,53 @@ def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THR
     pivots = choose_pivots(np.stack(sample.to_list()), n_pivots(n)) if len(sample) else np.zeros((0, 1))
     depth = min(prefix, len(pivots))
     least_shared = min(shared, depth)
-    held = spark.sparkContext.broadcast(pivots)
+    centres = dense_centres(np.stack(sample.to_list()), threshold) if len(sample) else pivots
+    held = spark.sparkContext.broadcast((pivots, centres))
+    if not depth:
+        none = spark.createDataFrame([], "node long, linked long, low long")
+        return links_to_rows(rows.select("key", "class"), classes.drop("vector"), none, key, "vector-components")
+    half, reach = np.cos(np.arccos(threshold) / 2) + 1e-9, np.cos(np.arccos(threshold) * 1.5) - 1e-9
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference = held.value
+        reference, dense = held.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             vectors = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
-            near = np.empty((len(vectors), depth), np.int32)
+            near, places, borders = np.empty((len(vectors), depth), np.int32), [], []
             for i in range(0, len(vectors), 1024):
-                likeness = vectors[i : i + 1024] @ reference.T
+                part = vectors[i : i + 1024]
+                likeness = part @ reference.T
                 top = np.argpartition(-likeness, depth - 1, axis=1)[:, :depth]
                 order = np.argsort(-np.take_along_axis(likeness, top, axis=1), axis=1, kind="stable")
                 near[i : i + 1024] = np.take_along_axis(top, order, axis=1)
+                if len(dense):
+                    to_dense = part @ dense.T
+                    own = to_dense.argmax(axis=1)
+                    own[to_dense[np.arange(len(part)), own] < half] = -1
+                    # of two dense places the lower one looks at the pairs between them
+                    border = (to_dense >= reach) & ((own[:, None] < 0) | (np.arange(len(dense))[None, :] < own[:, None]))
+                    places += [int(o) if o >= 0 else None for o in own]
+                    borders += [np.flatnonzero(b) for b in border]
+                else:
+                    places += [None] * len(part)
+                    borders += [()] * len(part)
             prefixes = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, depth), pa.int32()), pa.array(near.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, prefixes], names=["node", "copies", "vector", "prefix"])
-
-    if depth:
-        index = classes.select("node", "copies", "vector").mapInArrow(describe, "node long, copies long, vector array<double>, prefix array<int>")
-        index = staged(index, "pivot-index")
-        lists = in_blocks(index.select("node", F.explode("prefix").alias("pivot")), "pivot", "node", BLOCK_ROWS)
-        block = ["pivot", "block_i", "block_j"]
-        lists = lists.join(index, "node").select(*block, "chunk", "node", "copies", "vector", "prefix")
-        lists = lists.repartition(*block).sortWithinPartitions(*block)
-        links = lists.mapInArrow(_verify(threshold, least_shared), "node long, linked long, low long")
-    else:
-        links = spark.createDataFrame([], "node long, linked long, low long")
-    return links_to_rows(rows.select("key", "class"), classes.drop("vector"), staged(links, "vector-links"), key, "vector-components")
+            arrays = [*batch.columns, prefixes, pa.array(places, pa.int32()), pa.array(borders, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "copies", "vector", "prefix", "place", "borders"])
+
+    schema = "node long, copies long, vector array<double>, prefix array<int>, place int, borders array<int>"
+    index = staged(classes.select("node", "copies", "vector").mapInArrow(describe, schema), "pivot-index")
+
+    # vectors at a dense place are linked with one another; what borders the place is compared with it
+    inside = index.where("place IS NOT NULL").select(F.col("place").alias("list"), "node", "copies", F.lit(True).alias("core"))
+    links = core_links(inside, "list")
+    border = index.select(F.explode("borders").alias("list"), "node", "copies", F.lit(False).alias("core"))
+    # all others, and what they are near to, meet in the lists of their pivots, numbered after the places
+    listed = index.where("place IS NULL").select(F.explode(F.transform("prefix", lambda p: p + len(centres))).alias("list"), "node", "copies", F.lit(False).alias("core"))
+    block = ["list", "block_i", "block_j"]
+    lists = in_blocks(inside.union(border).union(listed), "list", "node", BLOCK_ROWS)
+    lists = lists.join(index.select("node", "vector", "prefix"), "node").select(*block, "chunk", "core", "node", "copies", "vector", "prefix")
+    lists = lists.repartition(*block).sortWithinPartitions(*block)
+    found = lists.mapInArrow(_verify(threshold, least_shared, len(centres)), "node long, linked long, low long")
+    return links_to_rows(rows.select("key", "class"), classes.drop("vector"), staged(found.union(links), "vector-links"), key, "vector-components")

@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.common import SHINGLE_WORDS, block_links, connected_components, in_blocks, links_to_rows, mix64, shingle_hashes, staged, word_hashes
+from gridseries.llm.common import SHINGLE_WORDS, block_links, connected_components, core_links, in_blocks, links_to_rows, mix64, shingle_hashes, staged, word_hashes
 
 THRESHOLD = 0.8
 TARGET_RECALL = 0.995
 MAX_HASHES = 128
 BLOCK_ROWS = 512
 COLUMNS_AT_ONCE = 4096
+#: A large family's centre is what most of about this many of its members hold.
+CENTRE_SAMPLE = 64
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int) -> tuple[int, int]:
@@ -124,6 +126,67 @@ def _verify(k: int, threshold: float):
     return run
 
 
+def _centres(k: int):
+    """(group, centre) from rows (group, text) sorted by group: the n-grams that more than half of the group's texts hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sets = None, []
+
+        def done() -> pa.RecordBatch:
+            values, times = np.unique(np.concatenate(sets), return_counts=True)
+            centre = values[2 * times > len(sets)].view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array([group]), pa.array([centre], pa.list_(pa.int64()))], names=["component", "centre"])
+
+        for batch in batches:
+            for now, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if now != group and sets:
+                    yield done()
+                    sets = []
+                group = now
+                sets.append(shingle_set(text.as_py(), k))
+        if sets:
+            yield done()
+
+    return run
+
+
+def _near_centre(k: int, likeness: float):
+    """(node, core) from rows (node, class, text, centre): Jaccard with the centre of at least ``likeness``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, core = [], []
+            for node, class_, text, centre in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                shingles = shingle_set(text.as_py(), k)
+                if set_class(shingles) != class_:
+                    continue
+                middle = centre.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                shared = len(np.intersect1d(shingles, middle, assume_unique=True))
+                nodes.append(node)
+                core.append(shared / (len(shingles) + len(middle) - shared) >= likeness)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(core, pa.bool_())], names=["node", "core"])
+
+    return run
+
+
+def _core_members(members: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+    """``members`` with ``core``: rows of a family larger than a block that are so near to one centre that all of them are linked.
+
+    1 - Jaccard is a metric on sets. So two texts at no more than half the
+    allowed distance from any third set are within the allowed distance of one another, whatever
+    that set is: a centre that fits badly makes fewer rows core, never a wrong link.
+    """
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK_ROWS)
+    large = texts.join(sizes, "component")
+    drawn = F.pmod(F.xxhash64(F.lit("centre"), "node"), F.lit(1 << 30)) < (F.lit(CENTRE_SAMPLE) / F.col("n") * (1 << 30)).cast("long")
+    sample = large.where(drawn).select("component", "text").repartition("component").sortWithinPartitions("component")
+    centres = staged(sample.mapInArrow(_centres(k), "component long, centre array<bigint>"), "ngram-centres")
+    near = large.join(centres, "component").select("node", "class", "text", "centre")
+    core = near.mapInArrow(_near_centre(k, 1 - (1 - threshold) / 2), "node long, core boolean")
+    core = staged(core.where("core").distinct(), "ngram-core")
+    return members.join(core, "node", "left").withColumn("core", F.coalesce("core", F.lit(False)))
+
+
 def ngram_links(
     df: DataFrame, key: str, text: str, threshold: float = THRESHOLD, k: int = SHINGLE_WORDS, recall: float = TARGET_RECALL, max_hashes: int = MAX_HASHES
 ) -> DataFrame:
@@ -137,9 +200,10 @@ def ngram_links(
 
     Equal sets are one class from the start (partial counts, so a hot copy costs
     a count). Classes that share a band hash form families (components of star
-    edges, not pairs). Each family's texts are shuffled once, a large family in blocks,
-    and every pair in it is compared on full sets inside the tasks, which
-    return counts and one edge a row: no pair is ever a row.
+    edges, not pairs). In a family larger than a block, the texts near its centre are
+    linked by the triangle inequality, in time linear in their number; the pairs left, and all
+    pairs of small families, are compared on full sets inside the tasks,
+    which return counts and one edge a row: no pair is ever a row.
     """
     bands, rows = choose_bands(threshold, recall, max_hashes)
     kind = df.schema[key].dataType.simpleString()
@@ -163,10 +227,15 @@ def ngram_links(
     stars = buckets.join(shared, ["band", "hash"]).select(F.col("node").alias("src"), F.col("low").alias("dst"))
     families = connected_components(stars, "ngram-families")
 
-    members = staged(in_blocks(families.join(classes.drop("bands"), "node"), "component", "node", BLOCK_ROWS), "ngram-members")
+    members = staged(families.join(classes.drop("bands"), "node"), "ngram-members")
     # the families are a share of the documents, so both sides are dealt by key at every size
-    texts = members.hint("merge").join(docs, members["rep"] == docs["key"])
+    texts = members.hint("merge").join(docs, members["rep"] == docs["key"]).select("component", "node", "class", "text")
+    texts = staged(texts, "ngram-texts")
+    members = staged(_core_members(members, texts, threshold, k), "ngram-core-members")
     block = ["component", "block_i", "block_j"]
-    texts = texts.select(*block, "chunk", "node", "class", "copies", "text").repartition(*block).sortWithinPartitions(*block, "node")
-    links = staged(texts.mapInArrow(_verify(k, threshold), "node long, linked long, low long"), "ngram-links")
+    blocks = in_blocks(members.select("component", "node", "copies", "core"), "component", "node", BLOCK_ROWS)
+    rows_in = blocks.hint("merge").join(texts.select("node", "class", "text"), "node")
+    rows_in = rows_in.select(*block, "chunk", "node", "class", "copies", "text").repartition(*block).sortWithinPartitions(*block, "node")
+    links = rows_in.mapInArrow(_verify(k, threshold), "node long, linked long, low long")
+    links = staged(links.union(core_links(members, "component")), "ngram-links")
     return links_to_rows(signed.select("key", "class"), classes.drop("bands"), links, key, "ngram-components")

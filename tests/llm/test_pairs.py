@@ -203,3 +203,38 @@ def test_shingles_of_short_texts():
     assert shingle_hashes(word_hashes("a b"))[0] != shingle_hashes(word_hashes("b a"))[0]
     assert len(shingle_hashes(word_hashes("a b c d e f"))) == 2
     assert common.word_hashes("Ab, aB") [0] == common.word_hashes("ab")[0]
+
+
+def test_dense_places_are_found_and_links_inside_need_no_list():
+    from gridseries.llm.embedding_dedup import dense_centres
+
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(2, 64))
+    sample = np.concatenate([rng.normal(size=(200, 64)), *(b + rng.normal(size=(60, 64)) * 0.1 for b in base)])
+    sample /= np.linalg.norm(sample, axis=1)[:, None]
+    centres = dense_centres(sample, 0.95)
+    assert len(centres) == 2
+    inside = sample[200:260]
+    near = inside[(inside @ centres.T >= np.cos(np.arccos(0.95) / 2)).any(axis=1)]
+    assert len(near) > 55 and (near @ near.T).min() >= 0.95
+    assert len(dense_centres(sample[:200], 0.95)) == 0 and len(dense_centres(sample[:0], 0.95)) == 0
+
+
+def test_a_text_near_the_centre_is_linked_without_a_comparison(spark, monkeypatch):
+    from gridseries.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 10)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[: 3 * i], f"own{i}", *words[3 * i + 1 :]])) for i in range(60)]  # one word differs: all are links
+    rows += [(100 + i, " ".join(words[: 168 + i])) for i in range(12)]  # shortened: some pairs are links
+    compared = []
+    plain = ngram_join.in_blocks
+
+    def counting(members, *args):
+        compared.append(members.where("core").count())
+        return plain(members, *args)
+
+    monkeypatch.setattr(ngram_join, "in_blocks", counting)
+    out = {r.doc_id: (r.n_links, r.component_id) for r in ngram_links(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert out == jaccard_links(dict(rows))
+    assert compared[0] >= 50
