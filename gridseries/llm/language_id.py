@@ -55,8 +55,8 @@ SCRIPT_SHARE = 0.02
 SWITCH_PENALTY = 8.0
 #: Training reads about this many labelled rows at most, picked by a hash of the key.
 MAX_TRAINING_ROWS = 6000
-CACHED_WORDS = 300_000
-WORDS_AT_ONCE = 1_000_000
+CACHED_WORDS = 200_000
+WORDS_AT_ONCE = 400_000
 WORDS_SCORED_AT_ONCE = 50_000
 
 
