@@ -8,22 +8,26 @@ round, on fewer tasks, until one task has packed what is left.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from gridseries.llm.common import WHITE_SPACE, staged
+from gridseries.llm.common import CHUNKS, staged
 
-CHUNKS = re.compile(rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 400_000
 CACHED_CHARS = 64
+PLAIN_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+CHARS_AT_ONCE = 4_000_000
+KEPT_TEXTS = 50_000
 ITEMS_PER_TASK = 20_000
 NEARLY_FULL = 8
 
@@ -31,50 +35,88 @@ NEARLY_FULL = 8
 class TextTokenizer:
     """Whole texts to ids by the tokenizers library.
 
-    The byte-level pattern never matches across the edge before a single space or
-    around a white-space run, so a text is cut there and each distinct short chunk
-    goes through the library once. A text that holds an added token's string goes
-    through it whole.
+    The byte-level pattern never matches across the edge before a single space,
+    around a white-space run or between a letter or digit and a mark after it, so a text
+    is cut there and each distinct short chunk goes through the library once. A text
+    that holds an added token's string goes through it whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         single = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_feed = single[0] if len(single) == 1 else None
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.words = self._word_tokenizer(path)
+
+    def _word_tokenizer(self, path: str) -> Tokenizer | None:
+        """The same model for plain words, each of which is one match of the byte-level pattern: split at line feeds only."""
+        if (json.loads(self.tokenizer.to_str()).get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+            return None
+        words = Tokenizer.from_file(path)
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "isolated"), byte_level])
+        return words
 
     def _library(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in coded]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
+    def _chunks(self, chunks: list[str], tokenizer: Tokenizer) -> list[bytes]:
         """Each chunk's ids, from one call: a chunk has no line feed, so line feeds part them without changing any."""
         if self.line_feed is None:
             return self._library(chunks)
-        ids = np.array(self.tokenizer.encode("\n".join(chunks), add_special_tokens=False).ids, "<u4")
+        ids = np.array(tokenizer.encode_batch_fast(["\n".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
         edges = np.flatnonzero(ids == self.line_feed)
         coded, edges = ids.tobytes(), [-1, *edges.tolist(), len(ids)]
         return [coded[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if self.added and self.added.search(text):
-            return self._library([text])[0]
-        chunks, cache = CHUNKS.findall(text), self.cache
-        parts = list(map(cache.get, chunks))
+        return self.encode_all([text])[0].tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Chunks are numbered by Arrow first, so each distinct one is looked up once."""
+        whole = {i: self._library([t])[0] for i, t in enumerate(texts) if self.added and self.added.search(t)}
+        cut_up, counts = [], [0]
+        for i, text in enumerate(texts):
+            if i not in whole:
+                cut_up += CHUNKS.findall(text)
+            counts.append(len(cut_up))
+        chunks = pa.array(cut_up, pa.string()).dictionary_encode()
+        distinct, numbers = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
+        parts = list(map(self.cache.get, distinct))
         if None in parts:
-            new = list(dict.fromkeys(c for c, p in zip(chunks, parts, strict=True) if p is None))
-            blank = [c for c in new if c.isspace()]
-            coded = dict(zip(blank, self._library(blank), strict=True)) if blank else {}
-            if solid := [c for c in new if c not in coded]:
-                coded.update(zip(solid, self._chunks(solid), strict=True))
-            parts = [coded[c] if p is None else p for c, p in zip(chunks, parts, strict=True)]
-            if len(cache) + len(coded) > CACHED_CHUNKS:
-                cache.clear()
-            cache.update((c, p) for c, p in coded.items() if len(c) <= CACHED_CHARS)
-        return b"".join(parts)
+            coded = self._unseen([c for c, p in zip(distinct, parts, strict=True) if p is None])
+            parts = [coded[c] if p is None else p for c, p in zip(distinct, parts, strict=True)]
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts, sizes = (np.cumsum(sizes) - sizes)[numbers], sizes[numbers]
+        ends = np.cumsum(sizes)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+        edges = np.concatenate([[0], ends])[counts]
+        return [np.frombuffer(whole[i], "<u4") if i in whole else ids[edges[i] : edges[i + 1]] for i in range(len(texts))]
+
+    def _unseen(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that the cache lacks. A full cache becomes the older one, whose chunks come back when they are met."""
+        older = self.older
+        coded = {c: older[c] for c in chunks if c in older}
+        new = [c for c in chunks if c not in coded]
+        plain = [c for c in new if PLAIN_WORD.fullmatch(c)] if self.words else []
+        if plain:
+            coded.update(zip(plain, self._chunks(plain, self.words), strict=True))
+            new = [c for c in new if c not in coded]
+        if blank := [c for c in new if c.isspace()]:
+            coded.update(zip(blank, self._library(blank), strict=True))
+            new = [c for c in new if c not in coded]
+        if new:
+            coded.update(zip(new, self._chunks(new, self.tokenizer), strict=True))
+        if len(self.cache) + len(coded) > CACHED_CHUNKS:
+            self.cache, self.older = {}, self.cache
+        self.cache.update((c, p) for c, p in coded.items() if len(c) <= CACHED_CHARS)
+        return coded
 
 
 _TOKENIZERS: dict[str, TextTokenizer] = {}
@@ -93,19 +135,51 @@ def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, n_ids, capacity))]
 
 
+class PieceMaker:
+    """Rows (piece, start, length, crc32) of texts; the rows of texts met lately are kept by a digest of the text."""
+
+    def __init__(self, path: str, capacity: int, end_id: int):
+        self.tokenizer, self.capacity = text_tokenizer(path), capacity
+        self.end = np.array([end_id], "<u4")
+        self.kept: dict[bytes, list[tuple]] = {}
+
+    def rows(self, texts: pa.Array) -> Iterator[list[tuple]]:
+        digests = [xxhash.xxh3_128_digest(t.as_buffer() or b"") if t.is_valid else b"" for t in texts]
+        at = 0
+        while at < len(digests):
+            held, group, chars = {}, [], 0
+            start = at
+            while at < len(digests) and chars < CHARS_AT_ONCE:
+                key = digests[at]
+                if key not in self.kept and key not in held:
+                    text = texts[at].as_py() or ""
+                    held[key] = len(group)
+                    group.append(text)
+                    chars += len(text)
+                at += 1
+            made = [self._rows(np.append(ids, self.end).tobytes()) for ids in self.tokenizer.encode_all(group)]
+            for key in digests[start:at]:
+                yield made[held[key]] if key in held else self.kept[key]
+            if len(self.kept) > KEPT_TEXTS:
+                self.kept = {}
+            self.kept.update((key, made[i]) for key, i in held.items())
+
+    def _rows(self, ids: bytes) -> list[tuple]:
+        return [(piece, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)])) for piece, (a, n) in enumerate(cut(len(ids) // 4, self.capacity))]
+
+
+_MAKERS: dict[tuple[str, int, int], PieceMaker] = {}
+
+
 def token_pieces(df: DataFrame, key: str, text: str, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
     """(doc, piece, start, length, ids_crc32) of every text's ids, followed by ``end_id``; null counts as empty."""
     kind = df.schema[key].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = text_tokenizer(tokenizer_path)
+        setting = tokenizer_path, capacity, end_id
+        maker = _MAKERS.get(setting) or _MAKERS.setdefault(setting, PieceMaker(*setting))
         for batch in batches:
-            rows = []
-            for at, value in enumerate(batch.column(1)):
-                ids = tokenizer.encode(value.as_py() or "") + end
-                for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    rows.append((at, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
+            rows = [(at, *row) for at, pieces in enumerate(maker.rows(batch.column(1))) for row in pieces]
             at, *numbers = list(zip(*rows, strict=True)) or [()] * 5
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             arrays = [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(numbers, types, strict=True))]
