@@ -2,7 +2,9 @@
 
 Script ranges narrow the candidate languages of a word, character n-grams score
 it for each of them, and a Viterbi path over the words with a penalty for every
-change of language labels the spans of a mixed text.
+change of language labels the spans of a mixed text. A word counts for its span's
+language only if its n-grams are as likely there as that language's own usually are,
+so foreign scripts and languages that were not learned count for none.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ GRAM_SIZES = (1, 2, 3)
 #: A language is a candidate for a script that holds at least this share of its training letters.
 SCRIPT_SHARE = 0.02
 SWITCH_PENALTY = 8.0
+#: A word is a language's own from the mean log-probability of that language's n-grams, less so many deviations of one, on.
+EVIDENCE_DEVIATIONS = 0.5
 #: Training reads about this many labelled rows at most, picked by a hash of the key.
 MAX_TRAINING_ROWS = 6000
 CACHED_WORDS = 200_000
@@ -108,71 +112,87 @@ class WordNumbers(dict):
 
 @dataclass
 class LanguageModel:
-    """Languages, their n-gram log-probabilities (language x bucket) and which scripts each is written in."""
+    """Languages, their n-gram log-probabilities (language x bucket), which scripts each is written in, and the least mean log-probability of its own words."""
 
     languages: list[str]
     grams: np.ndarray
     in_script: np.ndarray
+    floors: np.ndarray
     penalty: float = SWITCH_PENALTY
     numbers: WordNumbers = field(default_factory=WordNumbers)
     scores: np.ndarray | None = None
+    own: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"numbers": WordNumbers(), "scores": None}
+        return self.__dict__ | {"numbers": WordNumbers(), "scores": None, "own": None}
 
-    def score_words(self, words: list[str]) -> np.ndarray:
-        """Evidence of each word for each language in nats, relative to the mean of the candidates; far below them for the others."""
+    def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(score, own) of each word for each language.
+
+        The score is the evidence in nats, relative to the mean of the candidates; far below
+        them for the others. ``own`` marks candidates in which the word is as likely as their own words.
+        """
         if not words:
-            return np.zeros((0, len(self.languages)), np.float32)
+            return np.zeros((0, len(self.languages)), np.float32), np.zeros((0, len(self.languages)), bool)
         buckets, there, starts = word_grams(words)
         table = self.grams.T
         total = np.zeros((buckets.shape[1], len(self.languages)), np.float32)
         for row, mask in zip(buckets, there, strict=True):
             total += table[row] * mask[:, None]
-        total = np.add.reduceat(total, starts, axis=0) / len(GRAM_SIZES)
+        total = np.add.reduceat(total, starts, axis=0)
+        n_grams = np.add.reduceat(there.sum(axis=0), starts)
         scripts = np.full(len(words), SCRIPTS.index("latin"))
         for i, word in enumerate(words):
             if not word.isascii() and max(word) > LAST_LATIN:
                 scripts[i] = word_script(word)
         candidates = self.in_script.T[scripts]
+        own = candidates & (total >= n_grams[:, None] * self.floors.astype(np.float32))
         n = candidates.sum(axis=1, keepdims=True)
+        total /= len(GRAM_SIZES)
         total -= (total * candidates).sum(axis=1, keepdims=True) / np.maximum(n, 1)
-        return np.where(n == 0, 0, np.where(candidates, np.clip(total, -20, 20), -30)).astype(np.float32)
+        return np.where(n == 0, 0, np.where(candidates, np.clip(total, -20, 20), -30)).astype(np.float32), own
 
-    def _scored(self) -> np.ndarray:
-        """The score of every numbered word, new ones first scored together."""
-        new, parts = self.numbers.new, [] if self.scores is None else [self.scores]
-        parts += [self.score_words(new[i : i + WORDS_SCORED_AT_ONCE]) for i in range(0, len(new), WORDS_SCORED_AT_ONCE)]
+    def _scored(self) -> tuple[np.ndarray, np.ndarray]:
+        """Score and ``own`` of every numbered word, new ones first scored together."""
+        new = self.numbers.new
+        parts = [self.score_words(new[i : i + WORDS_SCORED_AT_ONCE]) for i in range(0, max(1, len(new)), WORDS_SCORED_AT_ONCE)]
         self.numbers.new = []
-        self.scores = np.concatenate(parts) if parts else np.zeros((0, len(self.languages)), np.float32)
-        return self.scores
+        if self.scores is not None:
+            parts.insert(0, (self.scores, self.own))
+        self.scores, self.own = (np.concatenate(p) for p in zip(*parts, strict=True))
+        return self.scores, self.own
 
-    def label(self, texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
-        """(words, language number of each) of every text, in order."""
+    def label(self, texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """(words, language number of each, whether it is that language's own) of every text, in order."""
         at = 0
         while at < len(texts):
             if len(self.numbers) > CACHED_WORDS:
-                self.numbers, self.scores = WordNumbers(), None
+                self.numbers, self.scores, self.own = WordNumbers(), None, None
             group, held = [], 0
             while at < len(texts) and held < WORDS_AT_ONCE:
                 words = WORD.findall(texts[at].lower()) if texts[at] else []
                 group.append((words, np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))))
                 held += len(words)
                 at += 1
-            paths = viterbi([ids for _, ids in group], self._scored(), self.penalty)
-            yield from zip((words for words, _ in group), paths, strict=True)
+            scores, own = self._scored()
+            paths = viterbi([ids for _, ids in group], scores, self.penalty)
+            yield from ((words, path, own[ids, path]) for (words, ids), path in zip(group, paths, strict=True))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Each text's language (most letters in its spans; the first by name on a tie) and its share of the letters."""
+        """Each text's language (most letters of its own words in its spans; the first by name on a tie) and their share of all letters.
+
+        A text without any such word has the language of most letters in spans, with share 0.
+        """
         names, shares = [], []
-        for words, path in self.label(texts):
-            letters = np.bincount(path, np.fromiter(map(len, words), np.float64, len(words)), len(self.languages)) if words else []
-            if not len(letters):
+        for words, path, own in self.label(texts):
+            if not words:
                 names.append("und")
                 shares.append(0.0)
-            else:
-                names.append(self.languages[int(letters.argmax())])
-                shares.append(float(letters.max() / letters.sum()))
+                continue
+            sizes = np.fromiter(map(len, words), np.float64, len(words))
+            letters = np.bincount(path, sizes * own, len(self.languages))
+            shares.append(float(letters.max() / sizes.sum()))
+            names.append(self.languages[int((letters if letters.any() else np.bincount(path, sizes, len(self.languages))).argmax())])
         return names, shares
 
 
@@ -259,9 +279,22 @@ def train(docs: DataFrame, key: str, text: str, language: str, max_rows: int = M
         return None
     table = np.zeros((len(languages), GRAM_BUCKETS + len(SCRIPTS)))
     table[rows["lang"].map(languages.index).to_numpy(), rows["at"].to_numpy()] = rows["n"]
-    grams, scripts = table[:, :GRAM_BUCKETS] + 0.5, table[:, GRAM_BUCKETS:]
+    seen, scripts = table[:, :GRAM_BUCKETS], table[:, GRAM_BUCKETS:]
+    grams = seen + 0.5
+    totals = grams.sum(axis=1, keepdims=True)
     shares = scripts / np.maximum(1, scripts.sum(axis=1, keepdims=True))
-    return LanguageModel(languages, np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32), shares >= SCRIPT_SHARE)
+    return LanguageModel(languages, np.log(grams / totals).astype(np.float32), shares >= SCRIPT_SHARE, own_floors(seen, totals))
+
+
+def own_floors(seen: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """For each language the mean log-probability of its n-grams less EVIDENCE_DEVIATIONS deviations.
+
+    Each occurrence is judged without itself, so a language of few rows gets the low floor that its new texts need.
+    """
+    share = seen / np.maximum(1, seen.sum(axis=1, keepdims=True))
+    rest = np.log(np.maximum(seen - 0.5, 0.5) / totals)
+    mean = (share * rest).sum(axis=1, keepdims=True)
+    return mean[:, 0] - EVIDENCE_DEVIATIONS * np.sqrt((share * (rest - mean) ** 2).sum(axis=1)) - 1e-3
 
 
 def predictor(model: LanguageModel | None):
@@ -291,8 +324,9 @@ def identify(docs: DataFrame, key: str, text: str, language: str, max_rows: int
     """(key, held_out, lang_pred, score) of every row's whole text.
 
     Learns from text and language of the rows that are not held out; a
-    prediction sees the text only. ``und`` with score 0 for a null text, one
-    without letters, or when no row has a language. Keys may repeat or be null
+    prediction sees the text only. The score is the share of the letters in words
+    of the predicted language's own, so it is low for scripts and languages that were not
+    learned. ``und`` with score 0 for a null text, one without letters, or when no row has a language. Keys may repeat or be null
     (such rows train nothing); other columns are not read. No shuffle but the counts'.
     """
     predict = predictor(train_on_rest(docs, key, text, language, max_rows))
@@ -307,7 +341,7 @@ def language_spans(docs: DataFrame, key: str, text: str, model: LanguageModel) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for at, (words, path) in enumerate(model.label(batch.column(1).to_pylist())):
+            for at, (words, path, _) in enumerate(model.label(batch.column(1).to_pylist())):
                 edges = np.flatnonzero(np.diff(path, prepend=-1)) if words else []
                 ends = [*edges[1:], len(words)] if len(edges) else []
                 rows += [(at, i, model.languages[path[a]], int(a), int(b - a)) for i, (a, b) in enumerate(zip(edges, ends, strict=True))]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridseries.llm import language_id, quality
+from gridseries.llm import language_id, quality, stages
 from gridseries.llm.language_id import identify, language_spans, train_on_rest, viterbi, word_script
 
 SF = "/root/testdata/sf0.01"
@@ -53,6 +53,31 @@ def test_mixed_text_is_cut_into_spans(spark, docs):
     assert abs(spans[1].start_word - n) <= 3 and [s.start_word for s in spans][1:] == [spans[0].words, spans[0].words + spans[1].words]
 
 
+def test_foreign_texts_have_a_low_score_and_mixed_ones_of_learned_languages_keep_theirs(spark, docs):
+    model = train_on_rest(docs, "doc_id", "text", "lang")
+    en, de = (r.text for lang in ("en", "de") for r in docs.where(f"lang = '{lang}' AND length(text) BETWEEN 1500 AND 4000 AND text NOT RLIKE '[%|$#*]'").orderBy("doc_id").limit(1).collect())
+    foreign = [
+        "все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心", "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem", "人人生而自由在尊严和权利上一律平等 " * 200 + en[:300],
+    ]
+    mixed = [en, de, f"{en} {en} {de}", f"{en[:1000]} {'привет мир ' * 20}"]
+    names, scores = model.predict(foreign + mixed)
+    assert set(names) <= set(model.languages) and max(scores[:4]) < 0.3 and names[4] == "en" and scores[4] < 0.2
+    assert names[5:] == ["en", "de", "en", "en"] and min(scores[5:7]) > 0.9 and 0.5 < scores[7] < 0.9 and 0.5 < scores[8] < 0.9
+    rows = docs.unionByName(spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(foreign + mixed)], docs.schema))
+    left = {r.doc_id for r in stages.keep_known_languages(spark, rows, SF).where(f"doc_id >= {10**9}").select("doc_id").collect()}
+    assert left == {10**9 + i for i in range(5, 9)}
+    clean = [r.score for r in identify(docs, "doc_id", "text", "lang").where("held_out").collect()]
+    assert np.mean(np.array(clean) >= stages.LANGUAGE_SHARE) > 0.99
+
+
+def test_a_language_of_three_rows_knows_its_own_texts(docs):
+    few = docs.where("lang = 'es'").orderBy("doc_id").limit(3)
+    model = language_id.train(few, "doc_id", "text", "lang")
+    own, other = ([r.text for r in docs.where(f"lang = '{lang}' AND length(text) > 500").orderBy(F.desc("doc_id")).limit(30).collect()] for lang in ("es", "de"))
+    assert np.median(model.predict(own)[1]) > 0.8 and max(model.predict(other)[1]) < 0.5
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(0)
     scores = rng.normal(size=(12, 3)).astype(np.float32)
