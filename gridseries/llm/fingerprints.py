@@ -22,23 +22,23 @@ from pyspark.sql import types as T
 from gridseries.llm.common import mix64, shingle_hashes, staged, word_hashes
 
 SAMPLES = 128
-#: Terms are hashed to this many dimensions, so the draws of a term can be kept in a table.
-TERM_BITS = 18
-#: Rows of the draws' table that are gathered at once.
-TERMS_AT_ONCE = 4096
+#: A term's draws are the run of one table that starts at this many bits of its hash; they only order terms, the whole hash tells them apart.
+TERM_BITS = 25
+#: Terms whose draws are gathered at once.
+TERMS_AT_ONCE = 256
+PLACES_AT_ONCE = 1 << 19
 ROWS_PER_BLOCK = 10_000
 
 
-def _uniform(terms: np.ndarray, samples: np.ndarray, which: int) -> np.ndarray:
-    """Draws in (0, 1) that depend on the term, the sample number and ``which`` only (term x sample)."""
-    seed = mix64((samples.astype(np.uint64) << np.uint64(8)) + np.uint64(which + 1))
-    bits = mix64(mix64(terms.astype(np.uint64) + np.uint64(1))[:, None] ^ seed[None, :])
+def _uniform(places: np.ndarray, which: int) -> np.ndarray:
+    """Draws in (0, 1) that depend on the place in the table and ``which`` only."""
+    bits = mix64(mix64(places.astype(np.uint64) + np.uint64(1)) ^ mix64(np.uint64([which + 1])))
     return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
-def _draws(terms: np.ndarray, samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _draws(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r and log c, both gamma(2, 1) draws, and beta, uniform."""
-    u = [_uniform(terms, samples, i) for i in range(5)]
+    u = [_uniform(places, i) for i in range(5)]
     return -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
 
 
@@ -50,30 +50,41 @@ def _log_a(r: np.ndarray, log_c: np.ndarray, beta: np.ndarray, step: np.ndarray
 class WeightedSampler:
     """Consistent weighted samples of term sets; values at weight 1, the usual one, come from a table.
 
-    The least value of a sample belongs to one (term, step), so it stands for the
-    pair: equal values mean equal picks.
+    A sample is the least value and the whole hash of its term, the least hash where
+    terms that share draws tie: equal samples mean equal picks of (term, step).
     """
 
     def __init__(self, samples: int = SAMPLES, term_bits: int = TERM_BITS):
         self.samples, self.term_bits = np.arange(samples), term_bits
-        self.at_one = np.empty((1 << term_bits, samples), np.float32)
-        for i in range(0, 1 << term_bits, TERMS_AT_ONCE):
-            terms = np.arange(i, min(i + TERMS_AT_ONCE, 1 << term_bits))
-            self.at_one[terms] = _log_a(*_draws(terms, self.samples), 0.0)
+        flat = np.empty((1 << term_bits) + samples, np.float32)
+        for i in range(0, len(flat), PLACES_AT_ONCE):
+            flat[i : i + PLACES_AT_ONCE] = _log_a(*_draws(np.arange(i, min(i + PLACES_AT_ONCE, len(flat)))), 0.0)
+        self.at_one = np.lib.stride_tricks.sliding_window_view(flat, samples)
 
     def fingerprint(self, terms: np.ndarray) -> np.ndarray:
-        """The least value of each sample. ``terms`` holds a hash for each occurrence of a term."""
-        buckets, weights = np.unique(terms >> np.uint64(64 - self.term_bits), return_counts=True)
-        buckets = buckets.astype(np.int64)
-        least = np.full(len(self.samples), np.inf, np.float32)
-        once, more, logs = buckets[weights == 1], buckets[weights > 1], np.log(weights[weights > 1])
+        """A hash of each sample's pick. ``terms`` holds a hash for each occurrence of a term."""
+        terms, weights = np.unique(terms, return_counts=True)
+        places = (terms >> np.uint64(64 - self.term_bits)).astype(np.int64)
+        least, who = np.full(len(self.samples), np.inf, np.float32), np.zeros(len(self.samples), np.int64)
+        once, more = np.flatnonzero(weights == 1), np.flatnonzero(weights > 1)
         for i in range(0, len(once), TERMS_AT_ONCE):
-            np.minimum(least, self.at_one[once[i : i + TERMS_AT_ONCE]].min(axis=0), out=least)
+            part = once[i : i + TERMS_AT_ONCE]
+            _keep_least(self.at_one[places[part]], part, least, who)
         for i in range(0, len(more), TERMS_AT_ONCE):
-            r, log_c, beta = _draws(more[i : i + TERMS_AT_ONCE], self.samples)
-            step = np.floor(logs[i : i + TERMS_AT_ONCE, None] / r + beta)
-            np.minimum(least, _log_a(r, log_c, beta, step).min(axis=0), out=least)
-        return mix64(least.view(np.uint32).astype(np.uint64))
+            part = more[i : i + TERMS_AT_ONCE]
+            r, log_c, beta = _draws(places[part, None] + self.samples)
+            step = np.floor(np.log(weights[part, None]) / r + beta)
+            _keep_least(_log_a(r, log_c, beta, step), part, least, who)
+        return mix64(mix64(terms[who]) ^ least.view(np.uint32).astype(np.uint64))
+
+
+def _keep_least(values: np.ndarray, numbers: np.ndarray, least: np.ndarray, who: np.ndarray) -> None:
+    """Put each column's least value and its row's number, the lowest on a tie, in ``least`` and ``who`` if it comes before theirs."""
+    low = values.min(axis=0)
+    at = np.flatnonzero(low <= least)
+    found = numbers[values[:, at].argmin(axis=0)]
+    first = (low[at] < least[at]) | (found < who[at])
+    least[at[first]], who[at[first]] = low[at[first]], found[first]
 
 
 def to_text(samples: np.ndarray | None) -> str:

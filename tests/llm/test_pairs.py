@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridseries.llm import common
 from gridseries.llm.common import connected_components, shingle_hashes, word_hashes
 from gridseries.llm.embedding_dedup import embedding_links, shared_pivots, unit
-from gridseries.llm.fingerprints import WeightedSampler, edited_text, fingerprint_edits, fingerprint_texts, likeness, text_fingerprint
+from gridseries.llm.fingerprints import WeightedSampler, edited_text, fingerprint_edits, fingerprint_texts, likeness, text_fingerprint, to_text
 from gridseries.llm.ngram_join import choose_bands, ngram_links, similar
 
 SF = "/root/testdata/sf0.001"
@@ -159,6 +159,31 @@ def test_collisions_follow_the_generalised_jaccard_similarity():
     assert (sampler.fingerprint(a) == sampler.fingerprint(a[::-1].copy())).all()
 
 
+@pytest.mark.parametrize("n", [100_000, 500_000])
+def test_likeness_of_very_long_texts(n):
+    rng, near, far = np.random.default_rng(n), [], []
+    like = lambda *sets: likeness(*(to_text(sampler.fingerprint(x)) for x in sets))
+    sampler = WeightedSampler()
+    for _ in range(6):
+        a = rng.integers(0, 1 << 64, n, np.uint64)
+        b = np.concatenate([a[: n * 3 // 4], rng.integers(0, 1 << 64, n // 4, np.uint64)])  # 0.75 n of 1.25 n terms
+        near.append(like(a, b))
+        far.append(like(a, rng.integers(0, 1 << 64, n, np.uint64)))
+    assert abs(np.mean(near) - 0.6) < 0.06 and np.mean(far) < 0.01
+    # weights of 1 and 2: half of the terms count twice in one text only, 1.0 n of 1.5 n
+    twice = [like(a, np.concatenate([a, a[: n // 2]])) for a in (rng.integers(0, 1 << 64, n, np.uint64) for _ in range(3))]
+    assert abs(np.mean(twice) - 2 / 3) < 0.09
+
+
+def test_terms_that_share_their_draws_stay_apart():
+    sampler = WeightedSampler()
+    a, b = (np.array([(5 << 39) + i], np.uint64) for i in (1, 2))
+    assert not (sampler.fingerprint(a) == sampler.fingerprint(b)).any()
+    both = sampler.fingerprint(np.concatenate([b, a]))
+    assert (both == sampler.fingerprint(a)).all()
+    assert ((sampler.fingerprint(np.concatenate([a, b, b])) == sampler.fingerprint(np.concatenate([b, b]))) | (sampler.fingerprint(np.concatenate([a, b, b])) == sampler.fingerprint(a))).all()
+
+
 @pytest.mark.parametrize("rows_per_block", [10_000, 17])
 def test_fingerprints_edits_and_followers(spark, monkeypatch, rows_per_block):
     from gridseries.llm import fingerprints
