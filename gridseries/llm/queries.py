@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import bpe, embedding_dedup, fingerprints, language_id, ngram_join, packing, quality, sharding, url_filters, warc
+from gridseries.llm import alignment, bpe, embedding_dedup, fingerprints, language_id, maxent, ngram_join, packing, quality, repair, sharding, url_filters, warc
 from gridseries.llm.common import table
 
 SHARDS = 16
@@ -176,6 +176,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults, its cheapest repair, and the hash of the repaired turns."""
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
+def op12_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximum-entropy and unigram log10 probabilities of every document's whole text."""
+    return maxent.score_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's groups and links between a byte-level and a piece tokenizer."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), "doc_id", "text", *paths)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -187,5 +203,8 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_maxent_lm": op12_maxent_lm,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 SQL = {"op7_sharding": OP7_SQL, "op8_url_filters": OP8_SQL}
