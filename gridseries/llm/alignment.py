@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridseries.llm.blocks import by_block, code_blocks, lists, one_list, record, reunite
+from gridseries.llm.blocks import by_block, code_blocks, lists, one_list, packed, record, reunite, unpacked
 from gridseries.llm.common import WHITE_SPACE, staged
 
 _OTHER_SPACE = WHITE_SPACE.replace("\t-\r ", "\t\x0b\x0c\r")
@@ -31,6 +31,8 @@ _OTHER_SPACE = WHITE_SPACE.replace("\t-\r ", "\t\x0b\x0c\r")
 #: across that place, and no piece holds a line feed, or a space after another character (both are checked).
 CHUNK = re.compile(rf"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+(?:[{_OTHER_SPACE}][{WHITE_SPACE}]*[^{WHITE_SPACE}]*)*|[{WHITE_SPACE}]+")
 SPACE_MARK = "▁"
+#: A block's chunks are held with their tokens as Python lists, so it is smaller than a block of words.
+BLOCK_CHUNKS = 600_000
 CODED_AT_ONCE = 20_000
 HASHED_AT_ONCE = 100_000
 
@@ -169,11 +171,11 @@ def _digest(codes: np.ndarray, groups: pa.Array) -> str:
 def _aligned(docs: DataFrame, key: str, text: str, path_a: str, path_b: str) -> DataFrame:
     """Documents with their numbers and their chunks' codes, and the blocks' links and counts of id pairs."""
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"block long, key {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes array<int>, link_row array<int>, link_pair array<int>, pairs array<long>, times array<long>"
+    schema = f"block long, key {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes binary, link_row array<int>, link_pair array<int>, pairs array<long>, times array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers_of(path_a, path_b)
-        for block in code_blocks(batches, "text", split_chunks):
+        for block in code_blocks(batches, "text", split_chunks, BLOCK_CHUNKS):
             made, n = align(block.items, pair), block.rows.num_rows
             ends = np.cumsum(block.counts)
             doc = np.repeat(np.arange(n), block.counts)
@@ -185,12 +187,12 @@ def _aligned(docs: DataFrame, key: str, text: str, path_a: str, path_b: str) ->
             shas = [_digest(block.codes[end - size : end], made.groups) if ok and size else "" for end, size, ok in zip(ends.tolist(), block.counts.tolist(), whole.tolist(), strict=True)]
             times = np.bincount(block.codes[kept], minlength=len(block.items))
             links = pa.table({"pair": made.link_pair, "times": times[made.link_row]}).group_by("pair", use_threads=False).aggregate([("times", "sum")]).sort_by("pair")
-            types = [("block", pa.int64()), ("key", block.rows["key"].type), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")), ("groups_sha256", pa.string()), *((c, pa.list_(pa.int32())) for c in ("codes", "link_row", "link_pair")), *((c, pa.list_(pa.int64())) for c in ("pairs", "times"))]
+            types = [("block", pa.int64()), ("key", block.rows["key"].type), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")), ("groups_sha256", pa.string()), ("codes", pa.binary()), *((c, pa.list_(pa.int32())) for c in ("link_row", "link_pair")), *((c, pa.list_(pa.int64())) for c in ("pairs", "times"))]
             fields, number = pa.schema(types), lambda size, block=block: pa.array(np.full(size, block.number))
             found = {"block": number(1), "link_row": one_list(made.link_row), "link_pair": one_list(made.link_pair), "pairs": one_list(made.pairs), "times": one_list(links["times_sum"].combine_chunks())}
             yield record(found, fields, 1)
             numbers = {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_a + n_b - n_groups}
-            coded = {"block": number(n), "key": block.rows["key"].combine_chunks(), "groups_sha256": pa.array(shas), "codes": lists(block.codes[kept], np.where(whole, block.counts, 0))}
+            coded = {"block": number(n), "key": block.rows["key"].combine_chunks(), "groups_sha256": pa.array(shas), "codes": packed(block.codes[kept], np.where(whole, block.counts, 0))}
             yield record(coded | {c: pa.array(v) for c, v in numbers.items()}, fields, n)
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
@@ -214,8 +216,7 @@ def _summed(documents: DataFrame, dictionaries: DataFrame, kind: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for known, part in by_block(batches, read):
             get = lambda c, part=part: part.column(part.schema.get_field_index(c))
-            codes = get("codes")
-            sizes, flat = codes.value_lengths().to_numpy(), codes.flatten().to_numpy()
+            flat, sizes = unpacked(get("codes"))
             edges = np.concatenate([[0], np.cumsum(sizes)])
             columns = [get(c) for c in ("key", "n_a", "n_b", "n_groups", "n_links")]
             for sums in known or (np.zeros(1, np.int64),) * 2:

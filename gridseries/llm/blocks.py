@@ -24,7 +24,7 @@ DICTIONARY, DOCUMENT = 0, 1
 
 
 class Block(NamedTuple):
-    """``rows`` are the documents without their texts; ``counts`` says how many of ``codes`` each has; codes point into ``items``."""
+    """``rows`` are the documents without their texts; ``counts`` says how many of ``codes`` each has; codes point into ``items``, the most frequent first."""
 
     number: int
     rows: pa.Table
@@ -47,7 +47,7 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.R
 def code_blocks(batches: Iterator[pa.RecordBatch], text: str, split: Callable[[pa.Array], tuple[pa.Array, np.ndarray]], size: int = BLOCK_ITEMS) -> Iterator[Block]:
     """Blocks of a task's rows. ``split`` gives the items of all texts, in order, and how many each text has.
 
-    A null text counts as empty. A block is closed when it holds ``size`` items, so it exceeds
+    A null text counts as empty; a row never straddles blocks. A block is closed when it holds ``size`` items, so it exceeds
     that by one slice of texts, or one long text, at most.
     """
     number, held, n = TaskContext.get().partitionId() << 32, [], 0
@@ -70,7 +70,44 @@ def _closed(number: int, held: list[tuple[pa.Table, pa.Array, np.ndarray]]) -> B
     coded = pa.chunked_array([items for _, items, _ in held], pa.string()).dictionary_encode().unify_dictionaries()
     codes = np.concatenate([np.empty(0, np.int32), *(c.indices.to_numpy() for c in coded.chunks)])
     items = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.string())
-    return Block(number, pa.concat_tables([rows for rows, _, _ in held]), np.concatenate([c for _, _, c in held]), codes, items)
+    order = np.argsort(-np.bincount(codes, minlength=len(items)), kind="stable")
+    rank = np.empty(len(items), np.int32)
+    rank[order] = np.arange(len(items), dtype=np.int32)
+    return Block(number, pa.concat_tables([rows for rows, _, _ in held]), np.concatenate([c for _, _, c in held]), rank[codes], items.take(pa.array(order)))
+
+
+def packed(codes: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Each count's run of codes as bytes of seven bits, the lowest first; all but a code's last one have the eighth bit set."""
+    codes = codes.astype(np.uint32)
+    size = 1 + (codes >= 1 << 7).astype(np.int64) + (codes >= 1 << 14) + (codes >= 1 << 21) + (codes >= 1 << 28)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(ends[-1], np.uint8)
+    for i in range(int(size.max(initial=0))):
+        there = np.flatnonzero(size > i)
+        more = (size[there] > i + 1).astype(np.uint8) << 7
+        out[ends[there] + i] = ((codes[there] >> np.uint32(7 * i)) & np.uint32(127)).astype(np.uint8) | more
+    edges = ends[np.concatenate([[0], np.cumsum(counts)])]
+    return raw_binary(out, edges)
+
+
+def raw_binary(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values that lie between neighbouring byte positions of ``data``."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def unpacked(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of packed values, in order, and how many each value has."""
+    data = np.frombuffer(b"".join(values.to_pylist()), np.uint8)
+    last = data < 128
+    ends = np.flatnonzero(last)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    codes = (data[starts] & 127).astype(np.int64)
+    for i in range(1, 5):
+        there = np.flatnonzero(ends - starts >= i)
+        codes[there] |= (data[starts[there] + i] & 127).astype(np.int64) << (7 * i)
+    before = np.concatenate([[0], np.cumsum(last)])
+    edges = np.concatenate([[0], np.cumsum(pc.binary_length(values).to_numpy())])
+    return codes, np.diff(before[edges])
 
 
 def lists(flat: np.ndarray | pa.Array, counts: np.ndarray) -> pa.ListArray:

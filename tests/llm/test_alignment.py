@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -62,13 +63,13 @@ def expected(texts, libraries):
     return [(*r[:3], len(r[3]), sum(count[x] == highest[x[1]] for x in r[3]), sum(count[x] for x in r[3]), r[4]) if r else (0, 0, 0, 0, 0, 0, "") for r in rows]
 
 
-@pytest.mark.parametrize("size", [100, 2_000_000])
+@pytest.mark.parametrize("size", [100, 600_000])
 def test_documents_equal_the_libraries(spark, libraries, size, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(None if i == 4 else 10**6 + i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
     df = docs.union(odd).union(odd.limit(5)).withColumn("n_a", F.lit("clash")).withColumn("block", F.lit(1))
     texts = [r.text for r in df.collect()]
-    monkeypatch.setattr(blocks.code_blocks, "__defaults__", (size,))
+    monkeypatch.setattr(alignment, "BLOCK_CHUNKS", size)
     out = alignment.align_tokenizers(df, "doc_id", "text", A, B)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     rows = out.collect()
@@ -77,6 +78,16 @@ def test_documents_equal_the_libraries(spark, libraries, size, monkeypatch):
     assert alignment.align_tokenizers(df.limit(0), "doc_id", "text", A, B).count() == 0
 
 
+def test_codes_are_packed_and_unpacked():
+    codes = np.array([0, 127, 128, 16383, 16384, 2097151, 2097152, 2**28, 2**31 - 1, 5])
+    counts = np.array([0, 3, 0, 6, 1, 0])
+    values = blocks.packed(codes, counts)
+    flat, sizes = blocks.unpacked(values)
+    assert flat.tolist() == codes.tolist() and sizes.tolist() == counts.tolist()
+    assert [len(v) for v in values.to_pylist()] == [0, 4, 0, 22, 1, 0]
+    assert [x.tolist() for x in blocks.unpacked(blocks.packed(codes[:0], counts[:1]))] == [[], [0]]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("ab ▁'_\n\t\r .,1é ")), min_size=1, max_size=40))
 def test_chunks_of_any_text_equal_the_whole(text):
