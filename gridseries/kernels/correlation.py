@@ -39,19 +39,22 @@ def pacf_yw(x: np.ndarray, nlags: int) -> tuple[np.ndarray, float]:
     x = x[np.isfinite(x)]
     n = x.shape[0]
     r, _ = acf(x, nlags)
+    return durbin_levinson(r), Z975 / math.sqrt(n)
+
+
+def durbin_levinson(r: np.ndarray) -> np.ndarray:
+    """Partial autocorrelations from autocorrelations at lags 0, 1, ..."""
     nlags = r.shape[0] - 1
     out = np.zeros(nlags + 1)
     out[0] = 1.0
     phi = np.zeros(nlags + 1)
     v = 1.0
     for k in range(1, nlags + 1):
-        num = r[k] - np.dot(phi[1:k], r[k - 1 : 0 : -1]) if k > 1 else r[1]
-        a = num / v
+        a = (r[k] - phi[1:k] @ r[k - 1 : 0 : -1]) / v
         new = phi.copy()
+        new[1:k] = phi[1:k] - a * phi[k - 1 : 0 : -1]
         new[k] = a
-        for j in range(1, k):
-            new[j] = phi[j] - a * phi[k - j]
         phi = new
         v *= 1 - a * a
         out[k] = a
-    return out, Z975 / math.sqrt(n)
+    return out

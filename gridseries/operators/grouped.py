@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import DhrConfig, SeriesSpec, Split
 from ..functions import time as tf
-from ..kernels import arma, correlation, stationarity, stl
+from ..kernels import arma, stl
 from .series import interpolate, split_label
 
 log = logging.getLogger(__name__)
@@ -41,106 +41,6 @@ def _values(pdf: pd.DataFrame, spec: SeriesSpec) -> np.ndarray:
     return pdf[spec.value].to_numpy(dtype=float, na_value=np.nan)
 
 
-# ---------------------------------------------------------------- tests
-def stationarity_tests(
-    series: DataFrame, spec: SeriesSpec, kpss_lags: int | None = None, diff_lags: tuple[int, ...] = ()
-) -> DataFrame:
-    """ADF (constant + trend, AIC lag) and KPSS (trend) per entity (E3, E4, E5),
-    and optionally ADF after positional differencing at ``diff_lags`` (E6),
-    all in one grouped pass.
-
-    Output: (entity, n_obs, adf_stat, adf_pvalue, adf_usedlag, adf_nobs,
-    kpss_stat, kpss_pvalue, kpss_lags[, adf_stat_diff<k>, adf_p_diff<k>]);
-    NaN below 100 observations.
-    """
-    ent = spec.entity
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf, spec)
-        x = _values(pdf, spec)
-        a = stationarity.adf(x)
-        k = stationarity.kpss(x, kpss_lags)
-        row = {
-            ent: [pdf[ent].iloc[0]],
-            "n_obs": [int(np.isfinite(x).sum())],
-            "adf_stat": [a["statistic"]],
-            "adf_pvalue": [a["pvalue"]],
-            "adf_usedlag": [a["usedlag"]],
-            "adf_nobs": [a["nobs"]],
-            "kpss_stat": [k["statistic"]],
-            "kpss_pvalue": [k["pvalue"]],
-            "kpss_lags": [k["lags"]],
-        }
-        for lag in diff_lags:
-            d = x[lag:] - x[:-lag] if 0 < lag < x.shape[0] else np.array([])
-            ad = stationarity.adf(d[np.isfinite(d)])
-            row[f"adf_stat_diff{lag}"] = [ad["statistic"]]
-            row[f"adf_p_diff{lag}"] = [ad["pvalue"]]
-        return pd.DataFrame(row)
-
-    schema = (
-        f"{ent} {_etype(series, spec)}, n_obs bigint, adf_stat double, adf_pvalue double, adf_usedlag double, "
-        "adf_nobs double, kpss_stat double, kpss_pvalue double, kpss_lags double"
-        + "".join(f", adf_stat_diff{lag} double, adf_p_diff{lag} double" for lag in diff_lags)
-    )
-    return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
-
-
-def kpss_table(series: DataFrame, spec: SeriesSpec, lags: int | None = None) -> DataFrame:
-    """KPSS (trend) per entity, automatic bandwidth unless ``lags`` is given.
-
-    Output: (entity, kpss_stat, kpss_pvalue, kpss_lags).
-    """
-    ent = spec.entity
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf, spec)
-        k = stationarity.kpss(_values(pdf, spec), lags)
-        return pd.DataFrame({ent: [pdf[ent].iloc[0]], "kpss_stat": [k["statistic"]], "kpss_pvalue": [k["pvalue"]], "kpss_lags": [k["lags"]]})
-
-    schema = f"{ent} {_etype(series, spec)}, kpss_stat double, kpss_pvalue double, kpss_lags double"
-    return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
-
-
-def adf_after_difference(series: DataFrame, spec: SeriesSpec, lag: int) -> DataFrame:
-    """Positional difference at ``lag`` then ADF."""
-    from .windows import difference
-
-    d = difference(series, spec, lag, out="_d").select(spec.entity, spec.ts, F.col("_d").alias(spec.value))
-    t = stationarity_tests(d, spec)
-    return t.select(spec.entity, F.lit(lag).alias("lag"), F.col("adf_stat").alias("adf_stat_diff"), F.col("adf_pvalue").alias("adf_p_diff"))
-
-
-# ---------------------------------------------------------------- correlation
-def acf_table(series: DataFrame, spec: SeriesSpec, nlags: int) -> DataFrame:
-    """Full correlogram by FFT with the 95 % Bartlett band (E9): (entity, lag, acf, band)."""
-    ent = spec.entity
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf, spec)
-        r, band = correlation.acf(_values(pdf, spec), nlags)
-        return pd.DataFrame({ent: pdf[ent].iloc[0], "lag": np.arange(r.shape[0]), "acf": r, "band": band})
-
-    schema = f"{ent} {_etype(series, spec)}, lag bigint, acf double, band double"
-    return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
-
-
-def pacf_table(series: DataFrame, spec: SeriesSpec, nlags: int = 60) -> DataFrame:
-    """PACF by Yule-Walker (biased), lags up to min(nlags, n // 2 - 1)."""
-    ent = spec.entity
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf, spec)
-        x = _values(pdf, spec)
-        n = int(np.isfinite(x).sum())
-        k = max(0, min(nlags, n // 2 - 1))
-        p, band = correlation.pacf_yw(x, k)
-        return pd.DataFrame({ent: pdf[ent].iloc[0], "lag": np.arange(p.shape[0]), "pacf": p, "band": band})
-
-    schema = f"{ent} {_etype(series, spec)}, lag bigint, pacf double, band double"
-    return series.select(ent, spec.ts, spec.value).groupBy(ent).applyInPandas(fn, schema)
-
-
 # ---------------------------------------------------------------- STL
 def stl_decompose(series: DataFrame, spec: SeriesSpec, period: int, robust: bool = True, fill: bool = True) -> DataFrame:
     """Robust STL per entity after positional interpolation.

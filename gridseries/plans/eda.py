@@ -11,25 +11,35 @@ from ..operators import correlation as cor
 from ..operators import decomposition as dec
 from ..operators import distribution as dist
 from ..operators import grouped as gm
+from ..operators import lagged as lag
 from ..operators import series as ser
 from ..operators import windows as win
 from ..operators.util import staged
 
 
-def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = EdaConfig(), method: str = "stl") -> DataFrame:
+def _decompose(method: str):
+    return gm.stl_decompose if method == "stl" else dec.classical_decompose
+
+
+def daily_decomposition(series: DataFrame, spec: SeriesSpec, method: str = "classical") -> DataFrame:
+    """The decomposition at the daily period, staged because several results read it."""
+    return staged(_decompose(method)(series.select(spec.entity, spec.ts, spec.value), spec, spec.daily), "eda-daily")
+
+
+def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = EdaConfig(), method: str = "classical", daily: DataFrame | None = None) -> DataFrame:
     """One row per entity: n_obs, ADF / KPSS, ADF after first and seasonal
     difference, seasonal / trend strengths (daily, weekly), ACF at the daily
     and weekly lag, outlier and drop-run counts (E5, E6, E8, E9, E12, E13).
 
     The canonical series is staged once because every branch reads it; the
     daily decomposition is computed once and shared by strengths and the
-    outlier screen. ``method`` picks robust STL or the classical variant.
+    outlier screen. ``method`` picks the classical variant or robust STL; ``daily`` is that
+    decomposition if the caller has it.
     """
     s = staged(series.select(spec.entity, spec.ts, spec.value), "eda-series")
     filled = ser.interpolate(s, spec)
-    decompose = gm.stl_decompose if method == "stl" else dec.classical_decompose
-    daily = staged(decompose(filled, spec, spec.daily, fill=False), "eda-daily")
-    weekly = decompose(filled, spec, spec.weekly, fill=False)
+    daily = daily_decomposition(s, spec, method) if daily is None else daily
+    weekly = _decompose(method)(filled, spec, spec.weekly, fill=False)
     stren = dec.strengths(daily.unionByName(weekly), spec)
     # one pivot, so each decomposition is evaluated once
     st = stren.groupBy(spec.entity).pivot("period", [spec.daily, spec.weekly]).agg(
@@ -43,7 +53,7 @@ def per_entity_summary(series: DataFrame, spec: SeriesSpec, cfg: EdaConfig = Eda
         F.col(f"{spec.weekly}_t").alias("trend_strength_weekly"),
     )
     # levels and both differences tested in one grouped pass
-    tests = gm.stationarity_tests(s, spec, diff_lags=(1, spec.daily)).withColumnsRenamed(
+    tests = lag.stationarity_tests(s, spec, diff_lags=(1, spec.daily)).withColumnsRenamed(
         {
             f"adf_stat_diff{spec.daily}": "adf_stat_diff_daily",
             f"adf_p_diff{spec.daily}": "adf_p_diff_daily",
@@ -112,18 +122,18 @@ def multi_area_preview(series: DataFrame, spec: SeriesSpec, ids, start, days: in
     return preview(series.where(cond), spec, window, session_tz)
 
 
-def run_eda(series: DataFrame, spec: SeriesSpec, out_dir: str, cfg: EdaConfig = EdaConfig(), method: str = "stl", grid_side: int | None = None) -> dict[str, DataFrame]:
+def run_eda(series: DataFrame, spec: SeriesSpec, out_dir: str, cfg: EdaConfig = EdaConfig(), method: str = "classical", grid_side: int | None = None) -> dict[str, DataFrame]:
     """The EDA command over every entity (E14): summary merged into the previous
-    one (K7), STL-remainder outliers as CSV per entity (K6), the top entity
+    one (K7), outliers of the daily remainder as CSV per entity (K6), the top entity
     as text (K9) and the city overview tables as JSON (E1, E11)."""
     import os
 
     from ..operators import reporting as rep
 
     spark = series.sparkSession
-    summary = write_summary(per_entity_summary(series, spec, cfg, method), os.path.join(out_dir, "eda_summary"), spec.entity)
-    decompose = gm.stl_decompose if method == "stl" else dec.classical_decompose
-    outliers = an.residual_outliers(decompose(series.select(spec.entity, spec.ts, spec.value), spec, spec.daily), spec, cfg.outlier_z)
+    daily = daily_decomposition(series, spec, method)
+    summary = write_summary(per_entity_summary(series, spec, cfg, method, daily), os.path.join(out_dir, "eda_summary"), spec.entity)
+    outliers = an.residual_outliers(daily, spec, cfg.outlier_z)
     rep.write_partitioned_csv(outliers, os.path.join(out_dir, "anomalies"), spec.entity)
     totals = ser.area_totals(series, spec)
     top = ser.top_k(totals, spec, 1).select(F.col(spec.entity).cast("string").alias("value"))

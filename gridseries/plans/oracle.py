@@ -1047,14 +1047,16 @@ WITH RECURSIVE {HOURLY}, {FILLED}, {_LEVELS}, {_REG_DIFFS},
 {_adf_ctes("levels", "lv")}, {_adf_ctes("rdiff1", "d1")}, {_adf_ctes("rdiff24", "d24")},
 kpss AS ({SQL["kpss_auto"]}), st AS ({SQL["strengths"]}), ac AS ({SQL["acf_lags"]}), ro AS ({SQL["residual_outliers"]}),
 dr AS ({SQL["drop_runs"].replace("lag(value, 24)", "lag(value, 168)").replace("-0.4", "-0.6").replace(">= 2", ">= 6")})
-SELECT a.event_type, a.n_obs, {_r('a.tau', 'adf_stat')}, {_r('a.pvalue', 'adf_pvalue')}, {_r('a.usedlag', 'adf_usedlag')}, {_r('a.nobs', 'adf_nobs')},
+SELECT e.event_type, e.n_obs, {_r('a.tau', 'adf_stat')}, {_r('a.pvalue', 'adf_pvalue')}, {_r('a.usedlag', 'adf_usedlag')}, {_r('a.nobs', 'adf_nobs')},
   kpss_stat, kpss_pvalue, kpss_lags,
   {_r('d1.tau', 'adf_stat_diff1')}, {_r('d1.pvalue', 'adf_p_diff1')}, {_r('d24.tau', 'adf_stat_diff_daily')}, {_r('d24.pvalue', 'adf_p_diff_daily')},
-  {', '.join(f"(SELECT {f}_strength FROM st WHERE st.event_type = a.event_type AND period = {p}) AS {f}_strength_{n}" for p, n in ((24, 'daily'), (168, 'weekly')) for f in ('seasonal', 'trend'))},
-  {', '.join(f"(SELECT acf FROM ac WHERE ac.event_type = a.event_type AND lag = {p}) AS acf_{n}" for p, n in ((24, 'daily'), (168, 'weekly')))},
-  (SELECT count(*) FROM ro WHERE ro.event_type = a.event_type) AS outliers_count,
-  (SELECT count(*) FROM dr WHERE dr.event_type = a.event_type) AS drop_runs_count
-FROM adf_lv a JOIN adf_d1 d1 USING (event_type) JOIN adf_d24 d24 USING (event_type) JOIN kpss USING (event_type)
+  {', '.join(f"(SELECT {f}_strength FROM st WHERE st.event_type = e.event_type AND period = {p}) AS {f}_strength_{n}" for p, n in ((24, 'daily'), (168, 'weekly')) for f in ('seasonal', 'trend'))},
+  {', '.join(f"(SELECT acf FROM ac WHERE ac.event_type = e.event_type AND lag = {p}) AS acf_{n}" for p, n in ((24, 'daily'), (168, 'weekly')))},
+  (SELECT count(*) FROM ro WHERE ro.event_type = e.event_type) AS outliers_count,
+  (SELECT count(*) FROM dr WHERE dr.event_type = e.event_type) AS drop_runs_count
+FROM (SELECT event_type, count(value) AS n_obs FROM hourly GROUP BY 1) e
+LEFT JOIN adf_lv a ON a.event_type = e.event_type LEFT JOIN adf_d1 d1 ON d1.event_type = e.event_type
+LEFT JOIN adf_d24 d24 ON d24.event_type = e.event_type LEFT JOIN kpss ON kpss.event_type = e.event_type
 """
 
 SQL["stream_incremental"] = f"""

@@ -338,23 +338,25 @@ QUERIES.update(
 # ---------------------------------------------------------------- grouped numpy kernels (no SQL twin)
 from ..config import DhrConfig  # noqa: E402
 from ..operators import grouped as gm  # noqa: E402
+from ..operators import lagged as lag  # noqa: E402
+from ..operators.util import staged  # noqa: E402
 
 
 def q_stationarity_tests(spark, d):
-    return present(gm.stationarity_tests(b.hourly(spark, d), S))
+    return present(lag.stationarity_tests(b.hourly(spark, d), S))
 
 
 def q_adf_after_diff(spark, d):
-    h = b.hourly(spark, d)
-    return present(gm.adf_after_difference(h, S, 1).unionByName(gm.adf_after_difference(h, S, S.daily)))
+    h = staged(b.hourly(spark, d), "hourly")
+    return present(lag.adf_after_difference(h, S, 1).unionByName(lag.adf_after_difference(h, S, S.daily)))
 
 
 def q_acf_full(spark, d):
-    return present(gm.acf_table(b.hourly(spark, d), S, 2 * S.weekly))
+    return present(lag.acf_table(b.hourly(spark, d), S, 2 * S.weekly))
 
 
 def q_pacf(spark, d):
-    return present(gm.pacf_table(b.hourly(spark, d), S, 60))
+    return present(lag.pacf_table(b.hourly(spark, d), S, 60))
 
 
 def _stl(spark, d, period):
@@ -592,7 +594,7 @@ QUERIES.update({"sliding_windows": q_sliding_windows, "comparison_lines": q_comp
 
 
 def q_kpss_auto(spark, d):
-    return present(gm.kpss_table(b.hourly(spark, d), S))
+    return present(lag.kpss_table(b.hourly(spark, d), S))
 
 
 QUERIES["kpss_auto"] = q_kpss_auto

@@ -6,6 +6,7 @@ from gridseries.config import DhrConfig, SeriesSpec, Split
 from gridseries.operators import evaluate as ev
 from gridseries.operators import forecast as fc
 from gridseries.operators import grouped as gm
+from gridseries.operators import lagged
 
 SPEC = SeriesSpec(entity="id", ts="ts", value="v", step=3600, daily=24, weekly=168, tz="UTC")
 T0 = datetime(2024, 1, 1)
@@ -39,7 +40,7 @@ def test_dhr_beats_naive_on_synthetic_truth(spark):
 
 def test_stationarity_and_stl_tables(spark):
     s = synthetic(spark, 2, 20)
-    t = gm.stationarity_tests(s, SPEC).collect()
+    t = lagged.stationarity_tests(s, SPEC).collect()
     assert len(t) == 2 and all(r.n_obs == 480 and r.kpss_pvalue >= 0.05 for r in t)
     assert all(0.0 <= r.adf_pvalue <= 1.0 for r in t)
     d = gm.stl_decompose(s, SPEC, 24)
@@ -52,7 +53,7 @@ def test_stationarity_and_stl_tables(spark):
 
 def test_acf_pacf_tables(spark):
     s = synthetic(spark, 1, 10)
-    a = {r.lag: r.acf for r in gm.acf_table(s, SPEC, 48).collect()}
+    a = {r.lag: r.acf for r in lagged.acf_table(s, SPEC, 48).collect()}
     assert a[0] == 1.0 and a[24] > 0.5
-    p = gm.pacf_table(s, SPEC, 10).collect()
+    p = lagged.pacf_table(s, SPEC, 10).collect()
     assert len(p) == 11
