@@ -17,11 +17,26 @@ CHUNK_STEPS = 4096
 POS, CHUNK, OWN = "_pos", "_chunk", "_own"
 
 
-def _time_chunks(series: DataFrame, spec: SeriesSpec, falling: bool = False) -> DataFrame:
+def span_of(series: DataFrame, spec: SeriesSpec, steps: int | None = None) -> Column:
+    """The chunk of time that a row lies in; chunks have ``steps`` steps (CHUNK_STEPS if not given)."""
+    return F.floor(tf.epoch_seconds(series, spec.ts) / (spec.step * (steps or CHUNK_STEPS))).cast("long")
+
+
+def by_span(spec: SeriesSpec) -> Window:
+    """The rows of a chunk of time, in order."""
+    return Window.partitionBy(spec.entity, "_span").orderBy(spec.ts)
+
+
+def _time_chunks(series: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Add the chunk of time and the row number in it."""
-    rows = series.withColumn("_span", F.floor(tf.epoch_seconds(series, spec.ts) / (spec.step * CHUNK_STEPS)))
-    inside = Window.partitionBy(spec.entity, "_span").orderBy(F.desc(spec.ts) if falling else spec.ts)
-    return rows.withColumn("_local", F.row_number().over(inside).cast("long"))
+    rows = series.withColumn("_span", span_of(series, spec))
+    return rows.withColumn("_local", F.row_number().over(by_span(spec)).cast("long"))
+
+
+def with_spans(rows: DataFrame, spans: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Join facts about chunks of time to their rows; null entities match as well."""
+    facts = spans.withColumnsRenamed({spec.entity: "_e", "_span": "_s"})
+    return rows.join(facts, rows[spec.entity].eqNullSafe(F.col("_e")) & (F.col("_span") == F.col("_s"))).drop("_e", "_s")
 
 
 def placed(series: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -29,8 +44,8 @@ def placed(series: DataFrame, spec: SeriesSpec) -> DataFrame:
     rows = _time_chunks(series, spec)
     spans = rows.groupBy(spec.entity, "_span").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(spec.entity).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select(F.col(spec.entity).alias("_e"), F.col("_span").alias("_s"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    out = rows.join(spans, rows[spec.entity].eqNullSafe(F.col("_e")) & (F.col("_span") == F.col("_s")))
+    spans = spans.select(spec.entity, "_span", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    out = with_spans(rows, spans, spec)
     return out.select(*[F.col(f"`{c}`") for c in series.columns], (F.col("_before") + F.col("_local") - 1).alias(POS))
 
 
@@ -53,8 +68,8 @@ def trended(series: DataFrame, spec: SeriesSpec) -> DataFrame:
     about = F.col("_slx") + (F.col("_before") - mid) * F.col("_sx") - F.col("_mean") * F.col("_m") * (F.col("_before") + (F.col("_m") - 1) / 2.0 - mid)
     squares = F.col("_n") * (F.col("_n").cast("double") * F.col("_n") - 1) / 12.0
     spans = spans.withColumn("_slope", F.try_divide(F.sum(about).over(entity), squares))
-    spans = spans.select(F.col(spec.entity).alias("_e"), F.col("_span").alias("_s"), "_before", "_n", "_mean", "_slope")
-    out = rows.join(spans, rows[spec.entity].eqNullSafe(F.col("_e")) & (F.col("_span") == F.col("_s")))
+    spans = spans.select(spec.entity, "_span", "_before", "_n", "_mean", "_slope")
+    out = with_spans(rows, spans, spec)
     return out.select(spec.entity, spec.ts, "_x", (F.col("_before") + local).alias(POS), "_n", "_mean", "_slope")
 
 
@@ -77,6 +92,17 @@ def by_chunk(spec: SeriesSpec) -> Window:
     return Window.partitionBy(spec.entity, CHUNK).orderBy(POS)
 
 
+def halo_windows(series: DataFrame, spec: SeriesSpec, halo: int, unit: int = 1) -> DataFrame:
+    """A series' rows in chunks of positions that carry ``halo`` rows more, for windows that look back as far; chunks hold whole multiples of ``unit`` rows."""
+    size = -(-max(CHUNK_STEPS, halo) // unit) * unit
+    return with_halo(placed(series, spec), halo, size)
+
+
+def own_rows(rows: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """The rows that are not a halo's, without the helper columns."""
+    return rows.where(OWN).select(*[F.col(f"`{c}`") for c in columns], *more)
+
+
 def chunk_arrays(rows: DataFrame, spec: SeriesSpec, value: Column, keep: list[str], halo: int | Column, size: int | Column) -> DataFrame:
     """One row for each chunk: (entity, _chunk, *keep, first, halo, xs): its values with the halo's in order, the position of the first, and how many are the halo's.
 

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from ..config import SeriesSpec, Split
 from ..functions import time as tf
 from .features import fourier_columns
-from .forecast import last_value_column
 from .series import split_label
 
 #: Training rows needed for each regressor; below, an entity is forecast by its last value.
@@ -141,5 +140,5 @@ def harmonic_forecasts(
     margin = (F.col("high") - F.col("low")) * RANGE_MARGIN
     pred = F.greatest(F.col("low") - margin, F.least(F.col("high") + margin, F.col("_fit") + ar))
     pred = F.when(F.col("use_log"), F.expm1(pred)).otherwise(pred)
-    rows = rows.withColumn("_p", F.when(F.col("beta").isNotNull(), pred)).withColumn("_last", last_value_column(w, spec))
+    rows = rows.withColumn("_p", F.when(F.col("beta").isNotNull(), pred)).withColumn("_last", F.last(F.col(spec.value)).over(w.rangeBetween(Window.unboundedPreceding, -spec.step)))
     return rows.select(F.lit(name).alias("model"), e, spec.ts, F.col(spec.value).alias("y_true"), F.coalesce("_p", "_last").cast("double").alias("y_pred"))
