@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from gridseries.llm.common import block_links, core_links, in_blocks, links_to_rows, staged
 
 THRESHOLD = 0.95
-PREFIX = 6
-SHARED = 2
+#: Depths of a vector's prefix, in nearest pivots, of which the first that finds TARGET_RECALL of calibration pairs is taken.
+PREFIXES = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
+TARGET_RECALL = 0.99
+CALIBRATION_PAIRS = 2048
+#: Vectors of a length that no more than this many have are all compared with one another.
+FEW = 2048
 LEAST_PIVOTS, MOST_PIVOTS = 64, 16_384
 #: Pivots are picked from this many sampled vectors for each of them.
 SAMPLE_PER_PIVOT = 4
@@ -80,6 +84,49 @@ def dense_centres(sample: np.ndarray, threshold: float) -> np.ndarray:
     return np.array(centres).reshape(len(centres), sample.shape[1])
 
 
+def centred(vectors: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Directions from the mean: a direction that all vectors share says nothing about which are near."""
+    away = vectors - mean
+    return away / np.maximum(np.sqrt((away * away).sum(axis=1, keepdims=True)), 1e-12)
+
+
+def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, depth: int) -> np.ndarray:
+    """The ``depth`` most alike pivots of each vector, in order."""
+    likeness = vectors @ pivots.T
+    top = np.argpartition(-likeness, depth - 1, axis=1)[:, :depth]
+    order = np.argsort(-np.take_along_axis(likeness, top, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(top, order, axis=1)
+
+
+def calibrate(sample: np.ndarray, pivots: np.ndarray, mean: np.ndarray, threshold: float) -> tuple[int, int]:
+    """(depth, shared): the shortest prefix, and of one or two shared pivots the most, that find TARGET_RECALL of pairs at the threshold.
+
+    The pairs are made from the sample itself: each vector is turned towards another one until their
+    cosine is the threshold, so they lie as far apart as links may, in directions that the data have.
+    """
+    rng = np.random.default_rng(3)
+    left = sample[rng.permutation(len(sample))[:CALIBRATION_PAIRS]]
+    right = sample[rng.integers(0, len(sample), len(left))]
+    cosine = (left * right).sum(axis=1, keepdims=True)
+    aside = right - cosine * left
+    size = np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+    keep = (size > 1e-6)[:, 0]
+    if not keep.any():
+        return min(PREFIXES[0], len(pivots)), 1
+    turned = threshold * left[keep] + math.sqrt(1 - threshold**2) * aside[keep] / size[keep]
+    most = min(PREFIXES[-1], len(pivots))
+    a, b = (nearest_pivots(centred(v, mean), pivots, most) for v in (left[keep], turned))
+    depths = sorted({min(d, most) for d in PREFIXES})
+    shared = np.zeros((len(a), len(depths)), np.int32)
+    for i in range(0, len(a), 256):
+        same = a[i : i + 256, :, None] == b[i : i + 256, None, :]
+        shared[i : i + 256] = np.stack([same[:, :d, :d].sum(axis=(1, 2)) for d in depths], axis=1)
+    one = next((i for i in range(len(depths)) if (shared[:, i] >= 1).mean() >= TARGET_RECALL), len(depths) - 1)
+    two = next((i for i in range(len(depths)) if (shared[:, i] >= 2).mean() >= TARGET_RECALL), None)
+    # a second shared pivot spares work only if it takes little more depth
+    return (depths[two], 2) if two is not None and two <= one + 1 else (depths[one], 1)
+
+
 def shared_pivots(prefixes: np.ndarray, pivot: int) -> tuple[np.ndarray, np.ndarray]:
     """Within one pivot's list: how many pivots each two vectors share, and whether a lower one is among them."""
     n = len(prefixes)
@@ -127,33 +174,35 @@ def _verify(threshold: float, shared: int, n_places: int):
                 continue
             heads = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5, 6)]
-            columns += [batch.column(i).flatten().to_numpy().reshape(n, -1) for i in (7, 8)]
             edges = [0, *(np.flatnonzero((heads[1:] != heads[:-1]).any(axis=1)) + 1).tolist(), n]
             for i, j in zip(edges, edges[1:], strict=False):
                 now = tuple(heads[i].tolist())
                 if now != block:
                     if block:
                         yield done()
-                    block, parts = now, [[] for _ in columns]
-                for part, column in zip(parts, columns, strict=True):
-                    part.append(column[i:j])
+                    block, parts = now, [[] for _ in range(6)]
+                # blocks differ in the length of their vectors
+                flat = [batch.column(c).slice(i, j - i).flatten().to_numpy().reshape(j - i, -1) for c in (7, 8)]
+                for part, column in zip(parts, [*(c[i:j] for c in columns), *flat], strict=True):
+                    part.append(column)
         if block:
             yield done()
 
     return run
 
 
-def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THRESHOLD, prefix: int = PREFIX, shared: int = SHARED) -> DataFrame:
+def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THRESHOLD) -> DataFrame:
     """(key, n_links, component_id, kept): each vector's links by cosine >= threshold in double precision.
 
     Vectors that are null, empty or zero or that hold null or non-finite components
-    link with nothing, as do those of another length than the most frequent, and rows with a null key.
+    link with nothing, as do rows with a null key; vectors of different lengths do not link. An empty table gives an empty result.
     ``n_links`` counts the other vectors linked directly, ``component_id`` is the
     smallest key reachable by links, ``kept`` marks its row. Other columns are not read.
 
-    Equal vectors are one class from the start. Pivots, about 2 sqrt(n), come from a
-    sample of 4 for each; the index holds every vector. Two
-    vectors are candidates if they share at least ``shared`` of their ``prefix`` nearest pivots; each
+    Equal vectors are one class from the start; each length has an index of its own. Pivots, about 2 sqrt(n), come from a
+    sample of 4 for each; the index holds every vector, described by its direction from the sample's mean. Two
+    vectors are candidates if their prefixes, the nearest pivots in order, share enough of them; how long a prefix and how many are
+    enough is measured on the sample (:func:`calibrate`), so recall holds for data of any spread and any number of pivots. Each
     pair is looked at once, in the list of its lowest shared pivot. Vectors within half
     the allowed angle of a dense place of the sample are linked by the triangle inequality, in time
     linear in their number, and only vectors on the place's border are compared with them, so a group of near
@@ -172,28 +221,48 @@ def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THR
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes, pa.binary()), pa.array(units, pa.list_(pa.float64()))], names=["key", "class", "vector"])
 
     rows = staged(df.select(F.col(key).alias("key"), F.col(vector).alias("vector")).mapInArrow(normalise, f"key {kind}, class binary, vector array<double>"), "vectors")
-    lengths = rows.where("class IS NOT NULL").groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    usual = lengths.orderBy(F.desc("n"), "length").first()
-    if usual is not None:
-        rows = rows.withColumn("class", F.when(F.size("vector") == usual["length"], F.col("class")))
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
-    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
-    n = classes.count()
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("length", F.size("vector")), "vector-classes")
+    # a row for each length of a vector
+    counts = {r["length"]: r["n"] for r in classes.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    many = sorted(length for length, n in counts.items() if n > FEW)
+    rare = classes.where(~F.col("length").isin(many)) if many else classes
+    links = _few_links(rare, threshold)
+    for length in many:
+        links = links.unionByName(_index_links(classes.where(F.col("length") == length), counts[length], threshold))
+    return links_to_rows(rows.select("key", "class"), classes.drop("vector", "length"), links, key, "vector-components")
+
+
+def _few_links(classes: DataFrame, threshold: float) -> DataFrame:
+    """(node, linked, low) of vectors of rare lengths: each length is one list, of bounded size."""
+    listed = classes.select(F.col("length").alias("list"), "node", "copies", F.lit(False).alias("core"))
+    return _verified(listed, classes.select("node", "vector", F.array("length").alias("prefix")), threshold, 1, 0)
+
+
+def _verified(listed: DataFrame, index: DataFrame, threshold: float, shared: int, n_places: int) -> DataFrame:
+    """Links between the rows that meet in a list, block by block."""
+    block = ["list", "block_i", "block_j"]
+    blocks = in_blocks(listed, "list", "node", BLOCK_ROWS).join(index.select("node", "vector", "prefix"), "node")
+    columns = ["list", "block_i", "block_j", "chunk", "core", "node", "copies", "vector", "prefix"]
+    sorted_blocks = blocks.select(*columns).repartition(*block).sortWithinPartitions(*block)
+    return sorted_blocks.mapInArrow(_verify(threshold, shared, n_places), "node long, linked long, low long")
+
+
+def _index_links(classes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(node, linked, low) of ``n`` vectors of one length, by their pivot index."""
+    spark = classes.sparkSession
     wanted = n_pivots(n) * SAMPLE_PER_PIVOT
-    drawn = classes.where(F.pmod(F.xxhash64(F.lit("pivot"), "class"), F.lit(1 << 30)) < int(min(1.0, wanted / max(1, n)) * (1 << 30)))
-    sample = drawn.select("vector").toPandas()["vector"]
-    pivots = choose_pivots(np.stack(sample.to_list()), n_pivots(n)) if len(sample) else np.zeros((0, 1))
-    depth = min(prefix, len(pivots))
-    least_shared = min(shared, depth)
-    centres = dense_centres(np.stack(sample.to_list()), threshold) if len(sample) else pivots
-    held = spark.sparkContext.broadcast((pivots, centres))
-    if not depth:
-        none = spark.createDataFrame([], "node long, linked long, low long")
-        return links_to_rows(rows.select("key", "class"), classes.drop("vector"), none, key, "vector-components")
+    drawn = classes.where(F.pmod(F.xxhash64(F.lit("pivot"), "class"), F.lit(1 << 30)) < int(min(1.0, wanted / n) * (1 << 30)))
+    sample = np.stack(drawn.select("vector").toPandas()["vector"].to_list())
+    mean = sample.mean(axis=0)
+    pivots = choose_pivots(centred(sample, mean), n_pivots(n))
+    depth, least_shared = calibrate(sample, pivots, mean, threshold)
+    centres = dense_centres(sample, threshold)
+    held = spark.sparkContext.broadcast((pivots, centres, mean))
     half, reach = np.cos(np.arccos(threshold) / 2) + 1e-9, np.cos(np.arccos(threshold) * 1.5) - 1e-9
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference, dense = held.value
+        reference, dense, middle = held.value
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -201,10 +270,7 @@ def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THR
             near, places, borders = np.empty((len(vectors), depth), np.int32), [], []
             for i in range(0, len(vectors), 1024):
                 part = vectors[i : i + 1024]
-                likeness = part @ reference.T
-                top = np.argpartition(-likeness, depth - 1, axis=1)[:, :depth]
-                order = np.argsort(-np.take_along_axis(likeness, top, axis=1), axis=1, kind="stable")
-                near[i : i + 1024] = np.take_along_axis(top, order, axis=1)
+                near[i : i + 1024] = nearest_pivots(centred(part, middle), reference, depth)
                 if len(dense):
                     to_dense = part @ dense.T
                     own = to_dense.argmax(axis=1)
@@ -229,9 +295,5 @@ def embedding_links(df: DataFrame, key: str, vector: str, threshold: float = THR
     border = index.select(F.explode("borders").alias("list"), "node", "copies", F.lit(False).alias("core"))
     # all others, and what they are near to, meet in the lists of their pivots, numbered after the places
     listed = index.where("place IS NULL").select(F.explode(F.transform("prefix", lambda p: p + len(centres))).alias("list"), "node", "copies", F.lit(False).alias("core"))
-    block = ["list", "block_i", "block_j"]
-    lists = in_blocks(inside.union(border).union(listed), "list", "node", BLOCK_ROWS)
-    lists = lists.join(index.select("node", "vector", "prefix"), "node").select(*block, "chunk", "core", "node", "copies", "vector", "prefix")
-    lists = lists.repartition(*block).sortWithinPartitions(*block)
-    found = lists.mapInArrow(_verify(threshold, least_shared, len(centres)), "node long, linked long, low long")
-    return links_to_rows(rows.select("key", "class"), classes.drop("vector"), staged(found.union(links), "vector-links"), key, "vector-components")
+    found = _verified(inside.union(border).union(listed), index, threshold, least_shared, len(centres))
+    return staged(found.union(links), "vector-links")

@@ -122,6 +122,44 @@ def test_embedding_links_reach_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out.values())
 
 
+def recall_of(spark, x, threshold=0.95):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(8)
+    out = {r.vec_id: r.n_links for r in embedding_links(df, "vec_id", "embedding").collect()}
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    want = np.concatenate([(u[i : i + 1000] @ u.T >= threshold).sum(axis=1) - 1 for i in range(0, len(u), 1000)])
+    assert all(out[i] <= want[i] for i in range(len(x)))
+    return sum(out.values()) / want.sum()
+
+
+@pytest.mark.parametrize(("share", "dims", "pivots"), [(0.0, 64, 1024), (0.7, 64, 256), (0.9, 64, 256), (0.0, 6, 256)])
+def test_recall_on_planted_links_at_the_threshold(spark, monkeypatch, share, dims, pivots):
+    """Pairs at cosine 0.952 among vectors that have a share of their length in common, or few dimensions."""
+    from gridseries.llm import embedding_dedup
+
+    monkeypatch.setattr(embedding_dedup, "LEAST_PIVOTS", pivots)
+    rng = np.random.default_rng(4)
+    n = 5000
+    common = np.eye(dims)[0] * np.sqrt(share)
+    draw = lambda m: (lambda z: z / np.linalg.norm(z, axis=1)[:, None])(np.c_[np.zeros(m) if share else rng.normal(size=m), rng.normal(size=(m, dims - 1))])
+    x = common + np.sqrt(1 - share) * draw(n)
+    a, aside = x[:1500], draw(1500)
+    a = a / np.linalg.norm(a, axis=1)[:, None]
+    aside -= (aside * a).sum(axis=1)[:, None] * a
+    near = 0.952 * a + np.sqrt(1 - 0.952**2) * aside / np.linalg.norm(aside, axis=1)[:, None]
+    assert recall_of(spark, np.concatenate([x, near])) >= 0.95
+
+
+def test_vectors_of_every_length_are_compared(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(2200)]
+    rows += [(3000 + i, rows[i][1]) for i in range(5)] + [(4000 + i, [1.0, 2.0 + i * 1e-4, 3.0]) for i in range(3)] + [(5000 + i, [2.0, 1.0]) for i in range(2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in embedding_links(df, "vec_id", "embedding").collect()}
+    assert [out[i] for i in (4000, 4001, 4002, 5000, 5001)] == [(2, 4000)] * 3 + [(1, 5000)] * 2
+    assert all(out[3000 + i][1] <= i and out[3000 + i][0] >= 1 for i in range(5))
+
+
 def test_vectors_without_a_direction_link_with_nothing(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v), (2, [2.0, 4.0, 6.0]), (3, None), (4, []), (5, [0.0, 0.0, 0.0]), (6, [1.0, None, 3.0]), (7, [1.0, float("nan"), 3.0]), (8, [float("inf"), 2.0, 3.0]), (9, v), (9, v), (None, v), (10, [1.0, 2.0])]
