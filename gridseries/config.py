@@ -19,6 +19,8 @@ class SeriesSpec:
     A series table has one row per (entity, ts) with a numeric value.
     ``step`` is the bin width in seconds, ``daily`` / ``weekly`` the number of
     bins in a day / week (144 / 1008 for 10-minute bins, 24 / 168 hourly).
+    ``long`` says that a series may be too long for one task (more than some millions of
+    steps): windows then work on chunks of it, at the price of one more shuffle; rows are the same.
     """
 
     entity: str = "square_id"
@@ -28,6 +30,7 @@ class SeriesSpec:
     daily: int = 144
     weekly: int = 1008
     tz: str = "Europe/Rome"
+    long: bool = False
 
     def with_(self, **kw) -> "SeriesSpec":
         return replace(self, **kw)

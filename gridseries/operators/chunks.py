@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import SeriesSpec
 from ..functions import time as tf
+from .util import staged
 
 CHUNK_STEPS = 4096
 POS, CHUNK, OWN = "_pos", "_chunk", "_own"
@@ -28,9 +29,13 @@ def by_span(spec: SeriesSpec) -> Window:
 
 
 def _time_chunks(series: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Add the chunk of time and the row number in it."""
+    """Add the chunk of time and the row number in it.
+
+    Staged, because both the chunks' facts and the rows are read: the facts come from files that are already
+    grouped, and their join needs no second shuffle of the rows where the facts are small.
+    """
     rows = series.withColumn("_span", span_of(series, spec))
-    return rows.withColumn("_local", F.row_number().over(by_span(spec)).cast("long"))
+    return staged(rows.withColumn("_local", F.row_number().over(by_span(spec)).cast("long")), "spans")
 
 
 def with_spans(rows: DataFrame, spans: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -88,19 +93,21 @@ def with_halo(rows: DataFrame, halo: int | Column, size: int | Column | None = N
 
 
 def by_chunk(spec: SeriesSpec) -> Window:
-    """The rows of a chunk of positions, in order."""
-    return Window.partitionBy(spec.entity, CHUNK).orderBy(POS)
+    """The rows of a chunk of positions, in order; of the entity if its series is not long."""
+    return Window.partitionBy(spec.entity, CHUNK).orderBy(POS) if spec.long else Window.partitionBy(spec.entity).orderBy(spec.ts)
 
 
 def halo_windows(series: DataFrame, spec: SeriesSpec, halo: int, unit: int = 1) -> DataFrame:
-    """A series' rows in chunks of positions that carry ``halo`` rows more, for windows that look back as far; chunks hold whole multiples of ``unit`` rows."""
+    """A series' rows for windows that look back at most ``halo`` rows: as they are, or, if the series may be long, in chunks of positions that carry ``halo`` rows more and hold whole multiples of ``unit`` rows."""
+    if not spec.long:
+        return series
     size = -(-max(CHUNK_STEPS, halo) // unit) * unit
     return with_halo(placed(series, spec), halo, size)
 
 
-def own_rows(rows: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+def own_rows(rows: DataFrame, spec: SeriesSpec, columns: list[str], *more: Column) -> DataFrame:
     """The rows that are not a halo's, without the helper columns."""
-    return rows.where(OWN).select(*[F.col(f"`{c}`") for c in columns], *more)
+    return (rows.where(OWN) if spec.long else rows).select(*[F.col(f"`{c}`") for c in columns], *more)
 
 
 def chunk_arrays(rows: DataFrame, spec: SeriesSpec, value: Column, keep: list[str], halo: int | Column, size: int | Column) -> DataFrame:

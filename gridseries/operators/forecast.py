@@ -16,20 +16,23 @@ from pyspark.sql import functions as F
 from ..config import SeriesSpec
 from ..functions import time as tf
 from . import chunks as ch
+from .util import staged
 
 Forecaster = Callable[..., DataFrame]
 
 
 def _in_spans(series: DataFrame, spec: SeriesSpec, reach: int) -> tuple[DataFrame, Window]:
-    """Rows in chunks of time that also hold the rows of the ``reach`` seconds before, with the last row before those (``_carry``).
+    """Rows and their window: the entity, or, if a series may be long, chunks of time that also hold the rows of the ``reach`` seconds before, with the last row before those (``_carry``).
 
-    Adds ``_t`` (epoch seconds) and ``_own``. A look back in time sees the chunk's rows, or else the carried one.
+    Adds ``_t`` (epoch seconds) and, for chunks, ``_own``. A look back in time sees the chunk's rows, or else the carried one.
     """
+    rows = series.withColumn("_t", tf.epoch_seconds(series, spec.ts))
+    if not spec.long:
+        return rows, Window.partitionBy(spec.entity).orderBy("_t")
     steps = max(ch.CHUNK_STEPS, -(-reach // spec.step))
     length = steps * spec.step
-    rows = series.withColumn("_t", tf.epoch_seconds(series, spec.ts))
     at = F.floor(F.col("_t") / length).cast("long")
-    rows = rows.withColumn("_at", at)
+    rows = staged(rows.withColumn("_at", at), "time-chunks")
     row = F.struct("_t", F.col(spec.value).alias("v"))
     # what a chunk hands to the next one, and to those after it
     spans = rows.groupBy(spec.entity, "_at").agg(F.max(F.when(F.col("_t") < (F.col("_at") + 1) * length - reach, row)).alias("_older"), F.max(row).alias("_last"))
@@ -45,7 +48,8 @@ def _in_spans(series: DataFrame, spec: SeriesSpec, reach: int) -> tuple[DataFram
 def last_value_column(w: Window, spec: SeriesSpec):
     """Value of the last row with ts <= t - step (as-of backward lookup, J4)."""
     frame = w.rangeBetween(Window.unboundedPreceding, -spec.step)
-    return F.when(F.count(F.lit(1)).over(frame) > 0, F.last(F.col(spec.value)).over(frame)).otherwise(F.col("_carry.v"))
+    last = F.last(F.col(spec.value)).over(frame)
+    return F.when(F.count(F.lit(1)).over(frame) > 0, last).otherwise(F.col("_carry.v")) if spec.long else last
 
 
 def seasonal_column(w: Window, spec: SeriesSpec, period: int):
@@ -63,18 +67,19 @@ def baseline_forecasts(series: DataFrame, spec: SeriesSpec, models: dict[str, in
     """Last-value and seasonal-naive forecasts for every row, long format.
 
     ``models`` maps a model name to a seasonal period in steps (``None`` =
-    last value). All models share the chunks of time, which reach back as far as the longest period, so a long
-    series is the work of many tasks.
+    last value). All models share one window partitioning and ordering, so
+    the plan has a single shuffle and a single sort; in a long series they share chunks of time that reach back as far as the longest period.
     """
     if models is None:
         models = {"naive_last": None, "naive_daily": spec.daily, "naive_weekly": spec.weekly}
     reach = spec.step * max(1, *(p or 1 for p in models.values()))
-    staged, w = _in_spans(series.select(spec.entity, spec.ts, spec.value), spec, reach)
+    rows, w = _in_spans(series.select(spec.entity, spec.ts, spec.value), spec, reach)
     cols = []
     for name, period in models.items():
         col = last_value_column(w, spec) if period is None else seasonal_column(w, spec, period)
         cols.append(col.cast("double").alias(name))
-    wide = staged.select(spec.entity, spec.ts, F.col(spec.value).alias("y_true"), "_own", *cols).where("_own").drop("_own")
+    wide = rows.select(spec.entity, spec.ts, F.col(spec.value).alias("y_true"), *["_own"] * spec.long, *cols)
+    wide = wide.where("_own") if spec.long else wide
     return wide.unpivot([spec.entity, spec.ts, "y_true"], list(models), "model", "y_pred").select(
         "model", spec.entity, spec.ts, "y_true", "y_pred"
     )

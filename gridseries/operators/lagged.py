@@ -23,7 +23,7 @@ from . import chunks as ch
 from .chunks import CHUNK, POS, chunk_arrays, trended
 from .correlation import kpss_pvalue
 from .util import staged
-from .windows import difference
+from .windows import looking_back
 
 MIN_OBS = st.MIN_OBS
 NAN = float("nan")
@@ -72,10 +72,6 @@ def _joined(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.withColumnRenamed(key, "_key"), left[key].eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
-def _rows(series: DataFrame, spec: SeriesSpec, name: str) -> DataFrame:
-    return staged(trended(series, spec), name)
-
-
 def _acf(series: DataFrame, rows: DataFrame, spec: SeriesSpec, most: Column) -> DataFrame:
     """(entity, _n, lag, acf): NaN at lag 0 for fewer than two values, NaN everywhere without variance."""
     sums = lag_sums(rows.withColumn("_last", F.least(most, F.col("_n") - 1)), spec, F.col("_x") - F.col("_mean"), F.col("_last"))
@@ -92,7 +88,7 @@ def acf_table(series: DataFrame, spec: SeriesSpec, nlags: int) -> DataFrame:
 
     An entity with fewer than two values has one row, lag 0 with NaN.
     """
-    rows = _rows(series, spec, "acf")
+    rows = trended(series, spec)
     acf = _acf(series, rows, spec, F.lit(nlags))
     before = Window.partitionBy(spec.entity).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     squares = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf")).otherwise(0.0)).over(before), F.lit(0.0))
@@ -108,7 +104,7 @@ def _partial(acfs: pd.Series) -> pd.Series:
 
 def pacf_table(series: DataFrame, spec: SeriesSpec, nlags: int = 60) -> DataFrame:
     """PACF by Yule-Walker (biased) with its 95 % half-width (E10): (entity, lag, pacf, band), lags 0 to min(nlags, n // 2 - 1)."""
-    rows = _rows(series, spec, "pacf")
+    rows = trended(series, spec)
     most = F.greatest(F.lit(0), F.least(F.lit(nlags), F.floor(F.col("_n") / 2).cast("int") - 1))
     acf = _acf(series, rows, spec, most)
     one = acf.groupBy(spec.entity, "_n").agg(F.sort_array(F.collect_list(F.struct("lag", "acf"))).alias("_r"))
@@ -116,6 +112,11 @@ def pacf_table(series: DataFrame, spec: SeriesSpec, nlags: int = 60) -> DataFram
     return out.select(spec.entity, F.col("lag").cast("long").alias("lag"), F.coalesce("pacf", F.lit(NAN)).alias("pacf"), F.try_divide(F.lit(Z975), F.sqrt(F.col("_n").cast("double"))).alias("band"))
 
 
+def _detrended() -> Column:
+    """What the least-squares line leaves; the Dickey-Fuller statistic, which has a constant and a trend of its own, is the same for it."""
+    return F.col("_x") - F.col("_mean") - F.col("_slope") * (F.col(POS) - (F.col("_n") - 1) / 2.0)
+
+
 # ---------------------------------------------------------------- KPSS
 @F.pandas_udf(_numbers("m", "s", "c", "c2"))
 def _running(xs: pd.Series, halos: pd.Series) -> pd.DataFrame:
@@ -131,8 +132,7 @@ def _running(xs: pd.Series, halos: pd.Series) -> pd.DataFrame:
 def _kpss(series: DataFrame, rows: DataFrame, spec: SeriesSpec, lags: int | None) -> DataFrame:
     """(entity, kpss_stat, kpss_pvalue, kpss_lags); NaN below MIN_OBS values or without variance."""
     long_enough = rows.where(F.col("_n") >= MIN_OBS)
-    e = F.col("_x") - F.col("_mean") - F.col("_slope") * (F.col(POS) - (F.col("_n") - 1) / 2.0)
-    n = F.col("_n").cast("double")
+    e, n = _detrended(), F.col("_n").cast("double")
     if lags is None:
         # bandwidth of Hobijn, Franses and Ooms (1998) from the first n^(2/9) lag products
         first = F.floor(F.pow(n, F.lit(2.0 / 9.0))).cast("long")
@@ -143,7 +143,7 @@ def _kpss(series: DataFrame, rows: DataFrame, spec: SeriesSpec, lags: int | None
     else:
         ratio, width = long_enough.select(spec.entity).distinct().withColumn("_ratio", F.lit(0.0)), F.lit(lags).cast("long")
     sized = _joined(_entities(series, rows, spec), ratio, spec.entity)
-    sized = staged(sized.withColumn("_width", F.when((F.col("_n") >= MIN_OBS) & F.col("_ratio").isNotNull(), F.least(width, F.col("_n") - 1))), "kpss-width")
+    sized = staged(sized.withColumn("_width", F.when((F.col("_n") >= MIN_OBS) & F.col("_ratio").isNotNull(), F.least(width, F.col("_n") - 1))), "kpss-width")  # small: a row for each entity
     at = long_enough.join(sized.select(F.col(spec.entity).alias("_e"), "_width"), long_enough[spec.entity].eqNullSafe(F.col("_e"))).where("_width IS NOT NULL")
     size = F.greatest(F.lit(ch.CHUNK_STEPS).cast("long"), F.col("_width"))
     chunks = chunk_arrays(at, spec, e, ["_width"], F.col("_width"), size).withColumn("_p", _products("xs", "halo", "_width")).withColumn("_r", _running("xs", "halo"))
@@ -167,7 +167,7 @@ def _kpss(series: DataFrame, rows: DataFrame, spec: SeriesSpec, lags: int | None
 
 def kpss_table(series: DataFrame, spec: SeriesSpec, lags: int | None = None) -> DataFrame:
     """KPSS (trend) per entity, automatic bandwidth unless ``lags`` is given (E4): (entity, kpss_stat, kpss_pvalue, kpss_lags)."""
-    return _kpss(series, _rows(series, spec, "kpss"), spec, lags)
+    return _kpss(series, trended(series, spec), spec, lags)
 
 
 # ---------------------------------------------------------------- ADF
@@ -236,7 +236,7 @@ def _adf_table(series: DataFrame, rows: DataFrame, spec: SeriesSpec) -> DataFram
     most = F.least(F.floor(n / 2).cast("long") - 3, F.ceil(12 * F.pow(n / 100.0, F.lit(0.25))).cast("long"))
     at = rows.where(n >= MIN_OBS).withColumn("_most", most)
     size = F.greatest(F.lit(ch.CHUNK_STEPS).cast("long"), F.col("_most") + 1)
-    chunks = chunk_arrays(at, spec, F.col("_x") - F.col("_mean"), ["_n", "_most"], F.col("_most") + 1, size)
+    chunks = chunk_arrays(at, spec, _detrended(), ["_n", "_most"], F.col("_most") + 1, size)
     chunks = chunks.withColumn("_g", _gram("xs", "first", "halo", "_n", "_most"))
     chunks = chunks.select(spec.entity, "_n", "_most", "_g", F.when(F.col("first") == 0, F.slice("xs", F.lit(1), (F.col("_most") + 2).cast("int"))).alias("_head"))
     chunks = staged(chunks, "adf-chunks")
@@ -249,9 +249,17 @@ def _adf_table(series: DataFrame, rows: DataFrame, spec: SeriesSpec) -> DataFram
     return out.select(spec.entity, F.col("_n").alias("n_obs"), pick("tau", "adf_stat"), pick("pvalue", "adf_pvalue"), pick("usedlag", "adf_usedlag"), pick("nobs", "adf_nobs"))
 
 
-def _adf_of_difference(series: DataFrame, spec: SeriesSpec, lag: int) -> DataFrame:
-    d = difference(series, spec, lag, out="_d").select(spec.entity, spec.ts, F.col("_d").alias(spec.value))
-    return _adf_table(series, _rows(d, spec, f"adf-difference{lag}"), spec)
+def _adf_of_variants(series: DataFrame, spec: SeriesSpec, lags: Sequence[int]) -> DataFrame:
+    """ADF of the levels (lag 0) and of positional differences, all in one pass: (entity, lag, n_obs, adf_*)."""
+    series = series.select(spec.entity, spec.ts, spec.value)
+    cols = {f"_d{k}": F.col(spec.value) - F.lag(spec.value, k).over(ch.by_chunk(spec)) if k else F.col(spec.value) for k in lags}
+    wide = looking_back(series, spec, max(lags), **cols) if any(lags) else series.withColumns(cols)
+    long = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_d{k}").alias("v")) for k in lags]))
+    rows = wide.select(spec.entity, spec.ts, long.alias("_l")).select(F.struct(F.col(spec.entity).alias("e"), F.col("_l.lag").alias("lag")).alias("_series"), spec.ts, F.col("_l.v").alias(spec.value))
+    variant = spec.with_(entity="_series")
+    # entities are told from the levels, which hold every row
+    out = _adf_table(rows, trended(rows, variant), variant)
+    return out.select(F.col("_series.e").alias(spec.entity), F.col("_series.lag").alias("lag"), *[c for c in out.columns if c != "_series"])
 
 
 def stationarity_tests(series: DataFrame, spec: SeriesSpec, kpss_lags: int | None = None, diff_lags: Sequence[int] = ()) -> DataFrame:
@@ -260,16 +268,18 @@ def stationarity_tests(series: DataFrame, spec: SeriesSpec, kpss_lags: int | Non
     Output: (entity, n_obs, adf_stat, adf_pvalue, adf_usedlag, adf_nobs, kpss_stat, kpss_pvalue,
     kpss_lags[, adf_stat_diff<k>, adf_p_diff<k>]); NaN below 100 values.
     """
-    series = series.select(spec.entity, spec.ts, spec.value)
-    rows = _rows(series, spec, "stationarity")
-    out = _joined(_adf_table(series, rows, spec), _kpss(series, rows, spec, kpss_lags), spec.entity)
-    for lag in diff_lags:
-        part = _adf_of_difference(series, spec, lag).select(spec.entity, F.col("adf_stat").alias(f"adf_stat_diff{lag}"), F.col("adf_pvalue").alias(f"adf_p_diff{lag}"))
-        out = _joined(out, part, spec.entity)
-    return out
-
-
-def adf_after_difference(series: DataFrame, spec: SeriesSpec, lag: int) -> DataFrame:
-    """Positional difference at ``lag`` then ADF (E6): (entity, lag, adf_stat_diff, adf_p_diff)."""
-    t = _adf_of_difference(series.select(spec.entity, spec.ts, spec.value), spec, lag)
-    return t.select(spec.entity, F.lit(lag).alias("lag"), F.col("adf_stat").alias("adf_stat_diff"), F.col("adf_pvalue").alias("adf_p_diff"))
+    series = staged(series.select(spec.entity, spec.ts, spec.value), "stationarity")
+    adf = _adf_of_variants(series, spec, [0, *diff_lags])
+    pick = lambda k, c, out: F.max(F.when(F.col("lag") == k, F.col(c))).alias(out)
+    names = ("n_obs", "adf_stat", "adf_pvalue", "adf_usedlag", "adf_nobs")
+    diffs = [p for k in diff_lags for p in (pick(k, "adf_stat", f"adf_stat_diff{k}"), pick(k, "adf_pvalue", f"adf_p_diff{k}"))]
+    one = adf.groupBy(spec.entity).agg(*[pick(0, c, c) for c in names], *diffs)
+    out = _joined(one, _kpss(series, trended(series, spec), spec, kpss_lags), spec.entity)
+    more = [c for k in diff_lags for c in (f"adf_stat_diff{k}", f"adf_p_diff{k}")]
+    return out.select(spec.entity, *names, "kpss_stat", "kpss_pvalue", "kpss_lags", *more)
+
+
+def adf_after_difference(series: DataFrame, spec: SeriesSpec, *lags: int) -> DataFrame:
+    """Positional difference at each lag, then ADF (E6): (entity, lag, adf_stat_diff, adf_p_diff)."""
+    t = _adf_of_variants(staged(series.select(spec.entity, spec.ts, spec.value), "differences"), spec, lags)
+    return t.select(spec.entity, "lag", F.col("adf_stat").alias("adf_stat_diff"), F.col("adf_pvalue").alias("adf_p_diff"))

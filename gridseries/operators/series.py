@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import SeriesSpec, Split
 from ..functions import time as tf
 from . import chunks as ch
+from .util import staged
 
 GRID_CHUNK = 1024  # steps per generated block of the calendar grid
 
@@ -204,18 +205,38 @@ def interpolate(df: DataFrame, spec: SeriesSpec, out: str | None = None) -> Data
     """Positional linear interpolation of NULL values, edges filled.
 
     Position is the row number within the entity (not time), like pandas'
-    default ``interpolate(limit_direction="both")``. The neighbours are found in two levels: running ``last``
-    by rising and by falling time inside chunks of time, and for rows at their edges what the
+    default ``interpolate(limit_direction="both")``. The neighbour before is a
+    running ``last`` by rising time, the one after a running ``last`` by falling
+    time. In a long series both run inside chunks of time, and rows at their edges get what the
     chunks before and after hold, from a table with one row for each chunk.
     """
     out = out or spec.value
     v = F.col(spec.value)
-    rows = df.withColumn("_span", ch.span_of(df, spec))
-    rising = ch.by_span(spec)
-    falling = Window.partitionBy(spec.entity, "_span").orderBy(F.col("_r").desc())
+    keys = [spec.entity, *["_span"] * spec.long]
+    rows = df.withColumn("_span", ch.span_of(df, spec)) if spec.long else df
+    rising = Window.partitionBy(*keys).orderBy(spec.ts)
+    falling = Window.partitionBy(*keys).orderBy(F.col("_r").desc())
     running = (Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_r", F.row_number().over(rising).cast("long"))
     known = F.when(v.isNotNull(), F.struct(F.col("_r").alias("r"), v.cast("double").alias("v")))
+    rows = rows.withColumn("_p", F.last(known, ignorenulls=True).over(rising.rowsBetween(*running)))
+    rows = rows.withColumn("_n", F.last(known, ignorenulls=True).over(falling.rowsBetween(*running)))
+    if spec.long:
+        rows = _across_spans(staged(rows, "interpolate"), spec, known)
+    at = F.col("_r")
+    lin = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (at - F.col("_p.r")) / (F.col("_n.r") - F.col("_p.r"))
+    filled = F.coalesce(
+        v,
+        F.when(F.col("_p").isNotNull() & F.col("_n").isNotNull(), lin),
+        F.col("_n.v"),
+        F.col("_p.v"),
+    ).cast("double")
+    names = df.columns if out in df.columns else [*df.columns, out]
+    return rows.select(*[filled.alias(out) if c == out else F.col(f"`{c}`") for c in names])
+
+
+def _across_spans(rows: DataFrame, spec: SeriesSpec, known: Column) -> DataFrame:
+    """Rows of chunks of time with the neighbours ``_p`` and ``_n`` and the row number ``_r`` of the whole series."""
     spans = rows.groupBy(spec.entity, "_span").agg(F.count(F.lit(1)).alias("_m"), F.min(known).alias("_first"), F.max(known).alias("_last"))
     order = Window.partitionBy(spec.entity).orderBy("_span")
     spans = spans.withColumn("_o", F.coalesce(F.sum("_m").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -227,17 +248,6 @@ def interpolate(df: DataFrame, spec: SeriesSpec, out: str | None = None) -> Data
         F.last(placed("_last"), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
         F.first(placed("_first"), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
     )
-    rows = rows.withColumn("_n", F.last(known, ignorenulls=True).over(falling.rowsBetween(*running)))
-    rows = rows.withColumn("_p", F.last(known, ignorenulls=True).over(rising.rowsBetween(*running)))
     rows = ch.with_spans(rows, spans, spec)
     rows = rows.withColumn("_p", F.coalesce(placed("_p"), "_before")).withColumn("_n", F.coalesce(placed("_n"), "_after"))
-    at = F.col("_o") + F.col("_r")
-    lin = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (at - F.col("_p.r")) / (F.col("_n.r") - F.col("_p.r"))
-    filled = F.coalesce(
-        v,
-        F.when(F.col("_p").isNotNull() & F.col("_n").isNotNull(), lin),
-        F.col("_n.v"),
-        F.col("_p.v"),
-    ).cast("double")
-    names = df.columns if out in df.columns else [*df.columns, out]
-    return rows.select(*[filled.alias(out) if c == out else F.col(f"`{c}`") for c in names])
+    return rows.withColumn("_r", F.col("_o") + F.col("_r"))

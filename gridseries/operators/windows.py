@@ -1,7 +1,8 @@
 """Per-entity window operators.
 
-A series is cut into chunks of positions that carry as many rows of the chunk before as a window looks back
-(:mod:`.chunks`), so windows are ``partitionBy(entity, chunk)`` and one long series is the work of many tasks.
+Windows are ``partitionBy(entity)``: a binned series has at most span / step rows. Where the spec says that a series may
+be long, it is cut into chunks of positions that carry as many rows of the chunk before as a window looks back
+(:mod:`.chunks`), windows are ``partitionBy(entity, chunk)``, and one series is the work of many tasks.
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ def trailing_stats(series: DataFrame, spec: SeriesSpec, width: int) -> DataFrame
     """
     v = F.col(spec.value)
     rows = ch.halo_windows(series, spec, width - 1, width)
+    if not spec.long:
+        rows = rows.withColumn(ch.POS, F.row_number().over(ch.by_chunk(spec)).cast("long") - 1)
+    keys = [spec.entity, *[ch.CHUNK] * spec.long]
     rows = rows.withColumn("_block", F.floor(F.col(ch.POS) / width))
-    block = Window.partitionBy(spec.entity, ch.CHUNK, "_block")
+    block = Window.partitionBy(*keys, "_block")
 
     def stats(order: Column) -> Column:
         frame = block.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -35,7 +39,7 @@ def trailing_stats(series: DataFrame, spec: SeriesSpec, width: int) -> DataFrame
 
     rows = rows.withColumn("_end", stats(F.col(ch.POS).desc())).withColumn("_start", stats(F.col(ch.POS).asc()))
     # ordered like the block's rows, so that no sort is needed
-    before = F.lag("_end", width - 1).over(Window.partitionBy(spec.entity, ch.CHUNK).orderBy("_block", ch.POS))
+    before = F.lag("_end", width - 1).over(Window.partitionBy(*keys).orderBy("_block", ch.POS))
     whole = (F.col(ch.POS) + 1) % width == 0  # the window is this row's block
     rows = rows.withColumn("_end", F.when(~whole, before)).withColumn("_rn", F.col(ch.POS) + 1)
     a, b = F.col("_end"), F.col("_start")
@@ -44,6 +48,7 @@ def trailing_stats(series: DataFrame, spec: SeriesSpec, width: int) -> DataFrame
     m2 = a["m2"] + b["m2"] + F.when(both, gap * gap * a["n"] * b["n"] / (a["n"] + b["n"])).otherwise(0.0)
     return ch.own_rows(
         rows,
+        spec,
         series.columns,
         F.col("_rn"),
         F.when(a.isNull(), b["n"]).otherwise(a["n"] + b["n"]).alias("_n"),
@@ -62,36 +67,36 @@ def rolling_stats(series: DataFrame, spec: SeriesSpec, window: int) -> DataFrame
     )
 
 
-def _looking_back(series: DataFrame, spec: SeriesSpec, halo: int, **columns: Column) -> DataFrame:
+def looking_back(series: DataFrame, spec: SeriesSpec, halo: int, **columns: Column) -> DataFrame:
     """Add columns computed by windows that look back at most ``halo`` rows."""
     rows = ch.halo_windows(series, spec, halo)
     kept = [c for c in series.columns if c not in columns]
-    return ch.own_rows(rows.withColumns(columns), kept + list(columns))
+    return ch.own_rows(rows.withColumns(columns), spec, kept + list(columns))
 
 
 def moving_average(series: DataFrame, spec: SeriesSpec, window: int = 6, out: str = "moving_avg") -> DataFrame:
     """Trailing mean over up to ``window`` rows, min_periods = 1."""
     frame = ch.by_chunk(spec).rowsBetween(-(window - 1), 0)
-    return _looking_back(series, spec, window - 1, **{out: F.avg(F.col(spec.value)).over(frame)})
+    return looking_back(series, spec, window - 1, **{out: F.avg(F.col(spec.value)).over(frame)})
 
 
 def difference(series: DataFrame, spec: SeriesSpec, lag: int = 1, out: str = "diff", dropna: bool = True) -> DataFrame:
     """v_t - v_{t-lag} by position; the first ``lag`` rows are dropped."""
-    d = _looking_back(series, spec, lag, **{out: F.col(spec.value) - F.lag(spec.value, lag).over(ch.by_chunk(spec))})
+    d = looking_back(series, spec, lag, **{out: F.col(spec.value) - F.lag(spec.value, lag).over(ch.by_chunk(spec))})
     return d.where(F.col(out).isNotNull()) if dropna else d
 
 
 def differences(series: DataFrame, spec: SeriesSpec, lags: list[int], out: str = "diff") -> DataFrame:
     """Differences at several lags in long form (.., lag, diff), from one window pass."""
     cols = {f"_d{k}": F.col(spec.value) - F.lag(spec.value, k).over(ch.by_chunk(spec)) for k in lags}
-    rows = _looking_back(series.select(spec.entity, spec.ts, spec.value), spec, max(lags), **cols)
+    rows = looking_back(series.select(spec.entity, spec.ts, spec.value), spec, max(lags), **cols)
     long = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_d{k}").alias(out)) for k in lags]))
     return rows.select(spec.entity, spec.ts, long.alias("_d")).select(spec.entity, spec.ts, "_d.lag", f"_d.{out}").where(F.col(out).isNotNull())
 
 
 def shift(series: DataFrame, spec: SeriesSpec, lag: int, out: str = "shifted") -> DataFrame:
     """Value ``lag`` rows earlier."""
-    return _looking_back(series, spec, lag, **{out: F.lag(spec.value, lag).over(ch.by_chunk(spec))})
+    return looking_back(series, spec, lag, **{out: F.lag(spec.value, lag).over(ch.by_chunk(spec))})
 
 
 def preview(series: DataFrame, spec: SeriesSpec, window: int, session_tz: str = "UTC") -> DataFrame:
@@ -110,10 +115,18 @@ def runs(
 ) -> DataFrame:
     """Runs of consecutive flagged rows of at least ``min_length``.
 
-    Gaps and islands in two levels: runs are found in chunks of positions, and those that touch a chunk's edge, two
-    at most in each, are joined with their neighbours. A run still open at the series
-    end counts. Output: (entity, start, end, length[, mean_<measure>]).
+    Gaps and islands: row_number within the entity minus row_number within
+    (entity, flag) is constant along a run. A run still open at the series
+    end counts. In a long series runs are found in chunks of positions, and those that touch a
+    chunk's edge, two at most in each, are joined with their neighbours. Output: (entity, start, end, length[, mean_<measure>]).
     """
+    if not spec.long:
+        order = ch.by_chunk(spec)
+        rows = flagged.withColumn("_rn", F.row_number().over(order)).where(F.col(flag))
+        rows = rows.withColumn("_island", F.col("_rn") - F.row_number().over(order))
+        aggs = [F.min(spec.ts).alias("start"), F.max(spec.ts).alias("end"), F.count(F.lit(1)).alias("length")]
+        aggs += [F.avg(measure).alias(f"mean_{measure}")] if measure is not None else []
+        return rows.groupBy(spec.entity, "_island").agg(*aggs).where(F.col("length") >= min_length).drop("_island")
     size = ch.CHUNK_STEPS
     rows = ch.placed(flagged, spec).where(F.col(flag)).withColumn(ch.CHUNK, F.floor(F.col(ch.POS) / size))
     rows = rows.withColumn("_island", F.col(ch.POS) - F.row_number().over(ch.by_chunk(spec)))

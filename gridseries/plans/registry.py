@@ -339,7 +339,6 @@ QUERIES.update(
 from ..config import DhrConfig  # noqa: E402
 from ..operators import grouped as gm  # noqa: E402
 from ..operators import lagged as lag  # noqa: E402
-from ..operators.util import staged  # noqa: E402
 
 
 def q_stationarity_tests(spark, d):
@@ -347,8 +346,7 @@ def q_stationarity_tests(spark, d):
 
 
 def q_adf_after_diff(spark, d):
-    h = staged(b.hourly(spark, d), "hourly")
-    return present(lag.adf_after_difference(h, S, 1).unionByName(lag.adf_after_difference(h, S, S.daily)))
+    return present(lag.adf_after_difference(b.hourly(spark, d), S, 1, S.daily))
 
 
 def q_acf_full(spark, d):

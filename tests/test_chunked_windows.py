@@ -3,6 +3,7 @@
 import pytest
 
 from gridseries.operators import chunks
+from gridseries.plans import registry
 
 from . import test_oracle_small as twins
 from .test_oracle_small import duck  # noqa: F401
@@ -13,6 +14,8 @@ KEYS = ["cells_rolling", "cells_interpolate", "drop_runs", "seasonal_diff", "pre
 @pytest.mark.parametrize("key", KEYS)
 def test_many_chunks_give_the_same_rows(spark, duck, key, monkeypatch):  # noqa: F811
     monkeypatch.setattr(chunks, "CHUNK_STEPS", 31)
+    for name in ("S", "C", "TEN"):
+        monkeypatch.setattr(registry, name, getattr(registry, name).with_(long=True))
     twins.test_query_matches_sql_twin(spark, duck, key)
 
 
@@ -25,7 +28,7 @@ def test_a_series_is_dealt_over_many_tasks(spark, monkeypatch):
     from gridseries.config import SeriesSpec
     from gridseries.operators import windows
 
-    spec = SeriesSpec(entity="id", ts="ts", value="v", step=3600, daily=24, weekly=168, tz="UTC")
+    spec = SeriesSpec(entity="id", ts="ts", value="v", step=3600, daily=24, weekly=168, tz="UTC", long=True)
     monkeypatch.setattr(chunks, "CHUNK_STEPS", 100)
     rows = [(1, datetime(2024, 1, 1) + timedelta(hours=i), float(i % 7)) for i in range(3000)]
     series = spark.createDataFrame(rows, "id int, ts timestamp_ntz, v double")
@@ -47,7 +50,7 @@ def test_runs_across_chunks(spark, monkeypatch):
     from gridseries.config import SeriesSpec
     from gridseries.operators import windows
 
-    spec = SeriesSpec(entity="id", ts="ts", value="v", step=3600, daily=24, weekly=168, tz="UTC")
+    spec = SeriesSpec(entity="id", ts="ts", value="v", step=3600, daily=24, weekly=168, tz="UTC", long=True)
     monkeypatch.setattr(chunks, "CHUNK_STEPS", 8)
     rnd = random.Random(1)
     flags = [rnd.random() < p for p in (0.9, 0.5, 0.99, 0.05) for _ in range(60)] + [True] * 40
