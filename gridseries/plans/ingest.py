@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestConfig
+from ..operators import reporting as rep
+from ..sources import catalog as cat
 from ..sources import lines as ln
 from ..sources import store as st
 
@@ -36,7 +38,7 @@ def run_ingest(
     force: bool = False,
     limit_days: int = 0,
 ) -> dict[str, DataFrame]:
-    """Discover daily files, ingest the ones not yet stored, rebuild the catalog.
+    """Discover daily files, ingest the ones not yet stored, bring the catalog up to date (new files only).
 
     A file's rows go to its own day's folder and its bad lines to that day's
     quarantine, so stored rows plus quarantined lines are all lines, over any number of
@@ -61,15 +63,16 @@ def run_ingest(
     kept = _store_exists(spark, os.path.join(store_root, st.QUARANTINE))
     empty = "line string, file_name string, n_fields int, reason string, day date"
     quarantine = st.read_quarantine(spark, store_root) if kept else spark.createDataFrame([], empty)
-    records = st.profile_partitions(spark, store_root)
     bounds = files.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
     first = date.fromisoformat(cfg.expected_first_date) if cfg.expected_first_date else bounds["lo"]
     last = date.fromisoformat(cfg.expected_last_date) if cfg.expected_last_date else bounds["hi"]
-    manifest = st.manifest(records, first, last)
+    commit = cat.refresh(spark, store_root, first, last)
+    records = cat.records(spark, store_root)
+    manifest = cat.commits(spark, store_root).where(F.col("version") == commit["version"])
+    dated = [F.col(c).cast("date").alias(c) for c in ("expected_start", "expected_end")]
+    manifest = manifest.select("generated_at", *dated, "n_partitions", "total_rows", "total_bytes", "version")
     missing = st.missing_days(records.select(F.col("day").cast("date").alias("day")), first, last)
-    catalog = os.path.join(store_root, "_catalog")
-    records.write.mode("overwrite").json(os.path.join(catalog, "partitions"))
-    manifest.write.mode("overwrite").json(os.path.join(catalog, "manifest"))
-    # one line per missing day: a list of any length, never gathered into one row
-    missing.select(F.date_format("day", "yyyy-MM-dd").alias("missing_date")).write.mode("overwrite").json(os.path.join(catalog, "missing"))
+    # one line per missing day: a list of any length, never gathered into one row; readers see the old list or the new one
+    lines = missing.select(F.date_format("day", "yyyy-MM-dd").alias("missing_date"))
+    rep.replace_folder(spark, lambda to: lines.write.json(to), os.path.join(store_root, "_catalog", "missing"))
     return {"plan": plan, "partitions": records, "manifest": manifest, "missing": missing, "quarantine": quarantine}

@@ -1161,3 +1161,17 @@ SELECT user_id::VARCHAR AS value FROM totals ORDER BY total DESC, user_id LIMIT
 """
 
 SQL["cells_kpss"] = SQL["kpss_fixed_lag"].replace("event_type", "user_id")
+
+SQL["ingest_catalog"] = f"""
+WITH {CANON},
+days AS (SELECT DISTINCT file_day, dense_rank() OVER (ORDER BY file_day) > 10 AS later FROM lines),
+n AS (SELECT later, count(DISTINCT file_day) AS days, count(*) AS rows FROM canon JOIN days USING (file_day) GROUP BY 1)
+SELECT CASE WHEN later THEN 2 ELSE 1 END::BIGINT AS version, days AS hashed_days, 0::BIGINT AS removed_files,
+  (sum(days) OVER w)::BIGINT AS n_partitions, (sum(rows) OVER w)::BIGINT AS total_rows, 0::BIGINT AS wrong_files
+FROM n WINDOW w AS (ORDER BY later)
+"""
+
+SQL["long_rolling"] = SQL["rolling_stats"]
+SQL["long_interpolate"] = SQL["interpolate"]
+SQL["long_forecasts"] = SQL["forecast_seasonal"]
+SQL["long_drop_runs"] = SQL["drop_runs"]

@@ -668,7 +668,57 @@ def q_ingest_manifest(spark, d):
     return present(attach_scalars(totals, missing))
 
 
-QUERIES.update({"ingest_two_runs": q_ingest_two_runs, "quarantine_rows": q_quarantine_rows, "ingest_manifest": q_ingest_manifest})
+def q_ingest_catalog(spark, d):
+    """Versions of the catalog after two runs: days hashed by each, totals, and files whose stored checksum or size is wrong."""
+    from ..sources import catalog as cat
+
+    root, _ = _two_runs(spark, d)
+    now = st.file_checksums(spark, root).select(F.concat(F.lit("year_month="), F.substring_index("path", "year_month=", -1)).alias("path"), F.col("bytes").alias("b"), F.col("sha256").alias("s"))
+    both = cat.records(spark, root).join(now, "path", "full_outer")
+    wrong = both.where(~(F.col("sha256").eqNullSafe(F.col("s")) & F.col("bytes").eqNullSafe(F.col("b")))).agg(F.count(F.lit(1)).alias("wrong_files"))
+    from ..operators.util import attach_scalars
+
+    return present(attach_scalars(cat.commits(spark, root).select("version", "hashed_days", "removed_files", "n_partitions", "total_rows"), wrong))
+
+
+LONG = S.with_(long=True)
+
+
+def q_long_rolling(spark, d):
+    """Rolling statistics with a series cut into chunks."""
+    return present(win.rolling_stats(b.hourly(spark, d), LONG, S.daily))
+
+
+def q_long_interpolate(spark, d):
+    """Interpolation across chunks of time."""
+    reg = ser.regularise(b.hourly(spark, d), LONG).withColumn("was_missing", F.col(S.value).isNull())
+    return present(ser.interpolate(reg, LONG))
+
+
+def q_long_forecasts(spark, d):
+    """As-of and seasonal lookups across chunks of time."""
+    f = fc.baseline_forecasts(b.hourly(spark, d), LONG, {"naive_daily": S.daily, "naive_weekly": S.weekly})
+    return present(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end))
+
+
+def q_long_drop_runs(spark, d):
+    """Drop runs joined across chunks."""
+    h = ser.interpolate(ser.regularise(b.hourly(spark, d), LONG), LONG).select(S.entity, S.ts, S.value)
+    return present(an.drop_runs(h, LONG, S.daily, 0.4, 2))
+
+
+QUERIES.update(
+    {
+        "ingest_two_runs": q_ingest_two_runs,
+        "quarantine_rows": q_quarantine_rows,
+        "ingest_manifest": q_ingest_manifest,
+        "ingest_catalog": q_ingest_catalog,
+        "long_rolling": q_long_rolling,
+        "long_interpolate": q_long_interpolate,
+        "long_forecasts": q_long_forecasts,
+        "long_drop_runs": q_long_drop_runs,
+    }
+)
 
 
 # ---------------------------------------------------------------- the heavy operators over every user's series
