@@ -1175,3 +1175,5 @@ SQL["long_rolling"] = SQL["rolling_stats"]
 SQL["long_interpolate"] = SQL["interpolate"]
 SQL["long_forecasts"] = SQL["forecast_seasonal"]
 SQL["long_drop_runs"] = SQL["drop_runs"]
+SQL["step_last"] = SQL["forecast_last"]
+SQL["step_seasonal"] = SQL["forecast_seasonal"]

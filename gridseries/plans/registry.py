@@ -842,3 +842,24 @@ QUERIES.update(
         "cells_kpss": q_cells_kpss,
     }
 )
+
+
+# ---------------------------------------------------------------- step models
+from ..operators import stepwise as sw  # noqa: E402
+
+
+def q_step_last(spark, d):
+    """The last value by a step model that sees one entity's rows in order."""
+    f = sw.step_forecasts(b.hourly(spark, d), S, sw.LastValue, "naive_last")
+    return present(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end))
+
+
+def q_step_seasonal(spark, d):
+    """Seasonal values by step models with a season of memory."""
+    h = b.hourly(spark, d)
+    make = lambda period: (lambda: sw.SeasonalValue(period, S.step))
+    f = sw.step_forecasts(h, S, make(S.daily), "naive_daily").unionByName(sw.step_forecasts(h, S, make(S.weekly), "naive_weekly"))
+    return present(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end))
+
+
+QUERIES.update({"step_last": q_step_last, "step_seasonal": q_step_seasonal})
