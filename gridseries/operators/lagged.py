@@ -221,12 +221,13 @@ def _adf(gram: np.ndarray, head: np.ndarray, n: int, most: int) -> tuple[float,
 
 
 @F.pandas_udf(_numbers("tau", "pvalue", "usedlag", "nobs"))
-def _adf_solve(grams: pd.Series, heads: pd.Series, ns: pd.Series, most: pd.Series) -> pd.DataFrame:
+def _adf_solve(sums: pd.Series, ns: pd.Series, most: pd.Series) -> pd.DataFrame:
+    """From the upper triangle of the sums of products, followed by the first values of the series."""
     out = []
-    for flat, head, n, lags in zip(grams, heads, ns, most, strict=True):
-        gram = np.zeros((lags + 4, lags + 4))
-        gram[np.triu_indices(lags + 4)] = flat
-        out.append(_adf(gram + np.triu(gram, 1).T, np.asarray(head, float), n, lags))
+    for flat, n, lags in zip(sums, ns, most, strict=True):
+        gram, at = np.zeros((lags + 4, lags + 4)), np.triu_indices(lags + 4)
+        gram[at] = flat[: len(at[0])]
+        out.append(_adf(gram + np.triu(gram, 1).T, np.asarray(flat[len(at[0]) :], float), n, lags))
     return pd.DataFrame(out, columns=["tau", "pvalue", "usedlag", "nobs"], dtype=float)
 
 
@@ -237,28 +238,32 @@ def _adf_table(series: DataFrame, rows: DataFrame, spec: SeriesSpec) -> DataFram
     at = rows.where(n >= MIN_OBS).withColumn("_most", most)
     size = F.greatest(F.lit(ch.CHUNK_STEPS).cast("long"), F.col("_most") + 1)
     chunks = chunk_arrays(at, spec, _detrended(), ["_n", "_most"], F.col("_most") + 1, size)
-    chunks = chunks.withColumn("_g", _gram("xs", "first", "halo", "_n", "_most"))
-    chunks = chunks.select(spec.entity, "_n", "_most", "_g", F.when(F.col("first") == 0, F.slice("xs", F.lit(1), (F.col("_most") + 2).cast("int"))).alias("_head"))
-    chunks = staged(chunks, "adf-chunks")
-    cells = chunks.select(spec.entity, "_n", "_most", F.posexplode("_g").alias("i", "v")).groupBy(spec.entity, "_n", "_most", "i").agg(F.sum("v").alias("v"))
-    grams = cells.groupBy(spec.entity, "_n", "_most").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("_c"))
-    heads = chunks.where("_head IS NOT NULL").select(spec.entity, "_head")
-    solved = _joined(grams, heads, spec.entity).withColumn("_t", _adf_solve(F.transform("_c", lambda c: c["v"]), "_head", "_n", "_most"))
+    # the first values of the series, which only the first chunk has, are added up like the sums before them
+    span = (F.col("_most") + 1).cast("int")
+    head = F.when(F.col("first") == 0, F.slice("xs", F.lit(1), span)).otherwise(F.array_repeat(F.lit(0.0), span))
+    cells = chunks.select(spec.entity, "_n", "_most", F.posexplode(F.concat(_gram("xs", "first", "halo", "_n", "_most"), head)).alias("i", "v"))
+    cells = cells.groupBy(spec.entity, "_n", "_most", "i").agg(F.sum("v").alias("v"))
+    sums = cells.groupBy(spec.entity, "_n", "_most").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("_c"))
+    solved = sums.withColumn("_t", _adf_solve(F.transform("_c", lambda c: c["v"]), "_n", "_most"))
     out = _joined(_entities(series, rows, spec), solved.select(spec.entity, "_t"), spec.entity)
     pick = lambda name, out: F.coalesce(F.col(f"_t.{name}"), F.lit(NAN)).alias(out)
     return out.select(spec.entity, F.col("_n").alias("n_obs"), pick("tau", "adf_stat"), pick("pvalue", "adf_pvalue"), pick("usedlag", "adf_usedlag"), pick("nobs", "adf_nobs"))
 
 
-def _adf_of_variants(series: DataFrame, spec: SeriesSpec, lags: Sequence[int]) -> DataFrame:
-    """ADF of the levels (lag 0) and of positional differences, all in one pass: (entity, lag, n_obs, adf_*)."""
+def _variants(series: DataFrame, spec: SeriesSpec, lags: Sequence[int]) -> tuple[DataFrame, DataFrame, SeriesSpec]:
+    """The levels (lag 0) and positional differences as series of (entity, lag), and their rows in place."""
     series = series.select(spec.entity, spec.ts, spec.value)
     cols = {f"_d{k}": F.col(spec.value) - F.lag(spec.value, k).over(ch.by_chunk(spec)) if k else F.col(spec.value) for k in lags}
     wide = looking_back(series, spec, max(lags), **cols) if any(lags) else series.withColumns(cols)
     long = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_d{k}").alias("v")) for k in lags]))
     rows = wide.select(spec.entity, spec.ts, long.alias("_l")).select(F.struct(F.col(spec.entity).alias("e"), F.col("_l.lag").alias("lag")).alias("_series"), spec.ts, F.col("_l.v").alias(spec.value))
     variant = spec.with_(entity="_series")
-    # entities are told from the levels, which hold every row
-    out = _adf_table(rows, trended(rows, variant), variant)
+    return rows, trended(rows, variant), variant
+
+
+def _adf_of_variants(rows: DataFrame, places: DataFrame, variant: SeriesSpec, spec: SeriesSpec) -> DataFrame:
+    """ADF of all variants in one pass: (entity, lag, n_obs, adf_*)."""
+    out = _adf_table(rows, places, variant)
     return out.select(F.col("_series.e").alias(spec.entity), F.col("_series.lag").alias("lag"), *[c for c in out.columns if c != "_series"])
 
 
@@ -269,17 +274,20 @@ def stationarity_tests(series: DataFrame, spec: SeriesSpec, kpss_lags: int | Non
     kpss_lags[, adf_stat_diff<k>, adf_p_diff<k>]); NaN below 100 values.
     """
     series = staged(series.select(spec.entity, spec.ts, spec.value), "stationarity")
-    adf = _adf_of_variants(series, spec, [0, *diff_lags])
+    variants = _variants(series, spec, [0, *diff_lags])
+    adf = _adf_of_variants(*variants, spec)
     pick = lambda k, c, out: F.max(F.when(F.col("lag") == k, F.col(c))).alias(out)
     names = ("n_obs", "adf_stat", "adf_pvalue", "adf_usedlag", "adf_nobs")
     diffs = [p for k in diff_lags for p in (pick(k, "adf_stat", f"adf_stat_diff{k}"), pick(k, "adf_pvalue", f"adf_p_diff{k}"))]
     one = adf.groupBy(spec.entity).agg(*[pick(0, c, c) for c in names], *diffs)
-    out = _joined(one, _kpss(series, trended(series, spec), spec, kpss_lags), spec.entity)
+    levels, places = (t.where("_series.lag = 0") for t in variants[:2])
+    kpss = _kpss(levels, places, variants[2], kpss_lags).withColumn("_series", F.col("_series.e")).withColumnRenamed("_series", spec.entity)
+    out = _joined(one, kpss, spec.entity)
     more = [c for k in diff_lags for c in (f"adf_stat_diff{k}", f"adf_p_diff{k}")]
     return out.select(spec.entity, *names, "kpss_stat", "kpss_pvalue", "kpss_lags", *more)
 
 
 def adf_after_difference(series: DataFrame, spec: SeriesSpec, *lags: int) -> DataFrame:
     """Positional difference at each lag, then ADF (E6): (entity, lag, adf_stat_diff, adf_p_diff)."""
-    t = _adf_of_variants(staged(series.select(spec.entity, spec.ts, spec.value), "differences"), spec, lags)
+    t = _adf_of_variants(*_variants(staged(series.select(spec.entity, spec.ts, spec.value), "differences"), spec, lags), spec)
     return t.select(spec.entity, "lag", F.col("adf_stat").alias("adf_stat_diff"), F.col("adf_pvalue").alias("adf_p_diff"))
