@@ -3,7 +3,7 @@
 Texts become token pieces of at most ``capacity``; a full piece is a sequence of
 its own. Shorter pieces are dealt evenly to tasks, which best-fit them by falling
 size and emit the nearly full bins. The underfull bins are the items of the next
-round, on fewer tasks, until one task has packed what is left.
+round, on at most half the tasks, until no two of them can merge.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
@@ -28,7 +28,7 @@ CACHED_CHARS = 64
 PLAIN_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 CHARS_AT_ONCE = 4_000_000
 KEPT_TEXTS = 50_000
-ITEMS_PER_TASK = 20_000
+ITEMS_PER_TASK = 200_000
 NEARLY_FULL = 8
 
 
@@ -236,22 +236,41 @@ def _round(items: DataFrame, tasks: int, capacity: int, number: int) -> DataFram
     return items.repartition(tasks).mapInArrow(run, "item long, bin long, shift long, fill long")
 
 
+def _mergeable(bins: DataFrame, capacity: int) -> DataFrame | None:
+    """The bins (item, size) that a next round can use; None if no two of them can merge.
+
+    Those at most half full, and of every other size that leaves room for the least of
+    them as many as there are of those: taken by their number within their task of the round
+    before, so no window holds more than one task's bins.
+    """
+    half = F.col("size") <= capacity // 2
+    n_half, least = bins.where(half).agg(F.count(F.lit(1)), F.min("size")).first()
+    if not n_half:
+        return None
+    rank = F.row_number().over(Window.partitionBy("size", F.shiftright("item", 32)).orderBy("item"))
+    ranked = bins.where(~half & (F.col("size") <= capacity - least)).withColumn("rank", rank)
+    upto = F.sum("n").over(Window.partitionBy("size").orderBy("rank"))
+    taken = ranked.groupBy("size", "rank").agg(F.count(F.lit(1)).alias("n")).withColumn("before", upto - F.col("n")).where(F.col("before") < n_half)
+    return staged(bins.where(half).union(ranked.join(taken, ["size", "rank"], "left_semi").select("item", "size")), "pack-mergeable")
+
+
 def pack(pieces: DataFrame, capacity: int, items_per_task: int = ITEMS_PER_TASK, nearly_full: int = NEARLY_FULL) -> DataFrame:
     """Add (sequence_id, offset) to rows with a ``length`` from 1 to ``capacity``.
 
     Every row gets one place; places in a sequence are gapless from 0. A bin with
     room for at most ``nearly_full`` is emitted at once, the others are merged as
-    items in a next round over as many tasks as they need. Rounds end after the one that
-    ran on a single task, or when a round merged less than one bin in a hundred:
-    its tasks each saw an even share of all sizes, so fewer tasks would see the same.
+    items in next rounds. Best fit leaves a task at most one bin that is
+    half full or less, and two bins can only merge if one of them is: a round
+    takes those and, of each fill that some of them go into, as many bins as there are of
+    them (more could not be used). Rounds have at most half the tasks of the one before and end
+    after the one that ran on a single task, or when no bin is half full or less.
     Only numbers move: the rows stay where they are until the join on their bin.
     """
     rows = staged(pieces.withColumn("item", F.monotonically_increasing_id()), "pack-pieces")
     small = rows.where(F.col("length") < capacity)
     items, links, number = small.select("item", F.col("length").cast("long").alias("size")), None, 0
+    tasks = max(1, -(-items.count() // items_per_task))
     while True:
-        n = items.count()
-        tasks = max(1, -(-n // items_per_task))
         placed = staged(_round(items, tasks, capacity, number), f"pack-round{number}")
         if links is None:
             links = placed
@@ -263,13 +282,14 @@ def pack(pieces: DataFrame, capacity: int, items_per_task: int = ITEMS_PER_TASK,
                 (F.col("shift") + F.coalesce("by", F.lit(0))).alias("shift"),
                 F.coalesce("filled", "fill").alias("fill"),
             )
+        if tasks == 1:
+            break
+        # bins left out of this round were more than its half full ones, and so than the next one's
         bins = placed.where(F.col("fill") < capacity - nearly_full).groupBy("bin").agg(F.max("fill").alias("size"))
-        bins = staged(bins.select(F.col("bin").alias("item"), "size"), "pack-bins")
-        left = bins.count()
-        total = placed.agg(F.countDistinct("bin")).first()[0] if tasks > 1 else 0
-        if tasks == 1 or left == 0 or (number and n - total < n / 100):
+        items = _mergeable(staged(bins.select(F.col("bin").alias("item"), "size"), "pack-bins"), capacity)
+        if items is None:
             break
-        items, number = bins, number + 1
+        tasks, number = min(-(-items.count() // items_per_task), tasks // 2), number + 1
     packed = rows.join(links.drop("fill"), "item", "left")
     return packed.select(
         *[F.col(c) for c in pieces.columns],

@@ -149,6 +149,17 @@ def test_rounds_merge_underfull_bins(spark, sizes):
     assert n <= 1.06 * one + 1  # tasks of 40 items lose a little
 
 
+def test_no_two_sequences_of_many_tasks_can_merge(spark):
+    rng = np.random.default_rng(2)
+    for lengths in (rng.integers(1, 1024, 20_000), rng.integers(300, 700, 20_000), np.where(rng.random(20_000) < 0.5, 1, 520)):
+        df = spark.range(0, 0).selectExpr("id AS doc_id", "id AS length").union(spark.createDataFrame([(i, n) for i, n in enumerate(lengths.tolist())], "doc_id long, length long"))
+        fills = packing.pack(df, 1024, items_per_task=2_000).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+        assert sum(r.n for r in fills) == lengths.sum() and all(r.n == r.end <= 1024 for r in fills)
+        open_ = sorted(r.n for r in fills if r.n < 1024 - packing.NEARLY_FULL)
+        assert len(open_) < 2 or open_[0] + open_[1] > 1024
+        assert len(fills) <= 1.011 * len(packing.best_fit(lengths.astype(np.int64), 1024)[2]) + 1
+
+
 def test_repeated_and_null_keys_are_all_packed(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (1, "x y"), (1, "x y")], "doc_id long, text string")
     rows = packing.pack_documents(df, "doc_id", "text", TOKENIZER, 64).collect()
