@@ -17,12 +17,17 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.llm.common import mix64
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Words of texts up to Latin Extended-B, whose only number signs that count as word characters are these six.
+LATIN_WORD = re.compile(r"[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+")
+BEYOND_LATIN = re.compile(r"[^\0-\u024f]")
+#: Words of any text: letters with their marks.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: First and last code point of the blocks that decide a script.
 SCRIPT_RANGES = [
     ("latin", 0x41, 0x24F),
@@ -45,6 +50,9 @@ SCRIPT_RANGES = [
     ("han", 0x20000, 0x3FFFF),
 ]
 LAST_LATIN = "\u024f"
+#: Scripts written without spaces: a run of letters is cut into pieces of UNSPACED_PIECE.
+UNSPACED = {"han", "kana", "thai"}
+UNSPACED_PIECE = 4
 SCRIPTS = sorted({name for name, _, _ in SCRIPT_RANGES} | {"other"})
 _STARTS = np.array([a for _, a, _ in SCRIPT_RANGES])
 _ENDS = np.array([b for _, _, b in SCRIPT_RANGES])
@@ -57,21 +65,57 @@ SCRIPT_SHARE = 0.02
 SWITCH_PENALTY = 8.0
 #: A word is a language's own from the mean log-probability of that language's n-grams, less so many deviations of one, on.
 EVIDENCE_DEVIATIONS = 0.5
-#: Training reads about this many labelled rows at most, picked by a hash of the key.
+#: Training reads about this many labelled rows at most, an even share of each language, picked by a hash of the key.
 MAX_TRAINING_ROWS = 6000
+#: With so many languages that the share is smaller, each still trains on about so many rows.
+LEAST_ROWS = 200
+HASH_RANGE = 1 << 30
 CACHED_WORDS = 200_000
 WORDS_AT_ONCE = 400_000
 WORDS_SCORED_AT_ONCE = 50_000
 
 
+def words_of(text: str) -> list[str]:
+    """Words of lower-case text: runs of letters and their marks, cut where the script changes and, in scripts without spaces, into short pieces."""
+    if text.isascii() or not BEYOND_LATIN.search(text):
+        return LATIN_WORD.findall(text)
+    out: list[str] = []
+    for word in WORD.findall(text):
+        if max(word) <= LAST_LATIN:
+            out.append(word)
+        else:
+            out += _pieces(word)
+    return out
+
+
+def _pieces(word: str) -> list[str]:
+    """The word's runs of one script; marks and letters of no listed script belong to the run before them, or to the first."""
+    scripts = letter_scripts(word)
+    listed = np.flatnonzero(scripts != SCRIPTS.index("other"))
+    if not len(listed):
+        return [word]
+    cuts = listed[1:][np.diff(scripts[listed]) != 0]
+    edges = [0, *cuts.tolist(), len(word)]
+    out = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        step = UNSPACED_PIECE if SCRIPTS[scripts[listed[np.searchsorted(listed, a)]]] in UNSPACED else b - a
+        out += [word[i : min(i + step, b)] for i in range(a, b, step)]
+    return out
+
+
+def letter_scripts(word: str) -> np.ndarray:
+    """Number of the script of each code point."""
+    points = np.frombuffer(word.encode("utf-32-le"), "<u4").astype(np.int64)
+    at = np.searchsorted(_STARTS, points, "right") - 1
+    inside = (at >= 0) & (points <= _ENDS[at])
+    return np.where(inside, _NUMBER[at], SCRIPTS.index("other"))
+
+
 def word_script(word: str) -> int:
     """Number of the script that most letters of the word are in; the lowest number on a tie."""
     if word.isascii():
         return SCRIPTS.index("latin")
-    points = np.frombuffer(word.encode("utf-32-le"), "<u4").astype(np.int64)
-    at = np.searchsorted(_STARTS, points, "right") - 1
-    inside = (at >= 0) & (points <= _ENDS[at])
-    return int(np.bincount(np.where(inside, _NUMBER[at], SCRIPTS.index("other"))).argmax())
+    return int(np.bincount(letter_scripts(word)).argmax())
 
 
 def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,7 +136,7 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         buckets[row, :n] = mixed % np.uint64(GRAM_BUCKETS)
         inner = range(1, size - 1) if size > 1 else (0,)
         there[row, : n - (size > 1)] = True
-        there[row, n - 1 : n] = size > 1 and not space[n - 1]
+        there[row, n - 1 : n] = size > 1  # the last place starts the space after the last word alone
         for k in inner:  # a space inside parts two words; a space alone is no gram
             there[row, :n] &= ~space[k : n + k]
     return buckets, there, np.flatnonzero(space)[:-1]
@@ -170,7 +214,7 @@ class LanguageModel:
                 self.numbers, self.scores, self.own = WordNumbers(), None, None
             group, held = [], 0
             while at < len(texts) and held < WORDS_AT_ONCE:
-                words = WORD.findall(texts[at].lower()) if texts[at] else []
+                words = words_of(texts[at].lower()) if texts[at] else []
                 group.append((words, np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))))
                 held += len(words)
                 at += 1
@@ -242,23 +286,29 @@ def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list
 def train(docs: DataFrame, key: str, text: str, language: str, max_rows: int = MAX_TRAINING_ROWS) -> LanguageModel | None:
     """Fit on the rows of ``docs`` with a text and a language; None if there are none.
 
-    About ``max_rows`` of them are read (a hash of the key decides, alike for
-    every size). Counting is distributed; the driver gets one count for each
-    language and bucket.
+    Every language is learned: of each, up to an even share of ``max_rows`` (LEAST_ROWS where that
+    is more), picked by a hash of the key. Counting is distributed; the driver gets
+    one row count for each language and one count for each language and bucket.
     """
+    lang = F.col(language).cast("string")
     known = docs.where(F.col(text).isNotNull() & F.col(language).isNotNull())
-    n = known.count()
-    if n == 0:
+    rows_of = dict(known.groupBy(lang.alias("lang")).count().collect())
+    if not rows_of:
         return None
-    picked = known.where(F.pmod(F.xxhash64(F.lit("language"), F.col(key)), F.lit(1 << 30)) < int(min(1.0, max_rows / n) * (1 << 30)))
-    if n <= max_rows:
-        picked = known
+    bound = max(max_rows // len(rows_of), LEAST_ROWS)
+    shares = {name: int(bound / n * HASH_RANGE) for name, n in rows_of.items() if n > bound}
+    place = F.pmod(F.xxhash64(F.lit("language"), F.col(key)), F.lit(HASH_RANGE))
+    taken = F.lit(HASH_RANGE)
+    if shares:
+        by_name = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+        taken = F.coalesce(F.try_element_at(by_name, lang), taken)
+    picked = known.where(place < taken)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
         for batch in batches:
             for lang, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words.setdefault(lang, Counter()).update(WORD.findall(value.as_py().lower()))
+                words.setdefault(lang, Counter()).update(words_of(value.as_py().lower()))
         for lang, counted in words.items():
             total = np.zeros(GRAM_BUCKETS + len(SCRIPTS), np.int64)
             for word, times in counted.items():
@@ -272,7 +322,7 @@ def train(docs: DataFrame, key: str, text: str, language: str, max_rows: int = M
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])], names=["lang", "at", "n"])
 
-    counts = picked.select(F.col(language).cast("string"), text).mapInArrow(count, "lang string, at long, n long")
+    counts = picked.select(lang, text).mapInArrow(count, "lang string, at long, n long")
     rows = counts.groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(rows["lang"].unique())
     if not languages:
@@ -326,7 +376,8 @@ def identify(docs: DataFrame, key: str, text: str, language: str, max_rows: int
     Learns from text and language of the rows that are not held out; a
     prediction sees the text only. The score is the share of the letters in words
     of the predicted language's own, so it is low for scripts and languages that were not
-    learned. ``und`` with score 0 for a null text, one without letters, or when no row has a language. Keys may repeat or be null
+    learned. ``und`` with score 0 for a null text, one without letters (number signs are none), or when no row has a
+    language; an empty table gives an empty result. Very long texts are labelled whole, some words at a time. Keys may repeat or be null
     (such rows train nothing); other columns are not read. No shuffle but the counts'.
     """
     predict = predictor(train_on_rest(docs, key, text, language, max_rows))

@@ -49,7 +49,7 @@ def test_mixed_text_is_cut_into_spans(spark, docs):
     df = spark.createDataFrame([(1, f"{en} {de} {en}"), (2, "12")], "doc_id long, text string")
     spans = language_spans(df, "doc_id", "text", model).orderBy("span").collect()
     assert [s.lang for s in spans] == ["en", "de", "en"]
-    n = len(language_id.WORD.findall(en))
+    n = len(language_id.words_of(en.lower()))
     assert abs(spans[1].start_word - n) <= 3 and [s.start_word for s in spans][1:] == [spans[0].words, spans[0].words + spans[1].words]
 
 
@@ -78,6 +78,44 @@ def test_a_language_of_three_rows_knows_its_own_texts(docs):
     assert np.median(model.predict(own)[1]) > 0.8 and max(model.predict(other)[1]) < 0.5
 
 
+def test_words_are_letters_with_marks_of_one_script():
+    words = language_id.words_of
+    assert words("² ½ ¼³ 12_3") == [] and words("² ½ ⅷ ① ٣") == []
+    assert words("हिन्दी e\u0301te\u0301 μία") == ["हिन्दी", "e\u0301te\u0301", "μία"]
+    assert words("日本語のtext") == ["日本語", "の", "text"]
+    assert words("人人生而自由在尊严") == ["人人生而", "自由在尊", "严"]
+    assert words("don't für²x") == ["don", "t", "für", "x"] and words("ꙁꙁ мирꙁtext") == ["ꙁꙁ", "мирꙁ", "text"]
+
+
+def test_every_label_trains_however_large_the_table(spark, docs):
+    frequent = docs.where("lang IN ('en', 'de')").select("text", "lang")
+    rare = docs.where("lang = 'es' AND length(text) > 300").orderBy("doc_id").limit(3).select("text", "lang")
+    rows = frequent.union(rare).withColumn("doc_id", F.monotonically_increasing_id())
+    model = language_id.train(rows, "doc_id", "text", "lang", max_rows=3)
+    assert model.languages == ["de", "en", "es"]
+
+
+def test_scores_equal_a_plain_loop(docs):
+    model = train_on_rest(docs, "doc_id", "text", "lang")
+    words = ["house", "für", "x", "niño", "мир", "the"]
+    scores, own = model.score_words(words)
+    for word, got, mine in zip(words, scores, own, strict=True):
+        buckets, there, _ = language_id.word_grams([word])
+        padded = f" {word} "
+        grams = [padded[i : i + k] for k in language_id.GRAM_SIZES for i in range(len(padded) - k + 1) if padded[i : i + k] != " "]
+        assert there.sum() == len(grams)
+        hashed = [int(b) for row, mask in zip(buckets, there, strict=True) for b in row[mask]]
+        sums = [sum(float(model.grams[lang, b]) for b in hashed) for lang in range(len(model.languages))]
+        cand = [bool(model.in_script[lang, word_script(word)]) for lang in range(len(model.languages))]
+        if not any(cand):
+            assert not got.any() and not mine.any()
+            continue
+        mean = np.mean([s for s, c in zip(sums, cand, strict=True) if c]) / 3
+        want = [np.clip(s / 3 - mean, -20, 20) if c else -30 for s, c in zip(sums, cand, strict=True)]
+        assert np.allclose(got, want, atol=1e-3)
+        assert mine.tolist() == [c and s >= len(grams) * f for s, c, f in zip(sums, cand, model.floors, strict=True)]
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(0)
     scores = rng.normal(size=(12, 3)).astype(np.float32)
