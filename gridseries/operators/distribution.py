@@ -11,13 +11,15 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import time as tf
 from ..functions.stats import kurtosis_unbiased, log10_positive, skew_unbiased
 from .util import attach_scalars, staged
 
 # exp(-u*u/2) is exactly 0.0 in double precision for u >= 38.6, so kernel
 # terms further than this many bandwidths contribute nothing.
 KDE_SUPPORT = 39.0
+#: Bins of a bandwidth, and terms of a bin's expansion.
+KDE_BINS = 16
+KDE_TERMS = 7
 
 
 def exact_percentiles(df: DataFrame, value: str, levels: dict[str, float]) -> DataFrame:
@@ -100,14 +102,25 @@ def histogram(totals: DataFrame, bins: int = 80, value: str = "total") -> DataFr
     return edges.join(counts, "bin", "left").select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).alias("count"))
 
 
+def _hermite_sum(terms: list[Column], u: Column) -> Column:
+    """Sum of terms[k] * He_k(u), from the last to the first (He: probabilists' Hermite polynomials)."""
+    after, after_next = F.lit(0.0), F.lit(0.0)
+    for k in range(len(terms) - 1, -1, -1):
+        after, after_next = terms[k] + u * after - (k + 1) * after_next, after
+    return after
+
+
 def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame:
     """Gaussian KDE of log10 of the positive totals on an even grid.
 
-    Scott bandwidth h = sample std * n^(-1/5). Each observation adds its kernel to
-    the grid points within ``KDE_SUPPORT`` bandwidths, beyond which the kernel
-    is exactly zero in double precision. That is at most ``points`` terms for each
-    entity, summed map-side into ``points`` groups, so the shuffle holds
-    ``points`` rows a task and the work is linear in the number of entities.
+    Scott bandwidth h = sample std * n^(-1/5). Observations are first reduced to
+    bins of h / KDE_BINS, each with the sums of the powers of its members' distances from
+    its centre; a bin's kernel at distance u is then
+    exp(-u^2/2) * sum of power sum k / k! * He_k(u). What KDE_TERMS terms leave out is at most
+    (1 / 2 KDE_BINS)^KDE_TERMS / sqrt(KDE_TERMS!) of a kernel's peak, 4e-13 here. A bin
+    adds to the grid points within ``KDE_SUPPORT`` bandwidths, beyond which the kernel is zero
+    in double precision. So one partial aggregate reads the observations, and the rows that
+    are emitted follow the occupied bins (about 16 for each bandwidth of the range), not n.
     """
     spark = totals.sparkSession
     logs = totals.select(log10_positive(F.col(value)).alias("x")).where(F.col("x").isNotNull())
@@ -120,14 +133,19 @@ def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame
     )
     step = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / (points - 1)).otherwise(F.lit(1.0))
     st = st.withColumn("dx", step)
-    j_lo = F.greatest(F.lit(0), F.ceil((F.col("x") - KDE_SUPPORT * F.col("h") - F.col("lo")) / F.col("dx")))
-    j_hi = F.least(F.lit(points - 1), F.floor((F.col("x") + KDE_SUPPORT * F.col("h") - F.col("lo")) / F.col("dx")))
-    pts = attach_scalars(logs, st).where(F.col("h") > 0)
-    contrib = pts.select(
-        "x", "h", "lo", "dx", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int"))).alias("j")
-    )
-    u = F.try_divide(F.col("lo") + F.col("j") * F.col("dx") - F.col("x"), F.col("h"))
-    sums = contrib.groupBy("j").agg(F.sum(F.exp(-0.5 * u * u)).alias("_k"))
+    z = F.try_divide(F.col("x") - F.col("lo"), F.col("h"))
+    placed = attach_scalars(logs, st).where(F.col("h") > 0).select(z.alias("z"), F.floor(z * KDE_BINS).alias("bin"))
+    off = F.col("z") - F.col("centre")
+    powers = [F.count(F.lit(1)).cast("double"), *[F.sum(F.pow(off, F.lit(float(k)))) for k in range(1, KDE_TERMS)]]
+    bins = placed.withColumn("centre", (F.col("bin") + 0.5) / KDE_BINS).groupBy("bin", "centre")
+    bins = attach_scalars(bins.agg(*[(p / math.factorial(k)).alias(f"t{k}") for k, p in enumerate(powers)]), st)
+    per_h = F.try_divide(F.col("dx"), F.col("h"))
+    j_lo = F.greatest(F.lit(0), F.ceil((F.col("centre") - KDE_SUPPORT) / per_h))
+    j_hi = F.least(F.lit(points - 1), F.floor((F.col("centre") + KDE_SUPPORT) / per_h))
+    near = bins.where(j_lo <= j_hi).withColumn("j", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int"))))
+    near = near.withColumn("u", F.col("j") * per_h - F.col("centre"))
+    kernel = F.exp(-0.5 * F.col("u") * F.col("u")) * _hermite_sum([F.col(f"t{k}") for k in range(KDE_TERMS)], F.col("u"))
+    sums = near.groupBy("j").agg(F.sum(kernel).alias("_k"))
     grid = attach_scalars(spark.range(points).select(F.col("id").cast("int").alias("j")), st)
     norm = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
     return grid.join(sums, "j", "left").select(
@@ -138,41 +156,81 @@ def kde(totals: DataFrame, points: int = 400, value: str = "total") -> DataFrame
     )
 
 
-def grid_side(totals: DataFrame, entity: str) -> int:
-    """Side of the smallest square grid that holds every id (1-based); one scalar job."""
-    top = totals.agg(F.max(F.col(entity).cast("bigint"))).first()[0]
-    return max(1, math.isqrt(max(1, top or 1) - 1) + 1)
+def square_side(largest: Column) -> Column:
+    """Side of the smallest square grid that holds ids up to ``largest`` (1-based), exact for any bigint."""
+    below = F.greatest(largest.cast("bigint"), F.lit(1)) - 1
+    root = F.floor(F.sqrt(below.cast("double")))
+    # the double root of a large id can be off by one either way
+    return (F.when(root * root > below, root - 1).when((root + 1) * (root + 1) <= below, root + 1).otherwise(root) + 1).cast("bigint")
+
 
+def occupied_cells(totals: DataFrame, entity: str, side: int | None = None, value: str = "total") -> DataFrame:
+    """(entity, row, col, total, log10_total) of the cells that hold something.
 
-def spatial_grid(totals: DataFrame, spark: SparkSession, entity: str, side: int | None = None, value: str = "total") -> DataFrame:
-    """Totals placed on a ``side`` x ``side`` grid, 1-based ids row by row from the
-    bottom-left (E11, X13, F9). Every cell appears; empty cells are NULL.
-    The side follows from the largest id unless it is given; a given side that is
-    too small for an id fails rather than lose it.
+    1-based ids lie row by row from the bottom-left of a ``side`` x ``side`` grid; without a
+    side the smallest that holds every id, found by a subquery. One row for each entity,
+    whatever the ids are; empty cells are implied. Rows without an id have no place; an id
+    below 1 or beyond the side fails rather than be lost.
     """
-    fits = side is None
-    side = grid_side(totals, entity) if fits else side
-    cells = spark.range(1, side * side + 1).select(F.col("id").alias(entity))
     id_ = F.col(entity).cast("bigint")
-    if not fits:
-        outside = ~id_.between(1, side * side)
-        id_ = F.when(outside, F.raise_error(F.concat(F.lit("cell id outside the grid: "), id_.cast("string"))).cast("bigint")).otherwise(id_)
-    t = totals.select(id_.alias(entity), F.col(value).alias("total"))
-    out = cells.join(t, entity, "left")
-    return out.select(
+    t = totals.where(id_.isNotNull()).select(id_.alias(entity), F.col(value).alias("total"))
+    if side is None:
+        t = staged(t, "cell-totals")  # read for the side and for the cells
+        t = attach_scalars(t, t.agg(square_side(F.max(entity)).alias("_side")))
+    else:
+        t = t.withColumn("_side", F.lit(side).cast("bigint"))
+    outside = F.expr(f"`{entity}` < 1 OR (`{entity}` - 1) div _side >= _side")  # whole division: a double loses digits of large ids
+    checked = F.when(outside, F.raise_error(F.concat(F.lit("cell id outside the grid: "), F.col(entity).cast("string"))).cast("bigint"))
+    t = t.withColumn(entity, checked.otherwise(F.col(entity)))
+    return t.select(
         entity,
-        tf.grid_row(F.col(entity), side).alias("row"),
-        tf.grid_col(F.col(entity), side).alias("col"),
+        F.expr(f"(`{entity}` - 1) div _side").alias("row"),
+        F.pmod(F.col(entity) - 1, F.col("_side")).alias("col"),
         "total",
         log10_positive(F.col("total")).alias("log10_total"),
     )
 
 
-def spatial_stats(grid: DataFrame, totals: DataFrame, entity: str, value: str = "total") -> DataFrame:
-    """Top entity (ties → smallest id), its total, non-zero grid cells."""
-    top = totals.agg(
+def grid_tiles(cells: DataFrame, size: int = 32) -> DataFrame:
+    """Index of a sparse grid: (tile_row, tile_col, n_cells, n_nonzero, total, max_total) of each tile that holds a cell."""
+    place = [F.expr(f"`{c}` div {int(size)}").alias(f"tile_{c}") for c in ("row", "col")]
+    return cells.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("n_cells"),
+        F.count_if(F.col("total") > 0).alias("n_nonzero"),
+        F.sum("total").alias("total"),
+        F.max("total").alias("max_total"),
+    )
+
+
+def grid_side(totals: DataFrame, entity: str) -> int:
+    """Side of the smallest square grid that holds every id (1-based); one scalar job."""
+    return totals.agg(F.coalesce(square_side(F.max(F.col(entity).cast("bigint"))), F.lit(1))).first()[0]
+
+
+def spatial_grid(
+    totals: DataFrame, spark: SparkSession, entity: str, side: int | None = None, value: str = "total", window: tuple[int, int, int, int] | None = None
+) -> DataFrame:
+    """Dense view of the occupied cells: every cell appears, empty ones with NULL.
+
+    ``window`` (first row, first column, rows, columns) views a part: the rows made follow
+    the window's area, so a grid of sparse large ids is looked at piece by piece, with
+    :func:`grid_tiles` to tell where. Without one, the whole ``side`` x ``side`` grid.
+    """
+    side = grid_side(totals, entity) if side is None else side
+    row, col, rows, cols = window or (0, 0, side, side)
+    rows, cols = min(rows, side - row), min(cols, side - col)
+    at = spark.range(max(0, rows) * max(0, cols)).selectExpr(f"CAST({row} + id div {cols} AS BIGINT) AS r", f"CAST({col} + id % {cols} AS BIGINT) AS c")
+    cells = at.select((F.col("r") * side + F.col("c") + 1).alias(entity), F.col("r").cast("int").alias("row"), F.col("c").cast("int").alias("col"))
+    held = occupied_cells(totals, entity, side, value)
+    if window:  # the check of the ids stays below: it is part of the columns read here
+        held = held.where(F.col("row").between(row, row + rows - 1) & F.col("col").between(col, col + cols - 1))
+    return cells.join(held.drop("row", "col"), entity, "left").select(entity, "row", "col", "total", "log10_total")
+
+
+def spatial_stats(totals: DataFrame, entity: str, value: str = "total") -> DataFrame:
+    """Top entity (ties → smallest id), its total, non-zero grid cells (A17); empty cells need not exist to be left out."""
+    return totals.agg(
         F.max_by(F.col(entity), F.struct(F.col(value), -F.col(entity).cast("bigint"))).alias("top_area"),
         F.max(value).alias("top_value"),
+        F.count_if(F.col(value) > 0).alias("n_nonzero"),
     )
-    nz = grid.agg(F.count_if(F.col("total") > 0).alias("n_nonzero"))
-    return attach_scalars(top, nz)

@@ -86,7 +86,7 @@ def overview(totals: DataFrame, spark: SparkSession, entity: str, side: int | No
         "histogram": dist.histogram(totals),
         "kde": dist.kde(totals),
         "grid": grid,
-        "spatial": dist.spatial_stats(grid, totals, entity),
+        "spatial": dist.spatial_stats(totals, entity),
     }
 
 

@@ -369,6 +369,37 @@ SELECT (SELECT user_id + 1 FROM totals ORDER BY total DESC, user_id LIMIT 1) AS
        (SELECT count(*) FROM totals WHERE total > 0) AS n_nonzero
 """
 
+_SPARSE = f"""{CELLS},
+sparse AS (SELECT user_id * 1000 + 1 AS id, total FROM totals),
+side AS (SELECT CAST(ceil(sqrt(max(id))) AS BIGINT) AS n FROM sparse),
+cells_at AS (SELECT id, (id - 1) // n AS row, (id - 1) % n AS col, total FROM sparse, side)"""
+SQL["spatial_cells"] = f"""
+WITH {_SPARSE}
+SELECT CAST(id AS BIGINT) AS user_id, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, {_r('total')},
+       {_r('CASE WHEN total > 0 THEN log10(total) END', 'log10_total')}
+FROM cells_at
+"""
+
+SQL["spatial_tiles"] = f"""
+WITH {_SPARSE}
+SELECT CAST(row // 32 AS BIGINT) AS tile_row, CAST(col // 32 AS BIGINT) AS tile_col, count(*) AS n_cells,
+       count(*) FILTER (WHERE total > 0) AS n_nonzero, {_r('sum(total)', 'total')}, {_r('max(total)', 'max_total')}
+FROM cells_at GROUP BY 1, 2
+"""
+
+SQL["city_day_stats"] = f"""
+WITH {CELLS},
+daily AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS total FROM cells GROUP BY 1, 2)
+SELECT count(total) AS n_areas, count(*) FILTER (WHERE total > 0) AS n_positive,
+  {_r('avg(total)', 'mean')}, {_r('stddev_pop(total)', 'std')}, {_r('min(total)', 'min')}, {_r('max(total)', 'max')},
+  {_r('skewness(total) FILTER (WHERE total > 0)', 'skew')},
+  {_r('kurtosis(total) FILTER (WHERE total > 0)', 'kurtosis')}
+FROM daily
+"""
+
+SQL["city_day_ranks"] = "SELECT unnest(['median', 'p1', 'p5', 'p95', 'p99']) AS level, true AS within"
+SQL["area_totals_days"] = SQL["area_totals"]
+
 # ---------------------------------------------------------------- EDA in SQL
 _ACF_LAGS = (1, 24, 168)
 SQL["acf_lags"] = f"""
@@ -790,8 +821,9 @@ FROM canon GROUP BY 1, 2
 SQL["store_series"] = f"""
 WITH {CANON}
 SELECT CAST(square_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('internet')}
-FROM canon WHERE ts BETWEEN {WEEK2}
+FROM canon
 """
+SQL["store_week"] = f"{SQL['store_series']} WHERE ts BETWEEN {WEEK2}"
 
 SQL["orders_walkforward"] = f"""
 WITH {DAILY_ORDERS},

@@ -60,6 +60,7 @@ from datetime import datetime  # noqa: E402
 from ..functions import time as tf  # noqa: E402
 from ..operators import anomalies as an  # noqa: E402
 from ..operators import correlation as cor  # noqa: E402
+from ..operators import daystate as ds  # noqa: E402
 from ..operators import decomposition as dec  # noqa: E402
 from ..operators import distribution as dist  # noqa: E402
 from ..operators import features as feat  # noqa: E402
@@ -191,9 +192,48 @@ def q_spatial_grid(spark, d):
 
 
 def q_spatial_stats(spark, d):
-    t = _grid_totals(spark, d)
-    g = dist.spatial_grid(t, spark, C.entity)
-    return present(dist.spatial_stats(g, t, C.entity))
+    return present(dist.spatial_stats(_grid_totals(spark, d), C.entity))
+
+
+def _sparse_totals(spark, d):
+    """Totals under ids that lie far apart: every thousandth cell of a grid."""
+    return _totals(spark, d).withColumn(C.entity, F.col(C.entity) * 1000 + 1)
+
+
+def q_spatial_cells(spark, d):
+    """Occupied cells of a grid whose ids are sparse (E11, F9): rows follow the entities."""
+    return present(dist.occupied_cells(_sparse_totals(spark, d), C.entity))
+
+
+def q_spatial_tiles(spark, d):
+    return present(dist.grid_tiles(dist.occupied_cells(_sparse_totals(spark, d), C.entity), 32))
+
+
+def _day_state(spark, d) -> str:
+    """Daily state of the cells in three runs: the first days, the rest, and one day again."""
+    root = stm.scratch(spark, "day-state")
+    cells = b.cells_hourly(spark, d)
+    day = F.to_date(C.ts)
+    for part in (day < F.lit("2024-01-16").cast("date"), day >= F.lit("2024-01-16").cast("date"), day == F.lit("2024-01-10").cast("date")):
+        ds.update_days(cells.where(part), C, root, _session_tz(spark))
+    return root
+
+
+def q_city_day_stats(spark, d):
+    """Distribution of the cells' daily totals, merged from a row of state for each day."""
+    return present(ds.stored_stats(spark, _day_state(spark, d)).drop(*ds.LEVELS))
+
+
+def q_city_day_ranks(spark, d):
+    """Whether the percentiles from merged sketches are within the stated rank error."""
+    stats = ds.stored_stats(spark, _day_state(spark, d))
+    return ds.ranks_within(ds.day_totals(b.cells_hourly(spark, d), C, _session_tz(spark)), stats)
+
+
+def q_area_totals_days(spark, d):
+    """Totals per cell over all days, from the daily totals (A2)."""
+    entity_type = b.cells_hourly(spark, d).schema[C.entity].dataType.simpleString()
+    return present(ds.stored_totals(spark, C, _day_state(spark, d), entity_type))
 
 
 # ---------------------------------------------------------------- EDA in SQL
@@ -314,6 +354,11 @@ QUERIES.update(
         "city_kde": q_city_kde,
         "spatial_grid": q_spatial_grid,
         "spatial_stats": q_spatial_stats,
+        "spatial_cells": q_spatial_cells,
+        "spatial_tiles": q_spatial_tiles,
+        "city_day_stats": q_city_day_stats,
+        "city_day_ranks": q_city_day_ranks,
+        "area_totals_days": q_area_totals_days,
         "acf_lags": q_acf_lags,
         "kpss_fixed_lag": q_kpss_fixed_lag,
         "classical_decomposition": q_classical_decomposition,
@@ -545,9 +590,17 @@ def q_store_partitions(spark, d):
 
 
 def q_store_series(spark, d):
+    """Every cell's whole series read back from the store."""
+    return _stored(spark, d)
+
+
+def q_store_week(spark, d):
     """Every cell's series read back from the store for one week, partition-pruned."""
-    root = _store_root(spark, d)
-    s = st.load_series(spark, root, start=WEEK2[0], end=WEEK2[1], tz=TEN.tz)
+    return _stored(spark, d, *WEEK2)
+
+
+def _stored(spark, d, start=None, end=None):
+    s = st.load_series(spark, _store_root(spark, d), start=start, end=end, tz=TEN.tz)
     wall = F.convert_timezone(F.lit(_session_tz(spark)), F.lit(TEN.tz), F.col("ts").cast("timestamp_ntz"))
     return present(s.select("square_id", wall.alias("ts"), "internet"))
 
@@ -555,6 +608,7 @@ def q_store_series(spark, d):
 QUERIES.update(
     {
         "store_series": q_store_series,
+        "store_week": q_store_week,
         "eda_summary": q_eda_summary,
         "cells_walkforward": q_cells_walkforward,
         "store_partitions": q_store_partitions,
