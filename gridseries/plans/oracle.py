@@ -1209,3 +1209,72 @@ SQL["long_forecasts"] = SQL["forecast_seasonal"]
 SQL["long_drop_runs"] = SQL["drop_runs"]
 SQL["step_last"] = SQL["forecast_last"]
 SQL["step_seasonal"] = SQL["forecast_seasonal"]
+
+
+def _lag_search_sql() -> str:
+    """Least squares and ridge over masked lag sets by Gauss-Jordan steps, judged on the validation rows."""
+    lags = [1, 2, 3, 24, 168]
+    k = len(lags) + 1
+    candidates = [("last", 1, 0.0), ("recent", 3, 0.0), ("daily", 4, 0.0), ("weekly", 5, 0.0), ("weekly_ridge", 5, 0.1), ("weekly_strong", 5, 1.0)]
+    values = ", ".join(f"({c}, '{label}', {[int(i <= n) for i in range(k)]}, {n + 1}, {pen})" for c, (label, n, pen) in enumerate(candidates))
+    train = "ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00'"
+    return f"""
+sc AS (
+  SELECT event_type, avg(value) AS mu, CASE WHEN stddev_pop(value) < 1e-9 THEN 1.0 ELSE stddev_pop(value) END AS sd
+  FROM hourly WHERE {train} AND value IS NOT NULL GROUP BY 1
+),
+zs AS (SELECT h.event_type, h.ts, h.value, mu, sd, (h.value - mu) / sd AS z FROM hourly h LEFT JOIN sc USING (event_type)),
+fr AS (
+  SELECT *, lag(value, 1) OVER w AS last_, [1.0::DOUBLE, {', '.join(f'lag(z, {n}) OVER w' for n in lags)}] AS x,
+         {' AND '.join(f'lag(z, {n}) OVER w IS NOT NULL' for n in lags)} AS full_
+  FROM zs WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+),
+rows_ AS (
+  SELECT event_type, sd, CASE WHEN {train} THEN 'train' ELSE 'val' END AS part, list_append(x, z) AS v
+  FROM fr WHERE full_ AND z IS NOT NULL AND ({train} OR ts BETWEEN {VAL_WINDOW})
+),
+cells AS (SELECT event_type, part, i, j, sum(v[i] * v[j]) AS g FROM rows_, range(1, {k + 2}) a(i), range(1, {k + 2}) b(j) GROUP BY 1, 2, 3, 4),
+counts AS (SELECT event_type, count(*) FILTER (WHERE part = 'train') AS n_train, count(*) FILTER (WHERE part = 'val') AS n_val, max(sd) AS sd FROM rows_ GROUP BY 1),
+cand(c, label, mask, terms, pen) AS (VALUES {values}),
+lines_ AS (
+  SELECT event_type, c, i, list(CASE WHEN j > {k} THEN g * mask[i] ELSE g * mask[i] * mask[j]
+      + CASE WHEN i = j AND mask[i] = 0 THEN 1 WHEN i = j AND i > 1 THEN pen * n_train ELSE 0 END END ORDER BY j) AS line
+  FROM cells JOIN counts USING (event_type), cand WHERE part = 'train' AND i <= {k} AND n_train >= {4} * terms GROUP BY 1, 2, 3
+),
+solve(event_type, c, s, m) AS (
+  SELECT event_type, c, 0::BIGINT, list(line ORDER BY i) FROM lines_ GROUP BY 1, 2
+  UNION ALL
+  SELECT event_type, c, s + 1, list_transform(m, lambda r, i: CASE WHEN i = s + 1 THEN p
+      ELSE list_transform(r, lambda v, j: v - r[s + 1] * p[j]) END)
+  FROM (SELECT event_type, c, s, m, list_transform(m[s + 1], lambda v: v / m[s + 1][s + 1]) AS p FROM solve WHERE s < {k})
+),
+coef AS (SELECT event_type, c, list_transform(m, lambda r: r[{k + 1}]) AS beta FROM solve WHERE s = {k}),
+sse AS (
+  SELECT event_type, c, sum(g * list_append(beta, -1.0)[i] * list_append(beta, -1.0)[j]) AS e
+  FROM cells JOIN coef USING (event_type) WHERE part = 'val' GROUP BY 1, 2
+),
+found AS (
+  SELECT n.event_type, label, c, n_train, n_val, sqrt(greatest(e, 0.0) / n_val) * sd AS val_RMSE
+  FROM counts n CROSS JOIN cand LEFT JOIN sse USING (event_type, c)
+),
+ranked AS (
+  SELECT *, val_RMSE IS NOT NULL AND row_number() OVER (PARTITION BY event_type ORDER BY val_RMSE NULLS LAST, c) = 1 AS chosen FROM found
+)"""
+
+
+SQL["lag_search"] = f"""
+WITH RECURSIVE {HOURLY}, {_lag_search_sql()}
+SELECT event_type, label, n_train, n_val, {_r('val_RMSE')}, chosen FROM ranked
+"""
+
+SQL["lag_search_metrics"] = f"""
+WITH RECURSIVE {HOURLY}, {_lag_search_sql()},
+test AS (
+  SELECT 'lag_search' AS model, f.event_type, f.ts, value AS y_true,
+         coalesce(CASE WHEN full_ THEN list_dot_product(x, beta) * sd + mu END, last_) AS y_pred
+  FROM fr f LEFT JOIN (SELECT r.event_type, beta FROM ranked r JOIN coef USING (event_type, c) WHERE chosen) b ON b.event_type = f.event_type
+  WHERE f.ts BETWEEN {TEST_WINDOW}
+),
+m AS (SELECT event_type, model, {METRICS} FROM test GROUP BY 1, 2)
+SELECT event_type, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('sMAPE_percent')} FROM m
+"""

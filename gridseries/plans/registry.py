@@ -917,3 +917,33 @@ def q_step_seasonal(spark, d):
 
 
 QUERIES.update({"step_last": q_step_last, "step_seasonal": q_step_seasonal})
+
+
+# ---------------------------------------------------------------- lag models from shared sums of products
+from ..operators import search as sea  # noqa: E402
+
+#: Fixed list of candidates: nested lag sets, the widest also with two penalties.
+LAG_MODELS = [
+    sea.LagModel("last", (1,)),
+    sea.LagModel("recent", (1, 2, 3)),
+    sea.LagModel("daily", (1, 2, 3, S.daily)),
+    sea.LagModel("weekly", (1, 2, 3, S.daily, S.weekly)),
+    sea.LagModel("weekly_ridge", (1, 2, 3, S.daily, S.weekly), 0.1),
+    sea.LagModel("weekly_strong", (1, 2, 3, S.daily, S.weekly), 1.0),
+]
+
+
+def q_lag_search(spark, d):
+    """Every candidate's validation error, from one read of the lag frame (V8)."""
+    lags = sorted({lag for m in LAG_MODELS for lag in m.lags})
+    found = sea.search(sea.lag_frame(b.hourly(spark, d), S, b.SPLIT, lags), S, LAG_MODELS, lags)
+    return present(found.drop("beta", "candidate"))
+
+
+def q_lag_search_metrics(spark, d):
+    """Test metrics of the candidates chosen on validation."""
+    f = sea.searched_forecasts(b.hourly(spark, d), S, b.SPLIT, LAG_MODELS)
+    return present(ev.metrics_table(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end), S))
+
+
+QUERIES.update({"lag_search": q_lag_search, "lag_search_metrics": q_lag_search_metrics})
