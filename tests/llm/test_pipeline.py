@@ -77,8 +77,11 @@ def test_names_and_result_columns(spark):
         6: ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
         7: ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"], 8: ["page_id", "blocked"],
         9: ["doc_id", "held_out", "score", "predicted"], 10: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        11: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+        12: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        13: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     }
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     for name, query in queries.QUERIES.items():
         assert set(want[int(name[2:].split("_")[0])]) <= set(query(spark, SF).columns), name
 
