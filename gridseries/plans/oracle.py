@@ -1278,3 +1278,49 @@ test AS (
 m AS (SELECT event_type, model, {METRICS} FROM test GROUP BY 1, 2)
 SELECT event_type, model, n, {_r('MAE')}, {_r('RMSE')}, {_r('MAPE_percent')}, {_r('sMAPE_percent')} FROM m
 """
+
+# ---------------------------------------------------------------- streams out of order, compacted tables, sequence batches
+SQL["stream_ordered_error"] = SQL["stream_online_error"]
+
+SQL["stream_compacted_bins"] = f"""
+SELECT event_type, {_ts("date_trunc('hour', ts)", 'ts')}, {_r('sum(value)', 'value')}, event_id % 20 = 3 AND ts < TIMESTAMP '2024-01-10 00:00:00' AS late
+FROM events WHERE value IS NOT NULL GROUP BY event_type, date_trunc('hour', ts), late
+"""
+
+SQL["sequence_scores"] = f"""
+WITH {HOURLY},
+sc AS (
+  SELECT event_type, avg(value) AS scale_mean,
+         CASE WHEN stddev_pop(value) < 1e-9 THEN 1.0 ELSE stddev_pop(value) END AS scale_std
+  FROM hourly WHERE value IS NOT NULL AND ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00'
+  GROUP BY 1
+),
+c AS (
+  SELECT h.event_type, h.ts, (h.value - sc.scale_mean) / sc.scale_std AS z,
+         row_number() OVER (PARTITION BY h.event_type ORDER BY h.ts) AS rn,
+         CASE WHEN isodow(h.ts) >= 6 THEN 1.0 ELSE 0.0 END AS weekend
+  FROM hourly h JOIN sc ON sc.event_type = h.event_type
+),
+g AS (
+  SELECT t.event_type, t.ts, arg_min(s.z, s.rn) AS oldest, arg_max(s.z, s.rn) AS newest, avg(s.z) AS mean_z, max(s.z) AS max_z,
+         sum(s.z * (s.rn - t.rn + 25)) / 300.0 AS weighted, sum(s.weekend) AS weekend
+  FROM c t JOIN c s ON s.event_type = t.event_type AND s.rn BETWEEN t.rn - 24 AND t.rn - 1
+  WHERE t.rn > 24 GROUP BY 1, 2
+)
+SELECT event_type, {_ts('ts')}, {_r('oldest')}, {_r('newest')}, {_r('mean_z')}, {_r('max_z')}, {_r('weighted')}, {_r('weekend')} FROM g
+"""
+
+# ---------------------------------------------------------------- trained, named and evaluated models; the store's order; the canonical cast
+SQL["trained_metrics"] = SQL["harmonic_metrics"]
+SQL["named_forecasts"] = f"""
+WITH {BASE_FORECASTS}
+SELECT model, event_type, {_ts('ts')}, {_r('y_true')}, {_r('y_pred')} FROM test
+"""
+SQL["evaluated_run"] = SQL["leaderboard"]
+SQL["store_order"] = f"""
+WITH {CANON}
+SELECT strftime(file_day, '%Y-%m-%d') AS day, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM canon GROUP BY 1
+"""
+SQL["canonical_cast"] = f"""
+SELECT CAST(user_id AS BIGINT) AS square_id, {_ts('ts')}, {_r('CAST(CAST(value AS FLOAT) AS DOUBLE)', 'internet')} FROM events
+"""

@@ -947,3 +947,119 @@ def q_lag_search_metrics(spark, d):
 
 
 QUERIES.update({"lag_search": q_lag_search, "lag_search_metrics": q_lag_search_metrics})
+
+
+# ---------------------------------------------------------------- streams out of order, compacted tables, sequence batches
+import numpy as np  # noqa: E402
+
+from ..operators import sequences as seq  # noqa: E402
+from ..streaming import compacted as comp  # noqa: E402
+from ..streaming import ordered as order  # noqa: E402
+
+
+def q_stream_ordered_error(spark, d):
+    """Forecasts of rows that arrive up to twelve hours out of order, in three runs of one stream."""
+    folder = stm.scratch(spark, "stream-ordered")
+    h = b.hourly(spark, d)
+    late = F.pmod(F.hash(S.entity, S.ts), F.lit(12 * 3600))
+    arrival = tf.epoch_seconds(h, S.ts) + late
+    half = F.lit((datetime(2024, 1, 15) - datetime(1970, 1, 1)).days * 86400)
+    # closes the stream: later than every row by more than the delay
+    closing = h.groupBy().agg(F.lit(None).cast("string").alias(S.entity), (F.max(S.ts) + F.expr("INTERVAL 2 DAYS")).alias(S.ts), F.lit(None).cast("double").alias(S.value))
+    for part in (h.where(arrival < half), h.where(arrival >= half), closing):
+        part.write.mode("append").parquet(f"{folder}/series")
+        stream = spark.readStream.schema(h.schema).parquet(f"{folder}/series")
+        out = order.drain(order.ordered_forecasts(stream, S, S.daily, "12 hours"), folder)
+    return present(out)
+
+
+def q_stream_compacted_bins(spark, d):
+    """Hourly sums kept by a stream in three runs; the last brings rows that are more than the delay late (R2)."""
+    folder = stm.scratch(spark, "stream-compacted")
+    events = b.events(spark, d)
+    late = (F.col("event_id") % 20 == 3) & (F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    first = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.where(first & ~late), events.where(~first & ~late), events.where(late)):
+        part.repartition(6, "event_id").write.mode("append").parquet(f"{folder}/events")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/events")
+        comp.upsert_bins(stream, S, "event_type", "ts", "value", f"{folder}/bins", delay=15 * 86400, keep=4)
+    bins = comp.read_bins(spark, f"{folder}/bins", S, "string").withColumn("late", F.lit(False))
+    kept = comp.late_rows(spark, f"{folder}/bins", events.schema)
+    return present(bins.unionByName(ser.binned(kept, S, "event_type", "ts", "value").withColumn("late", F.lit(True))))
+
+
+def _window_scores(x: np.ndarray) -> dict[str, np.ndarray]:
+    """Facts of each window of (z, weekend) rows, newest row last."""
+    z, weight = x[:, :, 0], np.arange(1.0, x.shape[1] + 1)
+    return {"oldest": z[:, 0], "newest": z[:, -1], "mean_z": z.mean(axis=1), "max_z": z.max(axis=1), "weighted": z @ weight / weight.sum(), "weekend": x[:, :, 1].sum(axis=1)}
+
+
+def q_sequence_scores(spark, d):
+    """A model's batch of windows as views: scores of the day before every target."""
+    h = b.hourly(spark, d)
+    z = feat.calendar_features(feat.scaled(h, S, feat.fit_scaler(h, S, b.SPLIT)), S, _session_tz(spark))
+    outputs = "oldest double, newest double, mean_z double, max_z double, weighted double, weekend double"
+    return present(seq.sequence_batches(z, S, S.daily, ["z", "is_weekend"], _window_scores, outputs))
+
+
+QUERIES.update({"stream_ordered_error": q_stream_ordered_error, "stream_compacted_bins": q_stream_compacted_bins, "sequence_scores": q_sequence_scores})
+
+
+# ---------------------------------------------------------------- trained, named and evaluated models; the store's order; the canonical cast
+from ..plans import models as mod  # noqa: E402
+
+
+def q_trained_metrics(spark, d):
+    """The harmonic family trained, saved, read back and evaluated on the test window."""
+    folder = stm.scratch(spark, "trained")
+    h = b.hourly(spark, d)
+    mod.train(h, S, b.SPLIT, folder, ["harmonic"], _session_tz(spark))
+    f = mod.forecast_trained(spark, h, S, folder, "harmonic", _session_tz(spark))
+    return present(ev.metrics_table(ev.walk_forward(f, S, b.SPLIT.test_start, b.SPLIT.test_end), S))
+
+
+def q_named_forecasts(spark, d):
+    """Forecasts of models taken from the registry by name."""
+    h = b.hourly(spark, d)
+    last, *others = [fc.get_forecaster(name, S)(h) for name in BASELINES]
+    for f in others:
+        last = last.unionByName(f)
+    return present(ev.walk_forward(last, S, b.SPLIT.test_start, b.SPLIT.test_end))
+
+
+def q_evaluated_run(spark, d):
+    """Named models forecast, stored, evaluated and ranked as one run."""
+    folder = stm.scratch(spark, "evaluated")
+    f = mod.forecast(spark, b.hourly(spark, d), S, b.SPLIT, list(BASELINES), f"{folder}/forecasts")
+    board = mod.evaluate(f, S, f"{folder}/results")["leaderboard"]
+    return present(board.select(S.entity, "model", "MAE", "rank"))
+
+
+def q_store_order(spark, d):
+    """Rows of each day's files that do not follow (square_id, ts) order."""
+    from pyspark.sql import Window
+
+    rows = st.read_store(spark, _store_root(spark, d)).select("day", "square_id", "ts", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    w = Window.partitionBy("file").orderBy("at")
+    key = F.struct("square_id", "ts")
+    rows = rows.withColumn("wrong", F.coalesce(key < F.lag(key).over(w), F.lit(False)))
+    return present(rows.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.count_if("wrong").alias("out_of_order")))
+
+
+def q_canonical_cast(spark, d):
+    """A table with other types cast to the canonical columns."""
+    raw = b.events(spark, d).select("event_id", F.col("user_id").cast("int").alias("square_id"), "ts", F.col("value").cast("string").alias("internet"))
+    c = ln.to_canonical(raw, tz=TEN.tz, session_tz=_session_tz(spark))
+    wall = F.convert_timezone(F.lit(_session_tz(spark)), F.lit(TEN.tz), F.col("ts").cast("timestamp_ntz"))
+    return present(c.select("square_id", wall.alias("ts"), "internet"))
+
+
+QUERIES.update(
+    {
+        "trained_metrics": q_trained_metrics,
+        "named_forecasts": q_named_forecasts,
+        "evaluated_run": q_evaluated_run,
+        "store_order": q_store_order,
+        "canonical_cast": q_canonical_cast,
+    }
+)

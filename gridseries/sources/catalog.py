@@ -27,8 +27,8 @@ COMPACT_AFTER = 10
 ATTEMPTS = 5
 
 
-class _Folder:
-    """The catalog's folder through Hadoop's file system, wherever the store lies."""
+class CommitFolder:
+    """The ``_catalog`` folder of a table through Hadoop's file system, wherever the table lies."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, f"{root.rstrip('/')}/_catalog"
@@ -52,10 +52,18 @@ class _Folder:
         self.fs.delete(fresh, False)
         return False
 
+    def read(self, version: int) -> dict:
+        """What :meth:`put` wrote."""
+        return json.loads(self.spark.read.text(f"{self.root}/commits/{version:012d}.json", wholetext=True).first()[0])
+
+    def forget(self, version: int) -> None:
+        """Drop an old version's file."""
+        self.fs.delete(self.path(f"{self.root}/commits/{version:012d}.json"), False)
+
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
     """All versions so far, one row each."""
-    folder = _Folder(spark, root)
+    folder = CommitFolder(spark, root)
     if not folder.versions():
         return spark.createDataFrame([], COMMITS)
     return spark.read.schema(COMMITS).json(f"{folder.root}/commits")
@@ -63,7 +71,7 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 
 def latest(spark: SparkSession, root: str) -> dict | None:
     """The last version's commit, read from its one file."""
-    folder = _Folder(spark, root)
+    folder = CommitFolder(spark, root)
     versions = folder.versions()
     if not versions:
         return None
@@ -133,6 +141,6 @@ def refresh(spark: SparkSession, root: str, expected_start: date, expected_end:
             "version": version + 1, "folders": folders, "generated_at": datetime.now(timezone.utc).isoformat(), "expected_start": str(expected_start), "expected_end": str(expected_end),
             "n_partitions": totals[0], "total_rows": totals[1], "total_bytes": totals[2], "hashed_files": counts[0], "hashed_days": counts[1], "removed_files": counts[2],
         }
-        if _Folder(spark, root).put(version + 1, json.dumps(commit)):
+        if CommitFolder(spark, root).put(version + 1, json.dumps(commit)):
             return commit
     raise RuntimeError(f"the catalog of {root} changed {ATTEMPTS} times meanwhile")

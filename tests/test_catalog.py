@@ -55,11 +55,11 @@ def test_a_version_is_written_once_and_the_loser_looks_again(spark, tmp_path, mo
     root = str(tmp_path / "store")
     put_day(spark, root, 1)
     cat.refresh(spark, root, START, END)
-    folder = cat._Folder(spark, root)
+    folder = cat.CommitFolder(spark, root)
     assert not folder.put(1, "{}") and cat.latest(spark, root)["total_rows"] == 3
     assert not [n for n in os.listdir(f"{root}/_catalog/commits") if n.endswith(".tmp")]
     put_day(spark, root, 2)
-    original, raced = cat._Folder.put, []
+    original, raced = cat.CommitFolder.put, []
 
     def put(self, version, text):
         if not raced:  # another writer takes the version first
@@ -67,7 +67,7 @@ def test_a_version_is_written_once_and_the_loser_looks_again(spark, tmp_path, mo
             return False
         return original(self, version, text)
 
-    monkeypatch.setattr(cat._Folder, "put", put)
+    monkeypatch.setattr(cat.CommitFolder, "put", put)
     last = cat.refresh(spark, root, START, END)
     assert raced == [True] and (last["version"], last["total_rows"]) == (2, 6)
 
