@@ -58,7 +58,7 @@ def test_entry_runs(spark):
     assert df.columns == ["event_type", "model", "n", "MAE", "RMSE", "MAPE_percent", "sMAPE_percent"]
 
 
-@pytest.mark.parametrize("key", ["walkforward_metrics", "preview", "canonical_from_lines", "stream_bins"])
+@pytest.mark.parametrize("key", ["walkforward_metrics", "preview", "canonical_from_lines", "stream_bins", "stream_ordered_error", "stream_compacted_bins", "sequence_scores", "canonical_cast"])
 def test_results_do_not_depend_on_session_zone(spark, duck, key):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
