@@ -5,7 +5,7 @@ among the 32 of that class. A leaf is one frequent word, or the rarer words whos
 alike; within a leaf, words have their share of the leaf's counts, which does not depend on the context. Both softmaxes sum
 the weights of hashed features: the previous word (bigram), the two previous words (trigram), and the words
 two and three places back (skips). Weights start from one iterative-scaling step on the counts of all training texts and are
-then moved by gradient updates, whose sums Spark gathers over tasks.
+then moved by gradient updates that between them go through all training texts once; Spark gathers their sums over tasks.
 
 With all weights zero the model is the unigram model. One event stands for all tokens that training never met;
 it gets the mass that absolute discounting takes from the words that it met.
@@ -43,10 +43,14 @@ ROWS = FEATURES * CLASS_ROWS + DIGITS * FEATURES * LEAF_ROWS
 _MIX_CLASS = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 _MIX_LEAF = np.array([374761393, 2654435789, 2246822507, 3266489909], np.uint32)
 
-TOKENS_AT_ONCE = 16_384
+#: So few that a run's softmaxes stay in the processor's cache.
+TOKENS_AT_ONCE = 4096
+#: So many that adding up the weights' rows costs less than the tokens.
+SPREADS_AT_ONCE = 32_768
 DOCS_AT_ONCE_TOKENS = 1_000_000
 PRIOR_COUNT = 4.0
-SLICES = 8
+#: Each task of a gradient update hands in a table of fixed size, so it reads several files.
+FILES_A_TASK = 4
 #: Entries of the blocks' dictionaries whose counts are added up together.
 BUCKET_ENTRIES = 500_000
 RATES = (0.5, 0.35, 0.25)
@@ -138,18 +142,18 @@ class Maxent:
 
     def row_priors(self) -> np.ndarray:
         """The unigram distribution that each row of weights bends."""
-        leaf = np.repeat(self.leaf_prior, FEATURES * LEAF_ROWS, axis=0)
+        leaf = np.tile(np.repeat(self.leaf_prior, LEAF_ROWS, axis=0), (FEATURES, 1))
         return np.concatenate([np.repeat(self.class_prior[None], FEATURES * CLASS_ROWS, axis=0), leaf])
 
     def log_probability(self, class_rows: list[np.ndarray], leaf_rows: list[np.ndarray], target: np.ndarray, spread: bool = False):
         """Natural log of each target leaf's probability; with ``spread`` also both softmaxes whole."""
         cls, digit, n = target // DIGITS, target % DIGITS, np.arange(len(target))
         out, spreads = np.zeros(len(target)), []
-        for rows, prior, at in ((class_rows, self.log_class[None], cls), (leaf_rows, self.log_leaf[cls], digit)):
-            logits = self.weights[rows[0]]
+        for rows, prior, at in ((class_rows, self.log_class[None], cls), (leaf_rows, self.log_leaf.take(cls, axis=0), digit)):
+            logits = self.weights.take(rows[0], axis=0)
             logits += prior
             for r in rows[1:]:
-                logits += self.weights[r]
+                logits += self.weights.take(r, axis=0)
             np.exp(logits, out=logits)
             total = logits.sum(axis=1)
             out += np.log(np.maximum(logits[n, at], 1e-30)) - np.log(total)
@@ -179,7 +183,7 @@ def windows(tokens: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray
         for f, v in enumerate(values):
             class_rows.append(((v * _MIX_CLASS[f]) >> np.uint32(20)) + np.uint32(f * CLASS_ROWS))
             bucket = (((v * _MIX_LEAF[f]) >> np.uint32(16)) * np.uint32(LEAF_ROWS)) >> np.uint32(16)
-            leaf_rows.append(bucket + (cls * np.uint32(FEATURES) + np.uint32(f)) * np.uint32(LEAF_ROWS) + np.uint32(FEATURES * CLASS_ROWS))
+            leaf_rows.append(bucket + (cls + np.uint32(f * DIGITS)) * np.uint32(LEAF_ROWS) + np.uint32(FEATURES * CLASS_ROWS))
         yield text, target, class_rows, leaf_rows
 
 
@@ -191,30 +195,42 @@ def _tokens(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
         yield part, np.frombuffer(b"".join(part.column(part.schema.get_field_index("tokens")).to_pylist()), "<u2"), np.cumsum(n) - n
 
 
+def _take_expected(table: np.ndarray, runs: list[tuple]) -> None:
+    """Subtract from ``table`` (digit x row) the softmaxes of runs (class rows, leaf rows, class softmax, leaf softmax), each added up by row."""
+    for kind, base, width in ((0, 0, CLASS_ROWS), (1, FEATURES * CLASS_ROWS, DIGITS * LEAF_ROWS)):
+        spread = np.concatenate([run[2 + kind] for run in runs]).T.astype(np.float64, order="C")
+        for f in range(FEATURES):
+            start = base + f * width  # a feature's rows lie together
+            at = np.concatenate([run[kind][f] for run in runs]).astype(np.int64) - start
+            for k in range(DIGITS):
+                table[k, start : start + width] -= np.bincount(at, spread[k], width)
+
+
 def _sums(rows: DataFrame, model: Maxent | None) -> np.ndarray:
     """What every row of weights met as targets over all of ``rows``, less what ``model`` expected there."""
     kept = rows.sparkSession.sparkContext.broadcast(model) if model else None  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, model = np.zeros((ROWS, DIGITS), np.float32), kept.value if kept else None
+        table, model = np.zeros((DIGITS, ROWS)), kept.value if kept else None
+        runs, waiting = [], 0
         for batch in batches:
             for _, tokens, starts in _tokens(batch):
                 cells = []
                 for _, target, class_rows, leaf_rows in windows(tokens, starts):
                     cls, digit = target // DIGITS, target % DIGITS
-                    cells += [r.astype(np.int64) * DIGITS + cls for r in class_rows] + [r.astype(np.int64) * DIGITS + digit for r in leaf_rows]
+                    cells += [cls * ROWS + r for r in class_rows] + [digit * ROWS + r for r in leaf_rows]
                     if model:
-                        _, spreads = model.log_probability(class_rows, leaf_rows, target, True)
-                        for kind, spread in zip((class_rows, leaf_rows), spreads, strict=True):
-                            for r in kind:
-                                order = np.argsort(r.astype(np.uint16), kind="stable")  # a radix sort
-                                first = np.flatnonzero(np.diff(r[order].astype(np.int64), prepend=-1))
-                                if len(first):
-                                    table[r[order[first]]] -= np.add.reduceat(spread[order], first, axis=0)
+                        runs.append((class_rows, leaf_rows, *model.log_probability(class_rows, leaf_rows, target, True)[1]))
+                        waiting += len(target)
+                        if waiting >= SPREADS_AT_ONCE:
+                            _take_expected(table, runs)
+                            runs, waiting = [], 0
                 if cells:
-                    table += np.bincount(np.concatenate(cells), minlength=ROWS * DIGITS).reshape(ROWS, DIGITS).astype(np.float32)
-        at = np.flatnonzero(table.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(table[at, k]) for k in range(DIGITS))], names=["row", *names])
+                    table += np.bincount(np.concatenate(cells), minlength=DIGITS * ROWS).reshape(DIGITS, ROWS)
+        if runs:
+            _take_expected(table, runs)
+        at = np.flatnonzero(table.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(table[k, at].astype(np.float32)) for k in range(DIGITS))], names=["row", *names])
 
     names = [f"v{k}" for k in range(DIGITS)]
     cells = rows.select("n_tokens", "tokens").mapInArrow(run, "row int, " + ", ".join(f"{v} float" for v in names))
@@ -227,11 +243,12 @@ def _sums(rows: DataFrame, model: Maxent | None) -> np.ndarray:
 
 
 def train(rows: DataFrame, leaf_mass: np.ndarray, rates: tuple[float, ...] = RATES) -> Maxent:
-    """Weights from coded training texts: one iterative-scaling step on all, then a gradient update on a slice of them for each rate.
+    """Weights from coded training texts: one iterative-scaling step on all, then one pass over all, a gradient update for each rate.
 
-    A weight moves by (met - expected) over what the slice should hold of it (its share of all training tokens, or of the
-    unigram expectation if that is larger) and a prior count, times the rate. The driver holds the weights, whose number is
-    fixed. A slice has an eighth of the rows, so as many fewer tasks read it and hand in sums.
+    The texts are dealt to as many parts as there are rates by their ``slice``, so each is in just one update. A weight moves by (met - expected) over
+    what the part should hold of it (its share of all training tokens, or of the unigram expectation if that is larger) and a
+    prior count, times the rate. The driver holds the weights, whose number is fixed. An update's tasks read some files
+    each, so that fewer hand in sums.
     """
     model = Maxent(leaf_mass, np.zeros((ROWS, DIGITS), np.float32))
     prior = model.row_priors()
@@ -240,11 +257,11 @@ def train(rows: DataFrame, leaf_mass: np.ndarray, rates: tuple[float, ...] = RAT
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = np.where(prior > 0, (met + PRIOR_COUNT * prior) / (unigram + PRIOR_COUNT * prior), 1.0)
     model.weights = (np.log(ratio) / FEATURES).astype(np.float32)
-    scale = np.maximum(met, unigram) / SLICES + PRIOR_COUNT
-    spark = rows.sparkSession
+    parts = max(1, len(rates))
+    scale = np.maximum(met, unigram) / parts + PRIOR_COUNT
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, len(rows.inputFiles()) // FILES_A_TASK)
     for i, rate in enumerate(rates):
-        part = rows.where(F.col("slice") == i)
-        tasks = max(spark.sparkContext.defaultParallelism, len(rows.inputFiles()) // SLICES)
+        part = rows.where(F.col("slice") % parts == i)
         step = rate * _sums(part.coalesce(tasks), model) / scale
         model.weights = np.clip(model.weights + np.clip(step, -1, 1), -8, 8).astype(np.float32)
     return model
@@ -267,7 +284,7 @@ def _encode(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFrame
             fields = pa.schema([("block", pa.int64()), ("key", block.rows["key"].type), ("held_out", pa.bool_()), ("slice", pa.int32()), *((c, pa.binary()) for c in ("codes", "hashes", "endings", "trained"))])
             found = {"block": number(1), "hashes": _bytes(hashes), "endings": _bytes(endings), "trained": packed(trained, np.array([len(trained)]))}
             yield record(found, fields, 1)
-            coded = {"block": number(n), "key": block.rows["key"].combine_chunks(), "held_out": held, "slice": pa.array(np.arange(n) % SLICES), "codes": packed(block.codes, block.counts)}
+            coded = {"block": number(n), "key": block.rows["key"].combine_chunks(), "held_out": held, "slice": pa.array(np.arange(n)), "codes": packed(block.codes, block.counts)}
             yield record(coded, fields, n)
 
     return rows.mapInArrow(run, schema)

@@ -121,3 +121,23 @@ def test_score_and_gradient_by_plain_loops(spark):
         logs.append(sum(model.log_probability(c, w, t).sum() for _, t, c, w in maxent.windows(tokens, starts)))
         model.weights[row, column] -= sign * step
     assert (logs[0] - logs[1]) / (2 * step) == pytest.approx(gradient[row, column], abs=2e-3)
+
+
+def test_updates_together_see_all_training_texts(spark):
+    rng = np.random.default_rng(3)
+    mass = rng.integers(1, 9, maxent.LEAVES).astype(float)
+    texts = [rng.choice(np.arange(40 * i, 40 * i + 40), 30).astype("<u2") for i in range(16)]  # each has leaves of its own
+    frame = spark.createDataFrame([(30, bytearray(t.tobytes()), i) for i, t in enumerate(texts)], "n_tokens long, tokens binary, slice int")
+    start = maxent.train(frame, mass, ())
+    got = maxent.train(frame, mass, (0.5, 0.25))
+    moved = np.abs(got.weights - start.weights).max(axis=1) > 1e-4
+    for text in texts:
+        _, _, class_rows, leaf_rows = next(maxent.windows(text, np.array([0])))
+        assert moved[np.concatenate([r[3:] for r in (*class_rows, *leaf_rows)])].all()
+    # by hand: every text is in one of the two updates
+    met, prior = maxent._sums(frame, None), start.row_priors()
+    assert met.sum() == 16 * 30 * 2 * maxent.FEATURES
+    scale = np.maximum(met, met.sum(axis=1, keepdims=True) * prior) / 2 + maxent.PRIOR_COUNT
+    for i, rate in enumerate((0.5, 0.25)):
+        start.weights = start.weights + np.clip(rate * maxent._sums(frame.where(F.col("slice") % 2 == i), start) / scale, -1, 1).astype(np.float32)
+    np.testing.assert_allclose(got.weights, start.weights, atol=1e-5)
