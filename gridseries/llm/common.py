@@ -1,11 +1,15 @@
-"""Helpers shared by the corpus operators: staged tables, word hashes, components."""
+"""Helpers shared by the corpus operators: staged tables, memory of Python workers, word hashes, components."""
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +50,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[str, Any] = {}
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def worker_state(operator: str, build: Callable[[], Any]) -> Any:
+    """What this Python worker keeps from one task of an operator to the next, built on first use.
+
+    A worker outlives the operator's stages, so it keeps one operator's state at a time: the next one's tasks replace it.
+    """
+    if operator not in _KEPT:
+        _KEPT.clear()
+        give_back()
+        _KEPT[operator] = build()
+    return _KEPT[operator]
+
+
+def give_back() -> None:
+    """Return memory that is free to the system, which Arrow and the allocator keep after a batch of whole texts."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 class HashCache(dict):
     """word -> 64-bit hash, emptied when it holds ``limit`` words."""
 
@@ -60,7 +87,6 @@ class HashCache(dict):
         return value
 
 
-_HASHES = HashCache()
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,7 +99,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     words = WORDS.findall(text.lower()) if text else []
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(worker_state("word_hashes", HashCache).__getitem__, words), np.uint64, len(words))
 
 
 def shingle_hashes(words: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.common import mix64
+from gridseries.llm.common import give_back, mix64, worker_state
 
 #: Words of texts up to Latin Extended-B, whose only number signs that count as word characters are these six.
 LATIN_WORD = re.compile(r"[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+")
@@ -305,6 +305,7 @@ def train(docs: DataFrame, key: str, text: str, language: str, max_rows: int = M
     picked = known.where(place < taken)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language_id", dict)  # other operators' caches make room
         words: dict[str, Counter] = {}
         for batch in batches:
             for lang, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -354,9 +355,12 @@ def predictor(model: LanguageModel | None):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_state("language_id", dict)  # other operators' caches make room
         for batch in batches:
             names, shares = kept[0].predict(batch.tolist()) if kept else (["und"] * len(batch), [0.0] * len(batch))
             yield pd.DataFrame({"lang_pred": names, "score": shares})
+            del batch, names, shares
+            give_back()
 
     return predict
 

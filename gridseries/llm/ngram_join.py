@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.common import SHINGLE_WORDS, block_links, connected_components, core_links, in_blocks, links_to_rows, mix64, shingle_hashes, staged, word_hashes
+from gridseries.llm.common import SHINGLE_WORDS, block_links, connected_components, core_links, give_back, in_blocks, links_to_rows, mix64, shingle_hashes, staged, word_hashes
 
 THRESHOLD = 0.8
 TARGET_RECALL = 0.995
@@ -216,6 +216,8 @@ def ngram_links(
                 classes.append(set_class(shingles) if len(shingles) else None)
                 signed.append(band_hashes(shingles, bands, rows) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes, pa.binary()), pa.array(signed, pa.list_(pa.int64()))], names=["key", "class", "bands"])
+            del batch, classes, signed
+            give_back()
 
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     signed = staged(docs.mapInArrow(sign, f"key {kind}, class binary, bands array<bigint>"), "ngram-signatures")

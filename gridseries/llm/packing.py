@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from gridseries.llm.common import CHUNKS, staged
+from gridseries.llm.common import CHUNKS, give_back, staged, worker_state
 
 CACHED_CHUNKS = 400_000
 CACHED_CHARS = 64
@@ -86,6 +86,7 @@ class TextTokenizer:
                 cut_up += CHUNKS.findall(text)
             counts.append(len(cut_up))
         chunks = pa.array(cut_up, pa.string()).dictionary_encode()
+        del cut_up  # the strings of all chunks
         distinct, numbers = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
         parts = list(map(self.cache.get, distinct))
         if None in parts:
@@ -119,14 +120,12 @@ class TextTokenizer:
         return coded
 
 
-_TOKENIZERS: dict[str, TextTokenizer] = {}
-
-
 def text_tokenizer(path: str) -> TextTokenizer:
     """The Python worker's tokenizer for a file, built once."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = TextTokenizer(path)
-    return _TOKENIZERS[path]
+    kept = worker_state("packing", dict)
+    if path not in kept:
+        kept[path] = TextTokenizer(path)
+    return kept[path]
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -160,6 +159,7 @@ class PieceMaker:
             made = [self._rows(np.append(ids, self.end).tobytes()) for ids in self.tokenizer.encode_all(group)]
             for key in digests[start:at]:
                 yield made[held[key]] if key in held else self.kept[key]
+            give_back()
             if len(self.kept) > KEPT_TEXTS:
                 self.kept = {}
             self.kept.update((key, made[i]) for key, i in held.items())
@@ -168,16 +168,14 @@ class PieceMaker:
         return [(piece, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)])) for piece, (a, n) in enumerate(cut(len(ids) // 4, self.capacity))]
 
 
-_MAKERS: dict[tuple[str, int, int], PieceMaker] = {}
-
-
 def token_pieces(df: DataFrame, key: str, text: str, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
     """(doc, piece, start, length, ids_crc32) of every text's ids, followed by ``end_id``; null counts as empty."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         setting = tokenizer_path, capacity, end_id
-        maker = _MAKERS.get(setting) or _MAKERS.setdefault(setting, PieceMaker(*setting))
+        kept = worker_state("packing", dict)
+        maker = kept.get(setting) or kept.setdefault(setting, PieceMaker(*setting))
         for batch in batches:
             rows = [(at, *row) for at, pieces in enumerate(maker.rows(batch.column(1))) for row in pieces]
             at, *numbers = list(zip(*rows, strict=True)) or [()] * 5

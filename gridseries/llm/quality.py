@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridseries.llm.common import give_back, worker_state
+
 TOKEN = re.compile(r"\S+")
 PASSAGE_WORDS = 100
 #: Training reads about this many labelled rows at most, picked by a hash of the key.
@@ -160,8 +162,10 @@ def is_held_out(key: Column) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def _flat_features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    worker_state("quality", dict)  # other operators' caches make room
     for batch in batches:
         yield batch.map(lambda t: passage_features(t).ravel())
+        give_back()
 
 
 def train(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, max_rows: int = MAX_TRAINING_ROWS) -> QualityModel | None:
@@ -194,12 +198,15 @@ def scorer(model: QualityModel | None):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_state("quality", dict)  # other operators' caches make room
         for batch in batches:
             texts = batch.tolist()
             out: list[float] = []
             for i in range(0, len(texts), 500):
                 out += model.scores(texts[i : i + 500]) if model else [0.5] * len(texts[i : i + 500])
             yield pd.Series(out, dtype="float64")
+            del batch, texts, out
+            give_back()
 
     return score
 

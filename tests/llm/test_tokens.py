@@ -1,12 +1,15 @@
 """BPE and packing against the tokenizer libraries and direct checks."""
 
 import base64
+import gc
 import hashlib
 import random
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -15,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridseries.llm import packing
+from gridseries.llm import common, language_id, packing, quality
 from gridseries.llm.bpe import BytePairEncoder, encode_texts, text_encoder
 
 RANKS, TOKENIZER = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -164,3 +167,16 @@ def test_repeated_and_null_keys_are_all_packed(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (1, "x y"), (1, "x y")], "doc_id long, text string")
     rows = packing.pack_documents(df, "doc_id", "text", TOKENIZER, 64).collect()
     assert len(rows) == 4 and len({(r.sequence_id, r.offset) for r in rows}) == 4 and len({r.sequence_id for r in rows}) == 1
+
+
+@pytest.mark.parametrize("other", [language_id.predictor, quality.scorer])
+def test_a_worker_drops_the_tokenizer_when_another_operator_runs(spark, other):
+    kept = weakref.ref(packing.text_tokenizer(TOKENIZER))
+    assert packing.text_tokenizer(TOKENIZER) is kept()
+    assert len(list(other(None).func(iter([pd.Series(["a b", None])])))) == 1
+    gc.collect()
+    assert kept() is None
+    kept = weakref.ref(packing.text_tokenizer(TOKENIZER))
+    common.word_hashes("a b")
+    gc.collect()
+    assert kept() is None
