@@ -8,6 +8,7 @@ round, on at most half the tasks, until no two of them can merge.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import zlib
@@ -21,24 +22,86 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from gridseries.llm.common import CHUNKS, give_back, staged, worker_state
+from gridseries.llm.common import WHITE_SPACE, give_back, staged, worker_state
 
 CACHED_CHUNKS = 400_000
 CACHED_CHARS = 64
 PLAIN_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+SPACE, WORD, MARK, APOSTROPHE, LEAD = 1, 2, 3, 4, 5
 CHARS_AT_ONCE = 4_000_000
 KEPT_TEXTS = 50_000
 ITEMS_PER_TASK = 200_000
 NEARLY_FULL = 8
 
 
+def _byte_kinds() -> np.ndarray:
+    """SPACE, WORD, MARK or APOSTROPHE of an ASCII byte; LEAD of one that may start a space or a Latin letter of more bytes, else 0."""
+    kinds = np.zeros(256, np.uint8)
+    for b in range(33, 127):
+        kinds[b] = WORD if chr(b).isalnum() else MARK
+    kinds[ord("'")] = APOSTROPHE
+    kinds[[ord(c) for c in "\t\n\v\f\r "]] = SPACE
+    kinds[[0xC2, *range(0xC3, 0xCA), 0xE1, 0xE2, 0xE3]] = LEAD
+    return kinds
+
+
+def _byte_level() -> str:
+    """The character that byte-level tokens have for each byte: its own if that is printable, else the next from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return "".join(chr(b) if b in own else chr(0x100 + others.index(b)) for b in range(256))
+
+
+BYTE_LEVEL = _byte_level()
+BYTE_KINDS = _byte_kinds()
+#: by kind of a byte * 8 + kind of the next: a chunk ends between them (1), a white-space run does (2)
+EDGES = np.zeros(64, np.uint8)
+EDGES[[k * 8 + SPACE for k in range(5) if k != SPACE] + [WORD * 8 + MARK, WORD * 8 + APOSTROPHE, MARK * 8 + WORD]] = 1
+EDGES[[SPACE * 8 + k for k in range(5) if k != SPACE]] = 2
+SPACES = sorted(int.from_bytes(c.encode().ljust(3, b"\0")) for c in re.findall(f"[{WHITE_SPACE}]", "".join(map(chr, range(0x80, 0x3001)))))
+
+
+def chunk_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where chunks of UTF-8 texts begin; the texts, end to end in ``data``, begin at ``starts``.
+
+    Cuts are where the byte-level pattern never matches across, and matches the same without what follows: before
+    a white-space run and its last character, after the latter unless it is a space that a token may begin
+    with, between a letter or digit and an ASCII mark, and between a mark that starts no contraction and a letter or digit.
+    """
+    kinds = BYTE_KINDS[data]
+    if len(leads := np.flatnonzero(kinds == LEAD)):
+        kinds[leads] = 0
+        padded = np.append(data, np.zeros(2, np.uint8))
+        lead, second, third = (padded[leads + i].astype(np.int64) for i in range(3))
+        wide = lead >= 0xE1
+        code = (lead << 16) + (second << 8) + np.where(wide, third, 0)
+        point = ((lead & 0x1F) << 6) + (second & 0x3F)
+        latin = ~wide & (point >= 0xC0) & (point < 0x250) & (point != 0xD7) & (point != 0xF7)
+        for chars, size, kind in ((leads[latin], 2, WORD), (leads[np.isin(code, SPACES)], 3, SPACE)):
+            for i in range(size):
+                at = chars + i
+                if i == 2:
+                    at = at[data[chars] >= 0xE1]
+                kinds[at] = kind
+    edges = EDGES[kinds[:-1] * 8 + kinds[1:]]
+    is_start = np.zeros(len(data) + 1, bool)
+    is_start[starts] = True
+    ends = np.flatnonzero(edges == 2) + 1
+    ends = ends[~is_start[ends]]
+    last = ends - 1
+    for _ in range(2):  # back to the first byte
+        last -= (data[last] & 0xC0) == 0x80
+    is_start[1:-1] |= edges == 1
+    is_start[last] = True
+    is_start[ends[data[last] != ord(" ")]] = True
+    return np.flatnonzero(is_start[:-1])
+
+
 class TextTokenizer:
     """Whole texts to ids by the tokenizers library.
 
-    The byte-level pattern never matches across the edge before a single space,
-    around a white-space run or between a letter or digit and a mark after it, so a text
-    is cut there and each distinct short chunk goes through the library once. A text
-    that holds an added token's string goes through it whole.
+    Texts are cut into chunks (``chunk_starts``) and each distinct short chunk goes through
+    the library once. A text that holds an added token's string goes through it whole.
     """
 
     def __init__(self, path: str):
@@ -52,42 +115,51 @@ class TextTokenizer:
         self.words = self._word_tokenizer(path)
 
     def _word_tokenizer(self, path: str) -> Tokenizer | None:
-        """The same model for plain words, each of which is one match of the byte-level pattern: split at line feeds only."""
-        if (json.loads(self.tokenizer.to_str()).get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+        """The same model for plain words, each of which is one match of the byte-level pattern, in the byte-level alphabet."""
+        steps = json.loads(self.tokenizer.to_str())
+        if (steps.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or steps.get("normalizer"):
             return None
         words = Tokenizer.from_file(path)
-        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "isolated"), byte_level])
+        words.pre_tokenizer = pre_tokenizers.Sequence([])
         return words
 
     def _library(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in coded]
 
-    def _chunks(self, chunks: list[str], tokenizer: Tokenizer) -> list[bytes]:
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Each chunk's ids, from one call: a chunk has no line feed, so line feeds part them without changing any."""
         if self.line_feed is None:
             return self._library(chunks)
-        ids = np.array(tokenizer.encode_batch_fast(["\n".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
         edges = np.flatnonzero(ids == self.line_feed)
         coded, edges = ids.tobytes(), [-1, *edges.tolist(), len(ids)]
         return [coded[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
 
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        """Each plain word's ids, from one call for all of them as words of one text."""
+        spelled = codecs.charmap_decode("\n".join(chunks).encode(), "strict", BYTE_LEVEL)[0].split(BYTE_LEVEL[ord("\n")])
+        coded = self.words.encode_batch([spelled], is_pretokenized=True, add_special_tokens=False)[0]  # the fast one leaves word_ids empty
+        edges = np.searchsorted(np.array(coded.word_ids), np.arange(len(chunks) + 1)).tolist()
+        ids = np.array(coded.ids, "<u4").tobytes()
+        return [ids[4 * a : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return self.encode_all([text])[0].tobytes()
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Chunks are numbered by Arrow first, so each distinct one is looked up once."""
+        """Ids of each text. Chunks are cut and numbered as one Arrow array, so each distinct one is looked up once."""
         whole = {i: self._library([t])[0] for i, t in enumerate(texts) if self.added and self.added.search(t)}
-        cut_up, counts = [], [0]
-        for i, text in enumerate(texts):
-            if i not in whole:
-                cut_up += CHUNKS.findall(text)
-            counts.append(len(cut_up))
-        chunks = pa.array(cut_up, pa.string()).dictionary_encode()
-        del cut_up  # the strings of all chunks
-        distinct, numbers = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
+        coded = [b"" if i in whole else t.encode() for i, t in enumerate(texts)]
+        joined = b"".join(coded)
+        text_ends = np.cumsum([0, *map(len, coded)])
+        del coded
+        starts = chunk_starts(np.frombuffer(joined, np.uint8), text_ends[:-1])
+        counts = np.searchsorted(starts, text_ends)
+        offsets = pa.py_buffer(np.append(starts, len(joined)))
+        chunks = pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(joined)).dictionary_encode()
+        distinct, numbers = chunks.dictionary.to_numpy(zero_copy_only=False).tolist(), chunks.indices.to_numpy()
         parts = list(map(self.cache.get, distinct))
         if None in parts:
             coded = self._unseen([c for c, p in zip(distinct, parts, strict=True) if p is None])
@@ -107,13 +179,13 @@ class TextTokenizer:
         new = [c for c in chunks if c not in coded]
         plain = [c for c in new if PLAIN_WORD.fullmatch(c)] if self.words else []
         if plain:
-            coded.update(zip(plain, self._chunks(plain, self.words), strict=True))
+            coded.update(zip(plain, self._plain(plain), strict=True))
             new = [c for c in new if c not in coded]
         if blank := [c for c in new if c.isspace()]:
             coded.update(zip(blank, self._library(blank), strict=True))
             new = [c for c in new if c not in coded]
         if new:
-            coded.update(zip(new, self._chunks(new, self.tokenizer), strict=True))
+            coded.update(zip(new, self._chunks(new), strict=True))
         if len(self.cache) + len(coded) > CACHED_CHUNKS:
             self.cache, self.older = {}, self.cache
         self.cache.update((c, p) for c, p in coded.items() if len(c) <= CACHED_CHARS)

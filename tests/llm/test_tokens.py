@@ -1,6 +1,7 @@
 """BPE and packing against the tokenizer libraries and direct checks."""
 
 import base64
+import functools
 import gc
 import hashlib
 import random
@@ -25,6 +26,14 @@ RANKS, TOKENIZER = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
 ODD = ["", None, " ", "\n\n  x", "it's we'LL 'tis", "a\x1cb c​d　", "é —. €!", "<|endoftext|>x<|endoftext|>", "日本語 テキスト", "_a_1_²", "x" * 5000, "ab " * 3000, "🙂🙃" * 50]
 
 
+SPACES = "\t\n\r \x85\xa0\u1680\u2000\u2009\u2028\u202f\u205f\u3000"
+
+
+@functools.cache
+def whole_library() -> Tokenizer:
+    return Tokenizer.from_file(TOKENIZER)
+
+
 @pytest.fixture(scope="module")
 def reference():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
@@ -63,6 +72,21 @@ def test_any_text_equals_both_libraries(text):
     assert mine == test_any_text_equals_both_libraries.l.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_beside_marks_goes_through_the_library_once(library):
+    texts = ["abide (abide) [abide]", '"abide", abide: x.abide/abide', "été! (été) l'été"]
+    mine = packing.TextTokenizer(TOKENIZER)
+    assert [x.tolist() for x in mine.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert {c.strip("'") for c in mine.cache if "abide" in c or "été" in c} == {" abide", "abide", "été"}
+    assert [x.tolist() for x in mine.encode_all([])] == [] and mine.encode_all([""])[0].tolist() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(SPACES + "aZ09é×ƻɏɐЖ日、²…'s.,(_-!\x00\x1c\xad"), max_size=20), max_size=6))
+def test_texts_cut_at_any_white_space_equal_the_library(texts):
+    mine, library = packing.text_tokenizer(TOKENIZER).encode_all(texts), whole_library()
+    assert [x.tolist() for x in mine] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def merge_all(piece: bytes, tokens: list[bytes]) -> list[int]:
     ids, parts = {t: i for i, t in enumerate(tokens)}, [bytes([b]) for b in piece]
     while True:
